@@ -6,6 +6,8 @@ occurrence of the quoted key and reads the value behind it, so nested keys and o
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,58 +36,56 @@ def trim_line(line: Column | str) -> Column:
     return F.btrim(_col(line), F.lit(LINE_BLANKS))
 
 
-def _behind_key(line: Column, key: str) -> Column:
-    """The text after the first ``"key"``; NULL when there is none."""
-    needle = f'"{key}"'
-    at = F.instr(line, needle)
-    return F.when(at > 0, F.substr(line, at + F.lit(len(needle))))
-
+def _value(line: Column | str, key: str, token: str, blanks: str = r"[ \t]") -> Column:
+    """The token behind the first ``"key"``; '' if there is no such key, or no colon and such a token behind it.
 
-def _value(line: Column, key: str, pattern: str) -> Column:
-    """The value token behind the key; '' when the key is not followed by a colon and such a token."""
-    return F.regexp_extract(_behind_key(line, key), rf"(?s)\A[ \t]*:[ \t]*({pattern})", 1)
+    What follows the key is optional in the pattern, so its first match is the first mention of the key, always.
+    """
+    quoted_key = re.sub(r"[^A-Za-z0-9_]", r"\\\g<0>", f'"{key}"')
+    return F.regexp_extract(_col(line), rf"(?s){quoted_key}(?:[ \t]*+:{blanks}*+({token}))?", 1)
 
 
 def _unquote(token: Column) -> Column:
-    inner = F.substr(token, F.lit(2), F.length(token) - F.lit(2))
+    """A quoted token's text. NULL for the empty token: the length is NULL then, and the token is computed once."""
+    inner = F.substr(token, F.lit(2), F.nullif(F.length(token) - F.lit(2), F.lit(-2)))
     return F.regexp_replace(inner, r"(?s)\\(.)", "$1")
 
 
 def field_string(line: Column | str, key: str) -> Column:
     """The string value of a key, each backslash dropped and its next character kept; NULL if not a string."""
-    token = _value(_col(line), key, _QUOTED)
-    return F.when(token != "", _unquote(token))
+    return _unquote(_value(line, key, _QUOTED))
 
 
 def field_scalar(line: Column | str, key: str) -> Column:
     """As `field_string`, and any other value as its raw token."""
-    token = _value(_col(line), key, f"{_QUOTED}|{_BARE}")
+    token = _value(line, key, f"{_QUOTED}|{_BARE}")
     return F.when(token.startswith('"'), _unquote(token)).when(token != "", token)
 
 
 def field_integer(line: Column | str, key: str) -> Column:
     """The leading decimal integer of an unquoted value; NULL if there is none or it exceeds 64 bits."""
-    digits = F.regexp_extract(_behind_key(_col(line), key), r"\A[ \t]*:\s*([+-]?[0-9]+)", 1)
-    return F.when(digits != "", digits.try_cast("bigint"))
+    return _value(line, key, "[+-]?[0-9]++", r"[ \t\n\x0b\f\r]").try_cast("bigint")
 
 
 def field_kind(line: Column | str) -> Column:
     """The record kind: at most 15 characters after the opening quote, NULL if the value is not quoted."""
-    head = F.regexp_extract(_behind_key(_col(line), "kind"), rf'\A[ \t]*:[ \t]*("[^"]{{0,{KIND_CHARS}}})', 1)
-    return F.when(head != "", F.substr(head, F.lit(2)))
+    head = _value(line, "kind", f'"[^"]{{0,{KIND_CHARS}}}')
+    return F.substr(head, F.lit(2), F.nullif(F.length(head), F.lit(0)))
 
 
-def parse_meta(line: Column | str, mode: str = "textual") -> Column:
-    """A sidecar line as a struct of `schemas.META`; NULL unless all five fields are there and in range."""
-    line = _col(line)
+def meta_fields(line: Column | str, mode: str = "textual") -> dict[str, Column]:
+    """The five sidecar fields as columns, each NULL where it is missing or unreadable."""
     if mode == "json":
-        meta = F.from_json(line, schemas.META)
-        fields = {name: meta[name] for name in schemas.META.fieldNames()}
-    elif mode == "textual":
-        fields = {name: field_integer(line, name) for name in ("sequence", "offset", "length", "ts_ms")}
-        fields["kind"] = field_kind(line)
-    else:
+        meta = F.from_json(_col(line), schemas.META)
+        return {name: meta[name] for name in schemas.META.fieldNames()}
+    if mode != "textual":
         raise ValueError(f"unknown parse mode {mode!r}")
+    numbers = {name: field_integer(line, name) for name in ("sequence", "offset", "length", "ts_ms")}
+    return {"kind": field_kind(line)} | numbers
+
+
+def whole_meta(fields: dict[str, Column]) -> Column:
+    """The five fields as a struct of `schemas.META`; NULL unless all are there and the unsigned ones not negative."""
     whole = F.lit(True)
     for name in schemas.META.fieldNames():
         whole = whole & fields[name].isNotNull()
@@ -94,6 +94,11 @@ def parse_meta(line: Column | str, mode: str = "textual") -> Column:
     return F.when(whole, F.struct(*[fields[name].alias(name) for name in schemas.META.fieldNames()]))
 
 
+def parse_meta(line: Column | str, mode: str = "textual") -> Column:
+    """A sidecar line as one struct expression. `operators.sidecar` does the same in steps that share their work."""
+    return whole_meta(meta_fields(line, mode))
+
+
 def looks_like_object(line: Column | str) -> Column:
     """True when, blanks and tabs aside, the line begins with ``{`` and ends with ``}``."""
     bare = F.btrim(_col(line), F.lit(" \t"))

@@ -12,7 +12,7 @@ import re
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,36 +82,39 @@ def translate(pattern: str) -> Translated:
     return Translated(text, groups, "|" in shape or re.search(r"\)(\?|\*|\{0?[,}])", shape) is not None)
 
 
-def regex_extract(line: Column, pattern: str, fields: list[str], strict: bool = True) -> Column:
-    """A struct of the first match's groups, named by ``fields``; NULL when the line is refused.
+def regex_records(
+    lines: DataFrame, line: Column, pattern: str, fields: list[str], keep: tuple[str, ...], strict: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """``(records, refused lines)``: the groups of each line's first match as string columns named by ``fields``.
 
     Groups beyond the fields are ignored. With more fields than groups no line can pass: that raises, unless
     ``strict`` is off, in which case every line is refused.
     """
     parsed = translate(pattern)
-    shape = T.StructType([T.StructField(name, T.StringType()) for name in fields])
     if len(fields) > parsed.groups:
         if strict:
             raise ValueError(f"{len(fields)} fields but only {parsed.groups} groups in {pattern!r}")
-        return F.lit(None).cast(shape)
+        none = [F.lit(None).cast("string").alias(name) for name in fields]
+        return lines.where(F.lit(False)).select(*keep, *none), lines
     if parsed.may_skip_group:
-        return _extract_udf(parsed.pattern, shape)(line)
+        tagged = lines.withColumn("_groups", _groups(parsed.pattern, len(fields))(line))
+        groups = [F.col("_groups")[i].alias(name) for i, name in enumerate(fields)]
+        matched = F.col("_groups").isNotNull()
+        return tagged.where(matched).select(*keep, *groups), tagged.where(~matched).drop("_groups")
     java = f"(?sd){parsed.pattern}"
-    values = [F.regexp_extract(line, java, i + 1).alias(name) for i, name in enumerate(fields)]
-    return F.when(F.regexp_like(line, F.lit(java)), F.struct(*values))
+    groups = [F.regexp_extract(line, java, i + 1).alias(name) for i, name in enumerate(fields)]
+    matched = F.regexp_like(line, F.lit(java))
+    return lines.where(matched).select(*keep, *groups), lines.where(~matched)
 
 
-def _extract_udf(pattern: str, shape: T.StructType):
-    names = shape.fieldNames()
+def _groups(pattern: str, count: int):
     compiled = re.compile(f"(?s){pattern}")
 
-    @F.pandas_udf(shape)
-    def extract(lines: pd.Series) -> pd.DataFrame:
-        rows = []
-        for line in lines:
-            found = compiled.search(line) if line is not None else None
-            values = found.groups()[: len(names)] if found else (None,) * len(names)
-            rows.append(values if None not in values else (None,) * len(names))
-        return pd.DataFrame(rows, columns=names, dtype=object)
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def groups(lines: pd.Series) -> pd.Series:
+        found = (compiled.search(line) for line in lines)
+        values = [match.groups()[:count] if match else (None,) for match in found]
+        return pd.Series([None if None in row else list(row) for row in values], dtype=object)
 
-    return extract
+    # or else the filter on it would run it a second time
+    return groups.asNondeterministic()

@@ -5,12 +5,14 @@ third of all rows fills many tasks. Three things cross block borders, and each i
 
 * continuity: a block's first chunk is compared with the last chunk of the block before (`_blocks`);
 * the running maximum of time inside an unbroken run (`_blocks`);
-* the open clip's start. For a block without a break, the start that leaves it is a step function of the one that
-  enters it. Only starts less than one span before the block can enter, so the function has at most one step per
-  distinct time of that first span (`_exit_steps`); following the functions block by block settles every entry
-  (`_entries`). Blocks with a break inside need no entry to know their exit, and sessions of one block skip all this.
-
-With the entries known every block is cut on its own, and clips that cross a border are summed from their pieces.
+* the open clip's start. A block that begins or contains a break has the same exit whatever enters it, so the block
+  behind it knows its entry at once. For a block that an unbroken run passes through, the start that leaves is a step
+  function of the one that enters. Only starts less than one span before the block can enter, so the function has at
+  most one step per distinct time of that first span (`_steps`); following the functions block by block settles the
+  entries behind such blocks (`_entries`). Where no run passes through a whole block, this part has no rows.
+
+With the entries known every block is cut on its own, and clips that cross a border are summed from their pieces. The
+chunks are shuffled once; all passes over them read that one exchange, for which they ask for the same columns.
 """
 
 from __future__ import annotations
@@ -21,20 +23,20 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chunklake.functions.fields import CLIP_TYPE, clip_path, clip_ts
 from chunklake.functions.options import DEFAULT_CLIP_MS, check_span_ms
-from chunklake.operators.cutting import cut_points, last_starts
+from chunklake.operators.cutting import cut_points, highest_so_far, last_starts, runs_of
 from chunklake.schemas import CLIP_FIELDS
 
 #: Lines per block where the order is one integer column: what one task sorts and cuts as a unit.
 BLOCK_LINES = 1 << 22
 
 _KEYS = ["session_id", "block"]
+_NUMBERS = ["sequence", "offset", "length", "ts_ms"]
 
 
 @dataclass(frozen=True)
@@ -49,20 +51,26 @@ class Order:
         if self.block is not None:
             return F.col(self.block).cast("bigint")
         # the line numbers of a session differ, so a block of so many numbers holds no more lines than that
-        return F.call_function("div", F.col(self.line).cast("bigint"), F.lit(self.block_lines))
+        return F.call_function("div", F.col(self.line).cast("bigint"), F.lit(self.block_lines).cast("bigint"))
 
 
-#: Sessions numbered line by line in one integer column.
 def by_number(line: str = "line_no", block_lines: int = BLOCK_LINES) -> Order:
+    """Sessions numbered line by line in one integer column."""
     return Order(line=line, block=None, block_lines=block_lines)
 
 
-def _spread(chunks: DataFrame, order: Order, arrival_col: str | None) -> DataFrame:
+def _spread(chunks: DataFrame, order: Order, arrival_col: str | None = None) -> DataFrame:
     arrival = [F.col(arrival_col).cast("bigint").alias("arrival")] if arrival_col else []
-    numbers = [F.col(name).cast("bigint").alias(name) for name in ("sequence", "offset", "length", "ts_ms")]
-    line = F.col(order.line).cast("bigint").alias("line")
-    session = F.col("session_id").cast("string").alias("session_id")
-    return chunks.select(session, order.block_column().alias("block"), line, *numbers, *arrival).repartition(*_KEYS)
+    numbers = [F.col(name).cast("bigint").alias(name) for name in _NUMBERS]
+    spread = chunks.select(
+        F.col("session_id").cast("string").alias("session_id"),
+        order.block_column().alias("block"),
+        F.col(order.line).cast("bigint").alias("line"),
+        *numbers,
+        *arrival,
+    ).repartition(*_KEYS)
+    # said here, and not left to be inferred from some of the joins, so that the exchange is the same for all of them
+    return spread.where(F.col("session_id").isNotNull() & F.col("block").isNotNull())
 
 
 def _follows(previous: Column, sequence: Column, offset: Column) -> Column:
@@ -72,126 +80,200 @@ def _follows(previous: Column, sequence: Column, offset: Column) -> Column:
     )
 
 
-def _mark(spread: DataFrame, idle_ms: int | None) -> DataFrame:
-    """Adds ``run``, the breaks so far in the block, and ``time``, the running maximum since the last of them."""
-    lines = W.partitionBy(*_KEYS).orderBy("line")
-    so_far = lines.rowsBetween(W.unboundedPreceding, W.currentRow)
-    last = F.lag(_last_chunk(spread)).over(lines)
-    broken = ~_follows(last, F.col("sequence"), F.col("offset"))
-    if idle_ms is not None:
-        broken = broken | (F.col("arrival") - last["arrival"] >= idle_ms)
-    marked = spread.withColumn("broken", last.isNotNull() & broken)
-    marked = marked.withColumn("run", F.sum(F.col("broken").cast("bigint")).over(so_far))
-    return marked.withColumn("time", F.max(F.struct("run", "ts_ms")).over(so_far)["ts_ms"])
+def _emit(schema: pa.Schema, *columns) -> pa.RecordBatch:
+    arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+_SUMMARY_DDL = (
+    "session_id string, block bigint, first_sequence bigint, first_offset bigint, first_arrival bigint, "
+    "sequence bigint, offset bigint, length bigint, arrival bigint, last_run bigint, tail_time bigint, tail_start bigint"
+)
+_SUMMARY = pa.schema(
+    [(name, pa.string() if kind == "string" else pa.int64()) for name, kind in (c.split() for c in _SUMMARY_DDL.split(", "))]
+)
 
 
-def _last_chunk(spread: DataFrame) -> Column:
-    return F.struct(*[c for c in ("line", "sequence", "offset", "length", "arrival") if c in spread.columns])
+def _summarize(clip_ms: int, idle_ms: int | None):
+    """One row per block: its first and last chunk, its breaks, and its last run's highest time and last start.
 
+    The start is the one reached if the last run begins afresh, which holds wherever it does not go back to the
+    block before.
+    """
 
-def _blocks(marked: DataFrame, idle_ms: int | None) -> DataFrame:
-    """One row per block: how it joins on to the block before, its first run's number, and how its last run ends."""
-    chunk = _last_chunk(marked)
-    blocks = marked.groupBy(*_KEYS).agg(
-        F.min(chunk).alias("first"),
-        F.max(chunk).alias("last"),
-        F.max(F.struct("run", "time")).alias("tail"),
-    )
+    def summarize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict | None = None
+        for runs in runs_of(batches, idle_ms):
+            col, heads = runs.columns, runs.heads
+            times = col["ts_ms"]
+            anchors = times[heads]
+            if runs.same_run:
+                anchors[0] = held["tail_start"]
+            ends = np.append(heads[1:], len(times))
+            high = highest_so_far(np.maximum(times, np.repeat(anchors, ends - heads)), heads)
+            cuts = cut_points(high, heads, anchors, clip_ms)
+            starts = anchors.copy()
+            starts[np.searchsorted(heads, cuts, side="right") - 1] = high[cuts]
+            if runs.same_run:
+                part = slice(0, ends[0])
+                high[part] = np.maximum(high[part], held["tail_time"])
+            firsts = runs.block_heads
+            lasts = np.append(firsts[1:], len(times)) - 1
+            tails = np.searchsorted(heads, lasts, side="right") - 1
+            out = {
+                "session_id": runs.batch.column("session_id").take(pa.array(firsts)),
+                "block": col["block"][firsts],
+                "first_sequence": col["sequence"][firsts],
+                "first_offset": col["offset"][firsts],
+                "first_arrival": col["arrival"][firsts] if idle_ms is not None else np.zeros(len(firsts), np.int64),
+                "sequence": col["sequence"][lasts],
+                "offset": col["offset"][lasts],
+                "length": col["length"][lasts],
+                "arrival": col["arrival"][lasts] if idle_ms is not None else np.zeros(len(firsts), np.int64),
+                "last_run": runs.number[tails],
+                "tail_time": high[lasts],
+                "tail_start": starts[tails],
+            }
+            if held is not None:
+                if runs.same_block:
+                    for name in ("first_sequence", "first_offset", "first_arrival"):
+                        out[name][0] = held[name]
+                else:
+                    yield _emit(_SUMMARY, *[[held[name]] for name in _SUMMARY.names])
+            held = {name: int(out[name][-1]) for name in _SUMMARY.names[1:]}
+            held["session_id"] = out["session_id"][-1].as_py()
+            if len(firsts) > 1:
+                yield _emit(_SUMMARY, *[out[name][:-1] for name in _SUMMARY.names])
+        if held is not None:
+            yield _emit(_SUMMARY, *[[held[name]] for name in _SUMMARY.names])
+
+    return summarize
+
+
+def _sorted(rows: DataFrame) -> DataFrame:
+    return rows.sortWithinPartitions(*_KEYS, "line")
+
+
+def _blocks(spread: DataFrame, clip_ms: int, idle_ms: int | None) -> DataFrame:
+    """How each block joins on to the one before: the number its first run has, and what enters and leaves it.
+
+    ``entry`` is set where the block before settles it. ``chain`` numbers stretches of blocks that one run passes
+    through; the first of a stretch has its entry.
+    """
+    blocks = _sorted(spread).mapInArrow(_summarize(clip_ms, idle_ms), _SUMMARY_DDL)
     session = W.partitionBy("session_id").orderBy("block")
     so_far = session.rowsBetween(W.unboundedPreceding, W.currentRow)
-    before = F.lag("last").over(session)
-    linked = _follows(before, F.col("first.sequence"), F.col("first.offset"))
+    last = F.struct("sequence", "offset", "length", "arrival", "tail_time", "tail_start")
+    blocks = blocks.withColumn("before", F.lag(last).over(session))
+    linked = F.col("before").isNotNull() & _follows(F.col("before"), F.col("first_sequence"), F.col("first_offset"))
     if idle_ms is not None:
-        linked = linked & (F.col("first.arrival") - before["arrival"] < idle_ms)
+        linked = linked & (F.col("first_arrival") - F.col("before.arrival") < idle_ms)
+    blocks = blocks.withColumn("linked", F.coalesce(linked, F.lit(False)))
+    fresh = F.col("last_run") + F.when(F.col("linked"), 0).otherwise(1)
+    settled = ~F.col("linked") | (F.col("last_run") > 0)
     blocks = blocks.select(
-        *_KEYS,
-        F.col("tail.run").alias("last_run"),
-        F.col("tail.time").alias("tail_time"),
-        F.col("first").alias("first"),
-        before.alias("before"),
-        F.coalesce(before.isNotNull() & linked, F.lit(False)).alias("linked"),
-    )
-    blocks = blocks.withColumn(
-        "last_island", F.sum(F.col("last_run") + F.when(F.col("linked"), 0).otherwise(1)).over(so_far)
+        "*",
+        F.sum(fresh).over(so_far).alias("last_island"),
+        F.lead("linked").over(session).alias("next_linked"),
+        F.lead("block").over(session).alias("next_block"),
+        F.sum(settled.cast("bigint")).over(so_far).alias("chain"),
+        F.lag(settled).over(session).alias("settled_before"),
     )
     island = W.partitionBy("session_id", "last_island").orderBy("block")
-    blocks = blocks.withColumn(
-        "exit_time", F.max("tail_time").over(island.rowsBetween(W.unboundedPreceding, W.currentRow))
-    )
-    settled = ~F.col("linked") | (F.col("last_run") > 0)
+    exit_time = F.max("tail_time").over(island.rowsBetween(W.unboundedPreceding, W.currentRow))
+    blocks = blocks.withColumn("exit_time", exit_time)
     return blocks.select(
         *_KEYS,
-        "first",
-        "before",
         "linked",
         "last_run",
+        "next_linked",
+        "next_block",
+        "chain",
         (F.col("last_island") - F.col("last_run")).alias("island"),
+        F.when(F.col("linked") & F.col("settled_before"), F.col("before.tail_start")).alias("entry"),
         F.when(F.col("linked"), F.lag("exit_time").over(session)).alias("entry_time"),
-        F.lead("linked").over(session).alias("next_linked"),
-        F.lead("block").over(session).alias("next_block"),
-        F.sum(settled.cast("bigint")).over(so_far).alias("chain"),
     )
 
 
-def _exit_steps(clip_ms: int):
-    """Per block: the start that leaves it, for sorted bounds on ``entering start + clip_ms``; NULL bound: always."""
-
-    def steps(times: pd.DataFrame) -> pd.DataFrame:
-        first = times.iloc[0]
-        time = np.sort(times["time"].to_numpy(np.int64))
-        passes = bool(first["linked"]) and int(first["last_run"]) == 0
-        if passes:
-            time = time[time > first["entry_time"]]
-        starts = last_starts(time, clip_ms)
-        if not passes:
-            bounds, exits = [None], starts[:1].tolist()
-        else:
-            reachable = np.searchsorted(time, int(first["entry_time"]) + clip_ms, side="left") + 1
-            bounds, exits = time[:reachable], starts[:reachable]
-            last_of_step = np.append(exits[1:] != exits[:-1], True) if len(exits) else np.zeros(0, bool)
-            bounds, exits = bounds[last_of_step].tolist(), exits[last_of_step].tolist()
-        row = {name: [first[name]] for name in ("session_id", "chain", "block", "next_block")}
-        return pd.DataFrame(row | {"bounds": [bounds], "exits": [exits]})
+_STEPS_DDL = (
+    "session_id string, chain bigint, block bigint, next_block bigint, entry bigint, "
+    "bounds array<bigint>, exits array<bigint>"
+)
+_STEPS = pa.schema(
+    [
+        ("session_id", pa.string()),
+        ("chain", pa.int64()),
+        ("block", pa.int64()),
+        ("next_block", pa.int64()),
+        ("entry", pa.int64()),
+        ("bounds", pa.list_(pa.int64())),
+        ("exits", pa.list_(pa.int64())),
+    ]
+)
+
+
+def _steps(clip_ms: int):
+    """Per block, as sorted bounds on ``entering start + clip_ms`` and exits: which start leaves it.
+
+    Above the last bound the clip that enters also leaves. Rows must be sorted; of a block its distinct times count.
+    """
+
+    def settle(block: dict) -> pa.RecordBatch:
+        times = np.concatenate(block["times"])
+        starts = last_starts(times, clip_ms)
+        reachable = np.searchsorted(times, block["entry_time"] + clip_ms, side="left") + 1
+        bounds, exits = times[:reachable], starts[:reachable]
+        last_of_step = np.append(exits[1:] != exits[:-1], True)[: len(exits)]
+        row = [[block[name]] for name in ("session_id", "chain", "block", "next_block", "entry")]
+        return _emit(_STEPS, *row, [bounds[last_of_step]], [exits[last_of_step]])
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict | None = None
+        for runs in runs_of(batches, None):
+            ends = np.append(runs.block_heads[1:], runs.batch.num_rows)
+            for i, (a, b) in enumerate(zip(runs.block_heads.tolist(), ends.tolist(), strict=True)):
+                if held is not None and not (i == 0 and runs.same_block):
+                    yield settle(held)
+                    held = None
+                if held is None:
+                    first = runs.batch.slice(a, 1).to_pylist()[0]
+                    held = {name: first[name] for name in ("session_id", "chain", "block", "next_block", "entry")}
+                    held |= {"entry_time": first["entry_time"], "top": first["entry_time"], "times": []}
+                high = np.maximum.accumulate(np.maximum(runs.columns["ts_ms"][a:b], held["top"]))
+                held["times"].append(high[np.append(high[0] > held["top"], high[1:] > high[:-1])])
+                held["top"] = int(high[-1])
+        if held is not None:
+            yield settle(held)
 
     return steps
 
 
 def _follow_chain(clip_ms: int):
-    """The entering start of every block behind one whose exit is settled, up to the next such block."""
+    """The start that enters the block behind each block of a stretch."""
 
     def follow(steps: pd.DataFrame) -> pd.DataFrame:
         steps = steps.sort_values("block", ignore_index=True)
-        start, entries = 0, []
+        start, entries = int(steps["entry"].iloc[0]), []
         for bounds, exits in zip(steps["bounds"], steps["exits"], strict=True):
-            if len(exits) and pd.isna(bounds[0]):
-                start = int(exits[0])
-            else:
-                step = int(np.searchsorted(np.asarray(bounds, np.int64), start + clip_ms, side="left"))
-                start = int(exits[step]) if step < len(exits) else start
+            step = int(np.searchsorted(np.asarray(bounds, np.int64), start + clip_ms, side="left"))
+            start = int(exits[step]) if step < len(exits) else start
             entries.append(start)
-        return pd.DataFrame({"session_id": steps["session_id"], "block": steps["next_block"], "entry": entries})
+        return pd.DataFrame({"session_id": steps["session_id"], "block": steps["next_block"], "passed": entries})
 
     return follow
 
 
-def _entries(marked: DataFrame, blocks: DataFrame, clip_ms: int) -> DataFrame:
-    """``(session_id, block, entry)``: the start of the clip open at the beginning of each linked block."""
-    open_end = blocks.where("next_linked").select(
-        *_KEYS, "linked", "last_run", "entry_time", "chain", "next_block"
-    )
-    # of a block only the distinct times of its last run matter
-    times = marked.join(open_end, _KEYS).where(F.col("run") == F.col("last_run"))
-    facts = ["linked", "last_run", "entry_time", "chain", "next_block"]
-    times = times.groupBy(*_KEYS, "time").agg(*[F.first(name).alias(name) for name in facts])
-    steps = times.groupBy(*_KEYS).applyInPandas(
-        _exit_steps(clip_ms),
-        "session_id string, chain bigint, block bigint, next_block bigint, bounds array<bigint>, exits array<bigint>",
-    )
+def _entries(spread: DataFrame, blocks: DataFrame, clip_ms: int) -> DataFrame:
+    """``(session_id, block, passed)``: the start that enters a block behind one that a run passes through."""
+    passing = blocks.where(F.col("linked") & (F.col("last_run") == 0) & F.col("next_linked"))
+    passing = passing.select(*_KEYS, "next_block", "chain", "entry", "entry_time")
+    steps = _sorted(spread.join(passing, _KEYS)).mapInArrow(_steps(clip_ms), _STEPS_DDL)
     return steps.groupBy("session_id", "chain").applyInPandas(
-        _follow_chain(clip_ms), "session_id string, block bigint, entry bigint"
+        _follow_chain(clip_ms), "session_id string, block bigint, passed bigint"
     )
 
 
+_PIECES_DDL = "session_id string, island bigint, start_ts_ms bigint, offset bigint, length bigint, complete boolean"
 _PIECES = pa.schema(
     [
         ("session_id", pa.string()),
@@ -204,95 +286,69 @@ _PIECES = pa.schema(
 )
 
 
-def _cut_pieces(clip_ms: int):
-    """Cuts sorted chunks, batch by batch, into the pieces of clips that lie in one block.
+def _pieces(session, island, start, offset, length, ending) -> pa.RecordBatch:
+    ending = np.asarray(ending)
+    return _emit(_PIECES, session, island, start, offset, length, pa.array(ending == 1, mask=ending == -1))
+
+
+def _cut(clip_ms: int, idle_ms: int | None):
+    """Cuts sorted chunks into the pieces of clips that lie in one block.
 
     The piece that ends a batch is held back, since the next batch may go on with it.
     """
-
-    def changes(column: pa.Array) -> np.ndarray:
-        return pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+    parts = ("session_id", "island", "start_ts_ms", "offset", "length", "ending")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict | None = None
-        for batch in batches:
-            rows = batch.num_rows
-            if not rows:
-                continue
-            names = ("block", "run", "island", "time", "offset", "length", "entered", "start", "ending")
-            col = {name: batch.column(name).to_numpy() for name in names}
-            head = np.ones(rows, bool)
-            head[1:] = changes(batch.column("session_id")) | changes(batch.column("block"))
-            head[1:] |= changes(batch.column("run"))
-            heads = np.flatnonzero(head)
-            anchors = np.where(col["entered"][heads] != 0, col["start"][heads], col["time"][heads])
-            key = (batch.column("session_id")[0].as_py(), int(col["block"][0]), int(col["run"][0]))
-            goes_on = held is not None and held["key"] == key
-            if goes_on:
+        for runs in runs_of(batches, idle_ms):
+            col, heads = runs.columns, runs.heads
+            rows = runs.batch.num_rows
+            first_run = runs.number == 0
+            entered = first_run & (col["entered"][heads] != 0)
+            times = col["ts_ms"]
+            anchors = np.where(entered, col["entry"][heads], times[heads])
+            if runs.same_run:
                 anchors[0] = held["start_ts_ms"]
-            time = np.maximum(col["time"], np.repeat(anchors, np.diff(np.append(heads, rows))))
-            cuts = cut_points(time, heads, anchors, clip_ms)
+            sizes = np.diff(np.append(heads, rows))
+            high = highest_so_far(np.maximum(times, np.repeat(anchors, sizes)), heads)
+            cuts = cut_points(high, heads, anchors, clip_ms)
             firsts = np.union1d(heads, cuts)
-            lasts = np.append(firsts[1:], rows) - 1
+            run = np.searchsorted(heads, firsts, side="right") - 1
             is_cut = np.isin(firsts, cuts, assume_unique=True)
-            opening = np.searchsorted(heads, firsts, side="right") - 1
-            starts = np.where(is_cut, time[firsts], anchors[opening])
-            lengths = np.add.reduceat(col["length"], firsts)
-            offsets = col["offset"][firsts]
+            is_head = np.append(True, run[1:] != run[:-1])
             # a piece ends by a span if a cut follows it, else as its run does: 1 complete, 0 broken off, -1 goes on
-            ending = col["ending"][lasts].copy()
-            ending[:-1][is_cut[1:] & ~head[firsts[1:]]] = 1
-            session = batch.column("session_id").take(pa.array(firsts))
-            island = col["island"][firsts]
-            pieces = [session, island, starts, offsets, lengths, ending]
-
+            last_of_block = runs.number == col["last_run"][heads]
+            ending = np.where(last_of_block, col["block_ending"][heads], 0)[run]
+            ending[:-1][is_cut[1:] & ~is_head[1:]] = 1
+            session = runs.batch.column("session_id").take(pa.array(firsts))
+            island = (col["island"][heads] + runs.number)[run]
+            start = np.where(is_cut, high[firsts], anchors[run])
+            offset, length = col["offset"][firsts], np.add.reduceat(col["length"], firsts)
+
+            closed = is_cut & is_head & entered[run]
             if held is not None:
-                if not goes_on:
-                    yield _piece(held, held["ending"])
+                if not runs.same_run:
+                    yield _pieces(*[[held[name]] for name in parts])
                 elif is_cut[0]:
-                    yield _piece(held, 1)
+                    yield _pieces(*[[held[name]] for name in parts[:-1]], [1])
                 else:
-                    offsets[0] = held["offset"]
-                    lengths[0] += held["length"]
-            # a clip that came in from the block before, and that the very first row here closes
-            closed = np.flatnonzero(is_cut & head[firsts] & (col["entered"][firsts] != 0))
-            if goes_on:
-                closed = closed[closed != 0]
-            if len(closed):
-                yield _batch(
-                    session.take(pa.array(closed)), island[closed], anchors[opening[closed]], None,
-                    np.zeros(len(closed), np.int64), np.ones(len(closed), np.int64),
-                )
-            last = len(firsts) - 1
-            held = {
-                "key": (session[last].as_py(), int(col["block"][-1]), int(col["run"][-1])),
-                "island": int(island[last]),
-                "start_ts_ms": int(starts[last]),
-                "offset": int(offsets[last]),
-                "length": int(lengths[last]),
-                "ending": int(ending[last]),
-            }
-            if last:
-                yield _batch(*[part[:last] for part in pieces])
+                    offset[0], length[0] = held["offset"], length[0] + held["length"]
+                closed[0] &= not runs.same_run
+            if closed.any():
+                # clips that came in from the block before and end at its border
+                size = int(closed.sum())
+                behind = session.filter(pa.array(closed)), island[closed], anchors[run[closed]]
+                yield _pieces(*behind, pa.nulls(size, pa.int64()), np.zeros(size, np.int64), np.ones(size, np.int64))
+            held = dict(zip(parts[1:], (int(p[-1]) for p in (island, start, offset, length, ending)), strict=True))
+            held["session_id"] = session[-1].as_py()
+            if len(firsts) > 1:
+                yield _pieces(session[:-1], island[:-1], start[:-1], offset[:-1], length[:-1], ending[:-1])
         if held is not None:
-            yield _piece(held, held["ending"])
+            yield _pieces(*[[held[name]] for name in parts])
 
     return cut
 
 
-def _piece(held: dict, ending: int) -> pa.RecordBatch:
-    one = [np.array([held[name]], np.int64) for name in ("island", "start_ts_ms", "offset", "length")]
-    return _batch(pa.array([held["key"][0]], pa.string()), *one, np.array([ending]))
-
-
-def _batch(session, island, start, offset, length, ending) -> pa.RecordBatch:
-    size = len(island)
-    offsets = pa.nulls(size, pa.int64()) if offset is None else pa.array(offset, pa.int64())
-    complete = pa.array(ending == 1, mask=ending == -1)
-    columns = [session, pa.array(island), pa.array(start), offsets, pa.array(length), complete]
-    return pa.RecordBatch.from_arrays(columns, schema=_PIECES)
-
-
 def cut_clips(
     chunks: DataFrame,
     src: str = "",
@@ -313,56 +369,55 @@ def cut_clips(
         raise ValueError("idle_ms and arrival_col go together")
     if idle_ms is not None:
         check_span_ms("idle_ms", idle_ms)
-    marked = _mark(_spread(chunks, order, arrival_col), idle_ms)
-    blocks = _blocks(marked, idle_ms)
+    spread = _spread(chunks, order, arrival_col)
+    blocks = _blocks(spread, clip_ms, idle_ms)
+    entry = F.coalesce("entry", "passed")
     ending = F.when(F.col("next_linked").isNull(), 1).when(F.col("next_linked"), -1).otherwise(0)
-    facts = blocks.select(*_KEYS, "island", "last_run", ending.alias("block_ending")).join(
-        _entries(marked, blocks, clip_ms), _KEYS, "left"
-    )
-    inside = (F.col("run") == 0) & F.col("entry").isNotNull()
-    rows = marked.join(facts, _KEYS).select(
+    facts = blocks.join(_entries(spread, blocks, clip_ms), _KEYS, "left").select(
         *_KEYS,
-        "line",
-        "run",
-        (F.col("island") + F.col("run")).alias("island"),
-        "time",
-        "offset",
-        "length",
-        inside.cast("int").alias("entered"),
-        F.coalesce("entry", F.lit(0)).alias("start"),
-        F.when(F.col("run") < F.col("last_run"), 0).otherwise(F.col("block_ending")).alias("ending"),
-    )
-    pieces = rows.sortWithinPartitions(*_KEYS, "line").mapInArrow(
-        _cut_pieces(clip_ms),
-        "session_id string, island bigint, start_ts_ms bigint, offset bigint, length bigint, complete boolean",
+        "island",
+        "last_run",
+        ending.cast("bigint").alias("block_ending"),
+        entry.isNotNull().cast("bigint").alias("entered"),
+        F.coalesce(entry, F.lit(0)).alias("entry"),
     )
+    pieces = _sorted(spread.join(facts, _KEYS)).mapInArrow(_cut(clip_ms, idle_ms), _PIECES_DDL)
     clips = pieces.groupBy("session_id", "island", "start_ts_ms").agg(
         F.min("offset").alias("offset"), F.sum("length").alias("length"), F.max("complete").alias("complete")
     )
-    clips = clips.withColumn("ts", clip_ts(F.col("start_ts_ms")))
-    clips = clips.withColumn("path", clip_path(src, F.col("session_id"), F.col("ts")))
-    clips = clips.withColumn("type", F.lit(CLIP_TYPE))
-    return clips.select(*CLIP_FIELDS, *(["island", "start_ts_ms"] if keep_order else []))
+    ts = clip_ts(F.col("start_ts_ms"))
+    return clips.select(
+        F.lit(CLIP_TYPE).alias("type"),
+        "session_id",
+        ts.alias("ts"),
+        clip_path(src, F.col("session_id"), ts).alias("path"),
+        "offset",
+        "length",
+        "complete",
+        *(["island", "start_ts_ms"] if keep_order else []),
+    ).select(*CLIP_FIELDS, *(["island", "start_ts_ms"] if keep_order else []))
 
 
 def continuity_breaks(chunks: DataFrame, order: Order = Order()) -> DataFrame:
     """Every break: the chunk that caused it, and what sequence and offset were expected instead.
 
-    Breaks inside a block come from the chunks, breaks between blocks from the one row each block has.
+    Breaks inside a block come from the chunks, breaks between blocks from the two chunks at its ends.
     """
-    spread = _spread(chunks, order, None)
-    marked = _mark(spread, None)
-    before = F.lag(_last_chunk(spread)).over(W.partitionBy(*_KEYS).orderBy("line"))
-    inside = marked.withColumn("before", before).where("broken").select(
-        *_KEYS, "line", "sequence", "offset", "before"
+    spread = _spread(chunks, order)
+    chunk = F.struct("line", "sequence", "offset", "length")
+    inside = spread.select(*_KEYS, "line", chunk.alias("chunk")).withColumn(
+        "before", F.lag("chunk").over(W.partitionBy(*_KEYS).orderBy("line"))
     )
-    between = _blocks(marked, None).where(F.col("before").isNotNull() & ~F.col("linked"))
-    between = between.select(*_KEYS, "first.line", "first.sequence", "first.offset", "before")
-    return inside.unionByName(between).select(
+    ends = spread.groupBy(*_KEYS).agg(F.min(chunk).alias("chunk"), F.max(chunk).alias("last"))
+    session = W.partitionBy("session_id").orderBy("block")
+    between = ends.select(*_KEYS, "chunk", F.lag("last").over(session).alias("before"))
+    pairs = inside.drop("line").unionByName(between).where(F.col("before").isNotNull())
+    broken = ~_follows(F.col("before"), F.col("chunk.sequence"), F.col("chunk.offset"))
+    return pairs.where(broken).select(
         *_KEYS,
-        "line",
-        "sequence",
+        "chunk.line",
+        "chunk.sequence",
         F.try_add(F.col("before.sequence"), F.lit(1)).alias("expected_sequence"),
-        "offset",
+        "chunk.offset",
         F.try_add(F.col("before.offset"), F.col("before.length")).alias("expected_offset"),
     )

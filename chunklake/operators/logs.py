@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chunklake.functions.fields import field_scalar, field_string, looks_like_object, trim_line
 from chunklake.functions.formats import csv_line, json_line
 from chunklake.functions.options import check_fields, check_filter, check_log_options
-from chunklake.functions.regex import regex_extract
+from chunklake.functions.regex import regex_records
 from chunklake.operators.rejects import PLACE
 
 
@@ -33,15 +33,12 @@ def extract_log(
     check_log_options(pattern, fields, None)
     names = check_fields(fields)
     wanted = check_filter(condition) if condition is not None else None
-    line = trim_line(line_col)
-    record = regex_extract(line, pattern, names, strict)
-    tagged = lines.withColumn("line", line).withColumn("record", record)
-    matched = F.col("record").getField(names[0]).isNotNull()
-    records = tagged.where(matched).select(*keep, *[F.col("record").getField(n).alias(n) for n in names])
+    trimmed = lines.withColumn("line", trim_line(line_col))
+    records, refused = regex_records(trimmed, F.col("line"), pattern, names, keep, strict)
     if wanted is not None:
         key, value = wanted
         records = records.where(F.col(f"`{key}`") == value if key in names else F.lit(False))
-    return records, _rejects(tagged.where(~matched), "line did not match regex")
+    return records, _rejects(refused, "line did not match regex")
 
 
 def format_records(records: DataFrame, fields: str | list[str], fmt: str = "json") -> DataFrame:

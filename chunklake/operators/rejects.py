@@ -13,10 +13,15 @@ PLACE = ("source", "block", "line_id")
 
 
 def split_tagged(tagged: DataFrame, reason: Column, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """``(records, rejects)`` of lines tagged with ``parsed``, NULL where the line is refused."""
-    records = tagged.where(F.col("parsed").isNotNull()).select(*carry, "parsed.*")
-    refused = tagged.where(F.col("parsed").isNull())
-    return records, refused.select(*[c for c in PLACE if c in tagged.columns], reason.alias("reason"), "line")
+    """``(records, rejects)`` of lines tagged with ``parsed``, NULL where the line is refused.
+
+    The halves are unpacked from arrays of one or no element: a filter on ``parsed`` would be pushed below the parser,
+    and parse every line a second time.
+    """
+    records = tagged.select(*carry, F.inline(F.when(F.col("parsed").isNotNull(), F.array("parsed"))))
+    place = [name for name in PLACE if name in tagged.columns]
+    refused = F.struct(*place, reason.alias("reason"), "line")
+    return records, tagged.select(F.inline(F.when(F.col("parsed").isNull(), F.array(refused))))
 
 
 def count_rejects(tagged: DataFrame, name: str = "lines") -> tuple[DataFrame, Observation]:

@@ -5,21 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunklake.functions.fields import DATA_KIND, parse_meta
+from chunklake import schemas
+from chunklake.functions.fields import DATA_KIND, meta_fields, whole_meta
 from chunklake.operators.rejects import PLACE, split_tagged
 
 
 def tag_sidecar(lines: DataFrame, mode: str = "textual") -> DataFrame:
-    """The lines with ``meta``, the parsed record, and ``parsed``, the same if it is a data record."""
-    meta = parse_meta("line", mode)
-    return lines.where(F.col("line") != "").withColumn("meta", meta).withColumn(
-        "parsed", F.when(F.col("meta.kind") == DATA_KIND, F.col("meta"))
-    )
+    """The lines with ``meta``, the parsed record, and ``parsed``, the same if it is a data record.
+
+    Fields, record and choice are steps of their own, so that each field is computed once.
+    """
+    fields = {name: F.col(f"_{name}") for name in schemas.META.fieldNames()}
+    tagged = lines.withColumns({f"_{name}": field for name, field in meta_fields("line", mode).items()})
+    tagged = tagged.withColumn("meta", whole_meta(fields)).drop(*[f"_{name}" for name in fields])
+    return tagged.withColumn("parsed", F.when(F.col("meta.kind") == DATA_KIND, F.col("meta")))
 
 
 def parse_sidecar(lines: DataFrame, mode: str = "textual") -> tuple[DataFrame, DataFrame]:
     """``(chunks, rejects)``: data records with session and place, and all other lines. Empty lines are neither."""
     tagged = tag_sidecar(lines, mode)
     place = tuple(name for name in ("session_id", *PLACE) if name in lines.columns)
+    records, _ = split_tagged(tagged, F.lit(""), place)
+    refused = F.col("parsed").isNull() & (F.col("line") != "")
     reason = F.when(F.col("meta").isNull(), "malformed record").otherwise("not a data record")
-    return split_tagged(tagged, reason, place)
+    row = F.struct(*[name for name in place if name != "session_id"], reason.alias("reason"), "line")
+    return records, tagged.select(F.inline(F.when(refused, F.array(row))))

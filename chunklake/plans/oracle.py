@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from chunklake.functions.options import DEFAULT_CLIP_MS
 from chunklake.plans.queries import CLIP_MS, IDLE_MS, NOW, SRC
 
 _CHUNKS = """
@@ -12,8 +13,8 @@ chunks AS (
          event_id + (event_id // 4096) * 8386560 + ((event_id % 4096) * (event_id % 4096 - 1)) // 2
            + (event_id // 1009) * 7 AS "offset",
          1 + event_id % 4096 AS length,
-         epoch_ms(ts) - CASE WHEN event_id % 13 = 5 THEN 7200000 ELSE 0 END AS ts_ms,
-         epoch_ms(ts) AS arrival_ms
+         epoch_us(ts) // 1000 - CASE WHEN event_id % 13 = 5 THEN 7200000 ELSE 0 END AS ts_ms,
+         epoch_us(ts) // 1000 AS arrival_ms
   FROM events)"""
 
 _LINES = f"""{_CHUNKS},
@@ -33,7 +34,7 @@ records AS (
   WHERE slot NOT IN (7, 11, 13, 17, 19) OR (slot = 17 AND "offset" = 0))"""
 
 
-def _cut(chunks: str, idle_ms: int | None = None) -> str:
+def _cut(chunks: str, idle_ms: int | None = None, clip_ms: int = CLIP_MS) -> str:
     """From a CTE named ``chunks`` to one named ``clips``."""
     pause = f" OR arrival_ms - lag(arrival_ms) OVER w >= {idle_ms}" if idle_ms else ""
     return f"""{chunks},
@@ -48,7 +49,7 @@ runs AS (
   SELECT *, max(ts_ms) OVER (PARTITION BY session_id, island ORDER BY line_no) AS high FROM islands),
 pointers AS (
   SELECT *, min(line_no) OVER (PARTITION BY session_id, island ORDER BY high
-                               RANGE BETWEEN {CLIP_MS} FOLLOWING AND UNBOUNDED FOLLOWING) AS next_line FROM runs),
+                               RANGE BETWEEN {clip_ms} FOLLOWING AND UNBOUNDED FOLLOWING) AS next_line FROM runs),
 starts AS (
   SELECT session_id, island, line_no, next_line FROM pointers WHERE fresh = 1
   UNION ALL
@@ -99,7 +100,7 @@ latest AS (
 
 _CLIP_RECORDS = """
 records AS (
-  SELECT event_id, 'u' || user_id AS session_id, epoch_ms(ts) // 1000 AS seconds,
+  SELECT event_id, 'u' || user_id AS session_id, epoch_us(ts) // 1000000 AS seconds,
          '/clips/' || event_id || '.mp4' AS path, event_id % 11 = 6 AS lacks_path, event_id % 9 = 4 AS quoted
   FROM events)"""
 
@@ -177,8 +178,8 @@ SELECT event_id, event_type AS type_string, CAST(NULL AS VARCHAR) AS user_string
        props AS props_string, event_id AS event_integer, NOT cut AS is_object FROM trimmed""",
     "marker_sessions": "SELECT page_id, url || '/.pipeline_end' AS path FROM pages WHERE page_id % 7 = 0",
     "missing_payload": """
-SELECT CAST(c_custkey AS VARCHAR) AS session_id FROM customer c
-WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)""",
+SELECT CAST(doc_id AS VARCHAR) AS session_id FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
     "store_rows": f"""WITH {_CLIP_RECORDS}
 SELECT session_id || ':' || seconds AS key, path AS value, CAST({NOW + 300} AS BIGINT) AS expire_at
 FROM records WHERE NOT lacks_path""",
@@ -200,15 +201,15 @@ SELECT key, value FROM latest WHERE (expire_at = 0 OR expire_at > {NOW})
 SELECT key, value, CAST(expire_at AS BIGINT) AS expire_at FROM store WHERE expire_at = 0 OR expire_at > {NOW}""",
     "store_text_lines": f"WITH {_STORE} SELECT key || chr(9) || value || chr(9) || expire_at AS line FROM store",
     "store_append_read": f"""WITH {_STORE},
-both AS (
+writes AS (
   SELECT 1 AS run, key, value, expire_at, event_id FROM store
   UNION ALL SELECT 2, key, 'new-' || value, expire_at, event_id FROM store WHERE event_id % 3 = 0)
 SELECT key, arg_max(value, run * 1000000000 + event_id) AS value,
-       CAST(arg_max(expire_at, run * 1000000000 + event_id) AS BIGINT) AS expire_at FROM both GROUP BY key""",
+       CAST(arg_max(expire_at, run * 1000000000 + event_id) AS BIGINT) AS expire_at FROM writes GROUP BY key""",
     "store_snapshot": f"WITH {_STORE} SELECT key, value, expire_at FROM latest WHERE expire_at = 0 OR expire_at > {NOW}",
     "store_import_tsv": f"""WITH {_STORE}
 SELECT key, value, CAST(expire_at AS BIGINT) AS expire_at FROM store WHERE key <> 'error:8'""",
-    "pipeline_end_to_end": f"""WITH RECURSIVE {_cut(_CHUNKS)}
+    "pipeline_end_to_end": f"""WITH RECURSIVE {_cut(_CHUNKS, clip_ms=DEFAULT_CLIP_MS)}
 SELECT session_id || ':' || ts AS key, arg_max(path, clip_no) AS value, CAST({NOW + 300} AS BIGINT) AS expire_at
 FROM clips GROUP BY ALL""",
     "stream_clip_cut": _CLIPS,

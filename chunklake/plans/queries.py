@@ -14,24 +14,23 @@ from chunklake.functions.fields import (
     is_end_marker,
     is_live,
     looks_like_object,
-    parse_meta,
     trim_line,
 )
 from chunklake.operators.clips import by_number, continuity_breaks, cut_clips
 from chunklake.operators.logs import extract_log, filter_json_lines, format_records
-from chunklake.operators.sidecar import parse_sidecar
+from chunklake.operators.sidecar import parse_sidecar, tag_sidecar
 from chunklake.operators.store import LINE_PLACE, compact, latest_per_key, lookup, lookup_many, to_store_rows
 from chunklake.plans.fixtures import event_chunks, event_lines
 from chunklake.plans.pipeline import clips_to_store
 from chunklake.schemas import CLIP_FIELDS
 from chunklake.session import shared_folder
-from chunklake.sinks.store import append_store, compact_store, store_lines, write_snapshot
+from chunklake.sinks.store import append_store, compact_store, store_lines
 from chunklake.sinks.text import clip_lines, write_clips
 from chunklake.sources.lines import number_lines, read_log_lines, scan_lines
 from chunklake.sources.sidecar import missing_sessions
 from chunklake.sources.store import parse_clip_lines, read_store, read_store_tsv
 from chunklake.streaming.clips import cut_record_stream
-from chunklake.streaming.store import append_clip_stream, append_stream
+from chunklake.streaming.store import append_clip_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -160,7 +159,8 @@ def log_regex_unknown_key(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def log_regex_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    return extract_log(_table(spark, folder, "documents"), r"^([A-Z][a-z]+) ([[:alpha:]]+)", "a,b", line_col="text")[1]
+    texts = _table(spark, folder, "documents").select("text")
+    return extract_log(texts, r"^([A-Z][a-z]+) ([[:alpha:]]+)", "a,b", line_col="text")[1]
 
 
 def log_regex_words(spark: SparkSession, folder: str) -> DataFrame:
@@ -224,8 +224,7 @@ def textual_fields(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def meta_structs(spark: SparkSession, folder: str) -> DataFrame:
-    lines = event_lines(_table(spark, folder, "events"))
-    return lines.select("line_id", parse_meta("line").alias("meta")).select("line_id", "meta.*")
+    return tag_sidecar(event_lines(_table(spark, folder, "events"))).select("line_id", "meta.*")
 
 
 def end_markers(spark: SparkSession, folder: str) -> DataFrame:
@@ -235,9 +234,9 @@ def end_markers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def missing_payload(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers as sessions, orders as payloads."""
-    sessions = _table(spark, folder, "customer").select(F.col("c_custkey").cast("string").alias("session_id"))
-    payloads = _table(spark, folder, "orders").select(F.col("o_custkey").cast("string").alias("session_id"))
+    """Documents as sessions, their labels as payloads."""
+    sessions = _table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("session_id"))
+    payloads = _table(spark, folder, "labels").select(F.col("doc_id").cast("string").alias("session_id"))
     return missing_sessions(sessions, payloads)
 
 

@@ -23,21 +23,16 @@ def read_store_tsv(spark: SparkSession, path: str | list[str], run: int = 0) ->
 
 def parse_store_tsv(lines: DataFrame, run: int = 0) -> tuple[DataFrame, DataFrame]:
     """Key up to the first tab, value up to the second, then a leading integer."""
-    row = r"(?s)\A([^\t]*)\t([^\t]*)\t[ \n\x0b\f\t\r]*([+-]?[0-9]+)"
-    text = F.regexp_extract("line", r"\A[^\r\n]*", 0)
-    expires = F.regexp_extract(text, row, 3).try_cast("bigint")
-    tagged = lines.withColumn(
-        "parsed",
-        F.when(
-            expires.isNotNull(),
-            F.struct(
-                F.regexp_extract(text, row, 1).alias("key"),
-                F.regexp_extract(text, row, 2).alias("value"),
-                expires.alias("expire_at"),
-                write_seq(run, F.col("source"), F.col("block"), F.col("line_id")).alias("write_seq"),
-            ),
-        ),
+    parts = F.split(F.regexp_extract("line", r"\A[^\r\n]*+", 0), "\t", 3)
+    expires = F.regexp_extract(F.get("_parts", F.lit(2)), r"\A[ \t\n\x0b\f\r]*+([+-]?[0-9]++)", 1).try_cast("bigint")
+    row = F.struct(
+        F.get("_parts", F.lit(0)).alias("key"),
+        F.get("_parts", F.lit(1)).alias("value"),
+        F.col("_expires").alias("expire_at"),
+        write_seq(run, F.col("source"), F.col("block"), F.col("line_id")).alias("write_seq"),
     )
+    tagged = lines.withColumn("_parts", parts).withColumn("_expires", expires)
+    tagged = tagged.withColumn("parsed", F.when(F.col("_expires").isNotNull(), row))
     return split_tagged(tagged, F.lit("not a store row"))
 
 
@@ -53,9 +48,12 @@ def parse_clip_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Other fields are ignored, the record type too. A line that lacks one of the three is refused.
     """
-    session_id, ts, path = field_string("line", "session_id"), field_scalar("line", "ts"), field_string("line", "path")
-    whole = session_id.isNotNull() & ts.isNotNull() & path.isNotNull()
-    record = F.struct(
-        session_id.alias("session_id"), ts.alias("ts"), path.alias("path"), "source", "block", "line_id"
-    )
-    return split_tagged(lines.withColumn("parsed", F.when(whole, record)), F.lit("malformed clip JSON"))
+    fields = {
+        "_session_id": field_string("line", "session_id"),
+        "_ts": field_scalar("line", "ts"),
+        "_path": field_string("line", "path"),
+    }
+    whole = F.col("_session_id").isNotNull() & F.col("_ts").isNotNull() & F.col("_path").isNotNull()
+    record = F.struct(*[F.col(name).alias(name[1:]) for name in fields], "source", "block", "line_id")
+    tagged = lines.withColumns(fields).withColumn("parsed", F.when(whole, record))
+    return split_tagged(tagged, F.lit("malformed clip JSON"))

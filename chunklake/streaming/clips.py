@@ -30,10 +30,11 @@ _NUMBERS = ["sequence", "offset", "length", "ts_ms"]
 
 def stream_records(lines: DataFrame, mode: str = "textual") -> DataFrame:
     """Data records and end marks of a sidecar line stream, each with its place."""
-    tagged = tag_sidecar(lines, mode).withColumn("ended", field_kind("line") == END_KIND)
-    kept = tagged.where(F.col("parsed").isNotNull() | F.col("ended"))
+    ended = F.col("parsed").isNull() & F.coalesce(F.col("ended"), F.lit(False))
     numbers = [F.coalesce(F.col(f"parsed.{name}"), F.lit(0)).alias(name) for name in _NUMBERS]
-    return kept.select("session_id", "block", "line_id", F.col("parsed").isNull().alias("ended"), *numbers)
+    record = F.struct("session_id", "block", "line_id", ended.alias("ended"), *numbers)
+    tagged = tag_sidecar(lines, mode).withColumn("ended", field_kind("line") == END_KIND)
+    return tagged.select(F.inline(F.when(F.col("parsed").isNotNull() | F.col("ended"), F.array(record))))
 
 
 def _advance(clip_ms: int, idle_ms: int | None):
