@@ -23,8 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chunklake.functions.fields import CLIP_TYPE, clip_path, clip_ts
@@ -47,11 +46,11 @@ class Order:
     block: str | None = "block"
     block_lines: int = BLOCK_LINES
 
-    def block_column(self) -> Column:
+    def block_expr(self) -> str:
         if self.block is not None:
-            return F.col(self.block).cast("bigint")
+            return f"cast({self.block} AS bigint)"
         # the line numbers of a session differ, so a block of so many numbers holds no more lines than that
-        return F.call_function("div", F.col(self.line).cast("bigint"), F.lit(self.block_lines).cast("bigint"))
+        return f"cast({self.line} AS bigint) div {self.block_lines}"
 
 
 def by_number(line: str = "line_no", block_lines: int = BLOCK_LINES) -> Order:
@@ -60,23 +59,20 @@ def by_number(line: str = "line_no", block_lines: int = BLOCK_LINES) -> Order:
 
 
 def _spread(chunks: DataFrame, order: Order, arrival_col: str | None = None) -> DataFrame:
-    arrival = [F.col(arrival_col).cast("bigint").alias("arrival")] if arrival_col else []
-    numbers = [F.col(name).cast("bigint").alias(name) for name in _NUMBERS]
-    spread = chunks.select(
-        F.col("session_id").cast("string").alias("session_id"),
-        order.block_column().alias("block"),
-        F.col(order.line).cast("bigint").alias("line"),
-        *numbers,
-        *arrival,
-    ).repartition(*_KEYS)
+    """The chunks, spread by session and block."""
+    numbers = [f"cast({name} AS bigint) AS {name}" for name in _NUMBERS]
+    if arrival_col:
+        numbers.append(f"cast({arrival_col} AS bigint) AS arrival")
+    place = ["cast(session_id AS string) AS session_id", f"{order.block_expr()} AS block"]
+    spread = chunks.selectExpr(*place, f"cast({order.line} AS bigint) AS line", *numbers).repartition(*_KEYS)
     # said here, and not left to be inferred from some of the joins, so that the exchange is the same for all of them
-    return spread.where(F.col("session_id").isNotNull() & F.col("block").isNotNull())
+    return spread.where("session_id IS NOT NULL AND block IS NOT NULL")
 
 
-def _follows(previous: Column, sequence: Column, offset: Column) -> Column:
-    """Whether a chunk continues the previous one. A sum beyond 64 bits equals no chunk's number."""
-    return sequence.eqNullSafe(F.try_add(previous["sequence"], F.lit(1))) & offset.eqNullSafe(
-        F.try_add(previous["offset"], previous["length"])
+def _follows(last: str, sequence: str, offset: str) -> str:
+    """Whether a chunk continues the last one. A sum beyond 64 bits equals no chunk's number."""
+    return (
+        f"({sequence} <=> try_add({last}.sequence, 1L) AND {offset} <=> try_add({last}.offset, {last}.length))"
     )
 
 
@@ -160,38 +156,42 @@ def _blocks(spread: DataFrame, clip_ms: int, idle_ms: int | None) -> DataFrame:
     ``entry`` is set where the block before settles it. ``chain`` numbers stretches of blocks that one run passes
     through; the first of a stretch has its entry.
     """
-    blocks = _sorted(spread).mapInArrow(_summarize(clip_ms, idle_ms), _SUMMARY_DDL)
-    session = W.partitionBy("session_id").orderBy("block")
-    so_far = session.rowsBetween(W.unboundedPreceding, W.currentRow)
-    last = F.struct("sequence", "offset", "length", "arrival", "tail_time", "tail_start")
-    blocks = blocks.withColumn("before", F.lag(last).over(session))
-    linked = F.col("before").isNotNull() & _follows(F.col("before"), F.col("first_sequence"), F.col("first_offset"))
+    session = "(PARTITION BY session_id ORDER BY block)"
+    linked = f"before IS NOT NULL AND {_follows('before', 'first_sequence', 'first_offset')}"
     if idle_ms is not None:
-        linked = linked & (F.col("first_arrival") - F.col("before.arrival") < idle_ms)
-    blocks = blocks.withColumn("linked", F.coalesce(linked, F.lit(False)))
-    fresh = F.col("last_run") + F.when(F.col("linked"), 0).otherwise(1)
-    settled = ~F.col("linked") | (F.col("last_run") > 0)
-    blocks = blocks.select(
+        linked += f" AND first_arrival - before.arrival < {idle_ms}"
+    blocks = _sorted(spread).mapInArrow(_summarize(clip_ms, idle_ms), _SUMMARY_DDL)
+    blocks = blocks.selectExpr(
         "*",
-        F.sum(fresh).over(so_far).alias("last_island"),
-        F.lead("linked").over(session).alias("next_linked"),
-        F.lead("block").over(session).alias("next_block"),
-        F.sum(settled.cast("bigint")).over(so_far).alias("chain"),
-        F.lag(settled).over(session).alias("settled_before"),
+        f"lag(struct(sequence, offset, length, arrival, tail_start)) OVER {session} AS before",
     )
-    island = W.partitionBy("session_id", "last_island").orderBy("block")
-    exit_time = F.max("tail_time").over(island.rowsBetween(W.unboundedPreceding, W.currentRow))
-    blocks = blocks.withColumn("exit_time", exit_time)
-    return blocks.select(
+    blocks = blocks.selectExpr("*", f"coalesce({linked}, false) AS linked")
+    blocks = blocks.selectExpr("*", "NOT linked OR last_run > 0 AS settled")
+    blocks = blocks.selectExpr(
+        *_KEYS,
+        "linked",
+        "last_run",
+        "tail_time",
+        "before.tail_start AS start_before",
+        f"sum(last_run + if(linked, 0, 1)) OVER {session} AS last_island",
+        f"lead(linked) OVER {session} AS next_linked",
+        f"lead(block) OVER {session} AS next_block",
+        f"sum(cast(settled AS bigint)) OVER {session} AS chain",
+        f"lag(settled) OVER {session} AS settled_before",
+    )
+    blocks = blocks.selectExpr(
+        "*", "max(tail_time) OVER (PARTITION BY session_id, last_island ORDER BY block) AS exit_time"
+    )
+    return blocks.selectExpr(
         *_KEYS,
         "linked",
         "last_run",
         "next_linked",
         "next_block",
         "chain",
-        (F.col("last_island") - F.col("last_run")).alias("island"),
-        F.when(F.col("linked") & F.col("settled_before"), F.col("before.tail_start")).alias("entry"),
-        F.when(F.col("linked"), F.lag("exit_time").over(session)).alias("entry_time"),
+        "last_island - last_run AS island",
+        "if(linked AND settled_before, start_before, null) AS entry",
+        f"if(linked, lag(exit_time) OVER {session}, null) AS entry_time",
     )
 
 
@@ -265,7 +265,7 @@ def _follow_chain(clip_ms: int):
 
 def _entries(spread: DataFrame, blocks: DataFrame, clip_ms: int) -> DataFrame:
     """``(session_id, block, passed)``: the start that enters a block behind one that a run passes through."""
-    passing = blocks.where(F.col("linked") & (F.col("last_run") == 0) & F.col("next_linked"))
+    passing = blocks.where("linked AND last_run = 0 AND next_linked")
     passing = passing.select(*_KEYS, "next_block", "chain", "entry", "entry_time")
     steps = _sorted(spread.join(passing, _KEYS)).mapInArrow(_steps(clip_ms), _STEPS_DDL)
     return steps.groupBy("session_id", "chain").applyInPandas(
@@ -309,8 +309,9 @@ def _cut(clip_ms: int, idle_ms: int | None):
             anchors = np.where(entered, col["entry"][heads], times[heads])
             if runs.same_run:
                 anchors[0] = held["start_ts_ms"]
+            floors = np.maximum(anchors, np.where(entered, col["entry_time"][heads], anchors))
             sizes = np.diff(np.append(heads, rows))
-            high = highest_so_far(np.maximum(times, np.repeat(anchors, sizes)), heads)
+            high = highest_so_far(np.maximum(times, np.repeat(floors, sizes)), heads)
             cuts = cut_points(high, heads, anchors, clip_ms)
             firsts = np.union1d(heads, cuts)
             run = np.searchsorted(heads, firsts, side="right") - 1
@@ -371,31 +372,28 @@ def cut_clips(
         check_span_ms("idle_ms", idle_ms)
     spread = _spread(chunks, order, arrival_col)
     blocks = _blocks(spread, clip_ms, idle_ms)
-    entry = F.coalesce("entry", "passed")
-    ending = F.when(F.col("next_linked").isNull(), 1).when(F.col("next_linked"), -1).otherwise(0)
-    facts = blocks.join(_entries(spread, blocks, clip_ms), _KEYS, "left").select(
+    facts = blocks.join(_entries(spread, blocks, clip_ms), _KEYS, "left").selectExpr(
         *_KEYS,
         "island",
         "last_run",
-        ending.cast("bigint").alias("block_ending"),
-        entry.isNotNull().cast("bigint").alias("entered"),
-        F.coalesce(entry, F.lit(0)).alias("entry"),
+        "CASE WHEN next_linked IS NULL THEN 1L WHEN next_linked THEN -1L ELSE 0L END AS block_ending",
+        "cast(coalesce(entry, passed) IS NOT NULL AS bigint) AS entered",
+        "coalesce(entry, passed, 0L) AS entry",
+        "coalesce(entry_time, 0L) AS entry_time",
     )
     pieces = _sorted(spread.join(facts, _KEYS)).mapInArrow(_cut(clip_ms, idle_ms), _PIECES_DDL)
     clips = pieces.groupBy("session_id", "island", "start_ts_ms").agg(
         F.min("offset").alias("offset"), F.sum("length").alias("length"), F.max("complete").alias("complete")
     )
+    return finish_clips(clips, src, keep_order)
+
+
+def finish_clips(clips: DataFrame, src: str, keep_order: bool) -> DataFrame:
+    """The clip record of each cut."""
     ts = clip_ts(F.col("start_ts_ms"))
-    return clips.select(
-        F.lit(CLIP_TYPE).alias("type"),
-        "session_id",
-        ts.alias("ts"),
-        clip_path(src, F.col("session_id"), ts).alias("path"),
-        "offset",
-        "length",
-        "complete",
-        *(["island", "start_ts_ms"] if keep_order else []),
-    ).select(*CLIP_FIELDS, *(["island", "start_ts_ms"] if keep_order else []))
+    made = {"type": F.lit(CLIP_TYPE), "ts": ts, "path": clip_path(src, F.col("session_id"), ts)}
+    fields = [made[name].alias(name) if name in made else name for name in CLIP_FIELDS]
+    return clips.select(*fields, *(["island", "start_ts_ms"] if keep_order else []))
 
 
 def continuity_breaks(chunks: DataFrame, order: Order = Order()) -> DataFrame:
@@ -403,21 +401,18 @@ def continuity_breaks(chunks: DataFrame, order: Order = Order()) -> DataFrame:
 
     Breaks inside a block come from the chunks, breaks between blocks from the two chunks at its ends.
     """
-    spread = _spread(chunks, order)
-    chunk = F.struct("line", "sequence", "offset", "length")
-    inside = spread.select(*_KEYS, "line", chunk.alias("chunk")).withColumn(
-        "before", F.lag("chunk").over(W.partitionBy(*_KEYS).orderBy("line"))
+    spread = _spread(chunks, order).selectExpr(*_KEYS, "line", "struct(line, sequence, offset, length) AS chunk")
+    inside = spread.selectExpr(
+        *_KEYS, "chunk", "lag(chunk) OVER (PARTITION BY session_id, block ORDER BY line) AS before"
     )
-    ends = spread.groupBy(*_KEYS).agg(F.min(chunk).alias("chunk"), F.max(chunk).alias("last"))
-    session = W.partitionBy("session_id").orderBy("block")
-    between = ends.select(*_KEYS, "chunk", F.lag("last").over(session).alias("before"))
-    pairs = inside.drop("line").unionByName(between).where(F.col("before").isNotNull())
-    broken = ~_follows(F.col("before"), F.col("chunk.sequence"), F.col("chunk.offset"))
-    return pairs.where(broken).select(
+    ends = spread.groupBy(*_KEYS).agg(F.min("chunk").alias("chunk"), F.max("chunk").alias("last"))
+    between = ends.selectExpr(*_KEYS, "chunk", "lag(last) OVER (PARTITION BY session_id ORDER BY block) AS before")
+    broken = f"before IS NOT NULL AND NOT {_follows('before', 'chunk.sequence', 'chunk.offset')}"
+    return inside.unionByName(between).where(broken).selectExpr(
         *_KEYS,
         "chunk.line",
         "chunk.sequence",
-        F.try_add(F.col("before.sequence"), F.lit(1)).alias("expected_sequence"),
+        "try_add(before.sequence, 1L) AS expected_sequence",
         "chunk.offset",
-        F.try_add(F.col("before.offset"), F.col("before.length")).alias("expected_offset"),
+        "try_add(before.offset, before.length) AS expected_offset",
     )

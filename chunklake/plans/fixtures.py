@@ -14,9 +14,6 @@ FIRST_TS_MS = 1000
 SPACING_MS = 100
 JUMP_AT, JUMP_BY = 200, 5
 
-# The longest chunk of the derived sessions.
-_MAX_BYTES = 4096
-
 
 def generate_chunks(spark: SparkSession, kind: str = "medium", session_id: str | None = None) -> DataFrame:
     """``(session_id, line_no, kind, sequence, offset, length, ts_ms)`` of one generated session."""
@@ -38,35 +35,23 @@ def meta_line(*extra: Column) -> Column:
     return F.to_json(F.struct("kind", "sequence", "offset", "length", "ts_ms", *extra))
 
 
-def _div(a: Column, b: int) -> Column:
-    return F.call_function("div", a, F.lit(b).cast("bigint"))
-
-
-def bytes_before(event_id: Column) -> Column:
-    """The sum of ``1 + i % 4096`` over all i below the id: offsets without a running sum."""
-    rest = event_id % _MAX_BYTES
-    return event_id + _div(event_id, _MAX_BYTES) * (_MAX_BYTES * (_MAX_BYTES - 1) // 2) + _div(rest * (rest - 1), 2)
-
-
 def event_chunks(events: DataFrame) -> DataFrame:
     """Chunks of about thirty sessions, one of which holds a third of all events.
 
     The hot session takes every third stretch of 640 events, the others take 64 in turn. Sequence jumps every 997
-    events, offset every 1,009, and every thirteenth chunk's clock is two hours behind.
+    events, offset every 1,009, and every thirteenth chunk's clock is two hours behind. A chunk has ``1 + i % 4096``
+    bytes; the sum of that over all earlier events has a closed form, so offsets need no running sum.
     """
-    event_id = F.col("event_id")
-    hot = _div(event_id, 640) % 3 == 0
-    behind = F.when(event_id % 13 == 5, 7_200_000).otherwise(0)
-    clock = F.unix_millis(F.col("ts").cast("timestamp"))
-    return events.select(
-        F.when(hot, "hot").otherwise(F.concat(F.lit("cam"), (_div(event_id, 64) % 29).cast("string"))).alias("session_id"),
-        event_id.alias("line_no"),
-        F.lit(DATA_KIND).alias("kind"),
-        (event_id + _div(event_id, 997)).alias("sequence"),
-        (bytes_before(event_id) + _div(event_id, 1009) * 7).alias("offset"),
-        (1 + event_id % _MAX_BYTES).alias("length"),
-        (clock - behind).alias("ts_ms"),
-        clock.alias("arrival_ms"),
+    return events.selectExpr(
+        "if((event_id div 640) % 3 = 0, 'hot', concat('cam', (event_id div 64) % 29)) AS session_id",
+        "event_id AS line_no",
+        "'data' AS kind",
+        "event_id + event_id div 997 AS sequence",
+        "event_id + (event_id div 4096) * 8386560 + ((event_id % 4096) * (event_id % 4096 - 1)) div 2"
+        " + (event_id div 1009) * 7 AS offset",
+        "1 + event_id % 4096 AS length",
+        "unix_millis(cast(ts AS timestamp)) - if(event_id % 13 = 5, 7200000, 0) AS ts_ms",
+        "unix_millis(cast(ts AS timestamp)) AS arrival_ms",
     )
 
 

@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from chunklake.functions.fields import CLIP_TYPE, END_KIND, clip_path, clip_ts, field_kind
+from chunklake.functions.fields import END_KIND, field_kind
 from chunklake.functions.options import DEFAULT_CLIP_MS, DEFAULT_IDLE_MS, check_span_ms
-from chunklake.operators.cutting import cut_points
+from chunklake.operators.clips import finish_clips
+from chunklake.operators.cutting import cut_points, highest_so_far
 from chunklake.operators.sidecar import tag_sidecar
-from chunklake.schemas import CLIP_FIELDS
 
 _CLIP = "session_id string, island bigint, start_ts_ms bigint, offset bigint, length bigint, complete boolean"
 _STATE = (
@@ -65,13 +65,11 @@ def _advance(clip_ms: int, idle_ms: int | None):
                 yield _frame(key[0], [island], [start], [offset], [length], [bool(behind_mark[0] > 0)])
                 island += 1
             heads = np.flatnonzero(head)
-            ends = np.append(heads[1:], count)
             anchors = times[heads]
             if goes_on:
                 anchors[0] = start
-            highest = np.concatenate(
-                [np.maximum.accumulate(np.maximum(times[a:b], s)) for a, b, s in zip(heads, ends, anchors, strict=True)]
-            )
+            sizes = np.diff(np.append(heads, count))
+            highest = highest_so_far(np.maximum(times, np.repeat(anchors, sizes)), heads)
             cuts = cut_points(highest, heads, anchors, clip_ms)
             firsts = np.union1d(heads, cuts)
             run = np.searchsorted(heads, firsts, side="right") - 1
@@ -131,9 +129,7 @@ def cut_record_stream(
     clips = records.groupBy("session_id").applyInPandasWithState(
         _advance(clip_ms, idle_ms), _CLIP, _STATE, "append", timeout
     )
-    clips = clips.withColumn("ts", clip_ts(F.col("start_ts_ms"))).withColumn("type", F.lit(CLIP_TYPE))
-    clips = clips.withColumn("path", clip_path(src, F.col("session_id"), F.col("ts")))
-    return clips.select(*CLIP_FIELDS, "island", "start_ts_ms")
+    return finish_clips(clips, src, keep_order=True)
 
 
 def cut_clips_stream(
