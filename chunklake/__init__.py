@@ -1,11 +1,18 @@
 """Session-stream analytics on Spark: clip cutting, log extraction, a keyed store with time-to-live."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from chunklake.operators.clips import continuity_breaks, cut_clips
 from chunklake.operators.logs import extract_log, filter_json_lines
 from chunklake.operators.sidecar import parse_sidecar
 from chunklake.operators.store import compact, latest_per_key, lookup, lookup_many, to_store_rows
 from chunklake.plans.pipeline import run_pipeline, run_stream_pipeline
 
+# the functions that run in tasks travel with the job, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = [
     "compact",
     "continuity_breaks",
