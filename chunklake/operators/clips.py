@@ -1,18 +1,20 @@
 """Cutting sessions into clips, for sessions of any length.
 
 Chunks are spread by ``(session, block)``, a block being a bounded run of consecutive lines, so a session that holds a
-third of all rows fills many tasks. Three things cross block borders, and each is carried by one row per block:
+third of all rows fills many tasks. A session of one block is cut there and then. For the others, two things cross
+block borders:
 
-* continuity: a block's first chunk is compared with the last chunk of the block before (`_blocks`);
-* the running maximum of time inside an unbroken run (`_blocks`);
-* the open clip's start. A block that begins or contains a break has the same exit whatever enters it, so the block
-  behind it knows its entry at once. For a block that an unbroken run passes through, the start that leaves is a step
-  function of the one that enters. Only starts less than one span before the block can enter, so the function has at
-  most one step per distinct time of that first span (`_steps`); following the functions block by block settles the
-  entries behind such blocks (`_entries`). Where no run passes through a whole block, this part has no rows.
+* continuity: the first chunk of a block is compared with the last chunk of the block before. Both come from a hash
+  aggregate, without sorting (`_borders`);
+* the start of the clip that is open at the border, where the two chunks are continuous. A block that begins or
+  contains a break has the same exit whatever enters it, so it settles the block behind it (`_tails`). For a block that
+  an unbroken run passes through, the start that leaves is a step function of the one that enters. Only starts less
+  than one span before the block can enter, so the function has at most one step per distinct time of that first span
+  (`_steps`); following the functions block by block settles the rest (`_entries`).
 
 With the entries known every block is cut on its own, and clips that cross a border are summed from their pieces. The
-chunks are shuffled once; all passes over them read that one exchange, for which they ask for the same columns.
+chunks are shuffled once: all passes over them read that one exchange, for which they ask for the same columns. Where
+no session has a second block, the middle passes have no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +42,11 @@ _NUMBERS = ["sequence", "offset", "length", "ts_ms"]
 
 @dataclass(frozen=True)
 class Order:
-    """How lines of a session are ordered: by block, then by line. A block must be a bounded run of lines."""
+    """How lines of a session are ordered: by block, then by line.
+
+    A block is a bounded run of lines, and the next block's number is greater by no less than the lines it holds. Both
+    hold for the byte at which a line's input split begins, and for line numbers rounded down.
+    """
 
     line: str = "line_id"
     block: str | None = "block"
@@ -50,7 +56,7 @@ class Order:
         if self.block is not None:
             return f"cast({self.block} AS bigint)"
         # the line numbers of a session differ, so a block of so many numbers holds no more lines than that
-        return f"cast({self.line} AS bigint) div {self.block_lines}"
+        return f"(cast({self.line} AS bigint) div {self.block_lines}) * {self.block_lines}"
 
 
 def by_number(line: str = "line_no", block_lines: int = BLOCK_LINES) -> Order:
@@ -71,27 +77,64 @@ def _spread(chunks: DataFrame, order: Order, arrival_col: str | None = None) ->
 
 def _follows(last: str, sequence: str, offset: str) -> str:
     """Whether a chunk continues the last one. A sum beyond 64 bits equals no chunk's number."""
-    return (
-        f"({sequence} <=> try_add({last}.sequence, 1L) AND {offset} <=> try_add({last}.offset, {last}.length))"
+    return f"({sequence} <=> try_add({last}.sequence, 1L) AND {offset} <=> try_add({last}.offset, {last}.length))"
+
+
+def _borders(spread: DataFrame, idle_ms: int | None) -> DataFrame:
+    """Of sessions with several blocks, the blocks with a linked block before or any block behind.
+
+    ``linked`` and ``next_linked`` say whether an unbroken run crosses the block's borders.
+    """
+    ends = ["min_by({0}, line) AS first_{0}", "max_by({0}, line) AS {0}"]
+    named = ("sequence", "offset", "arrival") if idle_ms is not None else ("sequence", "offset")
+    ends = [end.format(name) for name in named for end in ends] + ["max_by(length, line) AS length"]
+    blocks = spread.groupBy(*_KEYS).agg(*map(F.expr, ends), F.max("ts_ms").alias("top"))
+    names = [name for name in blocks.columns if name not in _KEYS]
+    # as one struct, so that every reader of the borders asks for the same columns and finds the same exchange
+    blocks = blocks.selectExpr(*_KEYS, f"struct({', '.join(names)}) AS here")
+    session = "OVER (PARTITION BY session_id ORDER BY block)"
+    blocks = blocks.selectExpr(
+        *_KEYS,
+        "here",
+        f"lag(here) {session} AS before",
+        f"lead(here) {session} AS after",
+        f"lead(block) {session} AS next_block",
     )
 
+    def link(last: str, first: str) -> str:
+        pause = f" AND {first}.first_arrival - {last}.arrival < {idle_ms}" if idle_ms is not None else ""
+        follows = _follows(last, f"{first}.first_sequence", f"{first}.first_offset")
+        return f"{last} IS NOT NULL AND {first} IS NOT NULL AND {follows}{pause}"
+
+    borders = blocks.selectExpr(
+        *_KEYS,
+        "next_block",
+        "here.top AS top",
+        f"coalesce({link('before', 'here')}, false) AS linked",
+        f"coalesce({link('here', 'after')}, false) AS next_linked",
+    )
+    return borders.where("linked OR next_block IS NOT NULL")
+
 
 def _emit(schema: pa.Schema, *columns) -> pa.RecordBatch:
     arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-_SUMMARY_DDL = (
-    "session_id string, block bigint, first_sequence bigint, first_offset bigint, first_arrival bigint, "
-    "sequence bigint, offset bigint, length bigint, arrival bigint, last_run bigint, tail_time bigint, tail_start bigint"
-)
-_SUMMARY = pa.schema(
-    [(name, pa.string() if kind == "string" else pa.int64()) for name, kind in (c.split() for c in _SUMMARY_DDL.split(", "))]
+_TAILS_DDL = "session_id string, block bigint, last_run bigint, tail_time bigint, tail_start bigint"
+_TAILS = pa.schema(
+    [
+        ("session_id", pa.string()),
+        ("block", pa.int64()),
+        ("last_run", pa.int64()),
+        ("tail_time", pa.int64()),
+        ("tail_start", pa.int64()),
+    ]
 )
 
 
 def _summarize(clip_ms: int, idle_ms: int | None):
-    """One row per block: its first and last chunk, its breaks, and its last run's highest time and last start.
+    """One row per block: its breaks, and its last run's highest time and last start.
 
     The start is the one reached if the last run begins afresh, which holds wherever it does not go back to the
     block before.
@@ -119,79 +162,66 @@ def _summarize(clip_ms: int, idle_ms: int | None):
             out = {
                 "session_id": runs.batch.column("session_id").take(pa.array(firsts)),
                 "block": col["block"][firsts],
-                "first_sequence": col["sequence"][firsts],
-                "first_offset": col["offset"][firsts],
-                "first_arrival": col["arrival"][firsts] if idle_ms is not None else np.zeros(len(firsts), np.int64),
-                "sequence": col["sequence"][lasts],
-                "offset": col["offset"][lasts],
-                "length": col["length"][lasts],
-                "arrival": col["arrival"][lasts] if idle_ms is not None else np.zeros(len(firsts), np.int64),
                 "last_run": runs.number[tails],
                 "tail_time": high[lasts],
                 "tail_start": starts[tails],
             }
-            if held is not None:
-                if runs.same_block:
-                    for name in ("first_sequence", "first_offset", "first_arrival"):
-                        out[name][0] = held[name]
-                else:
-                    yield _emit(_SUMMARY, *[[held[name]] for name in _SUMMARY.names])
-            held = {name: int(out[name][-1]) for name in _SUMMARY.names[1:]}
+            if held is not None and not runs.same_block:
+                yield _emit(_TAILS, *[[held[name]] for name in _TAILS.names])
+            held = {name: int(out[name][-1]) for name in _TAILS.names[1:]}
             held["session_id"] = out["session_id"][-1].as_py()
             if len(firsts) > 1:
-                yield _emit(_SUMMARY, *[out[name][:-1] for name in _SUMMARY.names])
+                yield _emit(_TAILS, *[out[name][:-1] for name in _TAILS.names])
         if held is not None:
-            yield _emit(_SUMMARY, *[[held[name]] for name in _SUMMARY.names])
+            yield _emit(_TAILS, *[[held[name]] for name in _TAILS.names])
 
     return summarize
 
 
-def _sorted(rows: DataFrame) -> DataFrame:
-    return rows.sortWithinPartitions(*_KEYS, "line")
+def _ordered(rows: DataFrame) -> DataFrame:
+    return rows.sortWithinPartitions(*_KEYS, "line").drop("line")
+
+
+def _tails(spread: DataFrame, borders: DataFrame, clip_ms: int, idle_ms: int | None) -> DataFrame:
+    """The last runs of the blocks that an unbroken run leaves."""
+    rows = _at_blocks(spread, borders.where("next_linked").select(*_KEYS))
+    tails = _ordered(rows).mapInArrow(_summarize(clip_ms, idle_ms), _TAILS_DDL)
+    return tails.selectExpr(*_KEYS, "struct(last_run, tail_time, tail_start) AS tail")
+
+
+def _at_blocks(spread: DataFrame, blocks: DataFrame, how: str = "inner") -> DataFrame:
+    """The chunks with what is known of their blocks. The one row per block is hashed, so the chunks need no sort."""
+    return spread.join(blocks.hint("shuffle_hash"), _KEYS, how)
 
 
-def _blocks(spread: DataFrame, clip_ms: int, idle_ms: int | None) -> DataFrame:
-    """How each block joins on to the one before: the number its first run has, and what enters and leaves it.
+def _blocks(borders: DataFrame, tails: DataFrame) -> DataFrame:
+    """What enters and leaves each block.
 
-    ``entry`` is set where the block before settles it. ``chain`` numbers stretches of blocks that one run passes
-    through; the first of a stretch has its entry.
+    ``chain`` numbers stretches of blocks: one that is settled, and those behind it that its last run passes through.
+    ``origin`` is the run's number that comes in: that of the block it began in, plus the breaks before it there.
     """
-    session = "(PARTITION BY session_id ORDER BY block)"
-    linked = f"before IS NOT NULL AND {_follows('before', 'first_sequence', 'first_offset')}"
-    if idle_ms is not None:
-        linked += f" AND first_arrival - before.arrival < {idle_ms}"
-    blocks = _sorted(spread).mapInArrow(_summarize(clip_ms, idle_ms), _SUMMARY_DDL)
-    blocks = blocks.selectExpr(
-        "*",
-        f"lag(struct(sequence, offset, length, arrival, tail_start)) OVER {session} AS before",
-    )
-    blocks = blocks.selectExpr("*", f"coalesce({linked}, false) AS linked")
-    blocks = blocks.selectExpr("*", "NOT linked OR last_run > 0 AS settled")
+    session = "OVER (PARTITION BY session_id ORDER BY block)"
+    chain = "OVER (PARTITION BY session_id, chain ORDER BY block)"
+    blocks = borders.join(tails, _KEYS, "left")
+    blocks = blocks.selectExpr("*", "coalesce(NOT linked OR tail.last_run > 0, true) AS settled")
     blocks = blocks.selectExpr(
-        *_KEYS,
-        "linked",
-        "last_run",
-        "tail_time",
-        "before.tail_start AS start_before",
-        f"sum(last_run + if(linked, 0, 1)) OVER {session} AS last_island",
-        f"lead(linked) OVER {session} AS next_linked",
-        f"lead(block) OVER {session} AS next_block",
-        f"sum(cast(settled AS bigint)) OVER {session} AS chain",
-        f"lag(settled) OVER {session} AS settled_before",
+        "*", f"sum(cast(settled AS bigint)) {session} AS chain", f"lag(tail) {session} AS tail_before"
     )
     blocks = blocks.selectExpr(
-        "*", "max(tail_time) OVER (PARTITION BY session_id, last_island ORDER BY block) AS exit_time"
+        "*",
+        f"max(if(tail.last_run = 0, top, tail.tail_time)) {chain} AS exit_time",
+        f"first_value(block + tail.last_run) {chain} AS exit_run",
     )
     return blocks.selectExpr(
         *_KEYS,
+        "next_block",
         "linked",
-        "last_run",
         "next_linked",
-        "next_block",
+        "NOT settled AND next_linked AS passing",
         "chain",
-        "last_island - last_run AS island",
-        "if(linked AND settled_before, start_before, null) AS entry",
-        f"if(linked, lag(exit_time) OVER {session}, null) AS entry_time",
+        f"if(linked AND lag(settled) {session}, tail_before.tail_start, null) AS entry",
+        f"if(linked, lag(exit_time) {session}, null) AS entry_time",
+        f"if(linked, lag(exit_run) {session}, null) AS origin",
     )
 
 
@@ -265,9 +295,8 @@ def _follow_chain(clip_ms: int):
 
 def _entries(spread: DataFrame, blocks: DataFrame, clip_ms: int) -> DataFrame:
     """``(session_id, block, passed)``: the start that enters a block behind one that a run passes through."""
-    passing = blocks.where("linked AND last_run = 0 AND next_linked")
-    passing = passing.select(*_KEYS, "next_block", "chain", "entry", "entry_time")
-    steps = _sorted(spread.join(passing, _KEYS)).mapInArrow(_steps(clip_ms), _STEPS_DDL)
+    passing = blocks.where("passing").select(*_KEYS, "next_block", "chain", "entry", "entry_time")
+    steps = _ordered(_at_blocks(spread, passing)).mapInArrow(_steps(clip_ms), _STEPS_DDL)
     return steps.groupBy("session_id", "chain").applyInPandas(
         _follow_chain(clip_ms), "session_id string, block bigint, passed bigint"
     )
@@ -291,61 +320,64 @@ def _pieces(session, island, start, offset, length, ending) -> pa.RecordBatch:
     return _emit(_PIECES, session, island, start, offset, length, pa.array(ending == 1, mask=ending == -1))
 
 
+#: Stands for the origin of a block that no run enters.
+_NO_RUN = -(1 << 63)
+
+
 def _cut(clip_ms: int, idle_ms: int | None):
     """Cuts sorted chunks into the pieces of clips that lie in one block.
 
     The piece that ends a batch is held back, since the next batch may go on with it.
     """
-    parts = ("session_id", "island", "start_ts_ms", "offset", "length", "ending")
+    parts = ("session_id", "island", "start_ts_ms", "offset", "length")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict | None = None
         for runs in runs_of(batches, idle_ms):
             col, heads = runs.columns, runs.heads
             rows = runs.batch.num_rows
-            first_run = runs.number == 0
-            entered = first_run & (col["entered"][heads] != 0)
+            entered = (runs.number == 0) & (col["origin"][heads] != _NO_RUN)
             times = col["ts_ms"]
             anchors = np.where(entered, col["entry"][heads], times[heads])
             if runs.same_run:
                 anchors[0] = held["start_ts_ms"]
-            floors = np.maximum(anchors, np.where(entered, col["entry_time"][heads], anchors))
             sizes = np.diff(np.append(heads, rows))
-            high = highest_so_far(np.maximum(times, np.repeat(floors, sizes)), heads)
+            high = highest_so_far(np.maximum(times, np.repeat(anchors, sizes)), heads)
             cuts = cut_points(high, heads, anchors, clip_ms)
             firsts = np.union1d(heads, cuts)
             run = np.searchsorted(heads, firsts, side="right") - 1
             is_cut = np.isin(firsts, cuts, assume_unique=True)
             is_head = np.append(True, run[1:] != run[:-1])
-            # a piece ends by a span if a cut follows it, else as its run does: 1 complete, 0 broken off, -1 goes on
-            last_of_block = runs.number == col["last_run"][heads]
-            ending = np.where(last_of_block, col["block_ending"][heads], 0)[run]
+            # 1 complete, 0 broken off, -1 goes on in the next block: a piece ends by a span if a cut follows it, by
+            # a break if another run does, and as its block ends if none does
+            block_ending = col["block_ending"][heads]
+            ends_block = np.append(np.isin(heads[1:], runs.block_heads, assume_unique=True), True)
+            ending = np.where(ends_block, block_ending, 0)[run]
             ending[:-1][is_cut[1:] & ~is_head[1:]] = 1
             session = runs.batch.column("session_id").take(pa.array(firsts))
-            island = (col["island"][heads] + runs.number)[run]
+            island = np.where(entered, col["origin"][heads], col["block"][heads] + runs.number)[run]
             start = np.where(is_cut, high[firsts], anchors[run])
             offset, length = col["offset"][firsts], np.add.reduceat(col["length"], firsts)
 
             closed = is_cut & is_head & entered[run]
             if held is not None:
-                if not runs.same_run:
-                    yield _pieces(*[[held[name]] for name in parts])
-                elif is_cut[0]:
-                    yield _pieces(*[[held[name]] for name in parts[:-1]], [1])
-                else:
+                if runs.same_run and not is_cut[0]:
                     offset[0], length[0] = held["offset"], length[0] + held["length"]
+                else:
+                    last = 1 if runs.same_run else 0 if runs.same_block else held["block_ending"]
+                    yield _pieces(*[[held[name]] for name in parts], [last])
                 closed[0] &= not runs.same_run
             if closed.any():
                 # clips that came in from the block before and end at its border
                 size = int(closed.sum())
                 behind = session.filter(pa.array(closed)), island[closed], anchors[run[closed]]
                 yield _pieces(*behind, pa.nulls(size, pa.int64()), np.zeros(size, np.int64), np.ones(size, np.int64))
-            held = dict(zip(parts[1:], (int(p[-1]) for p in (island, start, offset, length, ending)), strict=True))
-            held["session_id"] = session[-1].as_py()
+            held = dict(zip(parts[1:], (int(p[-1]) for p in (island, start, offset, length)), strict=True))
+            held |= {"session_id": session[-1].as_py(), "block_ending": int(block_ending[-1])}
             if len(firsts) > 1:
                 yield _pieces(session[:-1], island[:-1], start[:-1], offset[:-1], length[:-1], ending[:-1])
         if held is not None:
-            yield _pieces(*[[held[name]] for name in parts])
+            yield _pieces(*[[held[name]] for name in parts], [held["block_ending"]])
 
     return cut
 
@@ -371,17 +403,16 @@ def cut_clips(
     if idle_ms is not None:
         check_span_ms("idle_ms", idle_ms)
     spread = _spread(chunks, order, arrival_col)
-    blocks = _blocks(spread, clip_ms, idle_ms)
+    borders = _borders(spread, idle_ms)
+    blocks = _blocks(borders, _tails(spread, borders, clip_ms, idle_ms))
     facts = blocks.join(_entries(spread, blocks, clip_ms), _KEYS, "left").selectExpr(
         *_KEYS,
-        "island",
-        "last_run",
-        "CASE WHEN next_linked IS NULL THEN 1L WHEN next_linked THEN -1L ELSE 0L END AS block_ending",
-        "cast(coalesce(entry, passed) IS NOT NULL AS bigint) AS entered",
-        "coalesce(entry, passed, 0L) AS entry",
-        "coalesce(entry_time, 0L) AS entry_time",
+        "origin",
+        "coalesce(entry, passed) AS entry",
+        "CASE WHEN next_block IS NULL THEN 1L WHEN next_linked THEN -1L ELSE 0L END AS block_ending",
     )
-    pieces = _sorted(spread.join(facts, _KEYS)).mapInArrow(_cut(clip_ms, idle_ms), _PIECES_DDL)
+    rows = _at_blocks(spread, facts, "left").na.fill({"origin": _NO_RUN, "entry": 0, "block_ending": 1})
+    pieces = _ordered(rows).mapInArrow(_cut(clip_ms, idle_ms), _PIECES_DDL)
     clips = pieces.groupBy("session_id", "island", "start_ts_ms").agg(
         F.min("offset").alias("offset"), F.sum("length").alias("length"), F.max("complete").alias("complete")
     )

@@ -86,11 +86,6 @@ class Runs:
     same_block: bool
     same_run: bool
 
-    @property
-    def blocks_of_runs(self) -> np.ndarray:
-        return np.searchsorted(self.block_heads, self.heads, side="right") - 1
-
-
 def runs_of(batches: Iterator[pa.RecordBatch], idle_ms: int | None) -> Iterator[Runs]:
     """Finds the breaks in chunks sorted by session, block and line."""
     before: dict | None = None
