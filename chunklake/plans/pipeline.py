@@ -81,6 +81,6 @@ def run_stream_pipeline(
     max_files: int | None = None,
 ) -> StreamingQuery:
     """The same over closed segment files as they arrive. ``available_now`` ends after what is there."""
-    lines = read_sidecar_stream(spark, src, max_files)
+    lines = read_sidecar_stream(spark, src, max_files=max_files)
     clips = cut_clips_stream(lines, src, idle_ms=None if available_now else DEFAULT_IDLE_MS)
     return append_clip_stream(clips, store_path, checkpoint, check_ttl(ttl), now, available_now)

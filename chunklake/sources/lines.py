@@ -29,19 +29,26 @@ def scan_lines(spark: SparkSession, path: str | list[str], glob: str | None = No
     )
 
 
+#: So many unterminated files are told to every task; more are joined by shuffle.
+_FEW_FILES = 100_000
+
+
 def drop_unterminated(lines: DataFrame) -> DataFrame:
     """Without the last line of each file that does not end in a line feed.
 
-    Such a file has one byte less than its lines with one line end each. Costs one more pass over the text, without
-    a shuffle of lines; the join is by file and line, so no file is gathered in one task.
+    Such a file has one byte less than its lines with one line end each. This looks once over the text, at once; as a
+    rule it finds no such file, and the lines stay as they are. Otherwise the join is by file and line, so that no file
+    is gathered in one task.
     """
     size = F.sum(F.octet_length("line") + 1)
-    cut = (
-        lines.groupBy("source")
-        .agg(size.alias("bytes"), F.max("file_size").alias("file_size"), F.max(F.struct("block", "line_id")).alias("last"))
-        .where(F.col("bytes") > F.col("file_size"))
-        .select("source", F.col("last.line_id").alias("line_id"))
-    )
+    last = F.max(F.struct("block", "line_id"))
+    ends = lines.groupBy("source").agg(size.alias("bytes"), F.max("file_size").alias("file_size"), last.alias("last"))
+    cut = ends.where("bytes > file_size").select("source", F.col("last.line_id").alias("line_id"))
+    few = cut.limit(_FEW_FILES + 1).collect()
+    if not few:
+        return lines
+    if len(few) <= _FEW_FILES:
+        cut = F.broadcast(lines.sparkSession.createDataFrame(few, cut.schema))
     return lines.join(cut, ["source", "line_id"], "left_anti")
 
 

@@ -24,19 +24,20 @@ def read_sidecars(spark: SparkSession, path: str | list[str], keep_unterminated:
     )
 
 
-def read_sidecar_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def read_sidecar_stream(spark: SparkSession, path: str, max_bytes: str = "1g", max_files: int | None = None) -> DataFrame:
     """A stream of sidecar lines from closed segment files ``{session}.meta.jsonl[.{n}]``.
 
     Each file is taken once and must not grow afterwards; segments are to be a few megabytes, since a file is one row
-    until it is split. ``max_files`` bounds what one micro-batch takes in.
+    until it is split. ``max_bytes``, or ``max_files`` in its place, bounds what one micro-batch takes in, and so what
+    one session can bring to one task.
     """
+    limit = ("maxFilesPerTrigger", str(max_files)) if max_files else ("maxBytesPerTrigger", max_bytes)
     reader = (
         spark.readStream.option("wholetext", "true")
         .option("pathGlobFilter", _SEGMENT_GLOB)
         .option("recursiveFileLookup", "true")
+        .option(*limit)
     )
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
     name = F.col("_metadata.file_name")
     files = reader.text(path).select(
         F.regexp_extract(name, _SEGMENT_NAME, 1).alias("session_id"),

@@ -1,0 +1,33 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from chunklake.session import local_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = local_session(
+        4,
+        "tests",
+        spark__sql__shuffle__partitions="4",
+        spark__sql__execution__arrow__maxRecordsPerBatch="50",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def lines(spark):
+    """Lines with a place, from a list of texts."""
+
+    def make(*texts):
+        rows = [("here", 0, i, text) for i, text in enumerate(texts)]
+        return spark.createDataFrame(rows, "source string, block bigint, line_id bigint, line string")
+
+    return make
