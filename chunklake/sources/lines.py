@@ -14,8 +14,13 @@ from pyspark.sql import functions as F
 from chunklake.functions.fields import trim_line
 
 
+def decoded_name(path: Column | str) -> Column:
+    """The file name at the end of a path as Spark gives it, which is URL-encoded, except for ``+``."""
+    return F.url_decode(F.replace(F.substring_index(path, "/", -1), F.lit("+"), F.lit("%2B")))
+
+
 def scan_lines(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
-    """``(source, block, line_id, line, file_name, file_size)`` for every line, split on LF only."""
+    """``(source, block, line_id, line, file_size)`` for every line, split on LF only."""
     reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -24,7 +29,6 @@ def scan_lines(spark: SparkSession, path: str | list[str], glob: str | None = No
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line_id"),
         F.col("value").alias("line"),
-        F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_size").alias("file_size"),
     )
 
@@ -66,7 +70,7 @@ def number_lines(lines: DataFrame) -> DataFrame:
 
 def read_log_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Log lines, white space stripped from both ends. An unterminated last line counts."""
-    return scan_lines(spark, path).withColumn("line", trim_line("line")).drop("file_name", "file_size")
+    return scan_lines(spark, path).withColumn("line", trim_line("line")).drop("file_size")
 
 
 def split_lines(text: Column, terminated_only: bool) -> Column:

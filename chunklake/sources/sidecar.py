@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunklake.functions.fields import SIDECAR_SUFFIX
-from chunklake.sources.lines import drop_unterminated, scan_lines, split_lines
+from chunklake.sources.lines import decoded_name, drop_unterminated, scan_lines, split_lines
 
 # How sidecar files are named. A growing session is a row of closed files, numbered from 0.
 _BATCH_GLOB = f"*{SIDECAR_SUFFIX}"
@@ -20,26 +20,25 @@ def read_sidecars(spark: SparkSession, path: str | list[str], keep_unterminated:
     if not keep_unterminated:
         lines = drop_unterminated(lines)
     return lines.where(F.col("line") != "").select(
-        F.regexp_extract("file_name", _SEGMENT_NAME, 1).alias("session_id"), "source", "block", "line_id", "line"
+        F.regexp_extract(decoded_name("source"), _SEGMENT_NAME, 1).alias("session_id"), "source", "block", "line_id", "line"
     )
 
 
-def read_sidecar_stream(spark: SparkSession, path: str, max_bytes: str = "1g", max_files: int | None = None) -> DataFrame:
+def read_sidecar_stream(spark: SparkSession, path: str, max_bytes: int = 1 << 30, max_files: int | None = None) -> DataFrame:
     """A stream of sidecar lines from closed segment files ``{session}.meta.jsonl[.{n}]``.
 
     Each file is taken once and must not grow afterwards; segments are to be a few megabytes, since a file is one row
     until it is split. ``max_bytes``, or ``max_files`` in its place, bounds what one micro-batch takes in, and so what
     one session can bring to one task.
     """
-    limit = ("maxFilesPerTrigger", str(max_files)) if max_files else ("maxBytesPerTrigger", max_bytes)
+    limit = ("maxFilesPerTrigger", str(max_files)) if max_files else ("maxBytesPerTrigger", str(max_bytes))
     reader = (
-        spark.readStream.option("wholetext", "true")
-        .option("pathGlobFilter", _SEGMENT_GLOB)
+        spark.readStream.option("pathGlobFilter", _SEGMENT_GLOB)
         .option("recursiveFileLookup", "true")
         .option(*limit)
     )
-    name = F.col("_metadata.file_name")
-    files = reader.text(path).select(
+    name = decoded_name("_metadata.file_path")
+    files = reader.text(path, wholetext=True).select(
         F.regexp_extract(name, _SEGMENT_NAME, 1).alias("session_id"),
         F.coalesce(F.regexp_extract(name, _SEGMENT_NAME, 2).try_cast("bigint"), F.lit(0)).alias("block"),
         F.col("_metadata.file_path").alias("source"),
@@ -50,19 +49,15 @@ def read_sidecar_stream(spark: SparkSession, path: str, max_bytes: str = "1g", m
 
 
 def list_files(spark: SparkSession, path: str | list[str], suffix: str) -> DataFrame:
-    """``(session_id, bytes)`` of the session files with a suffix; only their listing is read, never their content."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{suffix}")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path", "length")
-    )
-    name = F.substring_index("path", "/", -1)
-    return files.select(
-        F.substr(name, F.lit(1), F.length(name) - F.lit(len(suffix))).alias("session_id"),
-        F.col("length").alias("bytes"),
-    )
+    """``session_id`` of the session files with a suffix, empty files too; no file is opened.
+
+    A scan would leave empty files out, so the names are those of the reader's file index, which the driver has anyway.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}")
+    files = reader.option("recursiveFileLookup", "true").load(path).inputFiles()
+    name = decoded_name("path")
+    names = spark.createDataFrame([(file,) for file in files], "path string")
+    return names.select(F.substr(name, F.lit(1), F.length(name) - F.lit(len(suffix))).alias("session_id"))
 
 
 def missing_sessions(sessions: DataFrame, present: DataFrame) -> DataFrame:
