@@ -45,21 +45,34 @@ def _value(line: Column | str, key: str, token: str, blanks: str = r"[ \t]") ->
     return F.regexp_extract(_col(line), rf"(?s){quoted_key}(?:[ \t]*+:{blanks}*+({token}))?", 1)
 
 
-def _unquote(token: Column) -> Column:
-    """A quoted token's text. NULL for the empty token: the length is NULL then, and the token is computed once."""
-    inner = F.substr(token, F.lit(2), F.nullif(F.length(token) - F.lit(2), F.lit(-2)))
-    return F.regexp_replace(inner, r"(?s)\\(.)", "$1")
+def _rest(token: Column, cut: int) -> Column:
+    """The token from its second character on, ``cut`` characters shorter; NULL if it is empty.
+
+    The NULL comes in through the length, so that the token is no argument of a branch, and is computed once.
+    """
+    return F.substr(token, F.lit(2), F.when(F.length(token) > 0, F.length(token) - F.lit(cut)))
+
+
+def _unescape(text: Column) -> Column:
+    return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
 def field_string(line: Column | str, key: str) -> Column:
     """The string value of a key, each backslash dropped and its next character kept; NULL if not a string."""
-    return _unquote(_value(line, key, _QUOTED))
+    return _unescape(_rest(_value(line, key, _QUOTED), 2))
 
 
 def field_scalar(line: Column | str, key: str) -> Column:
     """As `field_string`, and any other value as its raw token."""
     token = _value(line, key, f"{_QUOTED}|{_BARE}")
-    return F.when(token.startswith('"'), _unquote(token)).when(token != "", token)
+    return F.when(token.startswith('"'), _unescape(_rest(token, 2))).when(token != "", token)
+
+
+def field_equals(line: Column | str, key: str, value: str, scalars: bool = False) -> Column:
+    """Whether a key has this string value or, with ``scalars``, this raw token. Looks the key up once or twice."""
+    token = _value(line, key, f"{_QUOTED}|{_BARE}" if scalars else _QUOTED)
+    equal = _unescape(token) == f'"{value}"'
+    return equal | (token == value) if scalars and not value.startswith('"') else equal
 
 
 def field_integer(line: Column | str, key: str) -> Column:
@@ -70,7 +83,7 @@ def field_integer(line: Column | str, key: str) -> Column:
 def field_kind(line: Column | str) -> Column:
     """The record kind: at most 15 characters after the opening quote, NULL if the value is not quoted."""
     head = _value(line, "kind", f'"[^"]{{0,{KIND_CHARS}}}')
-    return F.substr(head, F.lit(2), F.nullif(F.length(head), F.lit(0)))
+    return _rest(head, 1)
 
 
 def meta_fields(line: Column | str, mode: str = "textual") -> dict[str, Column]:

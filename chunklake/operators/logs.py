@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chunklake.functions.fields import field_scalar, field_string, looks_like_object, trim_line
+from chunklake.functions.fields import field_equals, looks_like_object, trim_line
 from chunklake.functions.formats import csv_line, json_line
 from chunklake.functions.options import check_fields, check_filter, check_log_options
 from chunklake.functions.regex import regex_records
@@ -51,7 +51,7 @@ def format_records(records: DataFrame, fields: str | list[str], fmt: str = "json
 def json_condition(line: Column, condition: str, scalars: bool = False) -> Column:
     """``key=value`` on a JSON line: true for equal string values, with ``scalars`` also for equal raw tokens."""
     key, value = check_filter(condition)
-    return (field_scalar if scalars else field_string)(line, key) == value
+    return field_equals(line, key, value, scalars)
 
 
 def filter_json_lines(

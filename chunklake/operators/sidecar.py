@@ -15,9 +15,13 @@ def tag_sidecar(lines: DataFrame, mode: str = "textual") -> DataFrame:
 
     Fields, record and choice are steps of their own, so that each field is computed once.
     """
-    fields = {name: F.col(f"_{name}") for name in schemas.META.fieldNames()}
-    tagged = lines.withColumns({f"_{name}": field for name, field in meta_fields("line", mode).items()})
-    tagged = tagged.withColumn("meta", whole_meta(fields)).drop(*[f"_{name}" for name in fields])
+    if mode == "json":
+        tagged = lines.withColumn("_json", F.from_json("line", schemas.META))
+        fields = {name: F.col("_json")[name] for name in schemas.META.fieldNames()}
+    else:
+        tagged = lines.withColumns({f"_{name}": field for name, field in meta_fields("line", mode).items()})
+        fields = {name: F.col(f"_{name}") for name in schemas.META.fieldNames()}
+    tagged = tagged.withColumn("meta", whole_meta(fields)).select(*lines.columns, "meta")
     return tagged.withColumn("parsed", F.when(F.col("meta.kind") == DATA_KIND, F.col("meta")))
 
 

@@ -58,7 +58,7 @@ def lookup_many(store: DataFrame, keys: DataFrame, now: int, seq_col: str = "wri
     """``(key, value)`` of all keys in ``keys`` that have a live latest row.
 
     The number and size of the keys are counted first, up to the bound. A set within it is broadcast, and the store is
-    filtered before it is shuffled; a larger one is joined after the store has come down to one row per key.
+    filtered before it is shuffled. A larger one is shuffled with the store, both reduced to one row per key and task.
     """
     keys = keys.select("key").distinct()
     counted = keys.limit(BROADCAST_KEYS + 1).agg(F.count("*"), F.coalesce(F.sum(F.octet_length("key")), F.lit(0)))
@@ -66,7 +66,12 @@ def lookup_many(store: DataFrame, keys: DataFrame, now: int, seq_col: str = "wri
     if count <= BROADCAST_KEYS and size <= BROADCAST_BYTES:
         latest = latest_per_key(store.join(F.broadcast(keys), "key", "left_semi"), seq_col)
     else:
-        latest = latest_per_key(store, seq_col).join(keys, "key", "left_semi")
+        rows = store.select("key", F.col(seq_col).alias("seq"), F.struct("value", "expire_at").alias("row"))
+        both = rows.withColumn("asked", F.lit(False)).unionByName(
+            keys.withColumn("asked", F.lit(True)), allowMissingColumns=True
+        )
+        latest = both.groupBy("key").agg(F.max_by("row", "seq").alias("row"), F.max("asked").alias("asked"))
+        latest = latest.where("asked AND row IS NOT NULL").select("key", "row.*")
     return latest.where(is_live("expire_at", now)).select("key", "value")
 
 

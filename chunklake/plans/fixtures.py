@@ -15,6 +15,10 @@ SPACING_MS = 100
 JUMP_AT, JUMP_BY = 200, 5
 
 
+#: Microseconds since the epoch of a time without a zone, whatever zone the session has.
+EPOCH_MICROS = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)"
+
+
 def generate_chunks(spark: SparkSession, kind: str = "medium", session_id: str | None = None) -> DataFrame:
     """``(session_id, line_no, kind, sequence, offset, length, ts_ms)`` of one generated session."""
     i = F.col("id")
@@ -50,8 +54,8 @@ def event_chunks(events: DataFrame) -> DataFrame:
         "event_id + (event_id div 4096) * 8386560 + ((event_id % 4096) * (event_id % 4096 - 1)) div 2"
         " + (event_id div 1009) * 7 AS offset",
         "1 + event_id % 4096 AS length",
-        "unix_millis(cast(ts AS timestamp)) - if(event_id % 13 = 5, 7200000, 0) AS ts_ms",
-        "unix_millis(cast(ts AS timestamp)) AS arrival_ms",
+        f"{EPOCH_MICROS} div 1000 - if(event_id % 13 = 5, 7200000, 0) AS ts_ms",
+        f"{EPOCH_MICROS} div 1000 AS arrival_ms",
     )
 
 

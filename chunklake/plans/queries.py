@@ -20,7 +20,7 @@ from chunklake.operators.clips import by_number, continuity_breaks, cut_clips
 from chunklake.operators.logs import extract_log, filter_json_lines, format_records
 from chunklake.operators.sidecar import parse_sidecar, tag_sidecar
 from chunklake.operators.store import LINE_PLACE, compact, latest_per_key, lookup, lookup_many, to_store_rows
-from chunklake.plans.fixtures import event_chunks, event_lines
+from chunklake.plans.fixtures import EPOCH_MICROS, event_chunks, event_lines
 from chunklake.plans.pipeline import clips_to_store
 from chunklake.schemas import CLIP_FIELDS
 from chunklake.session import shared_folder
@@ -90,7 +90,7 @@ def _clip_json(spark: SparkSession, folder: str) -> DataFrame:
     """Clip records as JSON lines with a place, some lacking a path, some with a quoted time."""
     event_id = F.col("event_id")
     path = F.concat(F.lit("/clips/"), event_id.cast("string"), F.lit(".mp4"))
-    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    seconds = F.expr(f"{EPOCH_MICROS} div 1000000")
     head = F.concat(F.lit('{"type":"clip","session_id":"u'), F.col("user_id").cast("string"), F.lit('","ts":'))
     ts = F.when(event_id % 9 == 4, F.concat(F.lit('"'), seconds.cast("string"), F.lit('"'))).otherwise(
         seconds.cast("string")

@@ -61,5 +61,11 @@ def list_files(spark: SparkSession, path: str | list[str], suffix: str) -> DataF
 
 
 def missing_sessions(sessions: DataFrame, present: DataFrame) -> DataFrame:
-    """Sessions that are not among those present. Duplicates go before the join, so no session is a hot key in it."""
-    return sessions.select("session_id").distinct().join(present.select("session_id").distinct(), "session_id", "left_anti")
+    """Sessions that are not among those present.
+
+    Both sides are reduced by session before they are shuffled together, so no session is a hot key.
+    """
+    both = sessions.select("session_id", F.lit(0).alias("there")).unionByName(
+        present.select("session_id", F.lit(1).alias("there"))
+    )
+    return both.groupBy("session_id").agg(F.max("there").alias("there")).where("there = 0").select("session_id")

@@ -138,3 +138,27 @@ def test_chunks_are_scanned_and_shuffled_once(spark, sessions, tmp_path):
     clips.collect()
     plan = clips._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
+def test_adaptive_splits_do_not_tear_blocks(spark, sessions):
+    """A task must see whole blocks, whatever adaptive execution does to partitions it takes for skewed."""
+    names = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1b",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "500b",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        records = [(i, i * 4, 4, i * 7, 0) for i in range(2000)]
+        chunks = _frame(spark, sessions | {"hot": records}).repartition(12)
+        clips = cut_clips(chunks, clip_ms=1000, order=by_number(block_lines=500), keep_order=True)
+        found = _by_session(clips, "start_ts_ms", "offset", "length", "complete")
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert found == {name: fold(rows, 1000) for name, rows in (sessions | {"hot": records}).items()}

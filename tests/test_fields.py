@@ -37,6 +37,14 @@ def test_textual_lookup(spark):
     assert {row[0]: tuple(row)[1:] for row in found.collect()} == {i: row[1:] for i, row in enumerate(LINES)}
 
 
+def test_equality_is_that_of_the_lookup(spark):
+    frame = spark.createDataFrame([(i, row[0]) for i, row in enumerate(LINES)], "i int, line string")
+    for value in ("v", "12", "1.5", "anbu0041\"c\\", '"12"', "12abc", "in"):
+        for scalars, lookup in ((False, fields.field_string), (True, fields.field_scalar)):
+            wanted = frame.where(lookup("line", "k") == value).select("i").collect()
+            assert frame.where(fields.field_equals("line", "k", value, scalars)).select("i").collect() == wanted
+
+
 def test_long_values_and_odd_keys(spark):
     text = "a\\\"b" * 50_000
     frame = spark.createDataFrame([('{"a.b[$":"' + text + '"}',)], "line string")
