@@ -177,6 +177,9 @@ SELECT CAST(doc_id AS VARCHAR) || ',' || {_csv('text')} || ',' || {_csv('lang')}
 SELECT event_id, event_type AS type_string, CAST(NULL AS VARCHAR) AS user_string, CAST(user_id AS VARCHAR) AS user_scalar,
        props AS props_string, event_id AS event_integer, NOT cut AS is_object FROM trimmed""",
     "marker_sessions": "SELECT page_id, url || '/.pipeline_end' AS path FROM pages WHERE page_id % 7 = 0",
+    "ended_sessions": """WITH hosts AS (SELECT page_id, regexp_extract(url, '://([^/]+)', 1) AS host FROM pages)
+SELECT 'p' || page_id AS session_id FROM hosts
+WHERE host IN (SELECT host FROM hosts WHERE page_id % 7 = 0)""",
     "missing_payload": """
 SELECT CAST(doc_id AS VARCHAR) AS session_id FROM documents d
 WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",

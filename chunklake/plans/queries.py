@@ -27,7 +27,7 @@ from chunklake.session import shared_folder
 from chunklake.sinks.store import append_store, compact_store, store_lines
 from chunklake.sinks.text import clip_lines, write_clips
 from chunklake.sources.lines import number_lines, read_log_lines, scan_lines
-from chunklake.sources.sidecar import missing_sessions
+from chunklake.sources.sidecar import ended_sessions, missing_sessions
 from chunklake.sources.store import parse_clip_lines, read_store, read_store_tsv
 from chunklake.streaming.clips import cut_record_stream
 from chunklake.streaming.store import append_clip_stream
@@ -233,6 +233,15 @@ def end_markers(spark: SparkSession, folder: str) -> DataFrame:
     return paths.where(is_end_marker("path"))
 
 
+def sessions_ended(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages as sidecars in a folder per host, some of which hold an end marker."""
+    pages = _table(spark, folder, "pages")
+    host = F.concat(F.lit("/in/"), F.regexp_extract("url", "://([^/]+)", 1), F.lit("/"))
+    sidecars = pages.select(F.concat(host, F.lit("p"), F.col("page_id"), F.lit(".meta.jsonl")).alias("path"))
+    markers = pages.where("page_id % 7 = 0").select(F.concat(host, F.lit(".pipeline_end")).alias("path"))
+    return ended_sessions(sidecars.unionByName(markers))
+
+
 def missing_payload(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as sessions, their labels as payloads."""
     sessions = _table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("session_id"))
@@ -333,7 +342,8 @@ def pipeline_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stream_events(spark: SparkSession, folder: str) -> DataFrame:
     schema = _table(spark, folder, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    return reader.option("maxBytesPerTrigger", str(1 << 30)).parquet(folder)
 
 
 def _run(query) -> None:
@@ -425,6 +435,7 @@ QUERIES: dict[str, Query] = {
     "trimmed_lines": trimmed_lines,
     "textual_fields": textual_fields,
     "marker_sessions": end_markers,
+    "ended_sessions": sessions_ended,
     "missing_payload": missing_payload,
     "store_rows": store_rows,
     "store_rows_no_ttl": store_rows_no_ttl,

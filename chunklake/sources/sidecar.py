@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunklake.functions.fields import SIDECAR_SUFFIX
+from chunklake.functions.fields import SIDECAR_SUFFIX, is_end_marker
 from chunklake.sources.lines import decoded_name, drop_unterminated, scan_lines, split_lines
 
 # How sidecar files are named. A growing session is a row of closed files, numbered from 0.
@@ -69,3 +69,18 @@ def missing_sessions(sessions: DataFrame, present: DataFrame) -> DataFrame:
         present.select("session_id", F.lit(1).alias("there"))
     )
     return both.groupBy("session_id").agg(F.max("there").alias("there")).where("there = 0").select("session_id")
+
+
+def ended_sessions(paths: DataFrame) -> DataFrame:
+    """Sessions whose folder holds an end marker, from the ``path`` of every file.
+
+    A marker ends all sessions of its folder. Spark's own file listing leaves markers out, since their name begins
+    with a dot, so the paths have to come from elsewhere.
+    """
+    path = F.col("path")
+    folder = F.substr(path, F.lit(1), F.length(path) - F.length(F.substring_index(path, "/", -1)))
+    files = paths.select(folder.alias("folder"), F.substring_index(path, "/", -1).alias("name"), "path")
+    marked = files.where(is_end_marker("path")).select("folder").distinct()
+    sidecars = files.where(F.col("name").endswith(SIDECAR_SUFFIX)).join(marked, "folder", "left_semi")
+    name = F.col("name")
+    return sidecars.select(F.substr(name, F.lit(1), F.length(name) - F.lit(len(SIDECAR_SUFFIX))).alias("session_id"))
