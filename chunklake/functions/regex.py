@@ -33,6 +33,7 @@ POSIX_CLASSES = {
 }
 
 _BRACKET = re.compile(r"\[(\^?)(\]?(?:\[:[a-z]+:\]|[^\]])*)\]")
+_PLAIN = "x"
 _CLASS = re.compile(r"\[:([a-z]+):\]")
 
 
@@ -40,7 +41,8 @@ _CLASS = re.compile(r"\[:([a-z]+):\]")
 class Translated:
     pattern: str
     groups: int
-    may_skip_group: bool
+    #: numbers of the groups that may take no part in a match
+    skippable: frozenset[int]
 
 
 def _bracket(match: re.Match[str]) -> str:
@@ -63,12 +65,14 @@ def translate(pattern: str) -> Translated:
         if pattern[at] == "\\":
             step = pattern[at : at + 2]
             rewritten.append(step)
+            skeleton.append(_PLAIN)
         elif pattern[at] == "[":
             found = _BRACKET.match(pattern, at)
             if found is None:
                 raise ValueError(f"invalid pattern {pattern!r}: open bracket expression")
             step = found[0]
             rewritten.append(_bracket(found))
+            skeleton.append(_PLAIN)
         else:
             step = pattern[at]
             rewritten.append(step)
@@ -79,7 +83,35 @@ def translate(pattern: str) -> Translated:
         groups = re.compile(text).groups
     except re.error as error:
         raise ValueError(f"invalid pattern {pattern!r}: {error}") from error
-    return Translated(text, groups, "|" in shape or re.search(r"\)(\?|\*|\{0?[,}])", shape) is not None)
+    return Translated(text, groups, _skippable("".join(skeleton)))
+
+
+def _skippable(shape: str) -> frozenset[int]:
+    """Groups inside one of several alternatives, and groups in anything that may be repeated zero times.
+
+    ``shape`` is the pattern with a plain letter for every escape and bracket. An alternation inside a group does not touch that group.
+    """
+    found: set[int] = set()
+    scopes: list[dict] = [{"own": None, "inner": set(), "bar": False}]
+    groups = 0
+    for at, step in enumerate(shape):
+        if step == "(":
+            capturing = shape[at + 1 : at + 2] != "?"
+            groups += capturing
+            scopes.append({"own": groups if capturing else None, "inner": set(), "bar": False})
+        elif step == "|":
+            scopes[-1]["bar"] = True
+        elif step == ")":
+            scope = scopes.pop()
+            if scope["bar"]:
+                found |= scope["inner"]
+            whole = scope["inner"] | ({scope["own"]} if scope["own"] else set())
+            if re.match(r"\?|\*|\{0*[,}]", shape[at + 1 :]):
+                found |= whole
+            scopes[-1]["inner"] |= whole
+    if scopes[0]["bar"]:
+        found |= scopes[0]["inner"]
+    return frozenset(found)
 
 
 def regex_records(
@@ -96,7 +128,7 @@ def regex_records(
             raise ValueError(f"{len(fields)} fields but only {parsed.groups} groups in {pattern!r}")
         none = [F.lit(None).cast("string").alias(name) for name in fields]
         return lines.where(F.lit(False)).select(*keep, *none), lines
-    if parsed.may_skip_group:
+    if any(number <= len(fields) for number in parsed.skippable):
         tagged = lines.withColumn("_groups", _groups(parsed.pattern, len(fields))(line))
         groups = [F.col("_groups")[i].alias(name) for i, name in enumerate(fields)]
         matched = F.col("_groups").isNotNull()

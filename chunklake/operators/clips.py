@@ -56,7 +56,7 @@ class Order:
         if self.block is not None:
             return f"cast({self.block} AS bigint)"
         # the line numbers of a session differ, so a block of so many numbers holds no more lines than that
-        return f"(cast({self.line} AS bigint) div {self.block_lines}) * {self.block_lines}"
+        return f"cast({self.line} AS bigint) - pmod(cast({self.line} AS bigint), {self.block_lines})"
 
 
 def by_number(line: str = "line_no", block_lines: int = BLOCK_LINES) -> Order:
@@ -65,14 +65,15 @@ def by_number(line: str = "line_no", block_lines: int = BLOCK_LINES) -> Order:
 
 
 def _spread(chunks: DataFrame, order: Order, arrival_col: str | None = None) -> DataFrame:
-    """The chunks, spread by session and block."""
+    """The chunks, spread by session and block. A record without one of its numbers is no chunk."""
     numbers = [f"cast({name} AS bigint) AS {name}" for name in _NUMBERS]
     if arrival_col:
         numbers.append(f"cast({arrival_col} AS bigint) AS arrival")
     place = ["cast(session_id AS string) AS session_id", f"{order.block_expr()} AS block"]
     spread = chunks.selectExpr(*place, f"cast({order.line} AS bigint) AS line", *numbers).repartition(*_KEYS)
-    # said here, and not left to be inferred from some of the joins, so that the exchange is the same for all of them
-    return spread.where("session_id IS NOT NULL AND block IS NOT NULL")
+    # that the keys are there is said here, and not left to be inferred from some of the joins, so that the exchange is
+    # the same for all of them
+    return spread.where(" AND ".join(f"{name} IS NOT NULL" for name in spread.columns))
 
 
 def _follows(last: str, sequence: str, offset: str) -> str:

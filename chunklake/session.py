@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", app_name: str = "chunklake", **conf: s
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
     )
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)

@@ -125,6 +125,24 @@ def test_lengths_add_up_and_partitions_do_not_matter(spark, sessions):
     assert few.agg(F.sum("length")).first()[0] == chunks.agg(F.sum("length")).first()[0]
 
 
+def test_no_chunks_and_odd_numbers(spark):
+    names = "session_id string, line_no long, sequence long, offset long, length long, ts_ms long"
+    assert cut_clips(spark.createDataFrame([], names), order=by_number()).count() == 0
+    top = (1 << 63) - 1
+    rows = [
+        ("neg", -3, 1, 0, 4, 0),
+        ("neg", -2, 2, 4, 4, 10),
+        ("neg", 1, 3, 8, 4, 20),
+        ("top", 1, top, top - 2, 2, 0),
+        ("top", 2, 0, top, 1, 5),
+        ("none", 1, None, 0, 1, 0),
+    ]
+    for block_lines in (2, 100):
+        clips = cut_clips(spark.createDataFrame(rows, names), order=by_number(block_lines=block_lines), keep_order=True)
+        found = _by_session(clips, "ts", "offset", "length", "complete")
+        assert found == {"neg": [(0, 0, 12, True)], "top": [(0, top - 2, 2, False), (0, top, 1, True)]}
+
+
 def test_bad_options(spark):
     chunks = _frame(spark, {"s": [(1, 0, 1, 0, 0)]})
     for options in ({"clip_ms": 0}, {"idle_ms": 5}, {"idle_ms": -1, "arrival_col": "arrival"}):

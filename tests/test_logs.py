@@ -73,6 +73,30 @@ def test_posix_brackets(lines, pattern, text, expected):
     assert re.search("(?s)" + translate(pattern).pattern, text)[1] == expected
 
 
+@pytest.mark.parametrize(
+    "pattern, expected",
+    [
+        ("^(GET|POST) (.+)$", set()),
+        ("^(a)?(b)", {1}),
+        ("((a)|b)(c)", {2}),
+        ("(a)|(b)", {1, 2}),
+        ("((a)(b|c))*(d)", {1, 2, 3}),
+        ("(a){0,2}(b){1,2}(c){2}", {1}),
+        ("(?:(a)|x)(b)", {1}),
+        (r"(a\|b[|?(]+)\)?(c)", set()),
+        ("(s?)(t*)", set()),
+    ],
+)
+def test_which_groups_may_take_no_part(pattern, expected):
+    assert translate(pattern).skippable == expected
+
+
+def test_alternation_inside_a_group_stays_native(lines):
+    records, _ = extract_log(lines("GET /a", "POST /b", "PUT /c"), "^(GET|POST) (.+)$", "verb,path")
+    assert "Python" not in records._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(row) for row in records.collect()] == [("GET", "/a"), ("POST", "/b")]
+
+
 def test_bad_patterns(lines):
     for pattern in ("(", "[a", "[[:nope:]]", "*"):
         with pytest.raises(ValueError):
