@@ -44,9 +44,12 @@ def run_pipeline(
     sessions: list[str] | None = None,
     now: int | None = None,
     run: int | None = None,
+    clip_src: str | None = None,
 ) -> None:
     """Cut every session under ``src`` (or the named ones) and append the clips to the store.
 
+    ``clip_src`` is the folder named in clip paths if that is not ``src``, as in ``/data/in/{session_id}``.
+
     Fails before anything is written when a session has no payload file, or a named one no sidecar.
     """
     ttl = check_ttl(ttl)
@@ -61,7 +64,7 @@ def run_pipeline(
         lines = lines.where(F.col("session_id").isin(sessions))
     chunks, _ = parse_sidecar(lines)
     run = time.time_ns() if run is None else run
-    append_store(clips_to_store(chunks, src, ttl, now, run), store_path, run)
+    append_store(clips_to_store(chunks, clip_src or src, ttl, now, run), store_path, run)
 
 
 def _require(missing: DataFrame, what: str) -> None:

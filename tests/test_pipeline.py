@@ -57,6 +57,8 @@ def test_files_to_store(spark, sessions, tmp_path):
     run_pipeline(spark, str(src), path, 0, ["sess_dispatch", "empty"], now=NOW, run=2)
     added = read_store(spark, path).where("write_seq.run = 2").collect()
     assert [(row.key, row.expire_at) for row in added] == [("sess_dispatch:7", 0)]
+    run_pipeline(spark, str(src), path, 0, ["sess_dispatch"], NOW, 3, "/in/{session_id}")
+    assert read_store(spark, path).where("write_seq.run = 3").first().value == "/in/sess_dispatch/sess_dispatch_7.bin"
 
 
 def test_missing_files_stop_before_the_write(spark, sessions, tmp_path):
