@@ -23,14 +23,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chunklake.functions.fields import CLIP_TYPE, clip_path, clip_ts
 from chunklake.functions.options import DEFAULT_CLIP_MS, check_span_ms
-from chunklake.operators.cutting import cut_points, highest_so_far, last_starts, runs_of
+from chunklake.operators.cutting import LATEST, cut_points, highest_so_far, last_starts, runs_of
 from chunklake.schemas import CLIP_FIELDS
 
 #: Lines per block where the order is one integer column: what one task sorts and cuts as a unit.
@@ -252,7 +251,7 @@ def _steps(clip_ms: int):
     def settle(block: dict) -> pa.RecordBatch:
         times = np.concatenate(block["times"])
         starts = last_starts(times, clip_ms)
-        reachable = np.searchsorted(times, block["entry_time"] + clip_ms, side="left") + 1
+        reachable = np.searchsorted(times, min(block["entry_time"], LATEST - clip_ms) + clip_ms, side="left") + 1
         bounds, exits = times[:reachable], starts[:reachable]
         last_of_step = np.append(exits[1:] != exits[:-1], True)[: len(exits)]
         row = [[block[name]] for name in ("session_id", "chain", "block", "next_block", "entry")]
@@ -279,17 +278,27 @@ def _steps(clip_ms: int):
     return steps
 
 
-def _follow_chain(clip_ms: int):
-    """The start that enters the block behind each block of a stretch."""
+_PASSED_DDL = "session_id string, block bigint, passed bigint"
+_PASSED = pa.schema([("session_id", pa.string()), ("block", pa.int64()), ("passed", pa.int64())])
 
-    def follow(steps: pd.DataFrame) -> pd.DataFrame:
-        steps = steps.sort_values("block", ignore_index=True)
-        start, entries = int(steps["entry"].iloc[0]), []
-        for bounds, exits in zip(steps["bounds"], steps["exits"], strict=True):
-            step = int(np.searchsorted(np.asarray(bounds, np.int64), start + clip_ms, side="left"))
-            start = int(exits[step]) if step < len(exits) else start
-            entries.append(start)
-        return pd.DataFrame({"session_id": steps["session_id"], "block": steps["next_block"], "passed": entries})
+
+def _follow(clip_ms: int):
+    """The start that enters the block behind each block of a stretch. Rows must be sorted; one is held at a time."""
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stretch, start = None, 0
+        for batch in batches:
+            sessions, chains, entries = (batch.column(name).to_pylist() for name in ("session_id", "chain", "entry"))
+            bounds, exits = batch.column("bounds"), batch.column("exits")
+            passed = []
+            for i, here in enumerate(zip(sessions, chains, strict=True)):
+                if here != stretch:
+                    stretch, start = here, entries[i]
+                steps = bounds[i].values.to_numpy()
+                step = int(np.searchsorted(steps, min(start, LATEST - clip_ms) + clip_ms, side="left"))
+                start = exits[i].values[step].as_py() if step < len(steps) else start
+                passed.append(start)
+            yield _emit(_PASSED, batch.column("session_id"), batch.column("next_block"), passed)
 
     return follow
 
@@ -298,9 +307,8 @@ def _entries(spread: DataFrame, blocks: DataFrame, clip_ms: int) -> DataFrame:
     """``(session_id, block, passed)``: the start that enters a block behind one that a run passes through."""
     passing = blocks.where("passing").select(*_KEYS, "next_block", "chain", "entry", "entry_time")
     steps = _ordered(_at_blocks(spread, passing)).mapInArrow(_steps(clip_ms), _STEPS_DDL)
-    return steps.groupBy("session_id", "chain").applyInPandas(
-        _follow_chain(clip_ms), "session_id string, block bigint, passed bigint"
-    )
+    stretches = steps.repartition("session_id", "chain").sortWithinPartitions("session_id", "chain", "block")
+    return stretches.mapInArrow(_follow(clip_ms), _PASSED_DDL)
 
 
 _PIECES_DDL = "session_id string, island bigint, start_ts_ms bigint, offset bigint, length bigint, complete boolean"

@@ -15,12 +15,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _FAR = float(1 << 61)
-_LATEST = np.iinfo(np.int64).max
+LATEST = np.iinfo(np.int64).max
 
 
 def last_starts(times: np.ndarray, clip_ms: int) -> np.ndarray:
     """For each of sorted times, the last start reached when a clip starts there. Doubles the stride each round."""
-    steps = np.searchsorted(times, np.minimum(times, _LATEST - clip_ms) + clip_ms, side="left")
+    steps = np.searchsorted(times, np.minimum(times, LATEST - clip_ms) + clip_ms, side="left")
     reach = np.where(steps < len(times), steps, np.arange(len(times)))
     while True:
         further = reach[reach]

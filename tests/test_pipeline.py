@@ -84,10 +84,13 @@ def test_sidecar_files_over_many_splits(spark, tmp_path):
         spark.conf.set(name, value)
     try:
         chunks, _ = parse_sidecar(read_sidecars(spark, str(tmp_path)))
-        clips = cut_clips(chunks, clip_ms=1000, keep_order=True).collect()
+        frame = cut_clips(chunks, clip_ms=1000, keep_order=True)
+        clips = frame.collect()
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan text") == 1
     for name, records in sessions.items():
         mine = sorted((c for c in clips if c.session_id == name), key=lambda c: (c.island, c.start_ts_ms))
         assert [(c.start_ts_ms, c.offset, c.length, c.complete) for c in mine] == fold(records, 1000)
