@@ -124,7 +124,7 @@ def clip_ts(start_ts_ms: Column) -> Column:
 
 
 def clip_path(src: str, session_id: Column, ts: Column) -> Column:
-    """``{src}/{session}_{ts}.bin``; a ``{session_id}`` in the folder stands for the session, for folders of their own."""
+    """``{src}/{session}_{ts}.bin``. In the folder, ``{session_id}`` stands for the session."""
     folder = F.replace(F.lit(src), F.lit("{session_id}"), session_id) if "{session_id}" in src else F.lit(src)
     return F.concat(folder, F.lit("/"), session_id, F.lit("_"), ts.cast("string"), F.lit(PAYLOAD_SUFFIX))
 

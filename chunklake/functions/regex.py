@@ -2,8 +2,8 @@
 
 Patterns are POSIX extended expressions. `translate` rewrites the few places where their spelling differs
 from Java's and Python's (bracket expressions), and reports what decides the physical path: a pattern in which every
-used group takes part in every match runs on Spark's own regex functions; only a pattern with an optional group or an
-alternation needs an Arrow UDF, because Spark's functions cannot tell an empty group from one that took no part.
+used group takes part in every match runs on Spark's own regex functions; only a pattern with a used group that may
+take no part needs an Arrow UDF, because Spark's functions cannot tell an empty group from one that took no part.
 """
 
 from __future__ import annotations
@@ -89,7 +89,8 @@ def translate(pattern: str) -> Translated:
 def _skippable(shape: str) -> frozenset[int]:
     """Groups inside one of several alternatives, and groups in anything that may be repeated zero times.
 
-    ``shape`` is the pattern with a plain letter for every escape and bracket. An alternation inside a group does not touch that group.
+    ``shape`` is the pattern with a plain letter for every escape and bracket. An alternation inside a group does not
+    touch that group.
     """
     found: set[int] = set()
     scopes: list[dict] = [{"own": None, "inner": set(), "bar": False}]

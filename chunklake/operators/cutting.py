@@ -120,7 +120,8 @@ def runs_of(batches: Iterator[pa.RecordBatch], idle_ms: int | None) -> Iterator[
         number = np.arange(len(heads)) - np.repeat(opening, np.diff(np.append(opening, len(heads))))
         if same_block:
             number[: opening[1] if len(opening) > 1 else None] += before["number"] + (not same_run)
-        before = {name: int(columns[name][-1]) for name in ("sequence", "offset", "length", "arrival") if name in columns}
+        carried = [name for name in ("sequence", "offset", "length", "arrival") if name in columns]
+        before = {name: int(columns[name][-1]) for name in carried}
         before["key"] = (session[rows - 1].as_py(), int(block[-1]))
         before["number"] = int(number[-1])
         yield Runs(batch, columns, block_heads, heads, number, same_block, bool(same_run))

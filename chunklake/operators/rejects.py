@@ -34,4 +34,5 @@ def count_rejects(tagged: DataFrame, name: str = "lines") -> tuple[DataFrame, Ob
 def count_clips(clips: DataFrame, name: str = "clips") -> tuple[DataFrame, Observation]:
     """The same clips, with counts of all and of those a break or a pause cut short."""
     seen = Observation(name)
-    return clips.observe(seen, F.count(F.lit(1)).alias("clips"), F.count_if(~F.col("complete")).alias("cut_short")), seen
+    cut_short = F.count_if(~F.col("complete"))
+    return clips.observe(seen, F.count(F.lit(1)).alias("clips"), cut_short.alias("cut_short")), seen

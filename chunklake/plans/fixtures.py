@@ -14,7 +14,6 @@ FIRST_TS_MS = 1000
 SPACING_MS = 100
 JUMP_AT, JUMP_BY = 200, 5
 
-
 #: Microseconds since the epoch of a time without a zone, whatever zone the session has.
 EPOCH_MICROS = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)"
 
@@ -34,9 +33,9 @@ def generate_chunks(spark: SparkSession, kind: str = "medium", session_id: str |
     )
 
 
-def meta_line(*extra: Column) -> Column:
+def meta_line() -> Column:
     """A chunk as a sidecar line."""
-    return F.to_json(F.struct("kind", "sequence", "offset", "length", "ts_ms", *extra))
+    return F.to_json(F.struct("kind", "sequence", "offset", "length", "ts_ms"))
 
 
 def event_chunks(events: DataFrame) -> DataFrame:

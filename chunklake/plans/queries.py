@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunklake.functions.fields import (
@@ -16,7 +16,7 @@ from chunklake.functions.fields import (
     looks_like_object,
     trim_line,
 )
-from chunklake.operators.clips import by_number, continuity_breaks, cut_clips
+from chunklake.operators.clips import BLOCK_LINES, Order, by_number, continuity_breaks, cut_clips
 from chunklake.operators.logs import extract_log, filter_json_lines, format_records
 from chunklake.operators.sidecar import parse_sidecar, tag_sidecar
 from chunklake.operators.store import LINE_PLACE, compact, latest_per_key, lookup, lookup_many, to_store_rows
@@ -41,8 +41,6 @@ NOW = 1000
 URL_PATTERN = r"^(https?)://([^/]+)(/[^?]*)"
 URL_FIELDS = "scheme,host,path"
 BY_LINE = by_number("line_no")
-#: So few lines that the sessions of the smallest table already fill many blocks.
-BY_SHORT_BLOCK = by_number("line_no", 512)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -53,6 +51,12 @@ def _chunks(spark: SparkSession, folder: str) -> DataFrame:
     return event_chunks(_table(spark, folder, "events"))
 
 
+def _many_blocks(spark: SparkSession, folder: str) -> Order:
+    """Blocks so short that the hot session of any table fills several, but never longer than the default."""
+    events = _table(spark, folder, "events").count()
+    return by_number("line_no", min(max(events // 64, 512), BLOCK_LINES))
+
+
 def _event_json(spark: SparkSession, folder: str) -> DataFrame:
     """Event records as JSON lines, some with blanks around them, some cut short."""
     whole = F.to_json(F.struct(F.col("event_type").alias("type"), "user_id", "event_id", "props"))
@@ -107,12 +111,12 @@ def clip_cut(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clip_cut_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    return cut_clips(_chunks(spark, folder), SRC, CLIP_MS, order=BY_SHORT_BLOCK)
+    return cut_clips(_chunks(spark, folder), SRC, CLIP_MS, order=_many_blocks(spark, folder))
 
 
 def clip_cut_idle(spark: SparkSession, folder: str) -> DataFrame:
-    chunks = _chunks(spark, folder)
-    return cut_clips(chunks, SRC, CLIP_MS, idle_ms=IDLE_MS, arrival_col="arrival_ms", order=BY_SHORT_BLOCK)
+    chunks, order = _chunks(spark, folder), _many_blocks(spark, folder)
+    return cut_clips(chunks, SRC, CLIP_MS, idle_ms=IDLE_MS, arrival_col="arrival_ms", order=order)
 
 
 def clip_lines_out(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,7 +124,7 @@ def clip_lines_out(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def break_report(spark: SparkSession, folder: str) -> DataFrame:
-    breaks = continuity_breaks(_chunks(spark, folder), BY_SHORT_BLOCK)
+    breaks = continuity_breaks(_chunks(spark, folder), _many_blocks(spark, folder))
     return breaks.select(
         "session_id", F.col("line").alias("line_no"), "sequence", "expected_sequence", "offset", "expected_offset"
     )
@@ -297,7 +301,8 @@ def store_append_read(spark: SparkSession, folder: str) -> DataFrame:
     path, rows = shared_folder(spark, "store"), _full_store(spark, folder)
     append_store(rows, path, run=1)
     later = rows.where(F.col("value").cast("bigint") % 3 == 0).withColumn("value", F.concat(F.lit("new-"), "value"))
-    append_store(later.withColumn("write_seq", F.col("write_seq").withField("run", F.lit(2).cast("bigint"))), path, run=2)
+    second = F.col("write_seq").withField("run", F.lit(2).cast("bigint"))
+    append_store(later.withColumn("write_seq", second), path, run=2)
     return latest_per_key(read_store(spark, path)).select("key", "value", "expire_at")
 
 
@@ -313,7 +318,8 @@ def store_import_tsv(spark: SparkSession, folder: str) -> DataFrame:
     """Rows written in the tab-separated text form and read back, with a line in it that is no row."""
     path = shared_folder(spark, "tsv")
     rows = store_lines(_full_store(spark, folder))
-    rows.withColumn("value", F.when(F.col("value").startswith("error:8\t"), "no row").otherwise(F.col("value"))).write.text(path)
+    damaged = F.when(F.col("value").startswith("error:8\t"), "no row").otherwise(F.col("value"))
+    rows.select(damaged.alias("value")).write.text(path)
     return read_store_tsv(spark, path)[0].select("key", "value", "expire_at")
 
 
@@ -322,7 +328,10 @@ def log_file_lines(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "lines")
     _event_json(spark, folder).select("line").write.text(path)
     numbered = number_lines(scan_lines(spark, path)).groupBy("source").agg(
-        F.count("*").alias("n"), F.countDistinct("line_no").alias("d"), F.min("line_no").alias("lo"), F.max("line_no").alias("hi")
+        F.count("*").alias("n"),
+        F.countDistinct("line_no").alias("d"),
+        F.min("line_no").alias("lo"),
+        F.max("line_no").alias("hi"),
     )
     wrong = numbered.where((F.col("lo") != 1) | (F.col("hi") != F.col("n")) | (F.col("d") != F.col("n")))
     return read_log_lines(spark, path).select("line").unionByName(wrong.select(F.col("source").alias("line")))
