@@ -3,7 +3,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from chunklake.plans.oracle import ORACLES
+from chunklake.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -17,19 +19,19 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    frame = queries()[name](spark, FOLDER)
+    frame = QUERIES[name](spark, FOLDER)
     columns = sorted(frame.columns)
     found = sorted((tuple(row[c] for c in columns) for row in frame.collect()), key=repr)
-    cursor = duck.execute(oracle_sql()[name])
+    cursor = duck.execute(ORACLES[name])
     names = [column[0] for column in cursor.description]
     assert sorted(names) == columns
     expected = [tuple(row[names.index(c)] for c in columns) for row in cursor.fetchall()]
