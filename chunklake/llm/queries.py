@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chunklake.llm.common import table
+from chunklake.llm.mixing import mix_report
 from chunklake.llm.sharding import shard_documents
 
 
@@ -15,8 +16,41 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(docs, 40).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_report(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
+    "op5_mixing": op5_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                   md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS shuffled
+            FROM documents),
+        s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS n FROM d GROUP BY source),
+        w AS (SELECT source, source_size, CAST([5, 2, 1][(n - 1) % 3 + 1] AS DOUBLE) AS weight, source_size * 2.0::DOUBLE AS cap FROM s),
+        r AS (SELECT *, cap / weight AS ratio FROM w),
+        l AS (
+            SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5::DOUBLE
+                       - coalesce(sum(cap) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                      / sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+            FROM r),
+        t AS (SELECT source, source_size, least(cap, (max(CASE WHEN level <= ratio THEN level END) OVER ()) * weight) AS target FROM l),
+        q AS (
+            SELECT doc_id, d.source, size, source_size, target, count(*) OVER same AS alike, sum(size) OVER same AS ties,
+                   sum(size) OVER (PARTITION BY d.source ORDER BY shuffled) - sum(size) OVER same AS before
+            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+            WINDOW same AS (PARTITION BY d.source, shuffled)),
+        c AS (
+            SELECT *, CAST(floor(greatest(0, least(ties, floor(target) - before)) / alike) AS BIGINT) AS first,
+                   CAST(floor(greatest(0, least(ties, floor(target) - before - source_size)) / alike) AS BIGINT) AS second
+            FROM q)
+        SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, first + second AS taken,
+               CASE WHEN target > 0 THEN CAST(before + first AS DOUBLE) / target ELSE 0 END AS finish
+        FROM c
+    """,
+}

@@ -7,15 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chunklake.llm.common import kept, table
+from chunklake.llm.mixing import mix_documents
 from chunklake.llm.sharding import shard_documents
 
 
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The copies that weighted fair queueing takes of the documents."""
+    return mix_documents(docs)
+
+
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, with their shard of 40 and their slot in it."""
     return shard_documents(docs, 40)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("mixing", mixing),
     ("sharding", sharding),
 ]
 
