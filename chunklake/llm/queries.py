@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from chunklake.llm.common import table
 from chunklake.llm.mixing import mix_report
 from chunklake.llm.sharding import shard_documents
+from chunklake.llm.urls import judge_urls, listed_urls
+
+
+def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return judge_urls(pages, listed_urls(pages)).select("page_id", "host", "path", "rule", "verdict", "canonical", "in_list")
 
 
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,11 +27,38 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_url_filters": op3_url_filters,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_url_filters": r"""
+        WITH p AS (
+            SELECT page_id, coalesce(url, '') AS url,
+                   translate(regexp_extract(coalesce(url, ''), '(?s)\A.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(coalesce(url, ''), '(?s)\A.*?://[^/?#]*([^?#]*)', 1) AS path,
+                   regexp_extract(coalesce(url, ''), '(?s)\A[^?#]*\?([^#]*)', 1) AS query
+            FROM pages),
+        q AS (
+            SELECT *, regexp_replace(regexp_replace(host, '^www[.]', ''), ':(80|443)?$', '') AS name,
+                   array_to_string(list_sort(list_filter(string_split(query, '&'),
+                       lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]*|ref)(=|$)'))), '&') AS params
+            FROM p),
+        c AS (
+            SELECT *, CASE WHEN name <> '' THEN name || regexp_replace(path, '/+$', '') || CASE WHEN params <> '' THEN '?' || params ELSE '' END END AS canonical
+            FROM q),
+        l AS (SELECT DISTINCT canonical FROM c WHERE canonical IS NOT NULL AND regexp_matches(host, 'spam-farm|cheap-pills|free-bets|adult-x')),
+        r(rule, name, start, kind) AS (VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+            ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+        f AS (
+            SELECT page_id, url, arg_max(rule, length(rule)) AS rule, arg_max(kind, length(rule)) AS kind
+            FROM c JOIN r ON (c.host = r.name OR ends_with(c.host, '.' || r.name)) AND starts_with(c.path, r.start)
+            GROUP BY page_id, url)
+        SELECT c.page_id, host, path, f.rule, coalesce(f.kind, CASE WHEN l.canonical IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
+               c.canonical, l.canonical IS NOT NULL AS in_list
+        FROM c LEFT JOIN l ON c.canonical = l.canonical LEFT JOIN f ON f.page_id = c.page_id AND f.url = c.url
+    """,
     "op5_mixing": r"""
         WITH d AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
