@@ -8,10 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chunklake.llm.common import table
 from chunklake.llm.mixing import mix_report
+from chunklake.llm.quality import fit_quality, score_quality
 from chunklake.llm.sharding import shard_documents
 from chunklake.llm.urls import judge_urls, listed_urls
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = fit_quality(docs, table(spark, folder, "labels"))
+    return score_quality(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return judge_urls(pages, listed_urls(pages)).select("page_id", "host", "path", "rule", "verdict", "canonical", "in_list")
@@ -27,6 +34,7 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op3_url_filters": op3_url_filters,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,

@@ -8,9 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chunklake.llm.common import kept, table
 from chunklake.llm.mixing import mix_documents
+from chunklake.llm.quality import fit_quality, score_quality
 from chunklake.llm.sharding import shard_documents
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality classifier does not reject."""
+    model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    return score_quality(docs, model).filter("predicted = 1").select(*docs.columns)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The copies that weighted fair queueing takes of the documents."""
     return mix_documents(docs)
@@ -22,6 +29,7 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", quality),
     ("mixing", mixing),
     ("sharding", sharding),
 ]
