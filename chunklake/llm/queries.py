@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chunklake.llm.common import table
+from chunklake.llm.decontamination import find_leaks
 from chunklake.llm.mixing import mix_report
 from chunklake.llm.quality import fit_quality, score_quality
 from chunklake.llm.sharding import shard_documents
@@ -33,11 +34,16 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_report(table(spark, folder, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_url_filters": op3_url_filters,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
+    "op6_decontamination": op6_decontamination,
 }
 
 ORACLES: dict[str, str] = {

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chunklake.llm.common import kept, table
+from chunklake.llm.decontamination import drop_leaks
 from chunklake.llm.mixing import mix_documents
 from chunklake.llm.quality import fit_quality, score_quality
 from chunklake.llm.sharding import shard_documents
@@ -18,6 +19,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return score_quality(docs, model).filter("predicted = 1").select(*docs.columns)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no passage of the benchmark."""
+    return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The copies that weighted fair queueing takes of the documents."""
     return mix_documents(docs)
@@ -30,6 +36,7 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality classifier", quality),
+    ("benchmark decontamination", decontamination),
     ("mixing", mixing),
     ("sharding", sharding),
 ]
