@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chunklake.llm.common import table
 from chunklake.llm.decontamination import find_leaks
+from chunklake.llm.jaccard import duplicate_classes
 from chunklake.llm.mixing import mix_report
 from chunklake.llm.quality import fit_quality, score_quality
 from chunklake.llm.sharding import shard_documents
@@ -20,6 +21,10 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return score_quality(docs, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return duplicate_classes(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links", "n_text_links", "copies")
+
+
 def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return judge_urls(pages, listed_urls(pages)).select("page_id", "host", "path", "rule", "verdict", "canonical", "in_list")
@@ -40,6 +45,7 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_url_filters": op3_url_filters,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chunklake.llm.common import kept, table
 from chunklake.llm.decontamination import drop_leaks
+from chunklake.llm.jaccard import drop_duplicates
 from chunklake.llm.mixing import mix_documents
 from chunklake.llm.quality import fit_quality, score_quality
 from chunklake.llm.sharding import shard_documents
@@ -19,6 +20,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return score_quality(docs, model).filter("predicted = 1").select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    return drop_duplicates(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no passage of the benchmark."""
     return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
@@ -36,6 +42,7 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality classifier", quality),
+    ("n-gram Jaccard join", near_duplicates),
     ("benchmark decontamination", decontamination),
     ("mixing", mixing),
     ("sharding", sharding),
