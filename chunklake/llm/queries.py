@@ -12,6 +12,7 @@ from chunklake.llm.jaccard import duplicate_classes
 from chunklake.llm.mixing import mix_report
 from chunklake.llm.quality import fit_quality, score_quality
 from chunklake.llm.sharding import shard_documents
+from chunklake.llm.toxicity import fit_toxicity, score_toxicity
 from chunklake.llm.urls import judge_urls, listed_urls
 
 
@@ -43,6 +44,12 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, table(spark, folder, "labels"))
+    return score_toxicity(docs, model).select("doc_id", "held_out", "score", "predicted", "spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_jaccard_join": op2_jaccard_join,
@@ -50,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
     "op6_decontamination": op6_decontamination,
+    "op7_toxicity": op7_toxicity,
 }
 
 ORACLES: dict[str, str] = {
