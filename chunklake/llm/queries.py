@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from chunklake.llm.common import table
 from chunklake.llm.decontamination import find_leaks
 from chunklake.llm.jaccard import duplicate_classes
+from chunklake.llm.merkle import fingerprint_documents
 from chunklake.llm.mixing import mix_report
 from chunklake.llm.quality import fit_quality, score_quality
 from chunklake.llm.sharding import shard_documents
@@ -50,6 +51,10 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(docs, model).select("doc_id", "held_out", "score", "predicted", "spans")
 
 
+def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_documents(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_jaccard_join": op2_jaccard_join,
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
