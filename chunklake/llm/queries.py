@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chunklake.llm.common import table
 from chunklake.llm.decontamination import find_leaks
+from chunklake.llm.extraction import extract_text
 from chunklake.llm.jaccard import duplicate_classes
 from chunklake.llm.merkle import fingerprint_documents
 from chunklake.llm.mixing import mix_report
@@ -51,6 +52,10 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(docs, model).select("doc_id", "held_out", "score", "predicted", "spans")
 
 
+def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(table(spark, folder, "pages"))
+
+
 def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_documents(table(spark, folder, "documents"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
+    "op9_html_extraction": op9_html_extraction,
     "op10_fingerprints": op10_fingerprints,
 }
 
