@@ -12,6 +12,7 @@ from chunklake.llm.extraction import extract_text
 from chunklake.llm.jaccard import duplicate_classes
 from chunklake.llm.merkle import fingerprint_documents
 from chunklake.llm.mixing import mix_report
+from chunklake.llm.pii import find_personal_data
 from chunklake.llm.quality import fit_quality, score_quality
 from chunklake.llm.sharding import shard_documents
 from chunklake.llm.toxicity import fit_toxicity, score_toxicity
@@ -52,6 +53,11 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(docs, model).select("doc_id", "held_out", "score", "predicted", "spans")
 
 
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_personal_data(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extract_text(table(spark, folder, "pages"))
 
@@ -68,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
+    "op8_personal_data": op8_personal_data,
     "op9_html_extraction": op9_html_extraction,
     "op10_fingerprints": op10_fingerprints,
 }
