@@ -58,5 +58,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = kept(docs, f"pipeline-{name}")
+            docs = kept(docs, f"pipeline-{name.replace(' ', '-')}")
     return docs

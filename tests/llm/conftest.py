@@ -1,0 +1,31 @@
+import random
+
+import pytest
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def sentence(rng, n, words=300):
+    return " ".join(f"w{rng.randrange(words):03d}x" for _ in range(n))
+
+
+@pytest.fixture
+def documents(spark):
+    """A frame of documents from (id, text) or (id, text, source), with the usual columns."""
+
+    def make(rows, more="", values=()):
+        full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", None if r[1] is None else len(r[1]), *values) for r in rows]
+        return spark.createDataFrame(full, DOCS + more)
+
+    return make
+
+
+@pytest.fixture
+def odd_rows():
+    """Nulls, empty, wordless and very long texts, ties and repeated rows."""
+    rng = random.Random(5)
+    text = sentence(rng, 30)
+    return [
+        (1, text, "a"), (2, text, "a"), (3, None, "b"), (4, "", None), (5, "###", "b"), (6, "   \n ", "c"), (None, sentence(rng, 12), "a"),
+        (None, None, None), (8, sentence(rng, 20000), "c"), (9, "one", "c"), (9, "one", "c"), (10, "Äß İ naïve 漢字 😀 text.\nMore of it", "a"),
+    ]
