@@ -28,7 +28,7 @@ ODDS, SUPPORT, MOST_UNITS = 4.0, 3, 20000
 MOST_SENTENCES, MOST_WORDS = 20000, 200
 #: Of sentences without evidence one in so many is kept for learning, with that weight.
 EVERY = 20
-STEPS, RATE, RIDGE = 120, 0.3, 0.002
+STEPS, RATE, RIDGE = 200, 0.8, 0.001
 #: A unit map of a task is written out once it has so many entries.
 FLUSH = 400_000
 
