@@ -1,0 +1,101 @@
+import random
+
+import numpy as np
+import pytest
+
+from chunklake.llm import extraction
+from chunklake.llm.extraction import ARTICLE, DROPPED, OPEN, blocks_of, extract_pages, extract_text, repeated
+from tests.llm.conftest import sentence
+
+
+def text_of(page):
+    return extract_pages([page])[0][0]
+
+
+def test_a_declared_article():
+    page = (
+        "<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t='</p>';</script></head><body class='footer'><nav><ul><li><a>Menu</a></li></ul></nav>"
+        "<!-- x <p>no</p> --><div class='ad-box'>Buy</div><article class='post'><header><h1>Head\n line</h1></header><p>One &amp; <b>two</b>&nbsp;three.<br>four<p>Five &lt;b&gt;"
+        "<aside>side</aside><ul><li>i1</li><li>i2</li></ul><div id='cookieNotice'><p>cookies</p></div><form><p>f</p></form><div hidden>h</div><div style='display: none'>s</div>"
+        "<table><tr><td>c1</td><td>c2</td></tr></table><section id='comments'><article class='comment'>me too</article></section>"
+        "tail 1 < 2</article><div>outside</div><footer>&copy; f</footer></body></html>"
+    )
+    assert text_of(page) == "Head line\nOne & two three. four\nFive <b>\ni1\ni2\nc1\nc2\ntail 1 < 2"
+
+
+def test_a_main_element_and_none():
+    assert text_of("<body><div>x</div><main><p>a</p><div class='comments'><p>b</p></div><p>c") == "a\nc"
+    assert text_of("<div role='main'><p>a</p></div><p>b</p>") == "a"
+    assert text_of("<div><p>a</p><div role='navigation'>n</div><p class='ad'>b</p><p>c</p></div>") == "a\nc"
+    assert text_of("plain <i>text</i>") == "plain text"
+    assert text_of("") == "" and text_of("<p>  </p><!-- open") == "" and text_of("<script>x") == ""
+
+
+@pytest.mark.parametrize("page", ["<a title=\"x" * 3000, "<" * 5000, "<p class='" + "a" * 50000, "</div>" * 3000 + "t", "<div>" * 3000 + "t"])
+def test_broken_markup_ends(page):
+    assert isinstance(text_of(page), str)
+
+
+def brute(streams, run, least):
+    holders = {}
+    for n, s in enumerate(streams):
+        for k in range(len(s) - run + 1):
+            holders.setdefault(tuple(s[k : k + run]), set()).add(tuple(s))
+    found = []
+    for s in streams:
+        mask = np.zeros(len(s), bool)
+        for k in range(len(s) - run + 1):
+            if len(holders[tuple(s[k : k + run])]) >= least:
+                mask[k : k + run] = True
+        found.append(mask)
+    return found
+
+
+def test_repeated_runs_equal_brute_force():
+    rng = random.Random(1)
+    for _ in range(30):
+        shared = [rng.randrange(6) for _ in range(20)]
+        streams = []
+        for _ in range(12):
+            k, n = rng.randrange(10), rng.randrange(0, 15)
+            streams.append(np.array([rng.randrange(6) for _ in range(n)] + shared[k : k + n] + [rng.randrange(50) for _ in range(n)], np.int64))
+        streams += streams[:2]
+        for a, b in zip(repeated(streams, 8, 3), brute(streams, 8, 3), strict=True):
+            assert (a == b).all()
+    assert [len(m) for m in repeated([np.zeros(0, np.int64), np.zeros(3, np.int64)])] == [0, 3] and repeated([]) == []
+
+
+def site(rng, n):
+    top = f"Welcome to the site {sentence(rng, 12)}"
+    return [(f"<div>{top}</div><p>{(body := sentence(rng, 30, 9000))}</p><div>{top} again and again for all</div>", body) for _ in range(n)]
+
+
+@pytest.mark.parametrize("lot", [2000, 10])
+def test_template_text_of_a_host_goes(spark, monkeypatch, lot):
+    monkeypatch.setattr(extraction, "LOT_PAGES", lot)
+    rng = random.Random(2)
+    rows = []
+    for host, n in (("a.com", 60), ("b.org", 25), ("c.net", 1)):
+        rows += [(f"http://{host}/{k}", page, body) for k, (page, body) in enumerate(site(rng, n))]
+    frame = spark.createDataFrame([(n, u, p, 1) for n, (u, p, _) in enumerate(rows)], "page_id bigint, url string, html string, host int")
+    got = {r["page_id"]: r for r in extract_text(frame).collect()}
+    for n, (url, page, body) in enumerate(rows):
+        expected = body if "c.net" not in url else "\n".join(t for _, t in blocks_of(page))
+        assert got[n]["text"] == expected and got[n]["n_chars"] == len(expected)
+
+
+def test_an_article_keeps_what_repeats(spark):
+    rng = random.Random(3)
+    line = sentence(rng, 20)
+    rows = [(n, "http://h.com/x", f"<nav>{line}</nav><article><p>{line}</p><p>{sentence(rng, 9)}</p></article>") for n in range(30)]
+    got = extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert all(r["text"].startswith(line + "\n") for r in got)
+    assert [k for k, _ in blocks_of(rows[0][2])] == [DROPPED, ARTICLE, ARTICLE] and OPEN == 1
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, None), (None, "http://h.com", ""), (3, "x", "<p>" + "word " * 50000), (4, "http://h.com", "<p>t</p>"), (4, "http://h.com", "<p>t</p>")]
+    frame = spark.createDataFrame([(*r, "c", 2) for r in rows], "page_id bigint, url string, html string, text string, lot int")
+    got = sorted(((r["page_id"] or 0, r["url"], r["n_chars"]) for r in extract_text(frame).collect()), key=str)
+    assert got == sorted([(1, None, 0), (0, "http://h.com", 0), (3, "x", 249999), (4, "http://h.com", 1), (4, "http://h.com", 1)], key=str)
+    assert extract_text(frame.limit(0)).count() == 0
