@@ -20,7 +20,6 @@ PAYLOAD_SUFFIX = ".bin"
 CLIP_TYPE = "clip"
 DATA_KIND = "data"
 END_KIND = "end"
-KIND_CHARS = 15
 LINE_BLANKS = " \t\n\u000b\f\r"
 
 _QUOTED = r'"(?:[^"\\]|\\.)*+"'
@@ -81,8 +80,8 @@ def field_integer(line: Column | str, key: str) -> Column:
 
 
 def field_kind(line: Column | str) -> Column:
-    """The record kind: at most 15 characters after the opening quote, NULL if the value is not quoted."""
-    head = _value(line, "kind", f'"[^"]{{0,{KIND_CHARS}}}')
+    """The record kind: what follows the opening quote up to the next, NULL if the value is not quoted."""
+    head = _value(line, "kind", '"[^"]*+')
     return _rest(head, 1)
 
 
@@ -112,6 +111,20 @@ def parse_meta(line: Column | str, mode: str = "textual") -> Column:
     return whole_meta(meta_fields(line, mode))
 
 
+#: Stands between a session's folder and its id where both are one key; no path holds it.
+_KEY_SEPARATOR = "\u0000"
+
+
+def session_key(folder: Column | str, session_id: Column | str) -> Column:
+    """A session's identity: its folder and its id. Sessions of the same name in two folders are two."""
+    return F.concat_ws(_KEY_SEPARATOR, _col(folder), _col(session_id))
+
+
+def session_name(key: Column | str) -> Column:
+    """The id in a session's key, with or without a folder."""
+    return F.substring_index(_col(key), _KEY_SEPARATOR, -1)
+
+
 def looks_like_object(line: Column | str) -> Column:
     """True when, blanks and tabs aside, the line begins with ``{`` and ends with ``}``."""
     bare = F.btrim(_col(line), F.lit(" \t"))

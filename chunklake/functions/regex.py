@@ -1,9 +1,8 @@
 """Field extraction by regular expression.
 
-Patterns are POSIX extended expressions. `translate` rewrites the few places where their spelling differs
-from Java's and Python's (bracket expressions), and reports what decides the physical path: a pattern in which every
-used group takes part in every match runs on Spark's own regex functions; only a pattern with a used group that may
-take no part needs an Arrow UDF, because Spark's functions cannot tell an empty group from one that took no part.
+Patterns are POSIX extended expressions. `translate` rewrites the few places where their spelling differs from Java's
+(bracket expressions), and reports which groups may take no part in a match. Spark's functions cannot tell an empty group
+from one that took no part, so `require_groups` has the pattern itself refuse a line in which a used group takes none.
 """
 
 from __future__ import annotations
@@ -11,10 +10,8 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The POSIX character classes in the C locale, as ranges valid inside brackets.
 POSIX_CLASSES = {
@@ -33,6 +30,8 @@ POSIX_CLASSES = {
 }
 
 _BRACKET = re.compile(r"\[(\^?)(\]?(?:\[:[a-z]+:\]|[^\]])*)\]")
+#: A bracket expression as `_bracket` writes it: what is special in it is escaped.
+_JAVA_BRACKET = re.compile(r"\[\^?(?:\\.|[^\]\\])*\]", re.S)
 _PLAIN = "x"
 _CLASS = re.compile(r"\[:([a-z]+):\]")
 
@@ -43,6 +42,8 @@ class Translated:
     groups: int
     #: numbers of the groups that may take no part in a match
     skippable: frozenset[int]
+    #: numbers of the groups that may match nothing at all
+    nullable: frozenset[int]
 
 
 def _bracket(match: re.Match[str]) -> str:
@@ -83,7 +84,24 @@ def translate(pattern: str) -> Translated:
         groups = re.compile(text).groups
     except re.error as error:
         raise ValueError(f"invalid pattern {pattern!r}: {error}") from error
-    return Translated(text, groups, _skippable("".join(skeleton)))
+    return Translated(text, groups, _skippable(shape), _nullable(text, shape, rewritten))
+
+
+def _nullable(text: str, shape: str, steps: list[str]) -> frozenset[int]:
+    """Groups whose own pattern matches the empty text; one that refers to others or to word borders is taken for such."""
+    found, open_groups, groups = set(), [], 0
+    for at, step in enumerate(shape):
+        if step == "(":
+            capturing = shape[at + 1 : at + 2] != "?"
+            groups += capturing
+            open_groups.append((groups if capturing else None, at + 1))
+        elif step == ")":
+            number, begin = open_groups.pop()
+            inner = steps[begin:at]
+            odd = any(re.fullmatch(r"\\[0-9bB]", part) for part in inner)
+            if number and (odd or re.fullmatch("".join(inner), "", re.S)):
+                found.add(number)
+    return frozenset(found)
 
 
 def _skippable(shape: str) -> frozenset[int]:
@@ -129,25 +147,55 @@ def regex_records(
             raise ValueError(f"{len(fields)} fields but only {parsed.groups} groups in {pattern!r}")
         none = [F.lit(None).cast("string").alias(name) for name in fields]
         return lines.where(F.lit(False)).select(*keep, *none), lines
-    if any(number <= len(fields) for number in parsed.skippable):
-        tagged = lines.withColumn("_groups", _groups(parsed.pattern, len(fields))(line))
-        groups = [F.col("_groups")[i].alias(name) for i, name in enumerate(fields)]
-        matched = F.col("_groups").isNotNull()
-        return tagged.where(matched).select(*keep, *groups), tagged.where(~matched).drop("_groups")
-    java = f"(?sd){parsed.pattern}"
-    groups = [F.regexp_extract(line, java, i + 1).alias(name) for i, name in enumerate(fields)]
+    java, numbers = require_groups(parsed, len(fields))
+    groups = [F.regexp_extract(line, java, number).alias(name) for name, number in zip(fields, numbers, strict=True)]
     matched = F.regexp_like(line, F.lit(java))
+    for number in sorted(parsed.skippable - parsed.nullable):
+        if number <= len(fields):
+            matched = matched & (F.regexp_extract(line, java, numbers[number - 1]) != "")
     return lines.where(matched).select(*keep, *groups), lines.where(~matched)
 
 
-def _groups(pattern: str, count: int):
-    compiled = re.compile(f"(?s){pattern}")
+def require_groups(parsed: Translated, used: int) -> tuple[str, list[int]]:
+    """A Java pattern that fails where one of the first ``used`` groups, if it may be empty, takes no part, and their numbers in it.
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def groups(lines: pd.Series) -> pd.Series:
-        found = (compiled.search(line) for line in lines)
-        values = [match.groups()[:count] if match else (None,) for match in found]
-        return pd.Series([None if None in row else list(row) for row in values], dtype=object)
-
-    # or else the filter on it would run it a second time
-    return groups.asNondeterministic()
+    Of a group that cannot be empty an empty value tells enough. Behind one that can an empty group is put, as part of
+    the same step, and a reference to it at the end: a reference to a group that took no part fails. The first match is found in an atomic group, so that the failure is final and does
+    not make another match of the line.
+    """
+    asked = {number for number in parsed.skippable & parsed.nullable if number <= used}
+    if not asked:
+        return f"(?sd){parsed.pattern}", list(range(1, used + 1))
+    out: list[str] = []
+    scopes: list[int | None] = []
+    new_number: dict[int, int] = {}
+    marks: list[int] = []
+    old = new = at = 0
+    text = parsed.pattern
+    while at < len(text):
+        step = text[at]
+        if step == "\\":
+            step = text[at : at + 2]
+            if step[1] in "123456789":
+                step = f"\\{new_number[int(step[1])]}(?:)"
+        elif step == "[":
+            step = _JAVA_BRACKET.match(text, at)[0]
+            at += len(step)
+            out.append(step)
+            continue
+        elif step == "(":
+            capturing = text[at + 1 : at + 2] != "?"
+            if capturing:
+                old, new = old + 1, new + 1
+                new_number[old] = new
+            asked_here = capturing and old in asked
+            scopes.append(old if asked_here else None)
+            step = "(?:(" if asked_here else "("
+        elif step == ")" and scopes.pop() is not None:
+            new += 1
+            marks.append(new)
+            step = ")())"
+        at += 2 if text[at] == "\\" else 1
+        out.append(step)
+    seen = "".join(f"\\{number}(?:)" for number in marks)
+    return rf"(?sd)\A(?>.*?(?:{''.join(out)})){seen}", [new_number[number] for number in range(1, used + 1)]

@@ -25,10 +25,11 @@ def split_tagged(tagged: DataFrame, reason: Column, carry: tuple[str, ...] = ())
 
 
 def count_rejects(tagged: DataFrame, name: str = "lines") -> tuple[DataFrame, Observation]:
-    """The same frame, with counts of all and of refused lines taken while it runs."""
+    """The same frame, with counts of all and of refused lines taken while it runs. Empty lines are neither."""
     seen = Observation(name)
-    refused = F.count_if(F.col("parsed").isNull())
-    return tagged.observe(seen, F.count(F.lit(1)).alias("lines"), refused.alias("rejects")), seen
+    some = F.col("line") != ""
+    refused = F.count_if(some & F.col("parsed").isNull())
+    return tagged.observe(seen, F.count_if(some).alias("lines"), refused.alias("rejects")), seen
 
 
 def count_clips(clips: DataFrame, name: str = "clips") -> tuple[DataFrame, Observation]:

@@ -46,16 +46,5 @@ STORE = T.StructType(
     ]
 )
 
-#: One refused input line.
-REJECT = T.StructType(
-    [
-        T.StructField("source", T.StringType()),
-        T.StructField("block", T.LongType()),
-        T.StructField("line_no", T.LongType()),
-        T.StructField("reason", T.StringType()),
-        T.StructField("line", T.StringType()),
-    ]
-)
-
 CLIP_FIELDS = CLIP.fieldNames()
 STORE_FIELDS = STORE.fieldNames()

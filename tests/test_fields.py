@@ -60,7 +60,7 @@ META = [
     ('{"kind":"data","sequence":-1,"offset":0,"length":4,"ts_ms":0}', None, True),
     ('{"kind":"data","sequence":9223372036854775808,"offset":0,"length":4,"ts_ms":0}', None, True),
     ('{"kind":"data","sequence":1x,"offset":0,"length":4.5,"ts_ms":0}', ("data", 1, 0, 4, 0), False),
-    ('{"kind":"a-kind-of-more-than-15","sequence":1,"offset":0,"length":4,"ts_ms":0}', ("a-kind-of-more-", 1, 0, 4, 0), False),
+    ('{"kind":"a-kind-of-more-than-15","sequence":1,"offset":0,"length":4,"ts_ms":0}', ("a-kind-of-more-than-15", 1, 0, 4, 0), True),
     ('{"kind":5,"sequence":1,"offset":0,"length":4,"ts_ms":0}', None, False),
     ("not json", None, True),
 ]
