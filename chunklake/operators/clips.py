@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunklake.functions.fields import CLIP_TYPE, clip_path, clip_ts
+from chunklake.functions.fields import CLIP_TYPE, clip_path, clip_ts, session_key, session_name
 from chunklake.functions.options import DEFAULT_CLIP_MS, check_span_ms
 from chunklake.operators.cutting import LATEST, cut_points, highest_so_far, last_starts, runs_of
 from chunklake.schemas import CLIP_FIELDS
@@ -64,7 +64,12 @@ def by_number(line: str = "line_no", block_lines: int = BLOCK_LINES) -> Order:
 
 
 def _spread(chunks: DataFrame, order: Order, arrival_col: str | None = None) -> DataFrame:
-    """The chunks, spread by session and block. A record without one of its numbers is no chunk."""
+    """The chunks, spread by session and block. A record without one of its numbers is no chunk.
+
+    Where there is a ``folder`` it is part of the session's key.
+    """
+    if "folder" in chunks.columns:
+        chunks = chunks.withColumn("session_id", F.when(F.col("session_id").isNotNull(), session_key("folder", "session_id")))
     numbers = [f"cast({name} AS bigint) AS {name}" for name in _NUMBERS]
     if arrival_col:
         numbers.append(f"cast({arrival_col} AS bigint) AS arrival")
@@ -430,6 +435,7 @@ def cut_clips(
 
 def finish_clips(clips: DataFrame, src: str, keep_order: bool) -> DataFrame:
     """The clip record of each cut."""
+    clips = clips.withColumn("session_id", session_name("session_id"))
     ts = clip_ts(F.col("start_ts_ms"))
     made = {"type": F.lit(CLIP_TYPE), "ts": ts, "path": clip_path(src, F.col("session_id"), ts)}
     fields = [made[name].alias(name) if name in made else name for name in CLIP_FIELDS]
@@ -441,18 +447,24 @@ def continuity_breaks(chunks: DataFrame, order: Order = Order()) -> DataFrame:
 
     Breaks inside a block come from the chunks, breaks between blocks from the two chunks at its ends.
     """
-    spread = _spread(chunks, order).selectExpr(*_KEYS, "line", "struct(line, sequence, offset, length) AS chunk")
-    inside = spread.selectExpr(
-        *_KEYS, "chunk", "lag(chunk) OVER (PARTITION BY session_id, block ORDER BY line) AS before"
+    numbers = ("line", "sequence", "offset", "length")
+    spread = _spread(chunks, order).selectExpr(*_KEYS, *numbers)
+    session = "PARTITION BY session_id, block ORDER BY line"
+    before = [f"lag({name}) OVER ({session}) AS last_{name}" for name in numbers]
+    inside = spread.selectExpr(*_KEYS, *numbers, *before)
+    # number by number, for which Spark has hash aggregates, and none for structs
+    ends = spread.groupBy(*_KEYS).agg(
+        *[F.min_by(name, "line").alias(name) for name in numbers], *[F.max_by(name, "line").alias(f"end_{name}") for name in numbers]
     )
-    ends = spread.groupBy(*_KEYS).agg(F.min("chunk").alias("chunk"), F.max("chunk").alias("last"))
-    between = ends.selectExpr(*_KEYS, "chunk", "lag(last) OVER (PARTITION BY session_id ORDER BY block) AS before")
-    broken = f"before IS NOT NULL AND NOT {_follows('before', 'chunk.sequence', 'chunk.offset')}"
-    return inside.unionByName(between).where(broken).selectExpr(
-        *_KEYS,
-        "chunk.line",
-        "chunk.sequence",
-        "try_add(before.sequence, 1L) AS expected_sequence",
-        "chunk.offset",
-        "try_add(before.offset, before.length) AS expected_offset",
+    before = [f"lag(end_{name}) OVER (PARTITION BY session_id ORDER BY block) AS last_{name}" for name in numbers]
+    between = ends.selectExpr(*_KEYS, *numbers, *before)
+    follows = "sequence <=> try_add(last_sequence, 1L) AND offset <=> try_add(last_offset, last_length)"
+    return inside.unionByName(between).where(f"last_line IS NOT NULL AND NOT ({follows})").select(
+        session_name("session_id").alias("session_id"),
+        "block",
+        "line",
+        "sequence",
+        F.expr("try_add(last_sequence, 1L)").alias("expected_sequence"),
+        "offset",
+        F.expr("try_add(last_offset, last_length)").alias("expected_offset"),
     )

@@ -27,10 +27,14 @@ def tag_sidecar(lines: DataFrame, mode: str = "textual") -> DataFrame:
 
 def parse_sidecar(lines: DataFrame, mode: str = "textual") -> tuple[DataFrame, DataFrame]:
     """``(chunks, rejects)``: data records with session and place, and all other lines. Empty lines are neither."""
-    tagged = tag_sidecar(lines, mode)
-    place = tuple(name for name in ("session_id", *PLACE) if name in lines.columns)
+    return split_sidecar(tag_sidecar(lines, mode))
+
+
+def split_sidecar(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same of lines that are tagged already."""
+    place = tuple(name for name in ("folder", "session_id", *PLACE) if name in tagged.columns)
     records, _ = split_tagged(tagged, F.lit(""), place)
     refused = F.col("parsed").isNull() & (F.col("line") != "")
     reason = F.when(F.col("meta").isNull(), "malformed record").otherwise("not a data record")
-    row = F.struct(*[name for name in place if name != "session_id"], reason.alias("reason"), "line")
+    row = F.struct(*[name for name in place if name in PLACE], reason.alias("reason"), "line")
     return records, tagged.select(F.inline(F.when(refused, F.array(row))))

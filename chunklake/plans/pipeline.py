@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from chunklake.functions.fields import CLIP_TYPE, PAYLOAD_SUFFIX, SIDECAR_SUFFIX
 from chunklake.functions.options import DEFAULT_IDLE_MS, DEFAULT_TTL_SECONDS, check_ttl
 from chunklake.operators.clips import Order, cut_clips
-from chunklake.operators.sidecar import parse_sidecar
+from chunklake.operators.rejects import count_clips, count_rejects
+from chunklake.operators.sidecar import parse_sidecar, split_sidecar, tag_sidecar
 from chunklake.operators.store import to_store_rows
 from chunklake.sinks.store import append_store
 from chunklake.sources.sidecar import list_files, missing_sessions, read_sidecar_stream, read_sidecars
@@ -45,26 +46,33 @@ def run_pipeline(
     now: int | None = None,
     run: int | None = None,
     clip_src: str | None = None,
-) -> None:
+    rejects_path: str | None = None,
+) -> dict[str, int]:
     """Cut every session under ``src`` (or the named ones) and append the clips to the store.
 
-    ``clip_src`` is the folder named in clip paths if that is not ``src``, as in ``/data/in/{session_id}``.
+    ``clip_src`` is the folder named in clip paths if that is not ``src``, as in ``/data/in/{session_id}``. Refused lines
+    go to a folder of the run under ``rejects_path``, if given. Returns the counts of ``lines``, ``rejects``, ``clips`` and
+    ``cut_short`` clips, taken while the clips were written.
 
-    Fails before anything is written when a session has no payload file, or a named one no sidecar.
+    Fails before anything is written when a session has no payload file, or a named one no sidecar. Of named sessions only
+    their files are opened.
     """
     ttl = check_ttl(ttl)
-    sidecars = list_files(spark, src, SIDECAR_SUFFIX)
-    wanted = sidecars
+    wanted = list_files(spark, src, SIDECAR_SUFFIX)
     if sessions is not None:
-        wanted = spark.createDataFrame([(name,) for name in sessions], "session_id string")
-        _require(missing_sessions(wanted, sidecars), "sidecar")
+        named = spark.createDataFrame([(name,) for name in sessions], "session_id string")
+        _require(missing_sessions(named, wanted), "sidecar")
+        wanted = wanted.join(named.distinct(), "session_id", "left_semi")
     _require(missing_sessions(wanted, list_files(spark, src, PAYLOAD_SUFFIX)), "payload")
-    lines = read_sidecars(spark, src)
-    if sessions is not None:
-        lines = lines.where(F.col("session_id").isin(sessions))
-    chunks, _ = parse_sidecar(lines)
     run = time.time_ns() if run is None else run
-    append_store(clips_to_store(chunks, clip_src or src, ttl, now, run), store_path, run)
+    tagged, seen = count_rejects(tag_sidecar(read_sidecars(spark, src, sessions=sessions)))
+    chunks, _ = split_sidecar(tagged)
+    clips, cut = count_clips(cut_clips(chunks, clip_src or src, keep_order=True))
+    append_store(to_store_rows(clips.where(F.col("type") == CLIP_TYPE), ttl, now, run), store_path, run)
+    if rejects_path:
+        _, rejects = parse_sidecar(read_sidecars(spark, src, sessions=sessions))
+        rejects.write.mode("errorifexists").parquet(f"{rejects_path.rstrip('/')}/run={run}")
+    return dict(seen.get) | dict(cut.get)
 
 
 def _require(missing: DataFrame, what: str) -> None:
@@ -82,8 +90,17 @@ def run_stream_pipeline(
     now: int | None = None,
     available_now: bool = False,
     max_files: int | None = None,
+    require_payload: bool = False,
 ) -> StreamingQuery:
-    """The same over closed segment files as they arrive. ``available_now`` ends after what is there."""
+    """The same over closed segment files as they arrive. ``available_now`` ends after what is there.
+
+    With ``require_payload`` a micro-batch with clips of a session that has no payload file ends the query before it is
+    written. Refused lines are those of `stream_rejects` over the same stream.
+    """
     lines = read_sidecar_stream(spark, src, max_files=max_files)
     clips = cut_clips_stream(lines, src, idle_ms=None if available_now else DEFAULT_IDLE_MS)
-    return append_clip_stream(clips, store_path, checkpoint, check_ttl(ttl), now, available_now)
+
+    def check(batch: DataFrame) -> None:
+        _require(missing_sessions(batch, list_files(spark, src, PAYLOAD_SUFFIX).drop("folder")), "payload")
+
+    return append_clip_stream(clips, store_path, checkpoint, check_ttl(ttl), now, available_now, check=check if require_payload else None)

@@ -1,11 +1,14 @@
 """Writing the keyed store: a folder of Parquet files, one subfolder per run.
 
-Every run writes a folder of its own, so runs that append at the same time share no commit folder and lose no row, and
-a streaming batch that is repeated replaces what its first try left behind.
+Every run writes a folder of its own, named for its writer, so runs that append at the same time share no commit folder
+and lose no row. Only a streaming batch that is repeated replaces what its first try left behind, in the folder of its own
+query and batch number; no writer ever replaces another's.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,19 +20,31 @@ from chunklake.sources.store import read_store
 _KEY_BLOOM = "parquet.bloom.filter.enabled#key"
 
 
-def append_store(rows: DataFrame, path: str, run: int, repeat: bool = False) -> None:
-    """Add the rows of one run. A run id may be used once; ``repeat`` replaces an earlier try of the same run."""
-    writer = rows.select(*STORE_FIELDS).write.option(_KEY_BLOOM, "true")
-    writer.mode("overwrite" if repeat else "errorifexists").parquet(f"{path.rstrip('/')}/run={run}")
+def append_store(rows: DataFrame, path: str, run: int) -> None:
+    """Add the rows of one run. A run id may be used once."""
+    _write(rows, f"{path.rstrip('/')}/run={run}", "errorifexists")
+
+
+def append_batch(rows: DataFrame, path: str, query_id: str, batch_id: int) -> None:
+    """Add the rows of a streaming query's micro-batch, or replace those of an earlier try of the same one.
+
+    The id of a query is kept in its checkpoint: another checkpoint is another query, with folders of its own.
+    """
+    _write(rows, f"{path.rstrip('/')}/stream={query_id}/batch={batch_id}", "overwrite")
+
+
+def _write(rows: DataFrame, folder: str, mode: str) -> None:
+    rows.select(*STORE_FIELDS).write.option(_KEY_BLOOM, "true").mode(mode).parquet(folder)
 
 
 def write_snapshot(rows: DataFrame, path: str) -> None:
-    """A new store holding these rows, ranged and sorted by key so that lookups read few row groups.
+    """These rows as a run of a store, ranged and sorted by key so that lookups read few row groups.
 
-    It never replaces the store being read: the caller points its readers at the new folder once this returns.
+    The store is to be a new one: the caller points its readers at it once this returns. Rows keep the order they were
+    written in, and the run's folder is new, so nothing that is there already is replaced.
     """
     ranged = rows.select(*STORE_FIELDS).repartitionByRange(F.col("key")).sortWithinPartitions("key")
-    ranged.write.option(_KEY_BLOOM, "true").mode("errorifexists").parquet(f"{path.rstrip('/')}/run=0")
+    _write(ranged, f"{path.rstrip('/')}/snapshot={uuid.uuid4().hex}", "errorifexists")
 
 
 def compact_store(spark: SparkSession, path: str, new_path: str, now: int) -> None:

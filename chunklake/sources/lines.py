@@ -7,6 +7,8 @@ split, is a bounded run of consecutive lines however large the file is.
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,12 +21,25 @@ def decoded_name(path: Column | str) -> Column:
     return F.url_decode(F.replace(F.substring_index(path, "/", -1), F.lit("+"), F.lit("%2B")))
 
 
-def scan_lines(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
-    """``(source, block, line_id, line, file_size)`` for every line, split on LF only."""
+def decoded_folder(path: Column | str) -> Column:
+    """The folder of a path as Spark gives it, up to its last slash."""
+    path = F.col(path) if isinstance(path, str) else path
+    return F.url_decode(F.replace(F.regexp_extract(path, "^(.*)/", 1), F.lit("+"), F.lit("%2B")))
+
+
+def scan_lines(spark: SparkSession, path: str | list[str], glob: str | None = None, names: list[str] | None = None) -> DataFrame:
+    """``(source, block, line_id, line, file_size)`` for every line, split on LF only.
+
+    ``names`` are the names of the files wanted; the others are not opened.
+    """
     reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path).select(
+    lines = reader.text(path)
+    if names is not None:
+        # the name stands in the metadata as it is, or as it is written in a URL
+        lines = lines.where(F.col("_metadata.file_name").isin(sorted({n for name in names for n in (name, quote(name))})))
+    return lines.select(
         F.col("_metadata.file_path").alias("source"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line_id"),
@@ -33,27 +48,18 @@ def scan_lines(spark: SparkSession, path: str | list[str], glob: str | None = No
     )
 
 
-#: So many unterminated files are told to every task; more are joined by shuffle.
-_FEW_FILES = 100_000
-
-
 def drop_unterminated(lines: DataFrame) -> DataFrame:
     """Without the last line of each file that does not end in a line feed.
 
-    Such a file has one byte less than its lines with one line end each. This looks once over the text, at once; as a
-    rule it finds no such file, and the lines stay as they are. Otherwise the join is by file and line, so that no file
-    is gathered in one task.
+    Such a file has one byte less than its lines with one line end each. Which files those are is found within the same
+    plan, in a pass over the lengths of lines, when the result is asked for and not before. They are told to every task:
+    one row for each file that is just being written, less than the list of files that every reader keeps anyway.
     """
     size = F.sum(F.octet_length("line") + 1)
     last = F.max(F.struct("block", "line_id"))
     ends = lines.groupBy("source").agg(size.alias("bytes"), F.max("file_size").alias("file_size"), last.alias("last"))
-    cut = ends.where("bytes > file_size").select("source", F.col("last.line_id").alias("line_id"))
-    few = cut.limit(_FEW_FILES + 1).collect()
-    if not few:
-        return lines
-    if len(few) <= _FEW_FILES:
-        cut = F.broadcast(lines.sparkSession.createDataFrame(few, cut.schema))
-    return lines.join(cut, ["source", "line_id"], "left_anti")
+    cut = ends.where("bytes > file_size").select("source", F.col("last.block").alias("block"), F.col("last.line_id").alias("line_id"))
+    return lines.join(F.broadcast(cut), ["source", "block", "line_id"], "left_anti").select(*lines.columns)
 
 
 def number_lines(lines: DataFrame) -> DataFrame:
@@ -63,7 +69,7 @@ def number_lines(lines: DataFrame) -> DataFrame:
     starts = blocks.select(
         "source", "block", "first_id", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("lines_before")
     )
-    numbered = lines.join(starts, ["source", "block"])
+    numbered = lines.join(starts.hint("shuffle_hash"), ["source", "block"])
     line_no = F.col("lines_before") + F.col("line_id") - F.col("first_id") + 1
     return numbered.select(*lines.columns, line_no.alias("line_no"))
 

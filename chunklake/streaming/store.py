@@ -2,22 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from threading import Event
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chunklake.operators.store import CLIP_PLACE, to_store_rows
-from chunklake.sinks.store import append_store
+from chunklake.sinks.store import append_batch
+
+#: The order number of a micro-batch: the time at which it was first tried, in nanoseconds, as batch runs have. Spark
+#: keeps that time with the batch's offsets, so a repeat has the same one.
+_RUN = "_run"
+#: Called with each micro-batch before it is written; raises to end the query.
+Check = Callable[[DataFrame], None] | None
 
 
-def append_stream(rows_of, stream: DataFrame, store_path: str, checkpoint: str, run_base: int, available_now: bool):
+def append_stream(
+    rows_of: Callable[[DataFrame, Column], DataFrame], stream: DataFrame, store_path: str, checkpoint: str, available_now: bool, check: Check = None
+) -> StreamingQuery:
     """Each micro-batch is one run of the store, so one that is repeated after a failure replaces its first try."""
+    started, query_id = Event(), []
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        run = run_base + batch_id
-        append_store(rows_of(batch, run), store_path, run, repeat=True)
+        started.wait()
+        if check is not None:
+            check(batch)
+        append_batch(rows_of(batch, F.col(_RUN)), store_path, query_id[0], batch_id)
 
     trigger = {"availableNow": True} if available_now else {"processingTime": "1 second"}
-    return stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    stream = stream.withColumn(_RUN, F.unix_millis(F.current_timestamp()) * 1_000_000)
+    query = stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    query_id.append(query.id)
+    started.set()
+    return query
 
 
 def append_clip_stream(
@@ -27,12 +46,12 @@ def append_clip_stream(
     ttl: int | str,
     now: int | None = None,
     available_now: bool = False,
-    run_base: int = 0,
     place: tuple[str, str, str] = CLIP_PLACE,
+    check: Check = None,
 ) -> StreamingQuery:
-    """Store rows of a clip stream. Streams that share a store need run bases far apart."""
+    """Store rows of a clip stream. Of equal keys the one written later counts, be it by a batch run or a stream."""
 
-    def rows_of(batch: DataFrame, run: int) -> DataFrame:
+    def rows_of(batch: DataFrame, run: Column) -> DataFrame:
         return to_store_rows(batch, ttl, now, run, place)
 
-    return append_stream(rows_of, clips, store_path, checkpoint, run_base, available_now)
+    return append_stream(rows_of, clips, store_path, checkpoint, available_now, check)
