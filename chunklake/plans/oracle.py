@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from chunklake.functions.options import DEFAULT_CLIP_MS
-from chunklake.plans.queries import CLIP_MS, IDLE_MS, NOW, SRC
+from chunklake.plans.queries import CLIP_MS, IDLE_MS, LONG_CLIP_MS, NOW, SRC
 
 _CHUNKS = """
 chunks AS (
@@ -29,9 +29,17 @@ lines AS (
                            WHEN 17 THEN replace(text, '"offset":', '"offset":-')
                            WHEN 19 THEN '' ELSE text END AS line
   FROM texts),
+parsed AS (
+  SELECT session_id, line_no, line, nullif(regexp_extract(line, '"kind":"([^"]*)"', 1), '') AS kind,
+         TRY_CAST(regexp_extract(line, '"sequence":(-?[0-9]+)', 1) AS BIGINT) AS sequence,
+         TRY_CAST(regexp_extract(line, '"offset":(-?[0-9]+)', 1) AS BIGINT) AS "offset",
+         TRY_CAST(regexp_extract(line, '"length":(-?[0-9]+)', 1) AS BIGINT) AS length,
+         TRY_CAST(regexp_extract(line, '"ts_ms":(-?[0-9]+)', 1) AS BIGINT) AS ts_ms
+  FROM (SELECT * REPLACE (replace(line, '"offset":-0,', '"offset":0,') AS line) FROM lines)),
+metas AS (
+  SELECT *, kind IS NOT NULL AND sequence >= 0 AND "offset" >= 0 AND length >= 0 AND ts_ms IS NOT NULL AS whole FROM parsed),
 records AS (
-  SELECT session_id, line_no, kind, sequence, "offset", length, ts_ms FROM lines
-  WHERE slot NOT IN (7, 11, 13, 17, 19) OR (slot = 17 AND "offset" = 0))"""
+  SELECT session_id, line_no, kind, sequence, "offset", length, ts_ms FROM metas WHERE whole AND kind = 'data')"""
 
 
 def _cut(chunks: str, idle_ms: int | None = None, clip_ms: int = CLIP_MS) -> str:
@@ -119,6 +127,10 @@ def _csv(column: str) -> str:
     return f"CASE WHEN regexp_matches({column}, '[,\"\\r\\n]') THEN {quoted} ELSE {column} END"
 
 
+_FROM_FILES = f"""WITH RECURSIVE {_cut(_LINE_CHUNKS, clip_ms=DEFAULT_CLIP_MS)}
+SELECT session_id || ':' || ts AS key, arg_max(path, clip_no) AS value, CAST({NOW + 300} AS BIGINT) AS expire_at
+FROM clips GROUP BY ALL"""
+
 ORACLES: dict[str, str] = {
     "clip_cut": _CLIPS,
     "clip_cut_blocks": _CLIPS,
@@ -142,16 +154,16 @@ SELECT session_id, line_no AS line_id, kind, sequence, "offset", length, ts_ms F
     "sidecar_parse_json": f"""WITH {_LINES}
 SELECT session_id, line_no AS line_id, kind, sequence, "offset", length, ts_ms FROM records""",
     "sidecar_rejects": f"""WITH {_LINES}
-SELECT line_no AS line_id, CASE slot WHEN 7 THEN 'not a data record' ELSE 'malformed record' END AS reason, line
-FROM lines WHERE slot IN (7, 11, 13, 17)""",
+SELECT line_no AS line_id, CASE WHEN whole THEN 'not a data record' ELSE 'malformed record' END AS reason, lines.line
+FROM lines JOIN metas USING (line_no) WHERE lines.line <> '' AND NOT coalesce(whole AND metas.kind = 'data', false)""",
     "meta_structs": f"""WITH {_LINES}
-SELECT line_no AS line_id, CASE WHEN whole THEN CASE slot WHEN 7 THEN 'json' ELSE 'data' END END AS kind,
+SELECT line_no AS line_id, CASE WHEN whole THEN kind END AS kind,
        CASE WHEN whole THEN sequence END AS sequence, CASE WHEN whole THEN "offset" END AS "offset",
        CASE WHEN whole THEN length END AS length, CASE WHEN whole THEN ts_ms END AS ts_ms
-FROM (SELECT *, slot NOT IN (11, 13, 17, 19) AS whole FROM lines)""",
+FROM metas""",
     "log_regex_extract": _URL_MATCH,
     "log_regex_filter": f"{_URL_MATCH} AND regexp_extract(url, {_URL}, 1) = 'https'",
-    "log_regex_unknown_key": f"{_URL_MATCH} AND false",
+    "log_regex_unknown_key": f"SELECT *, 'scheme' AS key FROM ({_URL_MATCH}) WHERE scheme = 'https'",
     "log_regex_words": f"""
 SELECT doc_id, regexp_extract(line, {_WORDS}, 1) AS a, regexp_extract(line, {_WORDS}, 2) AS b
 FROM (SELECT doc_id, trim(text, {_BLANKS}) AS line FROM documents) WHERE regexp_matches(line, {_WORDS})""",
@@ -165,7 +177,8 @@ FROM (SELECT trim(text, {_BLANKS}) AS line FROM documents) WHERE NOT regexp_matc
     "log_file_lines": f"WITH {_EVENT_JSON} SELECT line FROM trimmed",
     "json_kv_filter": f"WITH {_EVENT_JSON} SELECT event_id, line FROM trimmed WHERE NOT cut AND event_type = 'click'",
     "json_kv_filter_scalar": f"WITH {_EVENT_JSON} SELECT event_id, line FROM trimmed WHERE NOT cut AND user_id = 8",
-    "json_kv_number_no_match": f"WITH {_EVENT_JSON} SELECT event_id, line FROM trimmed WHERE false",
+    "json_kv_number_no_match": f"""WITH {_EVENT_JSON}
+SELECT event_id, replace(line, '"user_id":8,', '"user_id":"8",') AS line FROM trimmed WHERE NOT cut AND line LIKE '%"user_id":8,%'""",
     "json_passthrough": f"WITH {_EVENT_JSON} SELECT event_id, line FROM trimmed WHERE NOT cut",
     "json_rejects": f"WITH {_EVENT_JSON} SELECT 'malformed JSON line' AS reason, line FROM trimmed WHERE cut",
     "to_jsonl": """
@@ -178,7 +191,7 @@ SELECT event_id, event_type AS type_string, CAST(NULL AS VARCHAR) AS user_string
        props AS props_string, event_id AS event_integer, NOT cut AS is_object FROM trimmed""",
     "marker_sessions": "SELECT page_id, url || '/.pipeline_end' AS path FROM pages WHERE page_id % 7 = 0",
     "ended_sessions": """WITH hosts AS (SELECT page_id, regexp_extract(url, '://([^/]+)', 1) AS host FROM pages)
-SELECT 'p' || page_id AS session_id FROM hosts
+SELECT '/in/' || host AS folder, 'p' || page_id AS session_id FROM hosts
 WHERE host IN (SELECT host FROM hosts WHERE page_id % 7 = 0)""",
     "missing_payload": """
 SELECT CAST(doc_id AS VARCHAR) AS session_id FROM documents d
@@ -224,4 +237,43 @@ FROM events WHERE event_type = 'click'""",
 SELECT 'u' || user_id || ':' || (event_id % 10) AS key,
        '/clips/' || max(event_id) || '.mp4' AS value, CAST({NOW + 300} AS BIGINT) AS expire_at
 FROM events GROUP BY user_id, event_id % 10""",
+    "clip_cut_long_span": f"""WITH RECURSIVE {_cut(_CHUNKS.replace("chunks AS", "all_chunks AS") + """,
+chunks AS (
+  SELECT session_id, line_no, line_no // 1920 * 640 + line_no % 640 AS sequence, (line_no // 1920 * 640 + line_no % 640) * 5 AS "offset",
+         5 AS length, ts_ms, arrival_ms FROM all_chunks WHERE session_id = 'hot')""", clip_ms=LONG_CLIP_MS)}
+SELECT type, session_id, ts, path, "offset", length, complete FROM clips""",
+    "stream_clip_cut_idle": _CLIPS_IDLE,
+    "store_stream_after_snapshot": f"""WITH {_STORE},
+streamed AS (
+  SELECT p || user_id || ':' || (event_id % 10) AS key, '/' || p || '/' || max(event_id) || '.mp4' AS value
+  FROM events, (VALUES ('a'), ('b')) prefixes(p) WHERE event_type = 'click' GROUP BY p, user_id, event_id % 10)
+SELECT key, value, expire_at FROM latest WHERE expire_at = 0 OR expire_at > {NOW}
+UNION ALL SELECT key, value, CAST({NOW + 300} AS BIGINT) FROM streamed""",
+    "store_batch_then_stream": f"""
+WITH old AS (SELECT DISTINCT 'u' || user_id || ':' || (event_id % 12) AS key FROM events),
+fresh AS (
+  SELECT 'u' || user_id || ':' || (event_id % 10) AS key, '/u/' || max(event_id) || '.mp4' AS value
+  FROM events WHERE event_id % 2 = 0 GROUP BY ALL HAVING true)
+SELECT key, coalesce(fresh.value, '/old.mp4') AS value, CAST(CASE WHEN fresh.key IS NULL THEN 0 ELSE {NOW + 300} END AS BIGINT) AS expire_at
+FROM old FULL JOIN fresh USING (key)""",
+    "sidecar_file_scan": f"""WITH {_LINES}
+SELECT session_id, line FROM (
+  SELECT *, session_id LIKE 'cam%3' AS torn, lead(line_no) OVER (PARTITION BY session_id ORDER BY line_no) IS NULL AS last
+  FROM lines WHERE session_id NOT LIKE 'cam%3' OR line LIKE '%}}')
+WHERE line <> '' AND NOT (torn AND last)""",
+    "sidecar_files_two_folders": " UNION ALL ".join(
+        f"""SELECT * FROM (WITH RECURSIVE {_cut(_LINE_CHUNKS.replace("FROM records)", f"FROM records WHERE line_no >= {least})"))}
+SELECT type, session_id, ts, path, "offset", length, complete FROM clips)"""
+        for least in (0, 500)
+    ),
+    "pipeline_from_files": _FROM_FILES,
+    "pipeline_stream_from_files": _FROM_FILES,
+    "log_regex_nested": """
+SELECT page_id, regexp_extract(url, p, 1) AS prefix, regexp_extract(url, p, 2) AS kind, regexp_extract(url, p, 3) AS name,
+       regexp_extract(url, p, 4) AS label, regexp_extract(url, p, 5) AS "end"
+FROM (SELECT *, '^https?://((m|blog)[.])([a-z]+)[.](example)[.](com|(net))/([a-z]*)' AS p FROM pages) WHERE regexp_matches(url, p)""",
+    "nested_fields": """
+SELECT event_id, regexp_extract(line, '"k"[ ]*:[ ]*([^,} ]+)', 1) AS k_scalar, 'say "k": 9 \\ ok' AS note_string,
+       CAST(regexp_extract(line, '"event_id" : ([0-9]+)', 1) AS BIGINT) AS event_integer
+FROM (SELECT event_id, '{"note":"say \\"k\\": 9 \\\\ ok","props":' || props || ',"k":"later","event_id" : ' || event_id || '}' AS line FROM events)""",
 }

@@ -91,6 +91,7 @@ def run_stream_pipeline(
     available_now: bool = False,
     max_files: int | None = None,
     require_payload: bool = False,
+    clip_src: str | None = None,
 ) -> StreamingQuery:
     """The same over closed segment files as they arrive. ``available_now`` ends after what is there.
 
@@ -98,7 +99,7 @@ def run_stream_pipeline(
     written. Refused lines are those of `stream_rejects` over the same stream.
     """
     lines = read_sidecar_stream(spark, src, max_files=max_files)
-    clips = cut_clips_stream(lines, src, idle_ms=None if available_now else DEFAULT_IDLE_MS)
+    clips = cut_clips_stream(lines, clip_src or src, idle_ms=None if available_now else DEFAULT_IDLE_MS)
 
     def check(batch: DataFrame) -> None:
         _require(missing_sessions(batch, list_files(spark, src, PAYLOAD_SUFFIX).drop("folder")), "payload")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,18 +17,18 @@ from chunklake.functions.fields import (
     looks_like_object,
     trim_line,
 )
-from chunklake.operators.clips import BLOCK_LINES, Order, by_number, continuity_breaks, cut_clips
+from chunklake.operators.clips import by_number, continuity_breaks, cut_clips
 from chunklake.operators.logs import extract_log, filter_json_lines, format_records
 from chunklake.operators.sidecar import parse_sidecar, tag_sidecar
 from chunklake.operators.store import LINE_PLACE, compact, latest_per_key, lookup, lookup_many, to_store_rows
-from chunklake.plans.fixtures import EPOCH_MICROS, event_chunks, event_lines
-from chunklake.plans.pipeline import clips_to_store
+from chunklake.plans.fixtures import EPOCH_MICROS, event_chunks, event_lines, write_sidecars
+from chunklake.plans.pipeline import clips_to_store, run_pipeline, run_stream_pipeline
 from chunklake.schemas import CLIP_FIELDS
 from chunklake.session import shared_folder
 from chunklake.sinks.store import append_store, compact_store, store_lines
 from chunklake.sinks.text import clip_lines, write_clips
 from chunklake.sources.lines import number_lines, read_log_lines, scan_lines
-from chunklake.sources.sidecar import ended_sessions, missing_sessions
+from chunklake.sources.sidecar import ended_sessions, missing_sessions, read_sidecars
 from chunklake.sources.store import parse_clip_lines, read_store, read_store_tsv
 from chunklake.streaming.clips import cut_record_stream
 from chunklake.streaming.store import append_clip_stream
@@ -51,10 +52,10 @@ def _chunks(spark: SparkSession, folder: str) -> DataFrame:
     return event_chunks(_table(spark, folder, "events"))
 
 
-def _many_blocks(spark: SparkSession, folder: str) -> Order:
-    """Blocks so short that the hot session of any table fills several, but never longer than the default."""
-    events = _table(spark, folder, "events").count()
-    return by_number("line_no", min(max(events // 64, 512), BLOCK_LINES))
+#: Blocks so short that sessions of every table fill several.
+SHORT_BLOCKS = by_number("line_no", 1024)
+#: A span longer than any of these blocks lasts.
+LONG_CLIP_MS, TINY_BLOCKS = 40 * CLIP_MS, by_number("line_no", 64)
 
 
 def _event_json(spark: SparkSession, folder: str) -> DataFrame:
@@ -111,12 +112,19 @@ def clip_cut(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clip_cut_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    return cut_clips(_chunks(spark, folder), SRC, CLIP_MS, order=_many_blocks(spark, folder))
+    return cut_clips(_chunks(spark, folder), SRC, CLIP_MS, order=SHORT_BLOCKS)
+
+
+def clip_cut_long_span(spark: SparkSession, folder: str) -> DataFrame:
+    """A span over many blocks, and the hot session without a break: stretches of many blocks."""
+    # of its stretches of 640 events every third is the hot session's, so a chunk's number has a closed form
+    nth = F.expr("line_no div 1920 * 640 + line_no % 640")
+    chunks = _chunks(spark, folder).where("session_id = 'hot'").withColumns({"sequence": nth, "offset": nth * 5, "length": F.lit(5)})
+    return cut_clips(chunks, SRC, LONG_CLIP_MS, order=TINY_BLOCKS)
 
 
 def clip_cut_idle(spark: SparkSession, folder: str) -> DataFrame:
-    chunks, order = _chunks(spark, folder), _many_blocks(spark, folder)
-    return cut_clips(chunks, SRC, CLIP_MS, idle_ms=IDLE_MS, arrival_col="arrival_ms", order=order)
+    return cut_clips(_chunks(spark, folder), SRC, CLIP_MS, idle_ms=IDLE_MS, arrival_col="arrival_ms", order=SHORT_BLOCKS)
 
 
 def clip_lines_out(spark: SparkSession, folder: str) -> DataFrame:
@@ -124,7 +132,7 @@ def clip_lines_out(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def break_report(spark: SparkSession, folder: str) -> DataFrame:
-    breaks = continuity_breaks(_chunks(spark, folder), _many_blocks(spark, folder))
+    breaks = continuity_breaks(_chunks(spark, folder), SHORT_BLOCKS)
     return breaks.select(
         "session_id", F.col("line").alias("line_no"), "sequence", "expected_sequence", "offset", "expected_offset"
     )
@@ -158,8 +166,10 @@ def log_regex_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def log_regex_unknown_key(spark: SparkSession, folder: str) -> DataFrame:
+    """A name that is no field keeps nothing; beside it one that is."""
     pages = _table(spark, folder, "pages")
-    return extract_log(pages, URL_PATTERN, URL_FIELDS, "nokey=x", "url", ("page_id",))[0]
+    cases = [extract_log(pages, URL_PATTERN, URL_FIELDS, f"{key}=https", "url", ("page_id",))[0] for key in ("nokey", "scheme")]
+    return cases[0].withColumn("key", F.lit("nokey")).unionByName(cases[1].withColumn("key", F.lit("scheme")))
 
 
 def log_regex_rejects(spark: SparkSession, folder: str) -> DataFrame:
@@ -187,7 +197,11 @@ def json_kv_filter_scalar(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def json_kv_number_no_match(spark: SparkSession, folder: str) -> DataFrame:
-    return filter_json_lines(_event_json(spark, folder), "user_id=8", keep=("event_id",))[0]
+    """A number does not equal a string of the same digits; beside it the same number as a string, which does."""
+    lines = _event_json(spark, folder)
+    quoted = lines.withColumn("line", F.regexp_replace("line", r'"user_id":(\d+)', r'"user_id":"$1"'))
+    cases = [filter_json_lines(frame, "user_id=8", keep=("event_id",))[0] for frame in (lines, quoted)]
+    return cases[0].unionByName(cases[1])
 
 
 def json_passthrough(spark: SparkSession, folder: str) -> DataFrame:
@@ -214,7 +228,7 @@ def trimmed_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def textual_fields(spark: SparkSession, folder: str) -> DataFrame:
-    """Lookups in nested text: ``k`` lies inside the string value of ``props``, where the first mention counts."""
+    """Lookups of strings, numbers and whole values; `nested_fields` has the odd cases."""
     line = F.col("line")
     return _event_json(spark, folder).select(
         "event_id",
@@ -349,10 +363,10 @@ def pipeline_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     return latest_per_key(rows).select("key", "value", "expire_at")
 
 
-def _stream_events(spark: SparkSession, folder: str) -> DataFrame:
-    schema = _table(spark, folder, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return reader.option("maxBytesPerTrigger", str(1 << 30)).parquet(folder)
+def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The table as a stream, be it one file or a folder of them."""
+    reader = spark.readStream.schema(_table(spark, folder, name).schema).option("maxBytesPerTrigger", str(128 << 20))
+    return reader.parquet(f"{folder}/{name}.parquet*")
 
 
 def _run(query) -> None:
@@ -361,31 +375,38 @@ def _run(query) -> None:
         raise query.exception()
 
 
-def stream_clip_cut(spark: SparkSession, folder: str) -> DataFrame:
-    """Clips cut from a stream, an end mark behind each session's last chunk; the same clips as in batch."""
+def _stream_cut(spark: SparkSession, folder: str, idle_ms: int | None) -> DataFrame:
     out, checkpoint = shared_folder(spark, "clips"), shared_folder(spark, "checkpoint")
-    chunks = event_chunks(_stream_events(spark, folder))
-    records = chunks.select(
+    numbers = ["sequence", "offset", "length", "ts_ms"]
+    records = event_chunks(_stream(spark, folder, "events")).select(
         "session_id", F.lit(0).cast("bigint").alias("block"), F.col("line_no").alias("line_id"),
-        F.lit(False).alias("ended"), "sequence", "offset", "length", "ts_ms",
+        F.lit(False).alias("ended"), *numbers, F.col("arrival_ms").alias("arrival"),
     )
     last = _chunks(spark, folder).groupBy("session_id").agg(F.max("line_no").alias("last_id"))
     marks = records.join(last, "session_id").where(F.col("line_id") == F.col("last_id"))
     marks = marks.select(
         "session_id", F.lit(1).cast("bigint").alias("block"), "line_id", F.lit(True).alias("ended"),
-        *[F.lit(0).cast("bigint").alias(name) for name in ("sequence", "offset", "length", "ts_ms")],
+        *[F.lit(0).cast("bigint").alias(name) for name in numbers], "arrival",
     )
-    clips = cut_record_stream(records.unionByName(marks), SRC, CLIP_MS, idle_ms=None)
+    clips = cut_record_stream(records.unionByName(marks), SRC, CLIP_MS, idle_ms, wall_clock=False)
     writer = clips.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True)
     _run(writer.start(out))
     return spark.read.schema(clips.schema).parquet(out).select(*CLIP_FIELDS)
 
 
+def stream_clip_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """Clips cut from a stream, an end mark behind each session's last chunk; the same clips as in batch."""
+    return _stream_cut(spark, folder, None)
+
+
+def stream_clip_cut_idle(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with pauses in arrival."""
+    return _stream_cut(spark, folder, IDLE_MS)
+
+
 def stream_log_extract(spark: SparkSession, folder: str) -> DataFrame:
     out, checkpoint = shared_folder(spark, "records"), shared_folder(spark, "checkpoint")
-    schema = _table(spark, folder, "pages").schema
-    pages = spark.readStream.schema(schema).option("pathGlobFilter", "pages.parquet").parquet(folder)
-    records, _ = extract_log(pages, URL_PATTERN, URL_FIELDS, line_col="url", keep=("page_id",))
+    records, _ = extract_log(_stream(spark, folder, "pages"), URL_PATTERN, URL_FIELDS, line_col="url", keep=("page_id",))
     writer = records.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True)
     _run(writer.start(out))
     return spark.read.schema(records.schema).parquet(out)
@@ -393,7 +414,7 @@ def stream_log_extract(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_json_filter(spark: SparkSession, folder: str) -> DataFrame:
     out, checkpoint = shared_folder(spark, "records"), shared_folder(spark, "checkpoint")
-    events = _stream_events(spark, folder)
+    events = _stream(spark, folder, "events")
     line = F.to_json(F.struct(F.col("event_type").alias("type"), "user_id", "event_id", "props"))
     kept, _ = filter_json_lines(events.select("event_id", line.alias("line")), "type=click", keep=("event_id",))
     writer = kept.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True)
@@ -405,7 +426,7 @@ def stream_store(spark: SparkSession, folder: str) -> DataFrame:
     """A stream of clip records appended to the store, then read as its latest rows."""
     path, checkpoint = shared_folder(spark, "store"), shared_folder(spark, "checkpoint")
     event_id = F.col("event_id")
-    clips = _stream_events(spark, folder).select(
+    clips = _stream(spark, folder, "events").select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("session_id"),
         (event_id % 10).alias("ts"),
         F.concat(F.lit("/clips/"), event_id.cast("string"), F.lit(".mp4")).alias("path"),
@@ -415,6 +436,102 @@ def stream_store(spark: SparkSession, folder: str) -> DataFrame:
     return latest_per_key(read_store(spark, path)).select("key", "value", "expire_at")
 
 
+def _clip_stream(spark: SparkSession, folder: str, prefix: str, where: str) -> DataFrame:
+    event_id = F.col("event_id")
+    return _stream(spark, folder, "events").where(where).select(
+        F.concat(F.lit(prefix), F.col("user_id").cast("string")).alias("session_id"),
+        (event_id % 10).alias("ts"),
+        F.concat(F.lit(f"/{prefix}/"), event_id.cast("string"), F.lit(".mp4")).alias("path"),
+        F.lit("events").alias("source"), F.lit(0).cast("bigint").alias("block"), event_id.alias("line_id"),
+    )
+
+
+def store_stream_after_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """A snapshot, then two streams with checkpoints of their own onto it: no row of any of the three is lost."""
+    path, new_path = shared_folder(spark, "store"), shared_folder(spark, "snapshot")
+    append_store(_full_store(spark, folder), path, run=1)
+    compact_store(spark, path, new_path, NOW)
+    for prefix in ("a", "b"):
+        clips = _clip_stream(spark, folder, prefix, "event_type = 'click'")
+        checkpoint = shared_folder(spark, "checkpoint")
+        _run(append_clip_stream(clips, new_path, checkpoint, 300, NOW, available_now=True, place=LINE_PLACE))
+    return latest_per_key(read_store(spark, new_path)).select("key", "value", "expire_at")
+
+
+def store_batch_then_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch run and a later stream of the same keys: the stream's rows count."""
+    path, event_id = shared_folder(spark, "store"), F.col("event_id")
+    old = _table(spark, folder, "events").select(
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("session_id"),
+        (event_id % 12).alias("ts"),
+        F.lit("/old.mp4").alias("path"),
+        F.lit("events").alias("source"), F.lit(0).cast("bigint").alias("block"), event_id.alias("line_id"),
+    )
+    run = time.time_ns()
+    append_store(to_store_rows(old, 0, NOW, run, LINE_PLACE), path, run)
+    clips = _clip_stream(spark, folder, "u", "event_id % 2 = 0")
+    _run(append_clip_stream(clips, path, shared_folder(spark, "checkpoint"), 300, NOW, available_now=True, place=LINE_PLACE))
+    return latest_per_key(read_store(spark, path)).select("key", "value", "expire_at")
+
+
+def _sidecar_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return event_lines(_table(spark, folder, "events"))
+
+
+def sidecar_file_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Sidecar files, some of them torn: their last line, which has no line end, is not read."""
+    root, torn = shared_folder(spark, "in"), F.col("session_id").like("cam%3")
+    lines = _sidecar_lines(spark, folder).where(~torn | F.col("line").endswith("}"))
+    write_sidecars(lines.withColumn("folder", F.lit("x")), root, torn=torn)
+    return read_sidecars(spark, root).select("session_id", "line")
+
+
+def sidecar_files_two_folders(spark: SparkSession, folder: str) -> DataFrame:
+    """Equally named sessions in two folders, one of them with every second half of its chunks' lengths: two sessions each."""
+    root, lines = shared_folder(spark, "in"), _sidecar_lines(spark, folder)
+    late = lines.where(F.col("line_id") >= 500)
+    write_sidecars(lines.withColumn("folder", F.lit("a")).unionByName(late.withColumn("folder", F.lit("b"))), root)
+    return cut_clips(parse_sidecar(read_sidecars(spark, root))[0], SRC, CLIP_MS)
+
+
+def pipeline_from_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole job from sidecar files and payloads to the store, for half of the sessions by name, then for all."""
+    root, path = shared_folder(spark, "in"), shared_folder(spark, "store")
+    lines = _sidecar_lines(spark, folder)
+    write_sidecars(lines.withColumn("folder", F.lit("in")), root, payloads=True)
+    some = [row.session_id for row in lines.select("session_id").distinct().where("session_id LIKE 'cam%'").collect()]
+    run_pipeline(spark, root, path, 0, some, NOW, 1, "/old")
+    run_pipeline(spark, root, path, 300, None, NOW, 2, SRC, shared_folder(spark, "rejects"))
+    return latest_per_key(read_store(spark, path)).select("key", "value", "expire_at")
+
+
+def pipeline_stream_from_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The same as a stream over closed files, each session ended by a mark."""
+    root, path, checkpoint = (shared_folder(spark, purpose) for purpose in ("in", "store", "checkpoint"))
+    write_sidecars(_sidecar_lines(spark, folder).withColumn("folder", F.lit("in")), root, ended=True, payloads=True)
+    _run(run_stream_pipeline(spark, root, path, checkpoint, 300, NOW, available_now=True, require_payload=True, clip_src=SRC))
+    return latest_per_key(read_store(spark, path)).select("key", "value", "expire_at")
+
+
+def log_regex_nested(spark: SparkSession, folder: str) -> DataFrame:
+    """Optional, nested and alternative groups; a line in which a used one takes no part is refused."""
+    pattern = "^https?://((m|blog)[.])?([a-z]+)[.](example)[.](com|(net))/([a-z]*)"
+    return extract_log(_table(spark, folder, "pages"), pattern, "prefix,kind,name,label,end", line_col="url", keep=("page_id",))[0]
+
+
+def nested_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """Lookups by text: the first mention of a key counts, be it nested; an escaped one is none."""
+    note = F.concat(F.lit('{"note":"say \\"k\\": 9 \\\\ ok","props":'), F.col("props"), F.lit(',"k":"later","event_id" : '))
+    line = F.concat(note, F.col("event_id").cast("string"), F.lit("}"))
+    made = _table(spark, folder, "events").select("event_id", line.alias("line"))
+    return made.select(
+        "event_id",
+        field_scalar("line", "k").alias("k_scalar"),
+        field_string("line", "note").alias("note_string"),
+        field_integer("line", "event_id").alias("event_integer"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "clip_cut": clip_cut,
     "clip_cut_blocks": clip_cut_blocks,
@@ -463,4 +580,14 @@ QUERIES: dict[str, Query] = {
     "stream_log_extract": stream_log_extract,
     "stream_json_filter": stream_json_filter,
     "stream_store": stream_store,
+    "clip_cut_long_span": clip_cut_long_span,
+    "stream_clip_cut_idle": stream_clip_cut_idle,
+    "store_stream_after_snapshot": store_stream_after_snapshot,
+    "store_batch_then_stream": store_batch_then_stream,
+    "sidecar_file_scan": sidecar_file_scan,
+    "sidecar_files_two_folders": sidecar_files_two_folders,
+    "pipeline_from_files": pipeline_from_files,
+    "pipeline_stream_from_files": pipeline_stream_from_files,
+    "log_regex_nested": log_regex_nested,
+    "nested_fields": nested_fields,
 }
