@@ -1,4 +1,5 @@
 import json
+import os
 import random
 import time
 
@@ -9,10 +10,13 @@ from pyspark.sql import functions as F
 from chunklake import cut_clips, parse_sidecar, run_pipeline, run_stream_pipeline
 from chunklake.operators.logs import extract_log
 from chunklake.plans.pipeline import MissingInput
+from chunklake.plans.queries import QUERIES
+from chunklake.sinks.store import append_batch, write_snapshot
 from chunklake.sinks.text import write_clips, write_records
+from chunklake.sources.lines import scan_lines
 from chunklake.sources.sidecar import read_sidecar_stream, read_sidecars
-from chunklake.sources.store import read_store
-from chunklake.streaming.clips import cut_clips_stream
+from chunklake.sources.store import read_store, write_seq
+from chunklake.streaming.clips import cut_clips_stream, stream_rejects
 from chunklake.streaming.logs import read_log_stream, write_record_stream
 
 NOW = 5000
@@ -191,3 +195,115 @@ def test_marks_of_sessions_in_one_batch(spark, tmp_path):
     rows = spark.read.schema(clips.schema).parquet(str(tmp_path / "out")).orderBy("island").select("offset", "length", "complete")
     assert [tuple(row) for row in rows.collect()] == [(0, 4, True), (4, 8, True)]
     assert clips.where(F.col("complete")).isStreaming
+
+
+def test_equal_names_in_two_folders_are_two_sessions(spark, tmp_path):
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        _write(tmp_path / folder, {"s": [(i, 4 * i, 4, 100 * i, 0) for i in range(5)]})
+    (tmp_path / "b" / "s.bin").unlink()
+    chunks, _ = parse_sidecar(read_sidecars(spark, str(tmp_path)))
+    clips = cut_clips(chunks).collect()
+    assert [(c.session_id, c.offset, c.length, c.complete) for c in clips] == [("s", 0, 20, True)] * 2
+    with pytest.raises(MissingInput, match="payload.*s"):
+        run_pipeline(spark, str(tmp_path), str(tmp_path / "db"))
+
+
+def test_a_named_session_opens_its_file_only(spark, sessions, tmp_path):
+    _write(tmp_path, sessions)
+    frame = read_sidecars(spark, str(tmp_path), sessions=["s1"])
+    assert {row.session_id for row in frame.collect()} == {"s1"}
+    names = scan_lines(spark, str(tmp_path), "*.meta.jsonl", ["s1.meta.jsonl"])
+    names.collect()
+    plan = names._jdf.queryExecution().executedPlan()
+    while plan.children().size():
+        plan = plan.children().head()
+    assert plan.metrics().apply("numFiles").value() == 1
+
+
+def test_counts_and_rejects_of_the_job(spark, sessions, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    _write(src, sessions)
+    with (src / "s0.meta.jsonl").open("a") as file:
+        file.write('nonsense\n\n{"kind":"end"}\n')
+    counts = run_pipeline(spark, str(src), str(tmp_path / "db"), now=NOW, run=1, rejects_path=str(tmp_path / "rejects"))
+    expected = {name: fold(records, 5000) for name, records in sessions.items()}
+    clips = [clip for found in expected.values() for clip in found]
+    assert counts == {
+        "lines": sum(map(len, sessions.values())) + 2,
+        "rejects": 2,
+        "clips": len(clips),
+        "cut_short": sum(not clip[3] for clip in clips),
+    }
+    refused = spark.read.parquet(str(tmp_path / "rejects" / "run=1")).collect()
+    assert sorted(row.line for row in refused) == sorted(["nonsense", '{"kind":"end"}'])
+
+
+def test_streams_and_snapshots_lose_nothing(spark, tmp_path):
+    """A snapshot, then two streams of their own checkpoints, one of them run twice."""
+    store = str(tmp_path / "db")
+    row = spark.createDataFrame([("x:0", "/x", 0)], "key string, value string, expire_at bigint")
+    write_snapshot(row.withColumn("write_seq", write_seq(5, F.lit(""), F.lit(0), F.lit(0))), store)
+    for name, more in (("y", "z"), ("v", "w")):
+        src = tmp_path / name
+        src.mkdir()
+        for session in (name, more):
+            _segments(src, {session: [(1, 0, 4, 9000, 0)]}, 1, mark=True)
+            run_stream_pipeline(spark, str(src), store, str(tmp_path / f"cp-{name}"), 300, NOW, True).awaitTermination()
+    assert sorted(r.key for r in read_store(spark, store).collect()) == ["v:9", "w:9", "x:0", "y:9", "z:9"]
+
+
+def test_a_repeated_batch_replaces_its_first_try_only(spark, tmp_path):
+    store = str(tmp_path / "db")
+    rows = spark.createDataFrame([("a", "/1", 0), ("b", "/1", 0)], "key string, value string, expire_at bigint")
+    rows = rows.withColumn("write_seq", write_seq(1, F.lit(""), F.lit(0), F.lit(0)))
+    append_batch(rows, store, "query-1", 0)
+    append_batch(rows, store, "query-2", 0)
+    append_batch(rows.where("key = 'a'"), store, "query-1", 0)
+    assert sorted(r.key for r in read_store(spark, store).collect()) == ["a", "a", "b"]
+
+
+def test_a_missing_payload_ends_the_stream(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    _segments(src, {"a": [(1, 0, 4, 0, 0)]}, 1, mark=True)
+    query = run_stream_pipeline(spark, str(src), str(tmp_path / "db"), str(tmp_path / "cp"), 300, NOW, True, require_payload=True)
+    with pytest.raises(Exception, match="no payload file"):
+        query.awaitTermination()
+    assert not (tmp_path / "db").exists()
+
+
+def test_no_state_is_left_and_rejects_are_streamed(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    _segments(src, {f"s{i}": [(1, 0, 4, 0, 0), (2, 4, 4, 100, 0)] for i in range(8)}, 2, mark=True)
+    lines = read_sidecar_stream(spark, str(src))
+    query = cut_clips_stream(lines, idle_ms=None).writeStream.format("noop").trigger(availableNow=True)
+    query = query.option("checkpointLocation", str(tmp_path / "cp")).start()
+    query.awaitTermination()
+    assert [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]][-1] == 0
+    writer = stream_rejects(lines).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp2"))
+    writer.trigger(availableNow=True).start(str(tmp_path / "rejects")).awaitTermination()
+    assert [r.line for r in spark.read.parquet(str(tmp_path / "rejects")).collect()] == ["skip me"] * 8
+
+
+def test_a_pause_between_files_of_one_batch(spark, tmp_path):
+    for n, at in enumerate((1_000_000, 1_000_001, 1_000_900)):
+        file = tmp_path / f"a.meta.jsonl.{n}"
+        file.write_text(_line(n, 4 * n, 4, 100 * n) + ('{"kind":"end"}\n' if n == 2 else ""))
+        os.utime(file, (at, at))
+    clips = cut_clips_stream(read_sidecar_stream(spark, str(tmp_path)), idle_ms=600_000, wall_clock=False)
+    writer = clips.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp"))
+    writer.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    rows = spark.read.schema(clips.schema).parquet(str(tmp_path / "out")).orderBy("offset").collect()
+    assert [(r.offset, r.length, r.complete) for r in rows] == [(0, 8, False), (8, 4, True)]
+
+
+@pytest.mark.parametrize("name", ["stream_clip_cut", "stream_log_extract", "stream_json_filter", "stream_store"])
+def test_streams_read_a_table_of_parts(spark, tmp_path, name):
+    folder = "/root/testdata/sf0.001"
+    for table in ("events", "pages"):
+        spark.read.parquet(f"{folder}/{table}.parquet").repartition(3).write.parquet(str(tmp_path / f"{table}.parquet"))
+    found, whole = (QUERIES[name](spark, place).count() for place in (str(tmp_path), folder))
+    assert found == whole > 0

@@ -60,3 +60,14 @@ def test_sidecars(spark, tmp_path):
     sessions, payloads = list_files(spark, str(tmp_path), ".meta.jsonl"), list_files(spark, str(tmp_path), ".bin")
     assert {row.session_id for row in payloads.collect()} == {"t", "a b+c%d"}
     assert {row.session_id for row in missing_sessions(sessions, payloads).collect()} == {"s.1", "u"}
+
+
+def test_torn_lines_whatever_the_splits(spark, tmp_path, small_splits):
+    """The split size changes between the call and the action; both scans of the plan see the same one."""
+    for i in range(2):
+        (tmp_path / f"f{i}.log").write_text("".join(f"{i}-{j}\n" for j in range(400)) + "torn")
+    (tmp_path / "g.log").write_text("whole\n" * 30)
+    frame = drop_unterminated(scan_lines(spark, str(tmp_path)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    found = [row.line for row in frame.collect()]
+    assert len(found) == 830 and "torn" not in found
