@@ -10,7 +10,8 @@ block borders:
   contains a break has the same exit whatever enters it, so it settles the block behind it (`_tails`). For a block that
   an unbroken run passes through, the start that leaves is a step function of the one that enters. Only starts less
   than one span before the block can enter, so the function has at most one step per distinct time of that first span
-  (`_steps`); following the functions block by block settles the rest (`_entries`).
+  (`_steps`). The functions of 64 blocks at a time are composed to one (`_compose`); following those, and then the
+  blocks within, settles the rest (`_entries`).
 
 With the entries known every block is cut on its own, and clips that cross a border are summed from their pieces. The
 chunks are shuffled once: all passes over them read that one exchange, for which they ask for the same columns. Where
@@ -35,6 +36,9 @@ from chunklake.schemas import CLIP_FIELDS
 #: Lines per block where the order is one integer column: what one task sorts and cuts as a unit.
 BLOCK_LINES = 1 << 22
 
+#: Blocks of a stretch whose step functions one task follows; longer stretches are followed part by part.
+STRETCH_BLOCKS = 64
+
 _KEYS = ["session_id", "block"]
 _NUMBERS = ["sequence", "offset", "length", "ts_ms"]
 
@@ -216,6 +220,7 @@ def _blocks(borders: DataFrame, tails: DataFrame) -> DataFrame:
         "*",
         f"max(if(tail.last_run = 0, top, tail.tail_time)) {chain} AS exit_time",
         f"first_value(block + tail.last_run) {chain} AS exit_run",
+        f"row_number() {chain} AS nth",
     )
     return blocks.selectExpr(
         *_KEYS,
@@ -224,6 +229,7 @@ def _blocks(borders: DataFrame, tails: DataFrame) -> DataFrame:
         "next_linked",
         "NOT settled AND next_linked AS passing",
         "chain",
+        f"nth div {STRETCH_BLOCKS} AS part",
         f"if(linked AND lag(settled) {session}, tail_before.tail_start, null) AS entry",
         f"if(linked, lag(exit_time) {session}, null) AS entry_time",
         f"if(linked, lag(exit_run) {session}, null) AS origin",
@@ -231,13 +237,14 @@ def _blocks(borders: DataFrame, tails: DataFrame) -> DataFrame:
 
 
 _STEPS_DDL = (
-    "session_id string, chain bigint, block bigint, next_block bigint, entry bigint, "
+    "session_id string, chain bigint, part bigint, block bigint, next_block bigint, entry bigint, "
     "bounds array<bigint>, exits array<bigint>"
 )
 _STEPS = pa.schema(
     [
         ("session_id", pa.string()),
         ("chain", pa.int64()),
+        ("part", pa.int64()),
         ("block", pa.int64()),
         ("next_block", pa.int64()),
         ("entry", pa.int64()),
@@ -245,6 +252,7 @@ _STEPS = pa.schema(
         ("exits", pa.list_(pa.int64())),
     ]
 )
+_STEP_PLACE = _STEPS.names[:-2]
 
 
 def _steps(clip_ms: int):
@@ -259,7 +267,7 @@ def _steps(clip_ms: int):
         reachable = np.searchsorted(times, min(block["entry_time"], LATEST - clip_ms) + clip_ms, side="left") + 1
         bounds, exits = times[:reachable], starts[:reachable]
         last_of_step = np.append(exits[1:] != exits[:-1], True)[: len(exits)]
-        row = [[block[name]] for name in ("session_id", "chain", "block", "next_block", "entry")]
+        row = [[block[name]] for name in _STEP_PLACE]
         return _emit(_STEPS, *row, [bounds[last_of_step]], [exits[last_of_step]])
 
     def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +280,7 @@ def _steps(clip_ms: int):
                     held = None
                 if held is None:
                     first = runs.batch.slice(a, 1).to_pylist()[0]
-                    held = {name: first[name] for name in ("session_id", "chain", "block", "next_block", "entry")}
+                    held = {name: first[name] for name in _STEP_PLACE}
                     held |= {"entry_time": first["entry_time"], "top": first["entry_time"], "times": []}
                 high = np.maximum.accumulate(np.maximum(runs.columns["ts_ms"][a:b], held["top"]))
                 held["times"].append(high[np.append(high[0] > held["top"], high[1:] > high[:-1])])
@@ -283,37 +291,91 @@ def _steps(clip_ms: int):
     return steps
 
 
+def _through(starts: np.ndarray, bounds: np.ndarray, exits: np.ndarray, clip_ms: int) -> np.ndarray:
+    """The starts that leave when these enter."""
+    step = np.searchsorted(bounds, np.minimum(starts, LATEST - clip_ms) + clip_ms, side="left")
+    inside = step < len(bounds)
+    return np.where(inside, np.append(exits, 0)[np.where(inside, step, 0)], starts)
+
+
+def _compose(clip_ms: int):
+    """One row per part of a stretch: the step function of its blocks one after another, and what enters the first.
+
+    Rows must be sorted; one is held. A part has no more steps than one span has distinct times from its first block on.
+    """
+
+    def settle(part: dict) -> pa.RecordBatch:
+        bounds, exits = part["bounds"], part["exits"]
+        last_of_step = np.append(exits[1:] != exits[:-1], True)[: len(exits)]
+        return _emit(_STEPS, *[[part[name]] for name in _STEP_PLACE], [bounds[last_of_step]], [exits[last_of_step]])
+
+    def compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict | None = None
+        for batch in batches:
+            places = batch.select(_STEP_PLACE).to_pylist()
+            columns = batch.column("bounds"), batch.column("exits")
+            for i, place in enumerate(places):
+                bounds, exits = (column[i].values.to_numpy() for column in columns)
+                if held is not None and all(held[name] == place[name] for name in ("session_id", "chain", "part")):
+                    # what none of the earlier blocks cuts comes to this one as it entered the first
+                    beyond = bounds > held["bounds"][-1] if len(held["bounds"]) else np.ones(len(bounds), bool)
+                    held["exits"] = np.append(_through(held["exits"], bounds, exits, clip_ms), exits[beyond])
+                    held["bounds"] = np.append(held["bounds"], bounds[beyond])
+                    continue
+                if held is not None:
+                    yield settle(held)
+                held = place | {"bounds": bounds, "exits": exits}
+        if held is not None:
+            yield settle(held)
+
+    return compose
+
+
+_ENTERED_DDL = "session_id string, chain bigint, part bigint, entered bigint"
+_ENTERED = pa.schema([("session_id", pa.string()), ("chain", pa.int64()), ("part", pa.int64()), ("entered", pa.int64())])
 _PASSED_DDL = "session_id string, block bigint, passed bigint"
 _PASSED = pa.schema([("session_id", pa.string()), ("block", pa.int64()), ("passed", pa.int64())])
 
 
-def _follow(clip_ms: int):
-    """The start that enters the block behind each block of a stretch. Rows must be sorted; one is held at a time."""
+def _follow(clip_ms: int, key: tuple[str, ...], entry: str, passes: bool, schema: pa.Schema):
+    """Follows step functions one at a time, row by row of each ``key``, from the ``entry`` of its first row.
+
+    Gives the start that leaves each row, as it ``passes`` on to the block behind, or the one that enters it.
+    """
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stretch, start = None, 0
         for batch in batches:
-            sessions, chains, entries = (batch.column(name).to_pylist() for name in ("session_id", "chain", "entry"))
+            heres = list(zip(*(batch.column(name).to_pylist() for name in key), strict=True))
+            entries = batch.column(entry).to_pylist()
             bounds, exits = batch.column("bounds"), batch.column("exits")
-            passed = []
-            for i, here in enumerate(zip(sessions, chains, strict=True)):
+            found = []
+            for i, here in enumerate(heres):
                 if here != stretch:
                     stretch, start = here, entries[i]
-                steps = bounds[i].values.to_numpy()
-                step = int(np.searchsorted(steps, min(start, LATEST - clip_ms) + clip_ms, side="left"))
-                start = exits[i].values[step].as_py() if step < len(steps) else start
-                passed.append(start)
-            yield _emit(_PASSED, batch.column("session_id"), batch.column("next_block"), passed)
+                entered = start
+                start = int(_through(np.array([start]), bounds[i].values.to_numpy(), exits[i].values.to_numpy(), clip_ms)[0])
+                found.append(start if passes else entered)
+            names = ("session_id", "next_block") if passes else (*key, "part")
+            yield _emit(schema, *[batch.column(name) for name in names], found)
 
     return follow
 
 
 def _entries(spread: DataFrame, blocks: DataFrame, clip_ms: int) -> DataFrame:
-    """``(session_id, block, passed)``: the start that enters a block behind one that a run passes through."""
-    passing = blocks.where("passing").select(*_KEYS, "next_block", "chain", "entry", "entry_time")
-    steps = _ordered(_at_blocks(spread, passing)).mapInArrow(_steps(clip_ms), _STEPS_DDL)
-    stretches = steps.repartition("session_id", "chain").sortWithinPartitions("session_id", "chain", "block")
-    return stretches.mapInArrow(_follow(clip_ms), _PASSED_DDL)
+    """``(session_id, block, passed)``: the start that enters a block behind one that a run passes through.
+
+    Step functions are composed part by part, the parts of a stretch followed, and then the blocks within each part. Only
+    the parts of a stretch, one row for 64 blocks, come to one task.
+    """
+    passing = blocks.where("passing").select(*_KEYS, "next_block", "chain", "part", "entry", "entry_time")
+    stretch, part = ("session_id", "chain"), ["session_id", "chain", "part"]
+    steps = _ordered(_at_blocks(spread, passing)).mapInArrow(_steps(clip_ms), _STEPS_DDL).repartition(*part)
+    parts = steps.sortWithinPartitions(*part, "block").mapInArrow(_compose(clip_ms), _STEPS_DDL)
+    parts = parts.repartition(*stretch).sortWithinPartitions(*part)
+    entered = parts.mapInArrow(_follow(clip_ms, stretch, "entry", False, _ENTERED), _ENTERED_DDL)
+    within = steps.join(entered.hint("shuffle_hash"), part).sortWithinPartitions(*part, "block")
+    return within.mapInArrow(_follow(clip_ms, (*stretch, "part"), "entered", True, _PASSED), _PASSED_DDL)
 
 
 _PIECES_DDL = "session_id string, island bigint, start_ts_ms bigint, offset bigint, length bigint, complete boolean"
