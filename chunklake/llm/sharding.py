@@ -107,6 +107,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, tolerance: float = TOLERA
             k1: F.xxhash64(text_of()).bitwiseAND(mask),
             k2: F.xxhash64(F.lit("row"), *(F.col(f"`{c}`") for c in docs.columns if c != "text"), text_of()).bitwiseAND(mask),
             "size": row_bytes(F.col("text")),
+            "text_crc32": F.crc32(text_of().cast("binary")).cast("long"),
         }
     )
     light = kept(keyed.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), F.col("size").alias("bytes")), "shard-keys")
@@ -127,7 +128,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, tolerance: float = TOLERA
     return numbered.join(offsets, ["shard", part, lot]).select(
         *(F.col(f"`{c}`") for c in docs.columns),
         F.col("size").cast("long").alias("size"),
-        F.crc32(text_of().cast("binary")).cast("long").alias("text_crc32"),
+        "text_crc32",
         F.lit("bytes").alias("law"),
         F.col("shard").cast("int").alias("shard"),
         (F.col(before) + F.col(rank) - 1).cast("long").alias("slot"),
