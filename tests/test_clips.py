@@ -5,6 +5,7 @@ from folding import fold, random_records
 from pyspark.sql import functions as F
 
 from chunklake import continuity_breaks, cut_clips
+from chunklake.operators import clips as clips_module
 from chunklake.operators.clips import by_number
 from chunklake.operators.rejects import count_clips
 from chunklake.plans.fixtures import generate_chunks
@@ -76,14 +77,18 @@ def test_equals_the_fold(spark, sessions, block_lines, idle_ms):
     assert _by_session(clips, "start_ts_ms", "offset", "length", "complete") == expected
 
 
-def test_unbroken_session_over_many_blocks(spark):
-    """Steady spacing: no two cut paths ever meet, so every block needs its entry."""
+@pytest.mark.parametrize("stretch", [1, 3, 64])
+def test_unbroken_session_over_many_blocks(spark, monkeypatch, stretch):
+    """Steady spacing: no two cut paths ever meet, so every block needs its entry, however long the parts are."""
+    monkeypatch.setattr(clips_module, "STRETCH_BLOCKS", stretch)
     records = [(i, i * 4, 4, i * 7, 0) for i in range(3000)]
     clips = cut_clips(_frame(spark, {"hot": records}), clip_ms=100, order=by_number(block_lines=64), keep_order=True)
     assert _by_session(clips, "start_ts_ms", "offset", "length", "complete") == {"hot": fold(records, 100)}
 
 
-def test_span_longer_than_blocks_and_falling_clock(spark):
+@pytest.mark.parametrize("stretch", [1, 4, 64])
+def test_span_longer_than_blocks_and_falling_clock(spark, monkeypatch, stretch):
+    monkeypatch.setattr(clips_module, "STRETCH_BLOCKS", stretch)
     rnd = random.Random(9)
     records = [(i, i, 1, i * 10 - rnd.choice([0, 0, 4000]), 0) for i in range(1500)]
     clips = cut_clips(_frame(spark, {"s": records}), clip_ms=3000, order=by_number(block_lines=20), keep_order=True)
