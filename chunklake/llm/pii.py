@@ -124,16 +124,23 @@ def _occurrences(texts: DataFrame) -> DataFrame:
 def revealing_terms(occurrences: DataFrame, docs: DataFrame, texts: int) -> DataFrame:
     """``entity``, ``term``, ``disclosure`` of the pairs over the threshold. Counts are of different texts, of the whole corpus.
 
-    ``docs`` has ``text_id`` and ``text``. Only words that pass a Bloom filter of the candidate terms are counted, then joined exactly.
+    ``docs`` has ``text_id`` and ``text``. Only words that pass a Bloom filter of the candidate terms are counted, then joined
+    exactly. The words of a text that may have copies, as another filter tells, are counted once for the text; those of all
+    others are summed up before the shuffle.
     """
     together = occurrences.select("text_id", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("both"))
     together = kept(together.filter(F.col("both") >= SUPPORT), "together")
     candidates = together.select("term").distinct()
     asked, blocks = bloom.build(candidates, "term", candidates.count())
-    words = docs.select("text_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0))).alias("term"))
-    (maybe,) = private(words, "maybe")
-    words = bloom.tagged(words, F.col("term"), asked, blocks, maybe).filter(maybe).select("text_id", "term").distinct()
-    of_term = words.join(candidates, "term", "left_semi").groupBy("term").agg(F.count("*").alias("with_term"))
+    copied = docs.groupBy("text_id").agg(F.count("*").alias("n")).filter("n > 1").select("text_id")
+    copied = kept(copied, "copied-texts")
+    asked_texts, text_blocks = bloom.build(copied, "text_id", copied.count())
+    rows = bloom.tagged(docs, F.col("text_id"), asked_texts, text_blocks, "copied")
+    terms = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))
+    words = rows.select(F.when(F.col("copied"), F.col("text_id")).alias("copied"), F.explode(terms).alias("term"))
+    words = bloom.tagged(words, F.col("term"), asked, blocks, "maybe").filter("maybe")
+    counts = words.groupBy("term", "copied").agg(F.count("*").alias("n")).withColumn("n", F.when(F.col("copied").isNull(), F.col("n")).otherwise(1))
+    of_term = counts.groupBy("term").agg(F.sum("n").alias("with_term"))
     of_entity = occurrences.select("text_id", "entity").distinct().groupBy("entity").agg(F.count("*").alias("with_entity"))
     counted = together.join(of_term, "term").join(of_entity, "entity")
     pmi = F.ln(F.col("both") * F.lit(float(texts)) / (F.col("with_term") * F.col("with_entity")))
