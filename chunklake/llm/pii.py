@@ -1,8 +1,9 @@
 """Personal data: patterns find what is protected, corpus co-occurrence finds terms that would give it away.
 
 How strongly a term reveals an entity is their pointwise mutual information over texts, as a share of the entity's own
-information: 1 where the term occurs in the entity's texts only. Terms near an entity that reach the threshold are spans too.
-All of it is built-in functions on columns.
+information: 1 where the term occurs in the entity's texts only. An entity stands for its value, its kind and, an e-mail, its
+domain, so that one of a single text counts along with others of its class. Terms of an entity's texts that reach the threshold
+are spans too, wherever they stand. All of it is built-in functions on columns.
 """
 
 from __future__ import annotations
@@ -16,8 +17,6 @@ from chunklake.llm import bloom
 from chunklake.llm.common import kept, private, text_of
 
 KINDS = ("email", "ip", "card", "phone")
-#: Words of so many letters, so many code points around an entity, are terms.
-LETTERS, REACH = 4, 80
 #: A term reveals an entity from this share of its information, seen together in so many texts; from the second it is removed.
 DISCLOSURE, SUPPORT, REMOVED = 0.75, 2, 0.95
 
@@ -31,7 +30,11 @@ _PATTERNS = {
 }
 #: A text without this holds no valid match.
 _HINTS = {"email": r"@", "ip": r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]"}
-_TERM = rf"\p{{L}}{{{LETTERS},}}"
+#: What an e-mail leaves in a text whose terms are read. The other kinds hold no letters.
+_GONE = "\uE000"
+#: A word with its combining marks; the second also keeps off what an e-mail cuts short.
+_TERM = r"\p{L}[\p{L}\p{M}]*+"
+_WHOLE_TERM = rf"(?<![\p{{L}}\p{{M}}{_GONE}])\p{{L}}[\p{{L}}\p{{M}}]*+(?!{_GONE})"
 _SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
@@ -94,41 +97,39 @@ def _entity(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), value)
 
 
-def _near(text: Column, size: Column, span: Column) -> Column:
-    """The stretches before and after a span, with where they begin, and whether they begin and end with the text."""
-    begin = F.greatest(span["start"] - REACH, F.lit(0))
-    before = F.struct(
-        F.substring(text, begin + 1, span["start"] - begin).alias("text"), begin.alias("at"), (begin == 0).alias("first"), F.lit(True).alias("last")
-    )
-    after = F.struct(
-        F.substring(text, span["end"] + 1, F.lit(REACH)).alias("text"), span["end"].alias("at"), F.lit(True).alias("first"), (span["end"] + REACH >= size).alias("last")
-    )
-    return F.array(before, after)
+def _keys(spans: Column) -> Column:
+    """What the entities of a text stand for: values, kinds and e-mail domains, each once."""
+    domain = lambda s: F.when(s["kind"] == "email", F.concat(F.lit("@"), F.lower(F.substring_index(s["value"], "@", -1))))
+    each = F.concat(F.transform(spans, _entity), F.transform(spans, lambda s: s["kind"]), F.transform(spans, domain))
+    return F.array_distinct(F.filter(each, lambda key: key.isNotNull()))
+
 
+def _terms(text: Column) -> Column:
+    """The different words of a text, lower-cased, that are not part of a span."""
+    rest = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, _PATTERNS["email"], _GONE)).otherwise(text)
+    return F.array_distinct(F.regexp_extract_all(F.lower(rest), F.lit(_WHOLE_TERM), F.lit(0)))
 
-def _occurrences(texts: DataFrame) -> DataFrame:
-    """``text_id``, ``entity``, ``term``, ``start``, ``end`` of each whole word near an entity that is not part of any span.
 
-    ``texts`` has ``text_id``, ``base`` and ``near`` (the stretches of each span).
+def _pairs(held: DataFrame) -> DataFrame:
+    """``text_id``, ``key``, ``term`` of each text, for keys of ``SUPPORT`` texts at least; a few others may be among them.
+
+    ``held`` has ``text_id``, ``keys`` and ``terms``.
     """
-    each = texts.select("text_id", "base", F.explode(F.arrays_zip("base", "near")).alias("one"))
-    side = each.select("text_id", "base", _entity(F.col("one.base")).alias("entity"), F.explode("one.near").alias("side"))
-    words = side.withColumn("word", F.explode(matches(F.col("side.text"), _TERM, "term", lambda value: F.lit(True))))
-    start, end = F.col("word.start") + F.col("side.at"), F.col("word.end") + F.col("side.at")
-    whole = (F.col("side.first") | (F.col("word.start") > 0)) & (F.col("side.last") | (F.col("word.end") < F.length("side.text")))
-    words = words.filter(whole).select("text_id", "base", "entity", F.lower("word.value").alias("term"), start.alias("start"), end.alias("end"))
-    apart = ~F.exists("base", lambda s: (s["start"] < F.col("end")) & (F.col("start") < s["end"]))
-    return words.filter(apart).select("text_id", "entity", "term", "start", "end")
+    shared = held.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= SUPPORT).select("key")
+    shared = kept(shared, "shared-keys")
+    asked, blocks = bloom.build(shared, "key", shared.count())
+    each = bloom.tagged(held.select("text_id", F.explode("keys").alias("key"), "terms"), F.col("key"), asked, blocks, "maybe")
+    return each.filter("maybe").select("text_id", "key", F.explode("terms").alias("term"))
 
 
-def revealing_terms(occurrences: DataFrame, docs: DataFrame, texts: int) -> DataFrame:
-    """``entity``, ``term``, ``disclosure`` of the pairs over the threshold. Counts are of different texts, of the whole corpus.
+def revealing_terms(held: DataFrame, pairs: DataFrame, docs: DataFrame, texts: int) -> DataFrame:
+    """``key``, ``term``, ``disclosure`` of the pairs over the threshold. Counts are of different texts, of the whole corpus.
 
     ``docs`` has ``text_id`` and ``text``. Only words that pass a Bloom filter of the candidate terms are counted, then joined
     exactly. The words of a text that may have copies, as another filter tells, are counted once for the text; those of all
     others are summed up before the shuffle.
     """
-    together = occurrences.select("text_id", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("both"))
+    together = pairs.groupBy("key", "term").agg(F.count("*").alias("both"))
     together = kept(together.filter(F.col("both") >= SUPPORT), "together")
     candidates = together.select("term").distinct()
     asked, blocks = bloom.build(candidates, "term", candidates.count())
@@ -136,17 +137,31 @@ def revealing_terms(occurrences: DataFrame, docs: DataFrame, texts: int) -> Data
     copied = kept(copied, "copied-texts")
     asked_texts, text_blocks = bloom.build(copied, "text_id", copied.count())
     rows = bloom.tagged(docs, F.col("text_id"), asked_texts, text_blocks, "copied")
-    terms = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))
-    words = rows.select(F.when(F.col("copied"), F.col("text_id")).alias("copied"), F.explode(terms).alias("term"))
+    words = rows.select(F.when(F.col("copied"), F.col("text_id")).alias("copied"), F.explode(_terms(F.col("text"))).alias("term"))
     words = bloom.tagged(words, F.col("term"), asked, blocks, "maybe").filter("maybe")
     counts = words.groupBy("term", "copied").agg(F.count("*").alias("n")).withColumn("n", F.when(F.col("copied").isNull(), F.col("n")).otherwise(1))
     of_term = counts.groupBy("term").agg(F.sum("n").alias("with_term"))
-    of_entity = occurrences.select("text_id", "entity").distinct().groupBy("entity").agg(F.count("*").alias("with_entity"))
-    counted = together.join(of_term, "term").join(of_entity, "entity")
-    pmi = F.ln(F.col("both") * F.lit(float(texts)) / (F.col("with_term") * F.col("with_entity")))
-    information = F.ln(F.lit(float(texts)) / F.col("with_entity"))
+    of_key = held.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("with_key"))
+    counted = together.join(of_term, "term").join(of_key, "key")
+    pmi = F.ln(F.col("both") * F.lit(float(texts)) / (F.col("with_term") * F.col("with_key")))
+    information = F.ln(F.lit(float(texts)) / F.col("with_key"))
     counted = counted.withColumn("disclosure", F.when(information > 0, pmi / information).otherwise(0.0))
-    return counted.filter(F.col("disclosure") >= DISCLOSURE).select("entity", "term", "disclosure")
+    return kept(counted.filter(F.col("disclosure") >= DISCLOSURE).select("key", "term", "disclosure"), "revealing")
+
+
+def _marked(held: DataFrame, pairs: DataFrame, terms: DataFrame) -> DataFrame:
+    """``text_id`` and ``terms``, by start, of each text with spans of revealing terms. ``held`` also has ``base`` and ``text``."""
+    # most pairs reveal nothing, and are turned away before the shuffle
+    pair = F.concat("key", F.lit("\n"), "term")
+    asked, blocks = bloom.build(terms.select(pair.alias("pair")), "pair", terms.count())
+    passed = bloom.tagged(pairs, pair, asked, blocks, "maybe").filter("maybe").drop("maybe")
+    each = passed.join(terms, ["key", "term"]).groupBy("text_id", "term").agg(F.max("disclosure").alias("disclosure"))
+    told = each.groupBy("text_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("told"))
+    found = matches(F.col("text"), _TERM, "term", lambda value: F.map_contains_key("told", F.lower(value)))
+    apart = F.filter(found, lambda w: ~F.exists("base", lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
+    doing = lambda w: F.when(F.element_at("told", F.lower(w["value"])) >= REMOVED, "removed").otherwise("generalised")
+    spans = F.transform(apart, lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), w["kind"].alias("kind"), doing(w).alias("doing")))
+    return held.join(told, "text_id").select("text_id", spans.alias("terms"))
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
@@ -159,19 +174,18 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     text = text_of()
     rows = docs.select("doc_id", text.alias("text")).withColumn("text_id", F.unhex(F.md5(F.col("text").cast("binary"))))
     based = rows.withColumn("base", base_spans(F.col("text")))
-    near = F.when(F.size("base") > 0, F.transform("base", lambda s: _near(F.col("text"), F.length("text"), s)))
-    light = kept(based.select("doc_id", "text_id", "base", near.alias("near")), "personal-data")
+    light = kept(based.select("doc_id", "text_id", "base", F.when(F.size("base") > 0, F.col("text")).alias("text")), "personal-data")
 
     texts = light.select("text_id").distinct().count()
-    held = light.filter(F.size("base") > 0).groupBy("text_id").agg(F.first("base").alias("base"), F.first("near").alias("near"))
-    occurrences = kept(_occurrences(held), "terms-near")
-    terms = revealing_terms(occurrences, rows, texts)
-    marked = occurrences.join(terms, ["entity", "term"]).groupBy("text_id", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-    doing = F.when(F.col("disclosure") >= REMOVED, "removed").otherwise("generalised")
-    span = F.struct("start", "end", F.lit("term").alias("kind"), doing.alias("doing"))
-    marked = marked.groupBy("text_id").agg(F.sort_array(F.collect_list(span)).alias("terms"))
-
-    full = light.join(marked, "text_id", "left")
+    held = light.filter(F.size("base") > 0).groupBy("text_id").agg(F.first("base").alias("base"), F.first("text").alias("text"))
+    held = kept(held.select("*", _keys(F.col("base")).alias("keys"), _terms(F.col("text")).alias("terms")), "texts-held")
+    pairs = _pairs(held)
+    terms = revealing_terms(held, pairs, rows, texts)
+    marked = _marked(held.drop("keys", "terms"), pairs, terms)
+
+    light = light.drop("text")
+    found = light.filter(F.size("base") > 0).join(marked, "text_id", "left")
+    full = found.unionByName(light.filter(F.size("base") == 0), allowMissingColumns=True)
     terms_of = F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,kind:string,doing:string>>"))
     base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), F.upper(s["kind"]).alias("doing")))
     full = full.withColumn("found", F.concat(base, terms_of))

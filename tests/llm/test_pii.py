@@ -89,6 +89,18 @@ def test_terms_that_reveal_an_entity(documents):
     assert sum("term" in r["spans"] for r in got) == 17
 
 
+def test_terms_of_entities_that_belong_to_one_text(documents):
+    rng = random.Random(4)
+    rows = [(i, sentence(rng, 40, 9000)) for i in range(60)]
+    rows = [(i, f"Li Zanzibari {'and so on ' * 30} {t} ann{i}@clinic.org zanzibarix@clinic.org" if i < 5 else f"{t} and so on") for i, t in rows]
+    got = check(rows, documents(rows))
+    for r in got:
+        text = rows[r["doc_id"]][1]
+        marked = [text[int(s.split(":")[1]) : int(s.split(":")[2])] for s in filter(None, r["spans"].split(",")) if s.startswith("term")]
+        assert [w for w in marked if len(w) > 1 and w[0].isupper()] == (["Li", "Zanzibari"] if r["doc_id"] < 5 else [])
+        assert not {"and", "so", "on", "zanzibarix"} & set(marked)
+
+
 def test_sanitised_text(documents):
     rows = [(1, "Mail a@b.co or +1 202 555 0182, ok"), (2, None), (3, ""), (4, "é a@b.co"), (4, "é a@b.co")]
     got = {(r["doc_id"], r["sanitised"]) for r in sanitise(documents(rows, ", sanitised int", (3,))).collect()}
