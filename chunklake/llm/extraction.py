@@ -2,13 +2,15 @@
 
 A page's text outside its article (all of its text, if it declares none) is a stream of words and block marks. The streams of a
 host's pages are concatenated and their suffixes sorted to the depth of a run; neighbours that agree over a whole run, from
-three different streams or more, are a repeated run. Blocks that mostly lie in repeated runs are boilerplate and go; what only
-one page has stays. Text inside a declared article is never removed for being repeated: licence lines and copied passages
+three different streams or more, are a repeated run. A host of many pages has several arrays; its runs are then told by their
+hashes, and counted in Spark over the whole host. Of blocks that mostly lie in repeated runs these go; what only one page has
+stays. Text inside a declared article is never removed for being repeated: licence lines and copied passages
 repeat across pages, too, and are part of the article.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -25,6 +27,8 @@ from chunklake.llm.urls import host_of
 RUN, MIN_STREAMS, COVERED = 8, 3, 0.5
 #: A host's pages are dealt into lots of about so many, each with a suffix array of its own.
 LOT_PAGES = 2000
+#: Runs of a host of several lots are told by a polynomial in this over the hashes of their words.
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 #: So many hosts of more than one lot may be broadcast; more of them are joined by a shuffle.
 MOST_BROADCAST_HOSTS = 100_000
 
@@ -176,66 +180,153 @@ def repeated(streams: list[np.ndarray], run: int = RUN, least: int = MIN_STREAMS
     return np.split(covered, np.cumsum(sizes)[:-1])
 
 
-def extract_pages(pages: list[str]) -> list[tuple[str, int]]:
-    """Of the pages of one lot: the main text, and how many words outside the article repeat across pages."""
+def _hash(value: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(value, digest_size=8).digest(), "little")
+
+
+def _word_hashes(ids: dict[str, int]) -> np.ndarray:
+    return np.array([_hash(w.encode("utf-8", "surrogatepass")) for w in ids], np.uint64)
+
+
+def _run_hashes(tokens: np.ndarray) -> np.ndarray:
+    """One number for each run of a stream of hashed words."""
+    n = max(len(tokens) - RUN + 1, 0)
+    found = np.zeros(n, np.uint64)
+    for k in range(RUN):
+        found = found * _FACTOR + tokens[k : k + n]
+    return found.view(np.int64)
+
+
+def _stream(blocks: list[tuple[int, str]], ids: dict[str, int]) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The numbered words and marks outside the article, and where each block's words are among them."""
+    tokens: list[int] = []
+    spans: list[tuple[int, int]] = []
+    for kind, text in blocks:
+        if kind == ARTICLE:
+            spans.append((0, 0))
+            continue
+        tokens.append(ids.setdefault("<>", len(ids)))
+        begin = len(tokens)
+        tokens += [ids.setdefault(w, len(ids)) for w in text.split(" ")]
+        spans.append((begin, len(tokens)))
+    return np.array(tokens, np.int64), spans
+
+
+def _covered(streams: list[np.ndarray], ids: dict[str, int], often: np.ndarray) -> list[np.ndarray]:
+    """Which tokens of each stream lie in a run whose hash is among ``often``."""
+    hashes, found = _word_hashes(ids), []
+    for stream in streams:
+        edge = np.zeros(len(stream) + 1, np.int64)
+        begins = np.flatnonzero(np.isin(_run_hashes(hashes[stream]), often)) if len(stream) else np.zeros(0, np.int64)
+        np.add.at(edge, begins, 1)
+        np.add.at(edge, begins + RUN, -1)
+        found.append(np.cumsum(edge[:-1]) > 0)
+    return found
+
+
+def extract_pages(pages: list[str], often: np.ndarray | None = None) -> list[tuple[str, int]]:
+    """Of the pages of one lot: the main text, and how many words outside the article repeat across pages.
+
+    ``often`` has the hashes of the host's repeated runs; without it the pages are all of their host.
+    """
     every = [blocks_of(p) for p in pages]
     ids: dict[str, int] = {}
     streams, marks = [], []
     for blocks in every:
-        tokens: list[int] = []
-        spans: list[tuple[int, int]] = []
-        for kind, text in blocks:
-            if kind == ARTICLE:
-                spans.append((0, 0))
-                continue
-            tokens.append(ids.setdefault("<>", len(ids)))
-            begin = len(tokens)
-            tokens += [ids.setdefault(w, len(ids)) for w in text.split(" ")]
-            spans.append((begin, len(tokens)))
-        streams.append(np.array(tokens, np.int64))
+        stream, spans = _stream(blocks, ids)
+        streams.append(stream)
         marks.append(spans)
     found = []
-    for blocks, spans, covered in zip(every, marks, repeated(streams), strict=True):
+    masks = repeated(streams) if often is None else _covered(streams, ids, often)
+    for blocks, spans, covered in zip(every, marks, masks, strict=True):
         inside = np.concatenate([[0], np.cumsum(covered)])
         kept, words = [], 0
         for (kind, text), (lo, hi) in zip(blocks, spans, strict=True):
             again = int(inside[hi] - inside[lo])
             words += again
-            if kind == ARTICLE or (kind == OPEN and again < COVERED * (hi - lo)):
+            if kind == OPEN and again >= COVERED * (hi - lo):
+                text = " ".join(w for w, gone in zip(text.split(" "), covered[lo:hi], strict=True) if not gone)
+            if text and kind != DROPPED:
                 kept.append(text)
         found.append(("\n".join(kept), words))
     return found
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of pages: of each run of a host every lot that has it, and as many different streams as decide, are given on."""
+    names, kinds = ["host", "lot", "run", "stream"], (pa.string(), pa.int32(), pa.int64(), pa.int64())
+    for batch in batches:
+        hosts: dict[str, list[tuple[int, str]]] = {}
+        for host, lot, page in zip(*(batch[c].to_pylist() for c in ("host", "lot", "html")), strict=True):
+            hosts.setdefault(host, []).append((lot, page))
+        for host, pages in hosts.items():
+            ids: dict[str, int] = {}
+            streams = [_stream(blocks_of(page), ids)[0] for _, page in pages]
+            hashes = _word_hashes(ids)
+            parts = [np.unique(_run_hashes(hashes[s])) if len(s) else np.zeros(0, np.int64) for s in streams]
+            sizes = [len(part) for part in parts]
+            run = np.concatenate(parts)
+            lot = np.repeat(np.array([k for k, _ in pages], np.int32), sizes)
+            stream = np.repeat(np.array([_hash(hashes[s].tobytes()) for s in streams], np.uint64).view(np.int64), sizes)
+            if not len(run):
+                continue
+            order = np.lexsort((lot, stream, run))
+            run, lot, stream = run[order], lot[order], stream[order]
+            new_run = np.concatenate([[True], run[1:] != run[:-1]])
+            new_stream = new_run | np.concatenate([[True], stream[1:] != stream[:-1]])
+            nth = np.cumsum(new_stream)
+            nth -= np.repeat(nth[new_run], np.diff(np.append(np.flatnonzero(new_run), len(run))))
+            order = np.lexsort((lot, run))
+            first = np.ones(len(run), bool)
+            first[1:] = (run[order][1:] != run[order][:-1]) | (lot[order][1:] != lot[order][:-1])
+            taken = new_stream & (nth < MIN_STREAMS)
+            taken[order[first]] = True
+            columns = ([host] * int(taken.sum()), lot[taken], run[taken], stream[taken])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+def repeated_runs(rows: DataFrame) -> DataFrame:
+    """``host``, ``lot``, ``run``: of each lot the runs that enough different streams of the whole host have."""
+    runs = rows.select("host", "lot", "html").mapInArrow(_runs, "host string, lot int, run long, stream long")
+    found = runs.groupBy("host", "run").agg(F.collect_set("stream").alias("streams"), F.collect_set("lot").alias("lots"))
+    return found.filter(F.size("streams") >= MIN_STREAMS).select("host", F.explode("lots").alias("lot"), "run")
+
+
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by lot; a lot's pages are taken together."""
-    key, rows = None, []
+    """Rows come sorted by lot, its repeated runs before its pages; a lot's pages are taken together."""
+    key, rows, runs, settled = None, [], [], False
 
     def out() -> pa.RecordBatch:
-        found = extract_pages([r[2] for r in rows])
+        found = extract_pages([r[2] for r in rows], np.array(runs, np.int64) if settled else None)
         columns = [[r[0] for r in rows], [r[1] for r in rows], [t for t, _ in found], [len(t) for t, _ in found], [n for _, n in found]]
         kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["page_id", "url", "text", "n_chars", "n_repeated"])
 
     for batch in batches:
-        for host, lot, page_id, url, page in zip(*(batch[c].to_pylist() for c in ("host", "lot", "page_id", "url", "html")), strict=True):
+        columns = ("host", "lot", "page_id", "url", "html", "many", "run")
+        for host, lot, page_id, url, page, many, run in zip(*(batch[c].to_pylist() for c in columns), strict=True):
             if (host, lot) != key:
                 if rows:
                     yield out()
-                key, rows = (host, lot), []
-            rows.append((page_id, url, page))
+                key, rows, runs, settled = (host, lot), [], [], many
+            if run is not None:
+                runs.append(run)
+            else:
+                rows.append((page_id, url, page))
     if rows:
         yield out()
 
 
-def lots(pages: DataFrame, page_text: Column) -> DataFrame:
-    """The rows with ``host`` and ``lot``; a host of many pages has many lots, dealt by a hash of the page."""
+def lots(pages: DataFrame, page_text: Column) -> tuple[DataFrame, bool]:
+    """The rows with ``host``, ``lot`` and ``many``, and whether any host has many lots, dealt by a hash of the page."""
     rows = pages.withColumn("host", host_of(F.col("url")))
     large = rows.groupBy("host").agg(F.count("*").alias("n")).filter(F.col("n") > LOT_PAGES)
     large = large.select(F.col("host").alias("large"), F.ceil(F.col("n") / LOT_PAGES).alias("lots"))
-    large = F.broadcast(large) if large.count() <= MOST_BROADCAST_HOSTS else large
+    count = large.count()
+    large = F.broadcast(large) if count <= MOST_BROADCAST_HOSTS else large
     spread = F.pmod(F.xxhash64("page_id", page_text), F.coalesce("lots", F.lit(1))).cast("int")
-    return rows.join(large, F.col("host") == F.col("large"), "left").withColumn("lot", spread).drop("large", "lots")
+    rows = rows.join(large, F.col("host") == F.col("large"), "left")
+    return rows.withColumn("lot", spread).withColumn("many", F.col("large").isNotNull()).drop("large", "lots"), count > 0
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -247,7 +338,11 @@ def extract_text(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     in_small_batches(spark)
     page = F.coalesce(F.col("html"), F.lit(""))
-    rows = lots(pages.select("page_id", "url", page.alias("html")), F.col("html"))
+    rows, several = lots(pages.select("page_id", "url", page.alias("html")), F.col("html"))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(width, "host", "lot").sortWithinPartitions("host", "lot", "page_id")
-    return dealt.select("host", "lot", "page_id", "url", "html").mapInArrow(_extracted, "page_id long, url string, text string, n_chars long, n_repeated long")
+    rows = rows.select("host", "lot", "page_id", "url", "html", "many", F.lit(None).cast("long").alias("run"))
+    if several:
+        runs = repeated_runs(rows.filter("many")).withColumn("many", F.lit(True))
+        rows = rows.unionByName(runs, allowMissingColumns=True)
+    dealt = rows.repartition(width, "host", "lot").sortWithinPartitions("host", "lot", F.col("run").asc_nulls_last(), "page_id")
+    return dealt.mapInArrow(_extracted, "page_id long, url string, text string, n_chars long, n_repeated long")

@@ -84,6 +84,18 @@ def test_template_text_of_a_host_goes(spark, monkeypatch, lot):
         assert got[n]["text"] == expected and got[n]["n_chars"] == len(expected)
 
 
+def test_lots_of_a_host_are_counted_together(spark, monkeypatch):
+    rng = random.Random(4)
+    sections = [sentence(rng, 15) for _ in range(20)]
+    rows = [(n, "http://a.com", f"<p>{sections[n % 20]} own{n}</p><p>{sentence(rng, 30, 9000)}</p>") for n in range(60)]
+    rows += [(60, "http://a.com", rows[0][2]), (61, "http://a.com", f"<p>{(two := sentence(rng, 15))}</p>"), (62, "http://a.com", f"<p>{two}</p>"), (63, "http://a.com", f"<p>x {two}</p>")]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    whole = sorted(extract_text(frame).collect())
+    monkeypatch.setattr(extraction, "LOT_PAGES", 4)
+    assert sorted(extract_text(frame).collect()) == whole
+    assert all(r["n_repeated"] == 15 and r["text"].startswith(f"own{r['page_id']}\n") for r in whole[:60]) and whole[61]["n_repeated"] == 0
+
+
 def test_an_article_keeps_what_repeats(spark):
     rng = random.Random(3)
     line = sentence(rng, 20)
