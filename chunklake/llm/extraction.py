@@ -34,7 +34,7 @@ MOST_BROADCAST_HOSTS = 100_000
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|textarea|select|object|canvas|video|audio|title|button)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|iframe|textarea|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?/][^>]*>",
     re.S | re.I,
 )
@@ -52,26 +52,49 @@ _MARKS = frozenset(
     "footer form gdpr header hidden login masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promoted "
     "promotion related replies respond search share sharing sidebar signup skip social sponsor sponsored sponsors subscribe subscription toolbar widget widgets".split()
 )
+#: Elements whose text is none of the page's, up to their end or their parent's; the first part the words around them.
+_SKIPPED = {"noscript": " ", "template": " ", "select": " ", "object": " ", "canvas": " ", "video": " ", "audio": " "}
+_SKIPPED |= {"svg": "", "button": "", "annotation": "", "annotation-xml": ""}
+#: Where a class begins so, it tells what a page is about or has, not what the element is.
+_ABOUT = frozenset("has no not with without tag category cat type format status is js lang language author single".split())
+#: Articles in elements marked so are other texts; in others the marks do not count.
+_OTHERS = frozenset("comment comments disqus related replies respond".split())
+_STRENGTH = ("", "mark", "others", "element")
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 ARTICLE, OPEN, DROPPED = 0, 1, 2
 
 
-def _is_boilerplate(name: str, attributes: str) -> bool:
+def _marks(value: str) -> set[str]:
+    """The marks in a class or id: a name that is one, or begins or ends with one."""
+    found = set()
+    for name in value.split():
+        words = [w.lower() for w in _WORDS.findall(name)]
+        if words and words[0] not in _ABOUT:
+            found |= {words[0], words[-1]} & _MARKS
+            if "header" in found and {"article", "entry", "post", "content"} & set(words):
+                found.discard("header")
+    return found
+
+
+def _is_boilerplate(name: str, attributes: str) -> str:
+    """What tells that an element is no part of the text: ``element`` by its role or state, ``others`` or ``mark`` by its class or id."""
     if not attributes or attributes.isspace():
-        return False
+        return ""
     found = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
     if "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "")):
-        return True
+        return "element"
     if found.get("role", "").lower() in _ROLES:
-        return True
+        return "element"
     if name in ("html", "body", "main"):
-        return False
-    marks = {w.lower() for w in _WORDS.findall(f"{found.get('class', '')} {found.get('id', '')}")}
-    if "header" in marks and marks & {"article", "entry", "post", "content"}:
+        return ""
+    if name == "article":
+        return "others" if _OTHERS & set(found.get("class", "").lower().split()) else ""
+    marks = _marks(found.get("class", "")) | _marks(found.get("id", ""))
+    if "header" in marks and {w.lower() for w in _WORDS.findall(found.get("class", ""))} & {"article", "entry", "post", "content"}:
         marks.discard("header")
-    return bool(marks & _MARKS)
+    return "others" if marks & _OTHERS else "mark" if marks else ""
 
 
 def blocks_of(page: str) -> list[tuple[int, str]]:
@@ -82,8 +105,10 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
     """
     found: list[tuple[int, str, int]] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, int]] = [("", False, 0)]  # element, whether it drops, 1 in a main element, 2 in an article
-    para: tuple[str, bool] = ("", False)
+    stack: list[tuple[str, str, int]] = [("", "", 0)]  # element, what drops it, 1 in a main element, 2 in an article
+    para: tuple[str, str] = ("", "")
+    skipped: list[str] = []  # open elements without text
+    inner: list[str] = []  # open elements within them
     at = 0
 
     def close() -> None:
@@ -96,15 +121,37 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
 
     for match in _TOKEN.finditer(page):
         start, end = match.span()
-        if start > at:
+        if start > at and not skipped:
             parts.append(page[at:start])
         at = end
         name = match[3] or match[6]
         if not name:
-            if match[1] and match[1].lower() not in ("svg", "math", "button"):
+            if match[1] and not skipped:
                 parts.append(" ")
             continue
         name, ends, attributes = name.lower(), bool(match[2] or match[5]), match[4] or match[7] or ""
+        if name in _SKIPPED:
+            if not ends and not attributes.rstrip().endswith("/"):
+                if not skipped:
+                    parts.append(_SKIPPED[name])
+                    inner = []
+                skipped.append(name)
+            elif ends and name in skipped:
+                while skipped.pop() != name:
+                    pass
+            continue
+        if skipped:
+            # what it holds is passed over; the end of an element around it ends it
+            if ends and name in inner:
+                while inner.pop() != name:
+                    pass
+                continue
+            around = any(s[0] == name for s in stack) or name == para[0]
+            if not (ends and around):
+                if not ends and (name in _FOLLOWED or name in _PARAGRAPHS) and not attributes.rstrip().endswith("/"):
+                    inner.append(name)
+                continue
+            skipped.clear()
         if name == "br":
             parts.append("\n")
         if name not in _BLOCKS and name != "span":
@@ -112,10 +159,10 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
         if name != "span":
             close()
         if name in _PARAGRAPHS:
-            para = ("", False) if ends else (name, _is_boilerplate(name, attributes))
+            para = ("", "") if ends else (name, _is_boilerplate(name, attributes))
         elif name in _FOLLOWED:
             if name != "span":
-                para = ("", False)
+                para = ("", "")
             if ends:
                 if any(s[0] == name for s in stack):
                     if name == "span" and stack[-1][0] == "span" and stack[-1][1]:
@@ -124,9 +171,14 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
                         pass
             elif not attributes.rstrip().endswith("/"):
                 _, drops, where = stack[-1]
-                if name == "body":
-                    drops = False
-                own = name in _BOILERPLATE or (name == "header" and not where) or _is_boilerplate(name, attributes)
+                main = name == "main" or (where == 0 and bool(re.search(r"role\s*=\s*[\"']?main\b", attributes)))
+                # what holds the article is more than its class says
+                if name == "body" or (drops == "mark" and where < 2 and (main or name == "article")):
+                    drops = ""
+                if name in _BOILERPLATE or (name == "header" and not where):
+                    own = "element"
+                else:
+                    own = _is_boilerplate(name, attributes)
                 if name == "span":
                     if not own:
                         stack.append((name, drops, where))
@@ -134,10 +186,11 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
                     close()
                 if name == "article":
                     where = 2
-                elif name == "main" or (where == 0 and re.search(r"role\s*=\s*[\"']?main\b", attributes)):
+                elif main:
                     where = max(where, 1)
-                stack.append((name, drops or own, where))
-    parts.append(page[at:])
+                stack.append((name, max(drops, own, key=_STRENGTH.index), where))
+    if not skipped:
+        parts.append(page[at:])
     close()
     best = max((w for k, _, w in found if k == OPEN), default=0)
     return [(ARTICLE if k == OPEN and best and w >= best else DROPPED if k == OPEN and best else k, text) for k, text, w in found]

@@ -36,6 +36,23 @@ def test_broken_markup_ends(page):
     assert isinstance(text_of(page), str)
 
 
+def test_elements_that_close_themselves_or_never():
+    assert text_of("<article><p>a</p><svg class='i'/><p>rest</p></article>") == "a\nrest"
+    assert text_of("<article><p>a<svg><svg><p>x</p></svg>y</svg>b</p><p>c</p></article>") == "ab\nc"
+    assert text_of("<article><div>a<button>b</div><p>rest</p></article>") == "a\nrest"
+    assert text_of("<article><p>a <object>b<p>f</p>g</p><p>rest</p></article><nav>n</nav>") == "a\nrest"
+    assert text_of("<article><p>a</p><div><object><div>b</div></div><p>rest</p></article>") == "a\nrest"
+    assert text_of("<article><p>a <math><mi>x</mi><annotation>tex</annotation></math> b</p><button>c</button></article>") == "a x b"
+
+
+@pytest.mark.parametrize("name", ["post category-social-media", "has-sidebar", "post tag-search", "widget"])
+def test_classes_that_do_not_tell_an_article_apart(name):
+    assert text_of(f"<body><nav>n</nav><article class='{name}'><p>a</p></article></body>") == "a"
+    assert text_of(f"<body><nav>n</nav><div class='{name}'><main><p>a</p></main></div></body>") == "a"
+    assert text_of(f"<article><p>a</p></article><div class='comments'><article class='{name}'><p>b</p></article></div>") == "a"
+    assert text_of(f"<nav><div class='{name}'><article><p>a</p></article></div></nav><p>b</p>") == "b"
+
+
 def brute(streams, run, least):
     holders = {}
     for n, s in enumerate(streams):
