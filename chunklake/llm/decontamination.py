@@ -135,21 +135,22 @@ class Matcher:
 
 
 def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
-    """The items, normalised, in blocks of bounded size. A null or wordless item cannot occur anywhere and is left out."""
+    """The items, normalised, in blocks of bounded size. One without words occurs nowhere; one without an id is found as others are."""
     items = benchmark.select("item_id", text_of().alias("text")).distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // block_bytes)
     lot = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(blocks, 1)))
     for k in range(blocks):
         rows = items.filter(lot == k).collect()
-        yield sorted((row["item_id"], normalised(row["text"])) for row in rows if row["item_id"] is not None)
+        found = ((row["item_id"], normalised(row["text"])) for row in rows)
+        yield sorted(found, key=lambda item: (item[0] is None, item[0] or 0, item[1]))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE) -> DataFrame:
     """One row for each document and item that occurs in it: ``doc_id``, ``item_id``, ``distance``, ``budget``, ``start``, ``end``.
 
     Places are code points of the document's text, of the best occurrence, the first of equals. Null and empty texts hold
-    nothing, repeated rows are reported each, an empty table or benchmark gives no rows, more columns do not matter.
+    nothing, repeated rows are reported each, an item without an id has a null one, an empty table or benchmark gives no rows, more columns do not matter.
     """
     in_small_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text")

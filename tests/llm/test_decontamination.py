@@ -51,6 +51,15 @@ def test_places_of_hits(spark, documents):
     assert sorted(r["doc_id"] for r in drop_leaks(docs, benchmark).collect()) == [2, 4, 5, 5]
 
 
+def test_items_without_an_id(spark, documents):
+    text = "A question that has no number but many words"
+    benchmark = spark.createDataFrame([(None, text), (None, f"Also {text} twice"), (5, text)], "item_id bigint, text string")
+    docs = documents([(1, f"See: {text}."), (2, "nothing of it")])
+    found = find_leaks(docs, benchmark).collect()
+    assert sorted((r["doc_id"], r["item_id"] or 0, r["distance"]) for r in found) == [(1, 0, 0), (1, 5, 0)]
+    assert [r["doc_id"] for r in drop_leaks(docs, benchmark.filter("item_id IS NULL")).collect()] == [2]
+
+
 def test_blocks_of_items(spark, documents):
     rng = random.Random(6)
     items = [(n, sentence(rng, 9)) for n in range(40)]
