@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chunklake.llm.common import table
 from chunklake.llm.decontamination import find_leaks
@@ -14,6 +15,7 @@ from chunklake.llm.merkle import fingerprint_documents
 from chunklake.llm.mixing import mix_report
 from chunklake.llm.pii import find_personal_data
 from chunklake.llm.quality import fit_quality, score_quality
+from chunklake.llm.runs import find_runs
 from chunklake.llm.sharding import shard_documents
 from chunklake.llm.toxicity import fit_toxicity, score_toxicity
 from chunklake.llm.urls import judge_urls, listed_urls
@@ -66,6 +68,37 @@ def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_documents(table(spark, folder, "documents"))
 
 
+def looped(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; of one document in ten, told by the checksum of its id, the words repeat from some word on."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", F.when(checksum % 10 == 0, F.floor(checksum / 10)).alias("g"))
+    rows = rows.withColumn("w", F.when(F.col("g").isNotNull(), F.expr(r"regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+', 0)")))
+    rows = rows.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    rows = rows.withColumn("p", F.expr("cast(1 + floor((n - a) / (3 + g % 8)) as int)"))
+    again = "flatten(array_repeat(slice(w, a + 1, p), cast(ceil((n - a) / p) as int)))"
+    return rows.select("doc_id", F.expr(f"CASE WHEN n > 0 THEN array_join(concat(slice(w, 1, a), slice({again}, 1, n - a)), ' ') ELSE text END").alias("text"))
+
+
+def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_runs(looped(table(spark, folder, "documents")))
+    # the greatest length / period by exact products; runs come by start, then period, which settles ties
+    best = F.expr(
+        "aggregate(runs, cast(null as struct<start: bigint, length: bigint, period: bigint>),"
+        " (b, r) -> CASE WHEN b IS NULL OR r.length * b.period > b.length * r.period THEN r ELSE b END)"
+    )
+    listed = F.expr(r"array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_jaccard_join": op2_jaccard_join,
@@ -77,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_html_extraction": op9_html_extraction,
     "op10_fingerprints": op10_fingerprints,
+    "op11_runs": op11_runs,
 }
 
 ORACLES: dict[str, str] = {

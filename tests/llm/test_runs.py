@@ -1,0 +1,106 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from chunklake.llm import queries
+from chunklake.llm.runs import find_runs, runs_of
+
+
+def brute_runs(words, least=24, least_periods=3):
+    """Every period by itself: maximal stretches of equal words q apart; of one stretch the smallest period counts."""
+    best = {}
+    for q in range(1, len(words) // least_periods + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j > i and j - i + q >= max(least, least_periods * q):
+                best.setdefault((i, j - i + q), q)
+            i = max(j, i + 1)
+    return sorted(((s, n, q) for (s, n), q in best.items()), key=lambda r: (r[0], r[2]))
+
+
+def random_text(rng, size):
+    text = []
+    while len(text) < size:
+        kind = rng.randrange(4)
+        if kind == 0:
+            text += [rng.randrange(rng.choice([1, 2, 3, 50])) for _ in range(rng.randrange(1, 30))]
+        elif kind == 1:
+            unit = [rng.randrange(rng.choice([1, 2, 3])) for _ in range(rng.randrange(1, 20))]
+            text += unit * rng.randrange(1, 8) + unit[: rng.randrange(len(unit) + 1)]
+        elif kind == 2 and text:
+            begin = rng.randrange(len(text))
+            text += text[begin : begin + rng.randrange(1, 60)]
+        else:
+            text += [7] * rng.randrange(1, 40)
+    return text
+
+
+@pytest.mark.parametrize(("least", "periods"), [(24, 3), (6, 2), (9, 3), (8, 4)])
+def test_runs_equal_brute_force(least, periods):
+    rng = random.Random(least)
+    for _ in range(60):
+        texts = [random_text(rng, rng.randrange(300)) for _ in range(rng.randrange(1, 6))]
+        found = runs_of([np.array(t, np.int64) for t in texts], least, periods)
+        assert found == [brute_runs(t, least, periods) for t in texts]
+
+
+def expected(doc_id, text):
+    """The query's row for one document, straight from its definition."""
+    words = (text or "").encode().split()
+    n = len(words)
+    h = None if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h is not None and h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = brute_runs(words)
+    dropped = {i for s, m, q in runs for i in range(s + q, s + m)}
+    kept = b" ".join(w for i, w in enumerate(words) if i not in dropped)
+    top = None
+    for s, m, q in runs:
+        if top is None or m * top[2] > top[1] * q:
+            top = (s, m, q)
+    lines = "".join(f"{s},{m},{q}\n" for s, m, q in runs).encode()
+    best = (*top, 1000 * top[1] // top[2]) if top else (None,) * 4
+    return (doc_id, len(runs), *best, hashlib.sha256(lines).hexdigest(), hashlib.sha256(kept).hexdigest())
+
+
+def test_query_equals_its_definition(spark, documents, odd_rows, tmp_path):
+    rng = random.Random(11)
+    rows = [(k, " ".join(f"w{w}" for w in random_text(rng, rng.randrange(5, 250)))) for k in range(100, 220)]
+    rows += [r for r in odd_rows if r[0] != 8] + [(8, " ".join(["a\tb\n c"] * 400)), (300, "x y " * 60), (301, " ".join("ab" * 40))]
+    documents(rows, ", runs int, n_words string", (1, "q")).write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.op11_runs(spark, str(tmp_path))
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted((tuple(r) for r in found.collect()), key=key) == sorted((expected(r[0], r[1]) for r in rows), key=key)
+    assert sum(expected(r[0], r[1])[1] > 0 for r in rows) > 60
+
+
+def test_odd_rows_and_clashing_names(spark, documents, odd_rows):
+    found = find_runs(documents(odd_rows, ", Runs int, _runs string", (1, "q")))
+    assert found.columns == ["doc_id", "text", "lang", "source", "n_chars", "_runs", "n_words", "runs", "collapsed"]
+    rows = found.collect()
+    assert len(rows) == len(odd_rows)
+    assert all(r["runs"] == [] for r in rows)
+    assert {r["collapsed"] for r in rows if not (r["text"] or "").split()} == {""}
+    assert [r["n_words"] for r in rows if r["doc_id"] == 8] == [20000]
+    assert find_runs(documents([])).count() == 0
+
+
+def test_a_long_periodic_text_in_whole(spark, documents):
+    unit = [f"u{k}" for k in range(7000)]
+    row = find_runs(documents([(1, " ".join(["head", *unit * 12, "tail"]))])).first()
+    assert [tuple(r) for r in row["runs"]] == [(1, 84000, 7000)]
+    assert row["collapsed"].split() == ["head", *unit, "tail"]
+
+
+def test_refuses_what_is_no_run(documents):
+    with pytest.raises(ValueError, match="two periods"):
+        find_runs(documents([]), 3, 2)
