@@ -13,12 +13,14 @@ from chunklake.llm.extraction import extract_text
 from chunklake.llm.jaccard import duplicate_classes
 from chunklake.llm.merkle import fingerprint_documents
 from chunklake.llm.mixing import mix_report
+from chunklake.llm.packing import pack_documents
 from chunklake.llm.pii import find_personal_data
 from chunklake.llm.quality import fit_quality, score_quality
 from chunklake.llm.runs import find_runs
 from chunklake.llm.sharding import shard_documents
 from chunklake.llm.toxicity import fit_toxicity, score_toxicity
 from chunklake.llm.urls import judge_urls, listed_urls
+from chunklake.llm.whitening import whiten
 
 
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -99,6 +101,14 @@ def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_jaccard_join": op2_jaccard_join,
@@ -111,6 +121,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_extraction": op9_html_extraction,
     "op10_fingerprints": op10_fingerprints,
     "op11_runs": op11_runs,
+    "op12_whitening": op12_whitening,
+    "op13_packing": op13_packing,
 }
 
 ORACLES: dict[str, str] = {
