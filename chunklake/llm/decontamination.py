@@ -19,7 +19,7 @@ from chunklake.llm.common import in_small_batches, text_of
 
 #: Edits an item may differ by, as a share of its characters.
 ERROR_RATE = 0.08
-#: An item shorter than this is too little to be told from chance: it counts only where it is the whole document.
+#: An item shorter than this is too little to be told from chance with edits: it counts where its very words stand.
 SHORT = 20
 #: Items are matched in blocks of about so many bytes, which bounds the driver and each task.
 BLOCK_BYTES = 8 << 20
@@ -102,8 +102,12 @@ class Matcher:
         for n, begins in sorted(where.items()):
             item_id, item, budget = self.items[n]
             if len(item) < SHORT:
-                if text == item:
-                    found.append((item_id, 0, budget, 0, len(text)))
+                # the first place that begins and ends with its words
+                for begin in sorted(begins):
+                    end = begin + len(item)
+                    if text[begin - 1 : begin] in ("", " ") and text[end : end + 1] in ("", " "):
+                        found.append((item_id, 0, 0, begin, end))
+                        break
                 continue
             best = None
             for lo, hi in self._windows(sorted(begins), len(item), budget):
@@ -181,7 +185,11 @@ def _finder(items: list[tuple[int, str]], error_rate: float):
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE) -> DataFrame:
-    """The rows, all columns, whose text holds no item. Passes over the rows without a shuffle, once per block of items."""
+    """The rows, all columns, whose text holds no item. Passes over the rows without a shuffle, once per block of items.
+
+    A null, empty or wordless text holds none and stays; of repeated rows all stay or none; with an empty benchmark all rows
+    stay, and an empty table gives no rows.
+    """
     in_small_batches(docs.sparkSession)
     for items in item_blocks(benchmark):
 

@@ -2,8 +2,9 @@
 
 A page's text outside its article (all of its text, if it declares none) is a stream of words and block marks. The streams of a
 host's pages are concatenated and their suffixes sorted to the depth of a run; neighbours that agree over a whole run, from
-three different streams or more, are a repeated run. A host of many pages has several arrays; its runs are then told by their
-hashes, and counted in Spark over the whole host. Of blocks that mostly lie in repeated runs these go; what only one page has
+three different streams or more, are a repeated run. The pages of a host that is too large for one task are dealt into lots; no
+suffix array is built for it: its runs are the hashes of all stretches of a run's words, counted in Spark over the whole host,
+which finds the same runs but for collisions. Of blocks that mostly lie in repeated runs these go; what only one page has
 stays. Text inside a declared article is never removed for being repeated: licence lines and copied passages
 repeat across pages, too, and are part of the article.
 """
@@ -20,17 +21,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chunklake.llm.common import in_small_batches
+from chunklake.llm.common import in_small_batches, kept
 from chunklake.llm.urls import host_of
 
 #: Words and marks of a run; streams that must share it; share of a block's words in runs that makes it boilerplate.
 RUN, MIN_STREAMS, COVERED = 8, 3, 0.5
-#: A host's pages are dealt into lots of about so many, each with a suffix array of its own.
-LOT_PAGES = 2000
+#: A host whose pages have more bytes is dealt into lots of about so many; and bytes of a shuffle partition.
+LOT_BYTES, PARTITION_BYTES = 16 << 20, 32 << 20
 #: Runs of a host of several lots are told by a polynomial in this over the hashes of their words.
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-#: So many hosts of more than one lot may be broadcast; more of them are joined by a shuffle.
-MOST_BROADCAST_HOSTS = 100_000
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
@@ -66,8 +65,10 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 ARTICLE, OPEN, DROPPED = 0, 1, 2
 
 
-def _marks(value: str) -> set[str]:
-    """The marks in a class or id: a name that is one, or begins or ends with one."""
+def _marks(value: str, inside: bool) -> set[str]:
+    """The marks in a class or id: a name that is one or, outside of articles, begins or ends with one."""
+    if inside:
+        return {name.lower() for name in value.split()} & _MARKS
     found = set()
     for name in value.split():
         words = [w.lower() for w in _WORDS.findall(name)]
@@ -78,8 +79,11 @@ def _marks(value: str) -> set[str]:
     return found
 
 
-def _is_boilerplate(name: str, attributes: str) -> str:
-    """What tells that an element is no part of the text: ``element`` by its role or state, ``others`` or ``mark`` by its class or id."""
+def _is_boilerplate(name: str, attributes: str, inside: bool = False) -> str:
+    """What tells that an element is no part of the text: ``element`` by its role or state, ``others`` or ``mark`` by its class or id.
+
+    ``inside`` an article only whole names tell.
+    """
     if not attributes or attributes.isspace():
         return ""
     found = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
@@ -91,7 +95,7 @@ def _is_boilerplate(name: str, attributes: str) -> str:
         return ""
     if name == "article":
         return "others" if _OTHERS & set(found.get("class", "").lower().split()) else ""
-    marks = _marks(found.get("class", "")) | _marks(found.get("id", ""))
+    marks = _marks(found.get("class", ""), inside) | _marks(found.get("id", ""), inside)
     if "header" in marks and {w.lower() for w in _WORDS.findall(found.get("class", ""))} & {"article", "entry", "post", "content"}:
         marks.discard("header")
     return "others" if marks & _OTHERS else "mark" if marks else ""
@@ -159,7 +163,7 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
         if name != "span":
             close()
         if name in _PARAGRAPHS:
-            para = ("", "") if ends else (name, _is_boilerplate(name, attributes))
+            para = ("", "") if ends else (name, _is_boilerplate(name, attributes, stack[-1][2] == 2))
         elif name in _FOLLOWED:
             if name != "span":
                 para = ("", "")
@@ -178,7 +182,7 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
                 if name in _BOILERPLATE or (name == "header" and not where):
                     own = "element"
                 else:
-                    own = _is_boilerplate(name, attributes)
+                    own = _is_boilerplate(name, attributes, where == 2)
                 if name == "span":
                     if not own:
                         stack.append((name, drops, where))
@@ -370,16 +374,16 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def lots(pages: DataFrame, page_text: Column) -> tuple[DataFrame, bool]:
-    """The rows with ``host``, ``lot`` and ``many``, and whether any host has many lots, dealt by a hash of the page."""
+def lots(pages: DataFrame, page_text: Column) -> tuple[DataFrame, bool, int]:
+    """The rows with ``host``, ``lot`` and ``many``, whether any host has many lots, dealt by a hash of the page, and all bytes."""
     rows = pages.withColumn("host", host_of(F.col("url")))
-    large = rows.groupBy("host").agg(F.count("*").alias("n")).filter(F.col("n") > LOT_PAGES)
-    large = large.select(F.col("host").alias("large"), F.ceil(F.col("n") / LOT_PAGES).alias("lots"))
-    count = large.count()
-    large = F.broadcast(large) if count <= MOST_BROADCAST_HOSTS else large
+    sizes = kept(rows.groupBy("host").agg(F.sum(F.octet_length(page_text)).alias("bytes")), "host-sizes")
+    total = sizes.agg(F.sum("bytes")).first()[0] or 0
+    large = sizes.filter(F.col("bytes") > LOT_BYTES).select(F.col("host").alias("large"), F.ceil(F.col("bytes") / LOT_BYTES).alias("lots"))
     spread = F.pmod(F.xxhash64("page_id", page_text), F.coalesce("lots", F.lit(1))).cast("int")
+    several = not large.isEmpty()
     rows = rows.join(large, F.col("host") == F.col("large"), "left")
-    return rows.withColumn("lot", spread).withColumn("many", F.col("large").isNotNull()).drop("large", "lots"), count > 0
+    return rows.withColumn("lot", spread).withColumn("many", F.col("large").isNotNull()).drop("large", "lots"), several, total
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -391,8 +395,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     in_small_batches(spark)
     page = F.coalesce(F.col("html"), F.lit(""))
-    rows, several = lots(pages.select("page_id", "url", page.alias("html")), F.col("html"))
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows, several, size = lots(pages.select("page_id", "url", page.alias("html")), F.col("html"))
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
     rows = rows.select("host", "lot", "page_id", "url", "html", "many", F.lit(None).cast("long").alias("run"))
     if several:
         runs = repeated_runs(rows.filter("many")).withColumn("many", F.lit(True))

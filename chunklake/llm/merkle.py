@@ -3,8 +3,11 @@
 A paragraph is a line; words whose hash says so end a leaf, four words on average and 16 at most, and paragraphs whose hash
 says so end a section, so an edit moves no boundary beyond its place. A node's hash is made of its children's in order.
 
-A fingerprint is text: the root (32 hex digits), then the levels of sections, of paragraphs and of leaves, each after a ``.``.
-A section or paragraph has 10 digits of its hash and 6 of its number of children, a leaf 6 digits of its hash.
+Every node has two independent hashes of 64 bits, made of those of its children from the words up: texts that collide in one of
+them differ in the other, and so do the roots.
+
+A fingerprint is text: the root (both hashes, 32 hex digits), then the levels of sections, of paragraphs and of leaves, each
+after a ``.``. A section or paragraph has 10 digits of its first hash and 6 of its number of children, a leaf 10 digits.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -25,7 +29,13 @@ from chunklake.llm.common import in_small_batches, text_of
 LEAF_BITS, SECTION_BITS, MOST_LEAF_WORDS = 3, 7, 16
 #: Ranges of ids for each shuffle partition, and of rows without an id.
 RANGES_PER_PARTITION, NULL_RANGES = 2, 16
-_BREAK, _NOTHING = xxhash.xxh3_64_intdigest("\n"), xxhash.xxh3_64_intdigest("")
+#: Bytes of text that a shuffle partition holds, about.
+PARTITION_BYTES = 32 << 20
+
+
+def word_hashes(words: list[str]) -> np.ndarray:
+    """Two hashes of each word, as columns: the halves of one of 128 bits."""
+    return np.frombuffer(b"".join([xxhash.xxh3_128_digest(w) for w in words]), ">u8").reshape(-1, 2).astype(np.uint64)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -52,28 +62,30 @@ def fingerprints(texts: list[str]) -> list[str]:
         words = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n "), " ")
         offsets = words.offsets.to_numpy()
         coded = words.flatten().dictionary_encode()
-        known = np.array([xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
-        token = known[coded.indices.to_numpy()] if len(coded) else np.zeros(0, np.uint64)
+        different = coded.dictionary.to_pylist()
+        at_word = coded.indices.to_numpy() if len(coded) else np.zeros(0, np.int64)
+        token, second = word_hashes(different).T[:, at_word]
+        is_break = np.array([w == "\n" for w in different], bool)[at_word]
         last = np.zeros(len(token), bool)
         last[offsets[1:] - 1] = True  # a text has one word at least, be it empty
         # leaves: a line break is the last word of its paragraph
-        paragraph_end = last | (token == np.uint64(_BREAK))
+        paragraph_end = last | is_break
         ends = paragraph_end | ((token & np.uint64(LEAF_BITS)) == 0)
         begin = _begins(ends)
         count = np.diff(np.append(begin, len(token)))
         place = np.arange(len(token)) - np.repeat(begin, count)
         ends |= place % MOST_LEAF_WORDS == MOST_LEAF_WORDS - 1
         begin = _begins(ends)
-        leaves = _fold(token, begin, 11)
+        leaves, second = _fold(token, begin, 11), _fold(second, begin, 13)
         at = np.append(begin, len(token))[1:] - 1
         par_begin = _begins(paragraph_end[at])
-        paragraphs = _fold(leaves, par_begin, 23)
+        paragraphs, second = _fold(leaves, par_begin, 23), _fold(second, par_begin, 29)
         par_at = at[np.append(par_begin, len(leaves))[1:] - 1]
         sec_begin = _begins(last[par_at] | ((paragraphs & np.uint64(SECTION_BITS)) == 0))
-        sections = _fold(paragraphs, sec_begin, 37)
+        sections, second = _fold(paragraphs, sec_begin, 37), _fold(second, sec_begin, 41)
         sec_at = par_at[np.append(sec_begin, len(paragraphs))[1:] - 1]
         text_begin = _begins(last[sec_at])
-        roots = [_fold(sections, text_begin, seed) for seed in (53, 71)]
+        roots = [_fold(sections, text_begin, 53), _fold(second, text_begin, 71)]
 
     def level(hashes: np.ndarray, children: np.ndarray) -> np.ndarray:
         rows = np.empty((len(hashes), 8), np.uint8)
@@ -85,7 +97,7 @@ def fingerprints(texts: list[str]) -> list[str]:
     rows = [
         level(sections, np.diff(np.append(sec_begin, len(paragraphs)))),
         level(paragraphs, np.diff(np.append(par_begin, len(leaves)))),
-        leaves.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :3],
+        leaves.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5],
     ]
     cut_sections = np.append(text_begin, len(sections))
     cut_paragraphs = np.append(sec_begin, len(paragraphs))[cut_sections]
@@ -99,8 +111,10 @@ def fingerprints(texts: list[str]) -> list[str]:
 
 def leaves_of(fingerprint: str) -> np.ndarray:
     """The leaves' hashes as sorted numbers."""
-    raw = np.frombuffer(bytes.fromhex(fingerprint.rpartition(".")[2]), np.uint8).reshape(-1, 3).astype(np.uint32)
-    return np.sort(raw[:, 0] << 16 | raw[:, 1] << 8 | raw[:, 2])
+    raw = np.frombuffer(bytes.fromhex(fingerprint.rpartition(".")[2]), np.uint8).reshape(-1, 5)
+    whole = np.zeros((len(raw), 8), np.uint8)
+    whole[:, 3:] = raw
+    return np.sort(whole.view(">u8").ravel().astype(np.uint64))
 
 
 def likeness(one: str, other: str, leaves: tuple[np.ndarray, np.ndarray] | None = None) -> float:
@@ -114,12 +128,12 @@ def likeness(one: str, other: str, leaves: tuple[np.ndarray, np.ndarray] | None
 
 
 def _numbered(values: np.ndarray) -> np.ndarray:
-    """Sorted values made distinct by their number among equals."""
+    """Sorted values of 40 bits made distinct by their number among equals."""
     if not len(values):
-        return values.astype(np.uint64)
+        return values
     begin = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
     nth = np.arange(len(values)) - np.repeat(begin, np.diff(np.append(begin, len(values))))
-    return values.astype(np.uint64) << np.uint64(32) | nth.astype(np.uint64)
+    return values << np.uint64(24) | nth.astype(np.uint64)
 
 
 def differing_paragraphs(one: str, other: str) -> tuple[list[int], list[int]]:
@@ -143,8 +157,14 @@ def differing_paragraphs(one: str, other: str) -> tuple[list[int], list[int]]:
 
 
 def _range_of(doc_id: Column, order: Column, edges: list[int]) -> Column:
-    """The number of the id's range; rows without an id come last, spread by the hash of their text."""
-    by_id = F.size(F.filter(F.array(*(F.lit(e).cast("long") for e in edges)), lambda e: e <= doc_id)) if edges else F.lit(0)
+    """The number of the id's range, searched among the edges; rows without an id come last, spread by the hash of their text."""
+    bounds = np.array(edges, np.int64)
+
+    @F.pandas_udf("int")
+    def place(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, ids.to_numpy(np.int64), side="right").astype(np.int32))
+
+    by_id = place(F.coalesce(doc_id, F.lit(0).cast("long"))) if edges else F.lit(0)
     return F.when(doc_id.isNotNull(), by_id).otherwise(len(edges) + 1 + NULL_RANGES // 2 + F.shiftright(order, 60).cast("int")).cast("int")
 
 
@@ -152,11 +172,13 @@ def with_next(docs: DataFrame) -> DataFrame:
     """``range``, ``halo``, ``doc_id``, ``text``, sorted by range and id in each partition.
 
     Every range's rows are followed by the row that begins the next range (after the last, the first) with ``halo`` true, so
-    each row's next is the one behind it. The driver learns the first id of each range, no more.
+    each row's next is the one behind it. Ranges are as many as the bytes of the texts ask for. The driver learns the first id
+    of each range, no more.
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", text_of().alias("text")).withColumn("order", F.xxhash64("text"))
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).withColumn("order", F.xxhash64("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
     ranges = width * RANGES_PER_PARTITION
     quantiles = rows.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)], 0.1 / ranges)
     edges = sorted({int(q) for q in quantiles})
@@ -169,9 +191,7 @@ def with_next(docs: DataFrame) -> DataFrame:
         [(before["range"], r["first"]["doc_id"], r["first"]["order"]) for before, r in zip([firsts[-1], *firsts], firsts, strict=False)],
         "range int, doc_id long, order long",
     ).alias("p")
-    ids = [r["first"]["doc_id"] for r in firsts if r["first"]["doc_id"] is not None]
-    some = rows.filter(F.col("doc_id").isin(ids) | F.col("doc_id").isNull()).alias("r")
-    halo = some.join(F.broadcast(places), F.col("r.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("r.order") == F.col("p.order")))
+    halo = rows.alias("r").join(F.broadcast(places), F.col("r.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("r.order") == F.col("p.order")))
     halo = halo.groupBy("p.range", "r.doc_id", "r.order").agg(F.min("r.text").alias("text"))
     both = rows.select("range", F.lit(False).alias("halo"), "doc_id", "order", "text").unionByName(
         halo.select("range", F.lit(True).alias("halo"), "doc_id", "order", "text")

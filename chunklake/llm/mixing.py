@@ -2,7 +2,8 @@
 
 Each source's documents are shuffled by a hash. A copy's virtual finish time is its source's words up to its end, divided
 by the source's target; a second round over a source continues its count. All copies are range-sorted by that time and the
-queue ends when the total budget is spent, which is time 1 for every source; a copy in service then is cut at the word.
+queue ends when the total budget is spent, which is time 1 for every source. The report cuts a copy in service then at the
+word; the mixed documents hold it whole or not at all.
 """
 
 from __future__ import annotations
@@ -57,7 +58,8 @@ def keys(docs: DataFrame) -> dict[str, Column]:
 def queue(rows: DataFrame, light: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET) -> DataFrame:
     """``rows`` with ``source_size``, ``target``, ``before`` (its source's words ahead of it) and ``first``, ``second``.
 
-    The last two are the words taken in the two rounds. ``light`` has ``source``, ``size`` and ``shuffled`` of the same rows.
+    The last two are the words taken in the two rounds; ``whole_first`` and ``whole_second`` tell whether whole copies are, if
+    none may be cut. ``light`` has ``source``, ``size`` and ``shuffled`` of the same rows.
     Words ahead are summed per source and 4096th of the shuffle, then within: no window holds a source.
     """
     lot, ahead, ties, alike = private(rows, "lot", "ahead", "ties", "alike")
@@ -82,9 +84,13 @@ def queue(rows: DataFrame, light: DataFrame, weights: tuple[int, ...] = WEIGHTS,
         room = F.floor(F.col("target")) - start
         return F.floor(F.greatest(F.lit(0), F.least(F.col(ties), room)) / F.col(alike)).cast("long")
 
-    return placed.withColumns({"first": taken(F.col("before")), "second": taken(F.col("before") + F.col("source_size"))}).drop(
-        lot, ahead, ties, alike, "of_source", "of_lot"
-    )
+    def whole(start: Column) -> Column:
+        # the border falls behind the middle of what stands there
+        return 2 * start + F.col(ties) <= 2 * F.col("target")
+
+    rounds = {"first": F.col("before"), "second": F.col("before") + F.col("source_size")}
+    columns = {name: taken(start) for name, start in rounds.items()} | {f"whole_{name}": whole(start) for name, start in rounds.items()}
+    return placed.withColumns(columns).drop(lot, ahead, ties, alike, "of_source", "of_lot")
 
 
 def finish(taken: str, round_before: Column) -> Column:
@@ -106,33 +112,21 @@ def mix_report(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: floa
 
 
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET) -> DataFrame:
-    """The mixed rows, with the columns of ``docs``, range-sorted by virtual finish time: one row for each copy taken.
+    """The mixed rows, as they are in ``docs``, range-sorted by virtual finish time: one row for each copy taken.
 
-    A copy in service at the end of the budget keeps its first words only, and ``n_chars``, if there, follows. Documents
-    without words stay once, as they cost nothing. Names of the input that clash with those used inside do no harm.
+    No text is cut. The copy in service at the end of the budget is taken if the budget reaches its middle, so that a source
+    comes within half a document of its target; rows alike in id and text, which stand at one place of the queue, are taken
+    together. Documents without words, null texts too, stay once, as they cost nothing; an empty table gives no rows. Names of
+    the input that clash with those used inside do no harm.
     """
     light = kept(docs.select("source", *(c.alias(n) for n, c in keys(docs).items())), "mixing")
-    row, copies, copy = "row", "copies", "copy"
+    row = "row"
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row), F.col("source"), *(c.alias(n) for n, c in keys(docs).items()))
     queued = queue(whole, light, weights, budget)
-    rounds = F.array(
-        F.struct(F.col("first").alias("taken"), finish("first", F.col("before")).alias("finish")),
-        F.struct(F.col("second").alias("taken"), finish("second", F.col("before") + F.col("source_size")).alias("finish")),
-    )
-    queued = queued.withColumn(copies, F.filter(rounds, lambda x: (x["taken"] > 0))).withColumn(
-        copies, F.when(F.col("size") == 0, F.slice(rounds, 1, 1)).otherwise(F.col(copies))
-    )
-    each = queued.select(row, "size", F.explode(copies).alias(copy)).select(row, "size", f"{copy}.taken", f"{copy}.finish")
-    begun = F.split(F.col(f"{row}.text"), f"(?<=[{_SPACE}])(?=[^{_SPACE}])")
-    lead = F.regexp_like(F.col(f"{row}.text"), F.lit(f"^[{_SPACE}]")).cast("int")
-    cut = F.col("taken") < F.col("size")
-    text = F.when(cut, F.array_join(F.slice(begun, F.lit(1), (F.col("taken") + lead).cast("int")), "")).otherwise(F.col(f"{row}.text"))
-
-    def column(name: str) -> Column:
-        if name == "text":
-            return text.alias(name)
-        if name == "n_chars":
-            return F.when(cut, F.length(text)).otherwise(F.col(f"{row}.{name}")).cast(docs.schema[name].dataType).alias(name)
-        return F.col(f"{row}.`{name}`").alias(name)
-
-    return each.orderBy("finish").select(*(column(c) for c in docs.columns))
+    starts = {"first": F.col("before"), "second": F.col("before") + F.col("source_size")}
+    copies = [
+        F.when((F.col("size") > 0) & F.col(f"whole_{name}") | (F.lit(name == "first") & (F.col("size") == 0)), finish("size", start))
+        for name, start in starts.items()
+    ]
+    each = queued.select(row, F.explode(F.array_compact(F.array(*copies))).alias("finish"))
+    return each.orderBy("finish").select(*(F.col(f"{row}.`{c}`").alias(c) for c in docs.columns))

@@ -15,11 +15,13 @@ import types
 import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -31,61 +33,130 @@ TOKENIZER, END = public_tokenizers.path("word_bpe_49k.json"), 2
 WINDOW = 4096
 #: Tokens of an index shard, about: what one task holds.
 SHARD_TOKENS = 1 << 19
-#: Words and pieces of words whose ids a worker remembers.
-REMEMBERED = 1 << 19
+#: Pieces of words whose ids a worker remembers, before it begins anew.
+REMEMBERED = 1 << 20
 #: BM25: saturation of repeats, and the weight of the length.
 K1, B = 1.2, 0.75
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _TOKENS = "doc_id long, row long, doc_tokens long, first_window long, window_crcs array<long>, rest binary, frequency binary"
 
-# The pattern that splits text before the merges, as the vocabulary file states it.
-_PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_PLAIN = re.compile(rb"([^a-zA-Z0-9'\s\x80-\xff]*)([a-zA-Z]+)([^a-zA-Z0-9'\s\x80-\xff]*)")
+#: Words of these characters are cut into pieces here: visible ones of ASCII, Latin-1 and Latin Extended-A, in which lower case
+#: stays. The tokenizer itself reads all others, and the special tokens.
+_LAST = 0x17F
+_PLAIN = f"^[!-~\u00a1-{chr(_LAST)}]+$"
+_LETTERS, _NUMBERS = ("".join(chr(c) for c in range(_LAST + 1) if unicodedata.category(chr(c))[0] == kind) for kind in "LN")
+#: How the vocabulary file splits text before the merges, for those characters; a carriage return stands between words.
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+|\r")
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
-class Ids(dict):
-    """Ids of words of text without white space, as 16-bit bytes; the words met last are remembered."""
+def byte_of_letter() -> dict[str, int]:
+    """Fixed: how byte-level vocabularies write bytes."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {chr(b): b for b in visible} | {chr(256 + n): b for n, b in enumerate(hidden)}
+
+
+def merges(whole: Tokenizer) -> tiktoken.Encoding:
+    """The same merges as ranks of bytes, which are faster to apply. A piece ends in a line feed, which no piece holds.
+
+    Ids rise with the merges, and a vocabulary of trained merges makes each token in one way only (a test proves it of the file).
+    """
+    byte, ranks = byte_of_letter(), {}
+    special = {t.content for t in whole.get_added_tokens_decoder().values()}
+    for token, rank in whole.get_vocab(with_added_tokens=True).items():
+        if token not in special:
+            last = token.endswith("</w>") and token != "</w>"
+            ranks[bytes(byte[c] for c in (token[:-4] if last else token)) + b"\n" * last] = rank
+    return tiktoken.Encoding("pieces", pat_str=r"[^\n]*\n", mergeable_ranks=ranks, special_tokens={})
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of those numbers one behind the other, and where each ends."""
+    ends = np.cumsum(sizes[codes])
+    at = np.arange(ends[-1] if len(ends) else 0)
+    at += np.repeat(starts[codes] - (ends - sizes[codes]), sizes[codes])
+    return flat[at], ends
+
+
+def _laid_out(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 2
+    return np.frombuffer(b"".join(parts), "<u2"), np.cumsum(sizes) - sizes, sizes
+
+
+class Ids:
+    """Ids of texts, as 16-bit numbers. Different words and pieces of a batch are read once, pieces met last are remembered."""
 
     def __init__(self, path: str):
         self.whole = Tokenizer.from_file(path)
-        self.model = self.whole.model
         if self.whole.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit 16 bits")
-        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]  # fixed: how byte-level vocabularies write bytes
-        hidden = [b for b in range(256) if b not in visible]
-        self.letters = {b: chr(b) for b in visible} | {b: chr(256 + n) for n, b in enumerate(hidden)}
-        self.pieces: dict[bytes, bytes] = {}
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        plain = _PLAIN.fullmatch(word)
-        if plain:
-            found = b"".join([self.piece(p) for p in plain.group(1, 2, 3) if p]) if b"<|" not in word else self.all_of(word)
-        else:
-            text = word.decode()
-            # letters beyond Latin may be composed, or lowered by what stands beside them
-            if max(text) < "ɐ" and "<|" not in text:
-                low = unicodedata.normalize("NFC", text).lower()
-                found = b"".join([self.piece(p.encode()) for p in _PIECE.findall(low)])
-            else:
-                found = self.all_of(word)
-        self[word] = found
+        self.merges = merges(self.whole)
+        self.pieces: dict[str, bytes] = {"\r": b""}
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one behind the other, and where each text ends. Null texts are empty."""
+        texts = pc.fill_null(texts, "").cast(pa.large_binary())
+        if not len(texts):
+            return np.zeros(0, "<u2"), np.zeros(0, np.int64)
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        space = _SPACE[data[offsets[0] : offsets[-1]]]
+        # stretches of space or word, cut at the ends of texts too
+        cut = np.zeros(len(space) + 1, bool)
+        cut[1:-1] = space[1:] != space[:-1]
+        cut[offsets - offsets[0]] = True
+        cuts = np.flatnonzero(cut) + offsets[0]
+        stretches = pa.LargeBinaryArray.from_buffers(pa.large_binary(), max(len(cuts) - 1, 0), [None, pa.py_buffer(cuts.astype(np.int64)), texts.buffers()[2]])
+        word = ~space[cuts[:-1] - offsets[0]]
+        coded = stretches.dictionary_encode()
+        codes = coded.indices.to_numpy()[word] if len(stretches) else np.zeros(0, np.int64)
+        found, ends = _gathered(*_laid_out(self._words(coded.dictionary)), codes)
+        words_before = np.searchsorted(cuts[:-1][word], offsets[1:])
+        return found, np.append(0, ends)[words_before]
+
+    def _words(self, words: pa.Array) -> list[bytes]:
+        """The ids of different words; stretches of space have none."""
+        words = words.cast(pa.large_string())
+        plain = pc.and_not(pc.match_substring_regex(words, _PLAIN), pc.match_substring(words, "<|")).to_numpy(zero_copy_only=False)
+        found = [b""] * len(words)
+        if plain.any():
+            chosen = words.filter(pa.array(plain))
+            one = pa.LargeListArray.from_arrays(pa.array([0, len(chosen)], pa.int64()), chosen)
+            low = unicodedata.normalize("NFC", pc.binary_join(one, "\r")[0].as_py()).lower()
+            every = _PIECES.findall(low)
+            number = {piece: n for n, piece in enumerate(dict.fromkeys(every))}
+            codes = np.fromiter(map(number.__getitem__, every), np.int64, len(every))
+            ids, ends = _gathered(*_laid_out(self._learned(list(number))), codes)
+            between = np.flatnonzero(codes == number.get("\r", -1))
+            stops, flat, begin = [*(2 * ends[between]).tolist(), 2 * len(ids)], ids.tobytes(), 0
+            for n, stop in zip(np.flatnonzero(plain).tolist(), stops, strict=True):
+                found[n] = flat[begin:stop]
+                begin = stop
+        for n in np.flatnonzero(~plain).tolist():
+            # letters that may be composed, or lowered by what stands beside them
+            found[n] = np.array(self.whole.encode(words[n].as_py(), add_special_tokens=False).ids, "<u2").tobytes()
         return found
 
-    def all_of(self, word: bytes) -> bytes:
-        return np.array(self.whole.encode(word.decode(), add_special_tokens=False).ids, "<u2").tobytes()
-
-    def piece(self, piece: bytes) -> bytes:
-        """The merges of one piece in lower case."""
-        piece = piece.lower()
-        found = self.pieces.get(piece)
-        if found is None:
-            if len(self.pieces) >= REMEMBERED:
-                self.pieces.clear()
-            tokens = self.model.tokenize("".join([self.letters[b] for b in piece]))
-            found = self.pieces[piece] = np.array([t.id for t in tokens], "<u2").tobytes()
-        return found
+    def _learned(self, pieces: list[str]) -> list[bytes]:
+        if len(self.pieces) > REMEMBERED:
+            self.pieces = {"\r": b""}
+        new = [p for p in pieces if p not in self.pieces]
+        if new:
+            # a token that ends a piece ends in a line feed
+            ids = np.array(self.merges.encode_ordinary("\n".join(new) + "\n"), "<u2")
+            ends = (2 * (np.flatnonzero(self._last_tokens[ids]) + 1)).tolist()
+            flat, begin = ids.tobytes(), 0
+            for piece, end in zip(new, ends, strict=True):
+                self.pieces[piece] = flat[begin:end]
+                begin = end
+        return [self.pieces[p] for p in pieces]
+
+    @cached_property
+    def _last_tokens(self) -> np.ndarray:
+        last = np.zeros(1 << 16, bool)
+        last[[rank for token, rank in self.whole.get_vocab().items() if token.endswith("</w>")]] = True
+        return last
 
 
 def ids_for(path: str) -> Ids:
@@ -106,18 +177,22 @@ def _tokenizer(path: str, window: int, end: int) -> Callable[[Iterator[pa.Record
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = ids_for(path)
         frequency = np.zeros(1 << 16, np.int64)
-        last = np.array([end], "<u2").tobytes()
         names = [c.split()[0] for c in _TOKENS.split(", ")]
         kinds = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.binary(), pa.binary()]
         windows = 0
         for batch in batches:
             rows = []
-            for doc_id, row, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "row", "text")), strict=True):
-                tokens = np.frombuffer(b"".join([*map(ids.__getitem__, (text or "").encode().split()), last]), "<u2")
+            found, ends = ids.of(batch["text"])
+            begin = 0
+            for doc_id, row, stop in zip(batch["doc_id"].to_pylist(), batch["row"].to_pylist(), ends.tolist(), strict=True):
+                tokens = np.append(found[begin:stop], np.uint16(end))
+                begin = stop
                 full = len(tokens) // window
                 rest = tokens[full * window :]
                 if len(rest):
-                    frequency[np.unique(rest)] += 1
+                    held = np.zeros(1 << 16, bool)
+                    held[rest] = True
+                    frequency += held
                 crcs = [checksum(tokens[k * window : (k + 1) * window]) for k in range(full)]
                 rows.append((doc_id, row, len(tokens), windows, crcs, rest.tobytes(), None))
                 windows += full

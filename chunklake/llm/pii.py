@@ -2,12 +2,14 @@
 
 How strongly a term reveals an entity is their pointwise mutual information over texts, as a share of the entity's own
 information: 1 where the term occurs in the entity's texts only. An entity stands for its value, its kind and, an e-mail, its
-domain, so that one of a single text counts along with others of its class. Terms of an entity's texts that reach the threshold
-are spans too, wherever they stand. All of it is built-in functions on columns.
+domain, so that one of a single text counts along with others of its class. Of the many pairs of a term and an entity some meet
+by chance alone: only those count whose joint occurrences chance would not bring about in any of all pairs looked at. Terms of
+an entity's texts that pass both are spans too, wherever they stand. All of it is built-in functions on columns.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +21,8 @@ from chunklake.llm.common import kept, private, text_of
 KINDS = ("email", "ip", "card", "phone")
 #: A term reveals an entity from this share of its information, seen together in so many texts; from the second it is removed.
 DISCLOSURE, SUPPORT, REMOVED = 0.75, 2, 0.95
+#: The chance that any pair at all is taken for evidence where terms and entities are independent.
+CHANCE = 0.01
 
 # The patterns of the contract. Where a match could begin within a run of its first class it would have begun with the run, or
 # where the match before ended; saying so, and taking runs whole, keeps the search linear in the text.
@@ -32,9 +36,9 @@ _PATTERNS = {
 _HINTS = {"email": r"@", "ip": r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]"}
 #: What an e-mail leaves in a text whose terms are read. The other kinds hold no letters.
 _GONE = "\uE000"
-#: A word with its combining marks; the second also keeps off what an e-mail cuts short.
-_TERM = r"\p{L}[\p{L}\p{M}]*+"
-_WHOLE_TERM = rf"(?<![\p{{L}}\p{{M}}{_GONE}])\p{{L}}[\p{{L}}\p{{M}}]*+(?!{_GONE})"
+#: A word with its combining marks that is no part of a name with digits; the second also keeps off what an e-mail cuts short.
+_TERM = r"(?<![\p{L}\p{M}\p{N}_])\p{L}[\p{L}\p{M}]*+(?![\p{N}_])"
+_WHOLE_TERM = rf"(?<![\p{{L}}\p{{M}}\p{{N}}_{_GONE}])\p{{L}}[\p{{L}}\p{{M}}]*+(?![\p{{N}}_{_GONE}])"
 _SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
@@ -129,8 +133,9 @@ def revealing_terms(held: DataFrame, pairs: DataFrame, docs: DataFrame, texts: i
     exactly. The words of a text that may have copies, as another filter tells, are counted once for the text; those of all
     others are summed up before the shuffle.
     """
-    together = pairs.groupBy("key", "term").agg(F.count("*").alias("both"))
-    together = kept(together.filter(F.col("both") >= SUPPORT), "together")
+    together = kept(pairs.groupBy("key", "term").agg(F.count("*").alias("both")), "together")
+    looked_at = max(together.count(), 1)
+    together = together.filter(F.col("both") >= SUPPORT)
     candidates = together.select("term").distinct()
     asked, blocks = bloom.build(candidates, "term", candidates.count())
     copied = docs.groupBy("text_id").agg(F.count("*").alias("n")).filter("n > 1").select("text_id")
@@ -146,7 +151,14 @@ def revealing_terms(held: DataFrame, pairs: DataFrame, docs: DataFrame, texts: i
     pmi = F.ln(F.col("both") * F.lit(float(texts)) / (F.col("with_term") * F.col("with_key")))
     information = F.ln(F.lit(float(texts)) / F.col("with_key"))
     counted = counted.withColumn("disclosure", F.when(information > 0, pmi / information).otherwise(0.0))
-    return kept(counted.filter(F.col("disclosure") >= DISCLOSURE).select("key", "term", "disclosure"), "revealing")
+    by_chance = log_chance(F.col("both"), F.col("with_term") * F.col("with_key") / F.lit(float(texts)))
+    evident = (F.col("disclosure") >= DISCLOSURE) & (by_chance + math.log(looked_at) <= math.log(CHANCE))
+    return kept(counted.filter(evident).select("key", "term", "disclosure"), "revealing")
+
+
+def log_chance(seen: Column, expected: Column) -> Column:
+    """The logarithm of a bound (Chernoff's) on the chance of so many joint occurrences, or more, where so many are expected."""
+    return F.when(seen > expected, seen - expected - seen * F.ln(seen / expected)).otherwise(0.0)
 
 
 def _marked(held: DataFrame, pairs: DataFrame, terms: DataFrame) -> DataFrame:

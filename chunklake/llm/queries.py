@@ -34,8 +34,8 @@ def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
-    pages = table(spark, folder, "pages").select("page_id", "url")
-    return judge_urls(pages, listed_urls(pages)).select("page_id", "host", "path", "rule", "verdict", "canonical", "in_list")
+    pages = table(spark, folder, "pages")
+    return judge_urls(pages.select("page_id", "url"), listed_urls(pages)).select("page_id", "host", "path", "rule", "verdict", "canonical", "in_list")
 
 
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
@@ -128,7 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_url_filters": r"""
         WITH p AS (
-            SELECT page_id, coalesce(url, '') AS url,
+            SELECT page_id, coalesce(url, '') AS url, length(html) AS size,
                    translate(regexp_extract(coalesce(url, ''), '(?s)\A.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                    regexp_extract(coalesce(url, ''), '(?s)\A.*?://[^/?#]*([^?#]*)', 1) AS path,
                    regexp_extract(coalesce(url, ''), '(?s)\A[^?#]*\?([^#]*)', 1) AS query
@@ -141,7 +141,7 @@ ORACLES: dict[str, str] = {
         c AS (
             SELECT *, CASE WHEN name <> '' THEN name || regexp_replace(path, '/+$', '') || CASE WHEN params <> '' THEN '?' || params ELSE '' END END AS canonical
             FROM q),
-        l AS (SELECT DISTINCT canonical FROM c WHERE canonical IS NOT NULL AND regexp_matches(host, 'spam-farm|cheap-pills|free-bets|adult-x')),
+        l AS (SELECT DISTINCT canonical FROM c WHERE canonical IS NOT NULL AND size < 3000),
         r(rule, name, start, kind) AS (VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
             ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
         f AS (

@@ -74,8 +74,9 @@ def _ranked(words: np.ndarray, places: np.ndarray, share: int) -> tuple[np.ndarr
         behind = np.where(ahead >= 0, rank[ahead], -1) + 1
         rank = np.unique(rank * (len(at) + 2) + behind, return_inverse=True)[1]
         size += step
-    wanted = np.union1d(places, places + share)
-    return wanted, rank[slot[wanted]]
+    wanted = np.zeros(len(words), bool)
+    wanted[places] = wanted[places + share] = True
+    return np.flatnonzero(wanted), rank[slot[wanted.nonzero()[0]]]
 
 
 def _sorted_suffixes(words: np.ndarray, doc: np.ndarray, places: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:

@@ -8,6 +8,7 @@ all words of a text are summed up to a score of the document, and words more lik
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -29,6 +30,8 @@ MOST_SENTENCES, MOST_WORDS = 20000, 200
 #: Of sentences without evidence one in so many is kept for learning, with that weight.
 EVERY = 20
 STEPS, RATE, RIDGE = 200, 0.8, 0.001
+#: A fit has settled where the slope of its likelihood is no longer than this.
+SETTLED = 1e-6
 #: A unit map of a task is written out once it has so many entries.
 FLUSH = 400_000
 
@@ -197,17 +200,28 @@ def fit_field(sentences: list[tuple[list[str], list[int], float]], evidence: lis
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.01) -> np.ndarray:
-    """Newton steps for a logistic model, kept from running off by a ridge."""
+    """Newton steps for a logistic model with a ridge, each halved until the likelihood grows; raises if they do not settle."""
+
+    def likelihood(theta: np.ndarray) -> float:
+        z = x @ theta
+        return float(weight @ (y * z - np.logaddexp(0, z)) - ridge / 2 * theta @ theta)
+
     theta = np.zeros(x.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + _exp(-(x @ theta)))
+    now = likelihood(theta)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ theta, -700, 700)))
         slope = x.T @ (weight * (y - p)) - ridge * theta
+        if np.linalg.norm(slope) < SETTLED:
+            return theta
         bend = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
         step = np.linalg.solve(bend, slope)
-        theta += np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-6:
-            break
-    return theta
+        for _ in range(60):
+            after = likelihood(theta + step)
+            if after >= now - 1e-12 * abs(now):  # rounding, near the end
+                break
+            step /= 2
+        theta, now = theta + step, after
+    raise RuntimeError(f"the logistic model does not settle: slope {np.linalg.norm(slope):.2g}")
 
 
 def _count_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,18 +244,19 @@ def _count_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tagged(evidence: frozenset[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Sentences with the tags that evidence gives them; of those without any one in ``EVERY``."""
+    """Sentences with the tags that evidence gives them; of those without any one in ``EVERY``, drawn by a hash."""
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple[list[str], list[int], float]] = []
             for text, label, weight in zip(*(batch[c].to_pylist() for c in ("text", "label", "weight")), strict=True):
-                for n, sentence in enumerate(re.split(r"[.!?\n]", (text or "").lower())):
+                for sentence in re.split(r"[.!?\n]", (text or "").lower()):
+                    drawn = zlib.crc32(sentence.encode()) % EVERY == 0
                     words = re.findall(r"\w+", sentence)
                     for k in range(0, len(words), MOST_WORDS):
                         part = words[k : k + MOST_WORDS]
                         held = [int(any(u in evidence for u in units(w))) for w in part]
-                        if any(held) or n % EVERY == 0:
+                        if any(held) or drawn:
                             rows.append((part, held if label else [0] * len(part), weight * (1.0 if any(held) else EVERY)))
             columns = zip(*rows, strict=True) if rows else ([], [], [])
             kinds = (pa.list_(pa.string()), pa.list_(pa.int32()), pa.float64())

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from chunklake.llm import bloom
 from chunklake.llm.common import private
 
-#: Host words by which the registered query makes its list of URLs from the pages.
-SPAM_WORDS = ("spam-farm", "cheap-pills", "free-bets", "adult-x")
+#: The registered query lists the URLs of thin pages, whose whole markup has fewer characters than this: a URL does not tell.
+THIN = 3000
 #: (verdict, host, path): a rule fits the host and its subdomains where the path begins with its path.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -46,9 +46,9 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...]
     return rule, verdict
 
 
-def listed_urls(pages: DataFrame, spam_words: tuple[str, ...] = SPAM_WORDS) -> DataFrame:
-    """A list of canonical URLs: those of pages whose host name holds one of the words."""
-    marked = host_of(F.col("url")).rlike("|".join(w.replace(".", "[.]") for w in spam_words))
+def listed_urls(pages: DataFrame, thin: int = THIN) -> DataFrame:
+    """A list of canonical URLs: those of thin pages. Every other spelling of such a URL is listed with it."""
+    marked = F.length("html") < thin
     return pages.filter(marked).select(canonical(F.col("url")).alias("listed")).filter("listed IS NOT NULL").distinct()
 
 

@@ -45,10 +45,28 @@ def test_places_of_hits(spark, documents):
     benchmark = spark.createDataFrame([(1, "The quick, brown fox jumps over the lazy dog"), (2, "short"), (3, None), (None, "x"), (4, "?!")], "item_id bigint, text string")
     docs = documents([(1, "É İ — THE quick brown\nfox jumps over the lazy dog!"), (2, "a quick brown cat"), (3, "Short!"), (4, "short of"), (5, None), (5, "")])
     rows = find_leaks(docs, benchmark).collect()
-    assert sorted((r["doc_id"], r["item_id"], r["distance"]) for r in rows) == [(1, 1, 0), (3, 2, 0)]
+    assert sorted((r["doc_id"], r["item_id"], r["distance"]) for r in rows) == [(1, 1, 0), (3, 2, 0), (4, 2, 0)]
     hit = next(r for r in rows if r["doc_id"] == 1)
     assert "É İ — THE quick brown\nfox jumps over the lazy dog!"[hit["start"] : hit["end"]] == "THE quick brown\nfox jumps over the lazy dog"
-    assert sorted(r["doc_id"] for r in drop_leaks(docs, benchmark).collect()) == [2, 4, 5, 5]
+    assert sorted(r["doc_id"] for r in drop_leaks(docs, benchmark).collect()) == [2, 5, 5]
+
+
+def test_items_of_every_size_equal_brute_force(spark, documents):
+    rng = random.Random(9)
+    letters = "ab c"
+    items = {n: normalised("".join(rng.choice(letters) for _ in range(rng.randrange(3, 31)))) or "a" for n in range(60)}
+    rows = [(k, "".join(rng.choice(letters) for _ in range(rng.randrange(200)))) for k in range(60)]
+    rows += [(100 + n, f"so, {item.upper()}! and") for n, item in items.items()] + [(200 + n, f"so{item}s") for n, item in items.items()]
+    benchmark = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+
+    def holds(text, item):
+        if len(item) < 20:
+            return f" {item} " in f" {text} "
+        return distance(item, text) <= int(0.08 * len(item))
+
+    expected = {(k, n) for k, text in rows for n, item in items.items() if holds(normalised(text), item)}
+    assert {(r["doc_id"], r["item_id"]) for r in find_leaks(documents(rows), benchmark).collect()} == expected
+    assert {k for k, _ in rows} - {k for k, _ in expected} == {r["doc_id"] for r in drop_leaks(documents(rows), benchmark).collect()}
 
 
 def test_items_without_an_id(spark, documents):

@@ -87,9 +87,9 @@ def site(rng, n):
     return [(f"<div>{top}</div><p>{(body := sentence(rng, 30, 9000))}</p><div>{top} again and again for all</div>", body) for _ in range(n)]
 
 
-@pytest.mark.parametrize("lot", [2000, 10])
+@pytest.mark.parametrize("lot", [16 << 20, 4000])
 def test_template_text_of_a_host_goes(spark, monkeypatch, lot):
-    monkeypatch.setattr(extraction, "LOT_PAGES", lot)
+    monkeypatch.setattr(extraction, "LOT_BYTES", lot)
     rng = random.Random(2)
     rows = []
     for host, n in (("a.com", 60), ("b.org", 25), ("c.net", 1)):
@@ -108,11 +108,25 @@ def test_lots_of_a_host_are_counted_together(spark, monkeypatch):
     rows += [(60, "http://a.com", rows[0][2]), (61, "http://a.com", f"<p>{(two := sentence(rng, 15))}</p>"), (62, "http://a.com", f"<p>{two}</p>"), (63, "http://a.com", f"<p>x {two}</p>")]
     frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     whole = sorted(extract_text(frame).collect())
-    monkeypatch.setattr(extraction, "LOT_PAGES", 4)
+    monkeypatch.setattr(extraction, "LOT_BYTES", 1000)
     assert sorted(extract_text(frame).collect()) == whole
     assert all(r["n_repeated"] == 15 and r["text"].startswith(f"own{r['page_id']}\n") for r in whole[:60]) and whole[61]["n_repeated"] == 0
 
 
+@pytest.mark.parametrize("attributes", ["class='search-results'", "class='promo-code-history'", "id='header-1'", "class='my-ad-free-life widgets-x'"])
+def test_inside_an_article_only_whole_names_tell(attributes):
+    page = f"<article><h1>Title</h1><div {attributes}>kept one</div><p {attributes}>kept two</p></article>"
+    assert [t for k, t in blocks_of(page) if k == ARTICLE] == ["Title", "kept one", "kept two"]
+    outside = f"<div {attributes}>gone</div><article><p>in</p></article>"
+    assert [t for k, t in blocks_of(outside) if k == ARTICLE] == ["in"]
+
+
+@pytest.mark.parametrize("name", ["ad", "newsletter", "share", "Sidebar"])
+def test_whole_names_tell_inside_an_article(name):
+    page = f"<article><p>in</p><div class='x {name}'>gone</div><p id='{name}'>gone</p></article>"
+    assert [t for k, t in blocks_of(page) if k == ARTICLE] == ["in"]
+
+
 def test_an_article_keeps_what_repeats(spark):
     rng = random.Random(3)
     line = sentence(rng, 20)

@@ -1,9 +1,10 @@
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 
-from chunklake.llm import common
+from chunklake.llm import common, merkle
 from chunklake.llm.merkle import differing_paragraphs, fingerprint_documents, fingerprints, leaves_of, likeness
 from tests.llm.conftest import sentence
 
@@ -41,6 +42,68 @@ def test_equal_fingerprints_mean_equal_texts():
     assert fingerprints([]) == []
 
 
+@pytest.mark.parametrize("lane", [0, 1])
+def test_texts_that_collide_in_one_hash_have_different_roots(monkeypatch, lane):
+    true = merkle.word_hashes
+
+    def collided(words):
+        hashes = true(words).copy()
+        hashes[:, lane] = 1 << 20  # ends a leaf, equal for all words
+        return hashes
+
+    monkeypatch.setattr(merkle, "word_hashes", collided)
+    one, other = fingerprints(["a b c\nd", "a x c\nd"])
+    assert one[:32] != other[:32]
+    assert one[16 * lane :][:16] == other[16 * lane :][:16] or lane  # the first hash also tells where leaves end
+    assert fingerprints(["a b c\nd"]) == [one]
+
+
+def test_fingerprint_and_likeness_from_their_definition():
+    """A slow tree, node by node, with Python's whole numbers."""
+    mask = (1 << 64) - 1
+
+    def mixed(x):
+        x = (x ^ (x >> 31)) * 0x9E3779B97F4A7C15 & mask
+        x = (x ^ (x >> 29)) * 0xBF58476D1CE4E5B9 & mask
+        return x ^ (x >> 32)
+
+    def fold(hashes, seed):
+        total = sum(mixed(h + mixed(k + seed) & mask) for k, h in enumerate(hashes))
+        return mixed(total + len(hashes) * (seed | 1) & mask)
+
+    def cut(items, ends):
+        out = [[]]
+        for item in items:
+            out[-1].append(item)
+            if ends(item, out[-1]):
+                out.append([])
+        return out if out[-1] else out[:-1]
+
+    def slow(text):
+        words = text.replace("\n", " \n ").split(" ")
+        both = [tuple(int(h) for h in row) for row in merkle.word_hashes(words)]
+        leaves, paragraphs = [], []
+        for lines in cut(list(zip(words, both, strict=True)), lambda w, _: w[0] == "\n"):
+            row = cut([b for _, b in lines], lambda b, part: b[0] & 3 == 0 or len(part) == 16)
+            row = [(fold([b[0] for b in part], 11), fold([b[1] for b in part], 13)) for part in row]
+            leaves += row
+            paragraphs.append((fold([b[0] for b in row], 23), fold([b[1] for b in row], 29), len(row)))
+        groups = cut(paragraphs, lambda b, _: b[0] & 7 == 0)
+        sections = [(fold([b[0] for b in g], 37), fold([b[1] for b in g], 41), len(g)) for g in groups]
+        root = fold([b[0] for b in sections], 53), fold([b[1] for b in sections], 71)
+        digits = ["".join(f"{b[0] >> 24:010x}{b[2]:06x}" for b in level) for level in (sections, paragraphs)]
+        return ".".join(["".join(f"{r:016x}" for r in root), *digits, "".join(f"{b[0] >> 24:010x}" for b in leaves)]), [b[0] >> 24 for b in leaves]
+
+    rng = random.Random(8)
+    texts = ["", "a", "\n"] + ["\n".join(sentence(rng, rng.randrange(0, 60)) for _ in range(rng.randrange(1, 30))) for _ in range(20)]
+    texts += [texts[5] + " more", texts[6][:200]]
+    trees = [slow(t) for t in texts]
+    assert fingerprints(texts) == [f for f, _ in trees]
+    for (a, mine), (b, theirs) in zip(trees, trees[1:], strict=False):
+        shared = sum((Counter(mine) & Counter(theirs)).values())
+        assert likeness(a, b) == (1.0 if a[:32] == b[:32] else 2 * shared / (len(mine) + len(theirs)))
+
+
 def test_likeness_follows_what_is_shared():
     rng = random.Random(2)
     text = "\n".join(sentence(rng, 20) for _ in range(40))

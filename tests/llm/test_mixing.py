@@ -59,15 +59,26 @@ def test_queue_equals_brute_force(documents, seed):
     assert {k: r["taken"] for k, r in got.items()} == taken
 
 
-def test_mixed_rows_hold_the_words_taken(documents):
+def test_mixed_rows_are_whole_and_near_their_targets(documents):
     rows = rows_of(3)
-    report = {r["doc_id"]: r["taken"] for r in mix_report(documents(rows)).collect()}
+    size, target = brute(rows)
     mixed = mix_documents(documents(rows, ", finish int, _lot int", (7, 8))).collect()
-    held = {}
+    copies = {}
     for r in mixed:
-        held[r["doc_id"]] = held.get(r["doc_id"], 0) + count(r["text"])
-        assert r["n_chars"] == len(r["text"]) and r["finish"] == 7 and rows[r["doc_id"]][1].startswith(r["text"])
-    assert {k: v for k, v in report.items() if v} == {k: v for k, v in held.items() if v}
+        assert (r["text"], r["source"]) == rows[r["doc_id"]][1:] and r["n_chars"] == len(r["text"]) and r["finish"] == 7
+        copies[r["doc_id"]] = copies.get(r["doc_id"], 0) + 1
+    expected = {}
+    for s in target:
+        ahead = 0
+        own = sorted((r for r in rows if r[2] == s), key=key)
+        for n, r in enumerate(own + own):
+            words = count(r[1])
+            if ahead + words / 2 <= target[s] if words else n < len(own):
+                expected[r[0]] = expected.get(r[0], 0) + 1
+            ahead += words
+        taken = sum(count(r["text"]) for r in mixed if r["source"] == s)
+        assert abs(taken - target[s]) <= max(count(r[1]) for r in own) / 2
+    assert copies == expected
 
 
 def test_odd_rows(documents, odd_rows):

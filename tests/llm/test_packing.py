@@ -1,11 +1,14 @@
+import json
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from chunklake.llm import queries
+from chunklake.llm import packing, queries
 from chunklake.llm.packing import TOKENIZER, Ids, Index, Weights, fill, pack_documents
 from tests.llm.conftest import sentence
 
@@ -53,17 +56,40 @@ def check(pieces, rows, window):
     ],
 )
 def test_ids_are_the_tokenizers(text):
-    ids = Ids(TOKENIZER)
-    found = np.frombuffer(b"".join(ids[w] for w in text.encode().split()), "<u2").tolist()
-    assert found == truth(text)[:-1]
+    texts = [text, None, "", " ", text, f" {text}\n"]
+    found, ends = Ids(TOKENIZER).of(pa.array(["before", *texts, "after"]).slice(1, 6))
+    assert [p.tolist() for p in np.split(found, ends)] == [*(truth(t)[:-1] for t in texts), []]
 
 
-def test_ids_of_random_text():
+def test_ids_of_random_text(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 2000)
     rng, ids = random.Random(1), Ids(TOKENIZER)
-    letters = "aabcdeEÉéßñ'’.,-!?<|>_ 019½́  漢Σσ"
-    for _ in range(3000):
-        text = "".join(rng.choice(letters) for _ in range(rng.randrange(1, 25)))
-        assert np.frombuffer(b"".join(ids[w] for w in text.encode().split()), "<u2").tolist() == truth(text)[:-1]
+    letters = "aabcdeEÉéßñ'’.,-!?<|>_ 019½́  漢Σσ"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 25))) for _ in range(3000)]
+    # all plain characters, long pieces too
+    texts += ["".join(chr(rng.choice([rng.randrange(33, 127), rng.randrange(161, 592), 97 + rng.randrange(26), 32])) for _ in range(200)) for _ in range(400)]
+    texts += [chr(c) + tail for c in [*range(33, 127), *range(161, 592)] for tail in ("", "a", "#", "Σ")]
+    for k in range(0, len(texts), 500):
+        found, ends = ids.of(pa.array(texts[k : k + 500]))
+        for part, text in zip(np.split(found, ends), texts[k : k + 500], strict=False):
+            assert part.tolist() == truth(text)[:-1], text
+
+
+def test_each_token_is_made_in_one_way():
+    """Merging the lowest pair first, a token's own bytes come to the two parts of its merge, so ranks of bytes merge the same pairs."""
+    model = json.loads(Path(TOKENIZER).read_text())["model"]
+    rank = {tuple(m if isinstance(m, list) else m.split(" ")): k for k, m in enumerate(model["merges"])}
+    joined = {a + b: k for (a, b), k in rank.items()}
+    assert len(joined) == len(rank) and [model["vocab"][t] for t in joined] == sorted(model["vocab"][t] for t in joined)
+    for (a, b), k in rank.items():
+        token = a + b
+        parts = [*token[:-5], token[-5:]] if token.endswith("</w>") else [*token]
+        while len(parts) > 2:
+            # by bytes: any two parts whose join is a token, of the lowest rank
+            pair = min(range(len(parts) - 1), key=lambda n: joined.get(parts[n] + parts[n + 1], len(rank)))
+            assert joined[parts[pair] + parts[pair + 1]] < k
+            parts[pair : pair + 2] = [parts[pair] + parts[pair + 1]]
+        assert parts == [a, b]
 
 
 def brute_weights(entries, n, frequency, total):

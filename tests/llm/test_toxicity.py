@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from chunklake.llm.toxicity import Field, Reader, fit_toxicity, marginals, score_toxicity
+from chunklake.llm.toxicity import Field, Reader, fit_logistic, fit_toxicity, marginals, score_toxicity
 from tests.llm.conftest import sentence
 
 LABELS = "doc_id bigint, quality int, toxic int"
@@ -73,6 +73,21 @@ def test_without_two_classes_every_score_is_one_number(spark, documents, labels)
     assert len({r["score"] for r in got}) == 1
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_the_logistic_model_settles(seed):
+    # few positives, features of different size that all but separate them, weights: clipped steps once went round in circles here
+    rng = np.random.default_rng(seed)
+    y = (rng.random(3000) < 0.1).astype(float)
+    most = np.clip(rng.normal(np.where(y > 0, 0.97, 0.03), 0.05), 0, 1)
+    sums = np.log1p(np.where(y > 0, rng.exponential(3, 3000), rng.exponential(0.02, 3000)))
+    x = np.stack([np.ones(3000), most, sums, np.sqrt(sums / 300)], 1)
+    weight = np.where(y > 0, 1.0, 4.5)
+    theta = fit_logistic(x, y, weight)
+    p = 1 / (1 + np.exp(-x @ theta))
+    assert np.linalg.norm(x.T @ (weight * (y - p)) - 0.01 * theta) < 1e-6
+    assert ((p >= 0.5) == (y > 0)).mean() > 0.98
+
+
 def test_a_reader_that_forgets_scores_alike():
     model = Field(own={"bad": 4.0, "badl^": 3.0}, before={"bad": 1.0}, after={"bad": -1.0})
     texts = ["a bad day. badly done", "", "bad", "...", "x bad bad\nbad"]
