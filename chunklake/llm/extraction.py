@@ -66,13 +66,13 @@ ARTICLE, OPEN, DROPPED = 0, 1, 2
 
 
 def _marks(value: str, inside: bool) -> set[str]:
-    """The marks in a class or id: a name that is one or, outside of articles, begins or ends with one."""
-    if inside:
-        return {name.lower() for name in value.split()} & _MARKS
+    """The marks in a class or id: a name made of them alone or, outside of articles, that begins or ends with one."""
     found = set()
     for name in value.split():
         words = [w.lower() for w in _WORDS.findall(name)]
-        if words and words[0] not in _ABOUT:
+        if inside:
+            found |= set(words) if set(words) <= _MARKS else set()
+        elif words and words[0] not in _ABOUT:
             found |= {words[0], words[-1]} & _MARKS
             if "header" in found and {"article", "entry", "post", "content"} & set(words):
                 found.discard("header")
@@ -82,7 +82,7 @@ def _marks(value: str, inside: bool) -> set[str]:
 def _is_boilerplate(name: str, attributes: str, inside: bool = False) -> str:
     """What tells that an element is no part of the text: ``element`` by its role or state, ``others`` or ``mark`` by its class or id.
 
-    ``inside`` an article only whole names tell.
+    ``inside`` an article only names made of nothing but marks tell.
     """
     if not attributes or attributes.isspace():
         return ""

@@ -121,8 +121,8 @@ class Ids:
         plain = pc.and_not(pc.match_substring_regex(words, _PLAIN), pc.match_substring(words, "<|")).to_numpy(zero_copy_only=False)
         found = [b""] * len(words)
         if plain.any():
-            chosen = words.filter(pa.array(plain))
-            one = pa.LargeListArray.from_arrays(pa.array([0, len(chosen)], pa.int64()), chosen)
+            chosen = words.filter(pa.array(plain)).cast(pa.string())
+            one = pa.ListArray.from_arrays(pa.array([0, len(chosen)], pa.int32()), chosen)
             low = unicodedata.normalize("NFC", pc.binary_join(one, "\r")[0].as_py()).lower()
             every = _PIECES.findall(low)
             number = {piece: n for n, piece in enumerate(dict.fromkeys(every))}

@@ -121,7 +121,7 @@ def test_inside_an_article_only_whole_names_tell(attributes):
     assert [t for k, t in blocks_of(outside) if k == ARTICLE] == ["in"]
 
 
-@pytest.mark.parametrize("name", ["ad", "newsletter", "share", "Sidebar"])
+@pytest.mark.parametrize("name", ["ad", "newsletter", "share", "Sidebar", "cookieNotice", "social-share"])
 def test_whole_names_tell_inside_an_article(name):
     page = f"<article><p>in</p><div class='x {name}'>gone</div><p id='{name}'>gone</p></article>"
     assert [t for k, t in blocks_of(page) if k == ARTICLE] == ["in"]

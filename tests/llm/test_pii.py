@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
 
 from chunklake.llm.pii import find_personal_data, sanitise
 from tests.llm.conftest import sentence
@@ -71,28 +72,23 @@ def test_terms_that_reveal_an_entity(documents):
     got = check(rows, documents(rows))
     texts = dict(rows)
     distinct = set(texts.values())
-    words = {t: set(re.findall(r"[^\W\d_]{4,}", t.lower())) for t in distinct}
+    words = {t: set(re.findall(r"[^\W\d_]+", re.sub(r"\S+@\S+", "", t.lower()))) for t in distinct}
+    keys = {t: {k for e in re.findall(r"ann@corp\d\.com", t) for k in (f"email:{e}", "email", e[3:])} for t in distinct}
+    pairs = Counter((k, w) for t in distinct for k in keys[t] for w in words[t])
+    of_key, of_word = (Counter(x for t in distinct for x in table[t]) for table in (keys, words))
+    told, doubtful = set(), set()
+    for (k, w), both in pairs.items():
+        share = math.log(both * len(distinct) / (of_word[w] * of_key[k])) / math.log(len(distinct) / of_key[k])
+        expected = of_word[w] * of_key[k] / len(distinct)
+        chance = both - expected - both * math.log(both / expected) + math.log(len(pairs)) - math.log(0.01)
+        if both >= 2 and share >= 0.75 and chance <= 0.1:
+            (told if chance <= -0.1 else doubtful).add((k, w))
     for r in got:
         text = texts[r["doc_id"]]
         marked = {text[int(s.split(":")[1]) : int(s.split(":")[2])].lower() for s in filter(None, r["spans"].split(",")) if s.startswith("term")}
-        entity = re.search(r"ann@corp\d", text)
-        if not entity:
-            assert not marked
-            continue
-        with_entity = [t for t in distinct if entity.group() in t]
-        for word in ("zanzibar", "zanzibari", "office", "often"):
-            if word not in text.lower().split():
-                continue
-            both, alone = len(with_entity), sum(word in words[t] for t in distinct)
-            share = math.log(both * len(distinct) / (alone * len(with_entity))) / math.log(len(distinct) / len(with_entity))
-            expected = alone * len(with_entity) / len(distinct)
-            chance = both - expected - both * math.log(both / expected)
-            if share < 0.75:
-                assert word not in marked
-            elif chance < math.log(0.01 / 2000):  # fewer pairs than that are looked at, more than 500
-                assert word in marked
-            elif chance > math.log(0.01 / 500):
-                assert word not in marked
+        expected = {w for w in words[text] for k in keys[text] if (k, w) in told}
+        assert expected <= marked <= expected | {w for _, w in doubtful}
+    assert {w for _, w in told} >= {"zanzibar", "zanzibari"}
     assert sum("zanzibar" in dict(rows)[r["doc_id"]].lower() and "term" in r["spans"] for r in got) == 17
 
 
