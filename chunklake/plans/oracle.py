@@ -106,6 +106,19 @@ latest AS (
   SELECT key, arg_max(value, event_id) AS value, CAST(arg_max(expire_at, event_id) AS BIGINT) AS expire_at
   FROM store GROUP BY key)"""
 
+def _rounds(*runs: int) -> str:
+    """Runs of the same rows with keys of several users in one; run 0 is the rows as they are, called 1."""
+    writes = " UNION ALL ".join(
+        f"""SELECT {max(run, 1)} AS run, event_type || ':' || (user_id // {max(run, 1)}) AS key, '{f"{run}-" if run else ""}' || event_id AS value,
+         CASE WHEN event_id % 5 = 0 THEN 0 ELSE event_id % 2000 END AS expire_at, event_id FROM events"""
+        for run in runs
+    )
+    return f"""writes AS ({writes}),
+latest AS (
+  SELECT key, arg_max(value, run * 100000000000 + event_id) AS value,
+         CAST(arg_max(expire_at, run * 100000000000 + event_id) AS BIGINT) AS expire_at FROM writes GROUP BY key)"""
+
+
 _CLIP_RECORDS = """
 records AS (
   SELECT event_id, 'u' || user_id AS session_id, epoch_us(ts) // 1000000 AS seconds,
@@ -223,6 +236,15 @@ writes AS (
 SELECT key, arg_max(value, run * 1000000000 + event_id) AS value,
        CAST(arg_max(expire_at, run * 1000000000 + event_id) AS BIGINT) AS expire_at FROM writes GROUP BY key""",
     "store_snapshot": f"WITH {_STORE} SELECT key, value, expire_at FROM latest WHERE expire_at = 0 OR expire_at > {NOW}",
+    "store_append_during_compaction": f"""WITH {_rounds(0, 2)}
+SELECT key, value, expire_at FROM latest WHERE expire_at = 0 OR expire_at > {NOW}""",
+    "store_merge_rounds": f"""WITH {_rounds(1, 2, 3)}
+SELECT key, value, expire_at FROM latest WHERE expire_at = 0 OR expire_at > {NOW}""",
+    "store_index_lookup": f"""WITH {_rounds(0, 2, 3, 4)}
+SELECT key, value FROM latest WHERE (expire_at = 0 OR expire_at > {NOW}) AND key IN (SELECT 'view:' || c_custkey FROM customer)""",
+    "store_bucketed_latest": f"""WITH {_rounds(1, 2)} SELECT key, value, expire_at FROM latest""",
+    "store_bucketed_lookup": f"""WITH {_rounds(1, 2)}
+SELECT key, value FROM latest WHERE (expire_at = 0 OR expire_at > {NOW}) AND key IN (SELECT 'view:' || c_custkey FROM customer)""",
     "store_import_tsv": f"""WITH {_STORE}
 SELECT key, value, CAST(expire_at AS BIGINT) AS expire_at FROM store WHERE key <> 'error:8'""",
     "pipeline_end_to_end": f"""WITH RECURSIVE {_cut(_CHUNKS, clip_ms=DEFAULT_CLIP_MS)}
@@ -239,21 +261,22 @@ SELECT 'u' || user_id || ':' || (event_id % 10) AS key,
 FROM events GROUP BY user_id, event_id % 10""",
     "clip_cut_long_span": f"""WITH RECURSIVE {_cut(_CHUNKS.replace("chunks AS", "all_chunks AS") + """,
 chunks AS (
-  SELECT session_id, line_no, line_no // 1920 * 640 + line_no % 640 AS sequence, (line_no // 1920 * 640 + line_no % 640) * 5 AS "offset",
-         5 AS length, ts_ms, arrival_ms FROM all_chunks WHERE session_id = 'hot')""", clip_ms=LONG_CLIP_MS)}
+  SELECT session_id, line_no, nth AS sequence, nth * 5 AS "offset", 5 AS length, ts_ms, arrival_ms
+  FROM (SELECT *, CASE WHEN session_id = 'hot' THEN line_no // 1920 * 640 + line_no % 640 ELSE line_no // 1856 * 64 + line_no % 64 END AS nth
+        FROM all_chunks))""", clip_ms=LONG_CLIP_MS)}
 SELECT type, session_id, ts, path, "offset", length, complete FROM clips""",
     "stream_clip_cut_idle": _CLIPS_IDLE,
     "store_stream_after_snapshot": f"""WITH {_STORE},
 streamed AS (
   SELECT p || user_id || ':' || (event_id % 10) AS key, '/' || p || '/' || max(event_id) || '.mp4' AS value
-  FROM events, (VALUES ('a'), ('b')) prefixes(p) WHERE event_type = 'click' GROUP BY p, user_id, event_id % 10)
+  FROM events, (VALUES ('a'), ('b')) prefixes(p) GROUP BY p, user_id, event_id % 10)
 SELECT key, value, expire_at FROM latest WHERE expire_at = 0 OR expire_at > {NOW}
 UNION ALL SELECT key, value, CAST({NOW + 300} AS BIGINT) FROM streamed""",
     "store_batch_then_stream": f"""
 WITH old AS (SELECT DISTINCT 'u' || user_id || ':' || (event_id % 12) AS key FROM events),
 fresh AS (
   SELECT 'u' || user_id || ':' || (event_id % 10) AS key, '/u/' || max(event_id) || '.mp4' AS value
-  FROM events WHERE event_id % 2 = 0 GROUP BY ALL HAVING true)
+  FROM events GROUP BY ALL HAVING true)
 SELECT key, coalesce(fresh.value, '/old.mp4') AS value, CAST(CASE WHEN fresh.key IS NULL THEN 0 ELSE {NOW + 300} END AS BIGINT) AS expire_at
 FROM old FULL JOIN fresh USING (key)""",
     "sidecar_file_scan": f"""WITH {_LINES}

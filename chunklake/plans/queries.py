@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +26,12 @@ from chunklake.plans.fixtures import EPOCH_MICROS, event_chunks, event_lines, wr
 from chunklake.plans.pipeline import clips_to_store, run_pipeline, run_stream_pipeline
 from chunklake.schemas import CLIP_FIELDS
 from chunklake.session import shared_folder
+from chunklake.sinks.buckets import append_bucketed, bucketed_latest, bucketed_lookup, write_bucketed_keys
+from chunklake.sinks.snapshot import begin_merge, finish_merge, merge_store
 from chunklake.sinks.store import append_store, compact_store, store_lines
 from chunklake.sinks.text import clip_lines, write_clips
 from chunklake.sources.lines import number_lines, read_log_lines, scan_lines
+from chunklake.sources.runindex import index_runs, read_store_for_keys
 from chunklake.sources.sidecar import ended_sessions, missing_sessions, read_sidecars
 from chunklake.sources.store import parse_clip_lines, read_store, read_store_tsv
 from chunklake.streaming.clips import cut_record_stream
@@ -58,6 +62,10 @@ SHORT_BLOCKS = by_number("line_no", 1024)
 LONG_CLIP_MS, TINY_BLOCKS = 40 * CLIP_MS, by_number("line_no", 64)
 
 
+#: So few rows that snapshots of every table have several files.
+SNAPSHOT_ROWS = 100
+
+
 def _event_json(spark: SparkSession, folder: str) -> DataFrame:
     """Event records as JSON lines, some with blanks around them, some cut short."""
     whole = F.to_json(F.struct(F.col("event_type").alias("type"), "user_id", "event_id", "props"))
@@ -116,10 +124,11 @@ def clip_cut_blocks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clip_cut_long_span(spark: SparkSession, folder: str) -> DataFrame:
-    """A span over many blocks, and the hot session without a break: stretches of many blocks."""
-    # of its stretches of 640 events every third is the hot session's, so a chunk's number has a closed form
-    nth = F.expr("line_no div 1920 * 640 + line_no % 640")
-    chunks = _chunks(spark, folder).where("session_id = 'hot'").withColumns({"sequence": nth, "offset": nth * 5, "length": F.lit(5)})
+    """A span over many blocks, and all sessions without a break but where time stands still: stretches of many blocks."""
+    # every third stretch of 640 events is the hot session's, so its chunks' numbers have a closed form; those of another
+    # session count its stretches of 64 by their own number, which leaves a gap wherever the hot session was in between
+    nth = F.expr("if(session_id = 'hot', line_no div 1920 * 640 + line_no % 640, line_no div 1856 * 64 + line_no % 64)")
+    chunks = _chunks(spark, folder).withColumns({"sequence": nth, "offset": nth * 5, "length": F.lit(5)})
     return cut_clips(chunks, SRC, LONG_CLIP_MS, order=TINY_BLOCKS)
 
 
@@ -328,6 +337,65 @@ def store_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return read_store(spark, new_path).select("key", "value", "expire_at")
 
 
+def _round(rows: DataFrame, run: int, key_div: int) -> DataFrame:
+    """The rows of a later run: keys of several users in one, values that tell the run."""
+    key = F.concat_ws(":", F.substring_index("key", ":", 1), F.expr(f"cast(substring_index(key, ':', -1) as bigint) div {key_div}").cast("string"))
+    order = F.col("write_seq").withField("run", F.lit(run).cast("bigint"))
+    return rows.withColumns({"key": key, "value": F.concat(F.lit(f"{run}-"), "value"), "write_seq": order})
+
+
+def store_append_during_compaction(spark: SparkSession, folder: str) -> DataFrame:
+    """A run appended after a merge has been planned, and before its snapshot is committed: its rows count."""
+    path, rows = shared_folder(spark, "store"), _full_store(spark, folder)
+    append_store(rows, path, run=1)
+    merge = begin_merge(spark, path, NOW)
+    append_store(_round(rows, 2, 2), path, run=2)
+    finish_merge(merge, SNAPSHOT_ROWS)
+    return compact(read_store(spark, path), NOW).select("key", "value", "expire_at")
+
+
+def store_merge_rounds(spark: SparkSession, folder: str) -> DataFrame:
+    """Three runs, merged into the snapshot one after the other: what compacting all of them gives."""
+    path, rows = shared_folder(spark, "store"), _full_store(spark, folder)
+    for run in (1, 2, 3):
+        append_store(_round(rows, run, run), path, run)
+        merge_store(spark, path, NOW // (4 - run), SNAPSHOT_ROWS)
+    return read_store(spark, path).select("key", "value", "expire_at")
+
+
+def store_index_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys looked up in a snapshot and in later runs, of which an index tells those that may hold them."""
+    path, rows = shared_folder(spark, "store"), _full_store(spark, folder)
+    append_store(rows, path, run=1)
+    merge_store(spark, path, 0, SNAPSHOT_ROWS)
+    for run in (2, 3, 4):
+        append_store(_round(rows, run, run), path, run)
+    index_runs(spark, path)
+    keys = _table(spark, folder, "customer").select(F.concat(F.lit("view:"), "c_custkey").alias("key"))
+    return lookup_many(read_store_for_keys(spark, path, keys), keys, NOW)
+
+
+def _bucketed(spark: SparkSession, folder: str) -> str:
+    table, rows = f"store_{uuid.uuid4().hex}", _full_store(spark, folder)
+    path = shared_folder(spark, "bucketed")
+    for run in (1, 2):
+        append_bucketed(_round(rows, run, run), table, path)
+    return table
+
+
+def store_bucketed_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """Latest rows of a store of two runs, bucketed by key: nothing is shuffled."""
+    return bucketed_latest(spark, _bucketed(spark, folder)).select("key", "value", "expire_at")
+
+
+def store_bucketed_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """A bulk lookup in it, of keys that are bucketed as well."""
+    keys = f"keys_{uuid.uuid4().hex}"
+    wanted = _table(spark, folder, "customer").select(F.concat(F.lit("view:"), "c_custkey").alias("key"))
+    write_bucketed_keys(wanted, keys, shared_folder(spark, "keys"))
+    return bucketed_lookup(spark, _bucketed(spark, folder), keys, NOW)
+
+
 def store_import_tsv(spark: SparkSession, folder: str) -> DataFrame:
     """Rows written in the tab-separated text form and read back, with a line in it that is no row."""
     path = shared_folder(spark, "tsv")
@@ -436,9 +504,9 @@ def stream_store(spark: SparkSession, folder: str) -> DataFrame:
     return latest_per_key(read_store(spark, path)).select("key", "value", "expire_at")
 
 
-def _clip_stream(spark: SparkSession, folder: str, prefix: str, where: str) -> DataFrame:
+def _clip_stream(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
     event_id = F.col("event_id")
-    return _stream(spark, folder, "events").where(where).select(
+    return _stream(spark, folder, "events").select(
         F.concat(F.lit(prefix), F.col("user_id").cast("string")).alias("session_id"),
         (event_id % 10).alias("ts"),
         F.concat(F.lit(f"/{prefix}/"), event_id.cast("string"), F.lit(".mp4")).alias("path"),
@@ -452,7 +520,7 @@ def store_stream_after_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     append_store(_full_store(spark, folder), path, run=1)
     compact_store(spark, path, new_path, NOW)
     for prefix in ("a", "b"):
-        clips = _clip_stream(spark, folder, prefix, "event_type = 'click'")
+        clips = _clip_stream(spark, folder, prefix)
         checkpoint = shared_folder(spark, "checkpoint")
         _run(append_clip_stream(clips, new_path, checkpoint, 300, NOW, available_now=True, place=LINE_PLACE))
     return latest_per_key(read_store(spark, new_path)).select("key", "value", "expire_at")
@@ -469,7 +537,7 @@ def store_batch_then_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
     run = time.time_ns()
     append_store(to_store_rows(old, 0, NOW, run, LINE_PLACE), path, run)
-    clips = _clip_stream(spark, folder, "u", "event_id % 2 = 0")
+    clips = _clip_stream(spark, folder, "u")
     _run(append_clip_stream(clips, path, shared_folder(spark, "checkpoint"), 300, NOW, available_now=True, place=LINE_PLACE))
     return latest_per_key(read_store(spark, path)).select("key", "value", "expire_at")
 
@@ -574,6 +642,11 @@ QUERIES: dict[str, Query] = {
     "store_text_lines": store_text_lines,
     "store_append_read": store_append_read,
     "store_snapshot": store_snapshot,
+    "store_append_during_compaction": store_append_during_compaction,
+    "store_merge_rounds": store_merge_rounds,
+    "store_index_lookup": store_index_lookup,
+    "store_bucketed_latest": store_bucketed_latest,
+    "store_bucketed_lookup": store_bucketed_lookup,
     "store_import_tsv": store_import_tsv,
     "pipeline_end_to_end": pipeline_end_to_end,
     "stream_clip_cut": stream_clip_cut,

@@ -9,11 +9,26 @@ from chunklake import schemas
 from chunklake.functions.fields import field_scalar, field_string
 from chunklake.operators.rejects import split_tagged
 from chunklake.sources.lines import scan_lines
+from chunklake.sources.manifest import open_runs, read_manifest
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of a store, every run and every duplicate. Filters on ``key`` reach the Parquet scan."""
-    return spark.read.schema(schemas.STORE).option("recursiveFileLookup", "true").parquet(path)
+    """All rows of a store, every run and every duplicate. Filters on ``key`` reach the Parquet scan.
+
+    Of a store with a manifest these are the rows of its snapshot and of all finished runs that the snapshot does not cover.
+    """
+    manifest = read_manifest(spark, path)
+    if not manifest.version:
+        return spark.read.schema(schemas.STORE).option("recursiveFileLookup", "true").parquet(path)
+    return read_folders(spark, path, [*(f.path for f in manifest.files), *open_runs(spark, path, manifest)])
+
+
+def read_folders(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """The rows of some files and folders of a store."""
+    if not names:
+        return spark.createDataFrame([], schemas.STORE)
+    reader = spark.read.schema(schemas.STORE).option("recursiveFileLookup", "true")
+    return reader.parquet(*[f"{path.rstrip('/')}/{name}" for name in names])
 
 
 def read_store_tsv(spark: SparkSession, path: str | list[str], run: int = 0) -> tuple[DataFrame, DataFrame]:
