@@ -125,6 +125,13 @@ def session_name(key: Column | str) -> Column:
     return F.substring_index(_col(key), _KEY_SEPARATOR, -1)
 
 
+def session_folder(key: Column | str) -> Column:
+    """The folder in a session's key; null where the key has none."""
+    key = _col(key)
+    rest = F.length(key) - F.length(session_name(key)) - len(_KEY_SEPARATOR)
+    return F.when(rest >= 0, F.substr(key, F.lit(1), rest))
+
+
 def looks_like_object(line: Column | str) -> Column:
     """True when, blanks and tabs aside, the line begins with ``{`` and ends with ``}``."""
     bare = F.btrim(_col(line), F.lit(" \t"))

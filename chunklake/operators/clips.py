@@ -473,6 +473,14 @@ def cut_clips(
     at a pause in arrival; it ends complete at the first chunk ``clip_ms`` or more after its start, and at the end of
     the session. ``keep_order`` adds ``island`` and ``start_ts_ms``, by which the clips of a session are in order.
     """
+    clips = cut_by_key(chunks, clip_ms, idle_ms, arrival_col, order)
+    return finish_clips(clips, src, keep_order)
+
+
+def cut_by_key(
+    chunks: DataFrame, clip_ms: int, idle_ms: int | None = None, arrival_col: str | None = None, order: Order = Order()
+) -> DataFrame:
+    """The same clips by the session's whole key: ``session_id``, ``island``, ``start_ts_ms``, ``offset``, ``length``, ``complete``."""
     check_span_ms("clip_ms", clip_ms)
     if (idle_ms is None) != (arrival_col is None):
         raise ValueError("idle_ms and arrival_col go together")
@@ -489,10 +497,9 @@ def cut_clips(
     )
     rows = _at_blocks(spread, facts, "left").na.fill({"origin": _NO_RUN, "entry": 0, "block_ending": 1})
     pieces = _ordered(rows).mapInArrow(_cut(clip_ms, idle_ms), _PIECES_DDL)
-    clips = pieces.groupBy("session_id", "island", "start_ts_ms").agg(
+    return pieces.groupBy("session_id", "island", "start_ts_ms").agg(
         F.min("offset").alias("offset"), F.sum("length").alias("length"), F.max("complete").alias("complete")
     )
-    return finish_clips(clips, src, keep_order)
 
 
 def finish_clips(clips: DataFrame, src: str, keep_order: bool) -> DataFrame:

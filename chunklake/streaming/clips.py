@@ -33,16 +33,20 @@ _NUMBERS = ["sequence", "offset", "length", "ts_ms"]
 def stream_records(lines: DataFrame, mode: str = "textual") -> DataFrame:
     """Data records and end marks of a sidecar line stream, each with its place and, as ``arrival``, its file's time.
 
-    Where lines have a ``folder`` it is part of the session's key.
+    Where lines have a ``folder`` it is part of the session's key. End markers of folders, rows with a ``folder_mark``, are kept.
     """
+    marked = "folder_mark" in lines.columns
     if "folder" in lines.columns:
         lines = lines.withColumn("session_id", session_key("folder", "session_id")).drop("folder")
     arrival = F.col("arrival_ms") if "arrival_ms" in lines.columns else F.lit(0).cast("bigint")
     ended = F.col("parsed").isNull() & F.coalesce(F.col("ended"), F.lit(False))
     numbers = [F.coalesce(F.col(f"parsed.{name}"), F.lit(0)).alias(name) for name in _NUMBERS]
-    record = F.struct("session_id", "block", "line_id", ended.alias("ended"), *numbers, arrival.alias("arrival"))
+    record = F.struct("session_id", "block", "line_id", ended.alias("ended"), *numbers, arrival.alias("arrival"), *(["folder_mark"] if marked else []))
     tagged = tag_sidecar(lines, mode).withColumn("ended", field_kind("line") == END_KIND)
-    return tagged.select(F.inline(F.when(F.col("parsed").isNotNull() | F.col("ended"), F.array(record))))
+    wanted = F.col("parsed").isNotNull() | F.col("ended")
+    if marked:
+        wanted = F.col("folder_mark").isNotNull() | wanted
+    return tagged.select(F.inline(F.when(wanted, F.array(record))))
 
 
 def stream_rejects(lines: DataFrame, mode: str = "textual") -> DataFrame:
