@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunklake.functions.fields import CLIP_TYPE, clip_path, clip_ts, session_key, session_name
+from chunklake.functions.fields import CLIP_TYPE, clip_path, clip_ts, session_folder, session_key, session_name
 from chunklake.functions.options import DEFAULT_CLIP_MS, check_span_ms
 from chunklake.operators.cutting import LATEST, cut_points, highest_so_far, last_starts, runs_of
 from chunklake.schemas import CLIP_FIELDS
@@ -502,13 +502,13 @@ def cut_by_key(
     )
 
 
-def finish_clips(clips: DataFrame, src: str, keep_order: bool) -> DataFrame:
-    """The clip record of each cut."""
-    clips = clips.withColumn("session_id", session_name("session_id"))
+def finish_clips(clips: DataFrame, src: str, keep_order: bool, keep_folder: bool = False) -> DataFrame:
+    """The clip record of each cut, with its order and the session's folder if asked for."""
+    clips = clips.withColumns({"folder": session_folder("session_id"), "session_id": session_name("session_id")})
     ts = clip_ts(F.col("start_ts_ms"))
     made = {"type": F.lit(CLIP_TYPE), "ts": ts, "path": clip_path(src, F.col("session_id"), ts)}
     fields = [made[name].alias(name) if name in made else name for name in CLIP_FIELDS]
-    return clips.select(*fields, *(["island", "start_ts_ms"] if keep_order else []))
+    return clips.select(*fields, *(["island", "start_ts_ms"] if keep_order else []), *(["folder"] if keep_folder else []))
 
 
 def continuity_breaks(chunks: DataFrame, order: Order = Order()) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +13,13 @@ from chunklake.functions.fields import CLIP_TYPE, PAYLOAD_SUFFIX, SIDECAR_SUFFIX
 from chunklake.functions.options import DEFAULT_IDLE_MS, DEFAULT_TTL_SECONDS, check_ttl
 from chunklake.operators.clips import Order, cut_clips
 from chunklake.operators.rejects import count_clips, count_rejects
-from chunklake.operators.sidecar import parse_sidecar, split_sidecar, tag_sidecar
+from chunklake.operators.sidecar import REJECTS, read_records, read_rejects, split_sidecar, tag_sidecar, write_both
 from chunklake.operators.store import to_store_rows
 from chunklake.sinks.store import append_store
-from chunklake.sources.sidecar import list_files, missing_sessions, read_sidecar_stream, read_sidecars
+from chunklake.sources.manifest import Folder
+from chunklake.sources.sidecar import list_files, missing_sessions, read_sidecar_stream, read_sidecars, without_payload
 from chunklake.streaming.clips import cut_clips_stream
+from chunklake.streaming.segments import append_pipeline_stream
 from chunklake.streaming.store import append_clip_stream
 
 
@@ -54,6 +57,8 @@ def run_pipeline(
     go to a folder of the run under ``rejects_path``, if given. Returns the counts of ``lines``, ``rejects``, ``clips`` and
     ``cut_short`` clips, taken while the clips were written.
 
+    With rejects the lines are parsed once, into a folder beside them that holds the records until the clips are stored.
+
     Fails before anything is written when a session has no payload file, or a named one no sidecar. Of named sessions only
     their files are opened.
     """
@@ -66,15 +71,30 @@ def run_pipeline(
     _require(missing_sessions(wanted, list_files(spark, src, PAYLOAD_SUFFIX)), "payload")
     run = time.time_ns() if run is None else run
     tagged, seen = count_rejects(tag_sidecar(read_sidecars(spark, src, sessions=sessions)))
-    chunks, _ = split_sidecar(tagged)
+    if rejects_path:
+        # one pass over the text for both outputs; what it wrote becomes the run's rejects once the clips are stored
+        parsed = f"{rejects_path.rstrip('/')}/_parsed-{uuid.uuid4().hex}"
+        write_both(tagged, parsed)
+        chunks = read_records(spark, parsed)
+    else:
+        chunks, _ = split_sidecar(tagged)
     clips, cut = count_clips(cut_clips(chunks, clip_src or src, keep_order=True))
     append_store(to_store_rows(clips.where(F.col("type") == CLIP_TYPE), ttl, now, run), store_path, run)
     if rejects_path:
-        _, rejects = parse_sidecar(read_sidecars(spark, src, sessions=sessions))
-        rejects.write.mode("errorifexists").parquet(f"{rejects_path.rstrip('/')}/run={run}")
+        commit_rejects(spark, parsed, f"{rejects_path.rstrip('/')}/run={run}")
     return dict(seen.get) | dict(cut.get)
 
 
+def commit_rejects(spark: SparkSession, parsed: str, to: str) -> None:
+    """The rejects of a pass, moved to where their run's belong; its records, which are stored as clips, are removed."""
+    folder = Folder(spark, parsed)
+    if folder.holds(f"part={REJECTS}"):
+        folder.rename(f"part={REJECTS}", to)
+    else:
+        read_rejects(spark, parsed).write.mode("errorifexists").parquet(to)
+    folder.remove("")
+
+
 def _require(missing: DataFrame, what: str) -> None:
     names = [row.session_id for row in missing.limit(10).collect()]
     if names:
@@ -92,16 +112,22 @@ def run_stream_pipeline(
     max_files: int | None = None,
     require_payload: bool = False,
     clip_src: str | None = None,
+    work: str | None = None,
 ) -> StreamingQuery:
     """The same over closed segment files as they arrive. ``available_now`` ends after what is there.
 
     With ``require_payload`` a micro-batch with clips of a session that has no payload file ends the query before it is
-    written. Refused lines are those of `stream_rejects` over the same stream.
+    written. With a ``work`` folder each micro-batch is parsed once into records and rejects there, and cut segment by segment,
+    many tasks a session; without it the state is Spark's, the wall clock closes clips, and refused lines are those of
+    `stream_rejects` over the same stream.
     """
     lines = read_sidecar_stream(spark, src, max_files=max_files)
-    clips = cut_clips_stream(lines, clip_src or src, idle_ms=None if available_now else DEFAULT_IDLE_MS)
 
     def check(batch: DataFrame) -> None:
-        _require(missing_sessions(batch, list_files(spark, src, PAYLOAD_SUFFIX).drop("folder")), "payload")
+        _require(without_payload(batch, src), "payload")
 
-    return append_clip_stream(clips, store_path, checkpoint, check_ttl(ttl), now, available_now, check=check if require_payload else None)
+    ttl, check_clips = check_ttl(ttl), check if require_payload else None
+    if work is not None:
+        return append_pipeline_stream(lines, work, store_path, checkpoint, ttl, now, clip_src or src, available_now=available_now, check=check_clips)
+    clips = cut_clips_stream(lines, clip_src or src, idle_ms=None if available_now else DEFAULT_IDLE_MS, keep_folder=True)
+    return append_clip_stream(clips, store_path, checkpoint, ttl, now, available_now, check=check_clips)

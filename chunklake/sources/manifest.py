@@ -99,6 +99,13 @@ class Folder:
             raise
         return True
 
+    def rename(self, name: str, to: str) -> None:
+        """Moves a file or folder to a path of the same file system that is not there yet."""
+        target = self._jvm.org.apache.hadoop.fs.Path(to)
+        self._fs.mkdirs(target.getParent())
+        if self._fs.exists(target) or not self._fs.rename(self.at(name), target):
+            raise FileExistsError(f"{to} is there already, or cannot be made")
+
     def remove(self, name: str) -> None:
         self._fs.delete(self.at(name), True)
 

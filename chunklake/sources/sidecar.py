@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import urlsplit
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunklake.functions.fields import SIDECAR_SUFFIX, is_end_marker
+from chunklake.functions.fields import PAYLOAD_SUFFIX, SIDECAR_SUFFIX, is_end_marker
 from chunklake.sources.lines import decoded_folder, decoded_name, drop_unterminated, scan_lines, split_lines
 
 # How sidecar files are named. A growing session is a row of closed files, numbered from 0.
@@ -88,6 +93,35 @@ def missing_sessions(sessions: DataFrame, present: DataFrame) -> DataFrame:
     return both.groupBy(*keys).agg(F.max("there").alias("there")).where("there = 0").select(*keys)
 
 
+#: File systems that tasks can ask by themselves. Of others the folders of the sessions in question are listed.
+_ASKED = ("file", "hdfs", "s3", "gs")
+
+
+def without_payload(sessions: DataFrame, src: str) -> DataFrame:
+    """``folder`` and ``session_id`` of those sessions that have no payload file beside their sidecar.
+
+    Tasks ask for the files of these sessions, each once; nothing else under ``src`` is listed.
+    """
+    wanted = sessions.select("folder", "session_id").distinct()
+    scheme = urlsplit(src).scheme or "file"
+    if scheme not in _ASKED:
+        folders = [row.folder for row in wanted.select("folder").distinct().collect()]
+        return missing_sessions(wanted, list_files(sessions.sparkSession, folders, PAYLOAD_SUFFIX)) if folders else wanted
+
+    @F.pandas_udf("boolean")
+    def present(paths: pd.Series) -> pd.Series:
+        found = []
+        for path in paths:
+            # a path may hold any character, so only what stands before it is read as a location
+            parts = re.match(r"(?:([a-z0-9]+)://([^/]*)|file:)?(.*)", path, re.S)
+            system = fs.LocalFileSystem() if (parts[1] or "file") == "file" else fs.FileSystem.from_uri(f"{parts[1]}://{parts[2]}/")[0]
+            found.append(system.get_file_info(parts[3]).type == fs.FileType.File)
+        return pd.Series(found, dtype=bool)
+
+    path = F.concat("folder", F.lit("/"), "session_id", F.lit(PAYLOAD_SUFFIX))
+    return wanted.withColumn("present", present(path)).where("NOT present").drop("present")
+
+
 def ended_sessions(paths: DataFrame) -> DataFrame:
     """``folder`` and ``session_id`` of sessions whose folder holds an end marker, from the ``path`` of every file.
 

@@ -145,6 +145,7 @@ def cut_record_stream(
     clip_ms: int = DEFAULT_CLIP_MS,
     idle_ms: int | None = DEFAULT_IDLE_MS,
     wall_clock: bool = True,
+    keep_folder: bool = False,
 ) -> DataFrame:
     """Clips, with ``island`` and ``start_ts_ms``, of a stream shaped like `stream_records`.
 
@@ -159,7 +160,7 @@ def cut_record_stream(
     clips = records.groupBy("session_id").applyInPandasWithState(
         _advance(clip_ms, idle_ms, wall_clock), _CLIP, _STATE, "append", timeout
     )
-    return finish_clips(clips, src, keep_order=True)
+    return finish_clips(clips, src, keep_order=True, keep_folder=keep_folder)
 
 
 def cut_clips_stream(
@@ -168,6 +169,7 @@ def cut_clips_stream(
     clip_ms: int = DEFAULT_CLIP_MS,
     idle_ms: int | None = DEFAULT_IDLE_MS,
     wall_clock: bool = True,
+    keep_folder: bool = False,
 ) -> DataFrame:
     """Clips of a sidecar line stream."""
-    return cut_record_stream(stream_records(lines), src, clip_ms, idle_ms, wall_clock)
+    return cut_record_stream(stream_records(lines), src, clip_ms, idle_ms, wall_clock, keep_folder)

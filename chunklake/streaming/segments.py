@@ -11,13 +11,21 @@ An end mark behind a session's lines closes its clip; a mark of a folder closes
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from threading import Event
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from chunklake.functions.fields import session_folder, session_key
-from chunklake.functions.options import DEFAULT_CLIP_MS, check_span_ms
+from chunklake.functions.fields import CLIP_TYPE, END_KIND, field_kind, session_folder, session_key
+from chunklake.functions.options import DEFAULT_CLIP_MS, DEFAULT_TTL_SECONDS, check_span_ms, check_ttl
 from chunklake.operators.clips import Order, by_number, cut_by_key, finish_clips
+from chunklake.operators.sidecar import read_records, read_rejects, tag_sidecar, write_both
+from chunklake.operators.store import to_store_rows
+from chunklake.schemas import META
+from chunklake.sinks.store import append_batch
 from chunklake.sources.manifest import Folder
 
 #: Lines of a segment, which one task cuts; and sessions ended by a batch whose marks are told to every task.
@@ -118,6 +126,79 @@ def append_cut_stream(
     return records.writeStream.foreachBatch(cut).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+def append_pipeline_stream(
+    lines: DataFrame,
+    path: str,
+    store_path: str,
+    checkpoint: str,
+    ttl: int | str = DEFAULT_TTL_SECONDS,
+    now: int | None = None,
+    clip_src: str = "",
+    clip_ms: int = DEFAULT_CLIP_MS,
+    idle_ms: int | None = None,
+    available_now: bool = False,
+    check: Callable[[DataFrame], None] | None = None,
+) -> StreamingQuery:
+    """The whole job over a stream of sidecar lines: clips to the store, refused lines to ``{path}/parsed``, from one parse.
+
+    Each micro-batch is parsed once and written as a table of two parts, records and rejects (`read_stream_rejects`); its
+    records are cut segment by segment, and the clips it closes are one run of the store. ``check`` is called with the clips
+    of a micro-batch before any is stored, and raises to end the query.
+    """
+    spark = lines.sparkSession
+    ttl = check_ttl(ttl)
+    marked = "folder_mark" in lines.columns
+    stream = lines.withColumn("_run", F.unix_millis(F.current_timestamp()) * 1_000_000)
+    started, query_id = Event(), []
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        started.wait()
+        parsed = f"{path}/parsed/batch={batch_id}"
+        folder_marks = batch.where("folder_mark IS NOT NULL").select(F.col("folder_mark").alias("folder")) if marked else None
+        text = batch.where("folder_mark IS NULL").drop("folder_mark") if marked else batch
+        # end marks are neither data nor refused: they are few, and kept as records of their own kind
+        write_both(tag_stream(text), parsed, "overwrite")
+        records = read_stream_records(spark, parsed)
+        rows = cut_batch(records, read_open_clips(spark, f"{path}/cut", batch_id), clip_ms, idle_ms, folder_marks)
+        rows.write.mode("overwrite").partitionBy("open").parquet(f"{path}/cut/batch={batch_id}")
+        closed = finish_clips(_read(spark, f"{path}/cut", [batch_id], False), clip_src, keep_order=True, keep_folder=True)
+        if check is not None:
+            check(closed)
+        run = batch.select("_run").first()  # the time the batch was first tried, the same when it is tried again
+        if run is not None:
+            stored = to_store_rows(closed.where(F.col("type") == CLIP_TYPE), ttl, now, F.lit(run["_run"]))
+            append_batch(stored, store_path, query_id[0], batch_id)
+
+    trigger = {"availableNow": True} if available_now else {"processingTime": "1 second"}
+    query = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    query_id.append(query.id)
+    started.set()
+    return query
+
+
+def tag_stream(lines: DataFrame) -> DataFrame:
+    """Tagged lines of a stream; an end mark counts as a record of that kind, of no bytes."""
+    numbers = {f.name: F.lit(0).cast("bigint") for f in META if f.name != "kind"}
+    mark = F.struct(*[numbers.get(f.name, F.lit(END_KIND)).alias(f.name) for f in META])
+    tagged = tag_sidecar(lines.withColumn("session_id", session_key("folder", "session_id")))
+    ended = F.coalesce(field_kind("line") == END_KIND, F.lit(False))
+    return tagged.withColumn("parsed", F.coalesce("parsed", F.when(ended, mark)))
+
+
+def read_stream_records(spark: SparkSession, parsed: str) -> DataFrame:
+    """The records of one micro-batch, shaped like those of `stream_records`."""
+    records = read_records(spark, parsed, arrival=True)
+    numbers = ["sequence", "offset", "length", "ts_ms"]
+    return records.select("session_id", "block", "line_id", (F.col("kind") == END_KIND).alias("ended"), *numbers, F.col("arrival_ms").alias("arrival"))
+
+
+def read_stream_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The refused lines of all micro-batches."""
+    folder = Folder(spark, f"{path}/parsed")
+    parts = [read_rejects(spark, f"{path}/parsed/{name}") for name in folder.names() if folder.holds(f"{name}/_SUCCESS")]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "source string, block bigint, line_id bigint, reason string, line string")
+
+
 def _batches(spark: SparkSession, path: str) -> list[int]:
     folder = Folder(spark, path)
     names = [name for name in folder.names() if name.startswith("batch=") and folder.holds(f"{name}/_SUCCESS")]

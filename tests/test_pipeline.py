@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 
 from chunklake import cut_clips, parse_sidecar, run_pipeline, run_stream_pipeline
 from chunklake.operators.logs import extract_log
+from chunklake.plans import pipeline
 from chunklake.plans.pipeline import MissingInput
 from chunklake.plans.queries import QUERIES
 from chunklake.sinks.store import append_batch, write_snapshot
 from chunklake.sinks.text import write_clips, write_records
 from chunklake.sources.lines import scan_lines
-from chunklake.sources.sidecar import read_sidecar_stream, read_sidecars
+from chunklake.sources.sidecar import read_sidecar_stream, read_sidecars, without_payload
 from chunklake.sources.store import read_store, write_seq
 from chunklake.streaming.clips import cut_clips_stream, stream_rejects
 from chunklake.streaming.logs import read_log_stream, write_record_stream
+from chunklake.streaming.segments import read_open_clips, read_stream_rejects
 
 NOW = 5000
 
@@ -240,6 +242,73 @@ def test_counts_and_rejects_of_the_job(spark, sessions, tmp_path):
     assert sorted(row.line for row in refused) == sorted(["nonsense", '{"kind":"end"}'])
 
 
+def test_records_and_rejects_come_of_one_scan(spark, sessions, tmp_path, monkeypatch):
+    src = tmp_path / "in"
+    src.mkdir()
+    _write(src, sessions)
+    with (src / "s0.meta.jsonl").open("a") as file:
+        file.write("nonsense\n")
+    scanned = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            scanned.add(batch.num_rows)
+            yield batch
+
+    def read(*args, **kwargs):
+        lines = read_sidecars(*args, **kwargs)
+        return lines.mapInArrow(counting, lines.schema)
+
+    monkeypatch.setattr(pipeline, "read_sidecars", read)
+    counts = run_pipeline(spark, str(src), str(tmp_path / "db"), now=NOW, run=1, rejects_path=str(tmp_path / "rejects"))
+    assert counts["rejects"] == 1 and scanned.value == counts["lines"] == sum(map(len, sessions.values())) + 1
+    assert [r.line for r in spark.read.parquet(str(tmp_path / "rejects" / "run=1")).collect()] == ["nonsense"]
+    assert [p.name for p in (tmp_path / "rejects").iterdir() if not p.name.startswith(".")] == ["run=1"]
+    run_pipeline(spark, str(src), str(tmp_path / "plain"), now=NOW, run=1)
+    assert sorted(map(tuple, read_store(spark, str(tmp_path / "db")).collect())) == sorted(map(tuple, read_store(spark, str(tmp_path / "plain")).collect()))
+
+
+def test_a_run_without_rejects_has_an_empty_table_of_them(spark, sessions, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    _write(src, sessions)
+    run_pipeline(spark, str(src), str(tmp_path / "db"), now=NOW, run=1, rejects_path=str(tmp_path / "rejects"))
+    assert spark.read.parquet(str(tmp_path / "rejects" / "run=1")).count() == 0
+
+
+def test_a_stream_in_segments_stores_and_refuses_from_one_parse(spark, tmp_path):
+    src, work = tmp_path / "in", str(tmp_path / "work")
+    src.mkdir()
+    rng = random.Random(4)
+    records = {f"s{i}": random_records(rng, 60) for i in range(4)}
+    _segments(src, records, 20, mark=True)
+    for path, more in ((str(tmp_path / "db"), {"work": work}), (str(tmp_path / "other"), {})):
+        query = run_stream_pipeline(spark, str(src), path, f"{path}-cp", 300, NOW, True, max_files=4, clip_src="/c", **more)
+        query.awaitTermination()
+        assert query.exception() is None
+    stored = [sorted((r.key, r.value, r.expire_at) for r in read_store(spark, str(tmp_path / n)).collect()) for n in ("db", "other")]
+    assert stored[0] == stored[1] and len(stored[0]) > 8
+    refused = read_stream_rejects(spark, work).collect()
+    assert [r.line for r in refused] == ["skip me"] * len(refused) and len(refused) >= 4
+    assert read_open_clips(spark, f"{work}/cut").count() == 0
+
+
+@pytest.mark.parametrize("work", [False, True])
+def test_payloads_are_asked_for_by_session(spark, tmp_path, work):
+    src = tmp_path / "in"
+    for folder in ("a b", "c%20d"):
+        (src / folder).mkdir(parents=True)
+        _segments(src / folder, {"s+1": [(1, 0, 4, 0, 0)]}, 1, mark=True)
+        (src / folder / "s+1.bin").touch()
+    more = {"work": str(tmp_path / "work")} if work else {}
+    args = (spark, str(src), str(tmp_path / "db"), str(tmp_path / "cp"), 300, NOW, True)
+    run_stream_pipeline(*args, require_payload=True, **more).awaitTermination()
+    assert read_store(spark, str(tmp_path / "db")).count() == 2
+    (src / "c%20d" / "s+1.bin").unlink()
+    wanted = spark.createDataFrame([(f"file:{src}/a b", "s+1"), (f"file:///{str(src).lstrip('/')}/c%20d", "s+1"), (str(src), "x")], "folder string, session_id string")
+    assert sorted(r.session_id for r in without_payload(wanted, str(src)).collect()) == ["s+1", "x"]
+
+
 def test_streams_and_snapshots_lose_nothing(spark, tmp_path):
     """A snapshot, then two streams of their own checkpoints, one of them run twice."""
     store = str(tmp_path / "db")

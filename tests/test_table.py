@@ -1,0 +1,47 @@
+import time
+
+from pyspark.sql import functions as F
+
+from chunklake import compact
+from chunklake.schemas import STORE
+from chunklake.streaming.table import latest_rows_stream, read_table, write_table_stream
+
+
+def until(done, seconds=90):
+    end = time.time() + seconds
+    while not done():
+        assert time.time() < end
+        time.sleep(0.2)
+
+
+def test_a_streamed_table_keeps_latest_rows_and_forgets(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+
+    def put(rows):
+        frame = spark.createDataFrame([(k, v, e, (run, "", 0, n)) for n, (k, v, e, run) in enumerate(rows)], STORE)
+        frame.coalesce(1).write.mode("append").parquet(str(source))
+        return frame
+
+    def taken():
+        return sum(p["numInputRows"] for p in query.recentProgress)
+
+    first = put([("a", "a1", 50, 1), ("b", "b1", 0, 1), ("a", "a2", 60, 1), ("c", "c1", 40, 1)])
+    stream = spark.readStream.schema(STORE).parquet(str(source))
+    query = write_table_stream(latest_rows_stream(stream, 6), out, str(tmp_path / "check"))
+    try:
+        until(lambda: taken() >= 4)
+        began = time.time()
+        second = put([("a", "a0", 50, 0), ("b", "b2", 0, 2), ("d", "d1", 70, 2)])  # a0 was written before a2
+        until(lambda: taken() >= 7)
+        if time.time() - began < 4:  # else what follows is late, and a2 may be forgotten already
+            whole = first.unionByName(second)
+            for now in (0, 45, 55, 65):
+                assert sorted(map(tuple, read_table(spark, out, now).collect())) == sorted(map(tuple, compact(whole, now).select("key", "value", "expire_at", "write_seq").collect()))
+        time.sleep(7)
+        put([("a", "a00", 50, 0), ("b", "b0", 0, 0)])  # a's row has lived its time, b's never ends
+        until(lambda: taken() >= 9)
+    finally:
+        query.stop()
+    rows = spark.read.schema(STORE).option("recursiveFileLookup", "true").parquet(out)
+    assert rows.where(F.col("value") == "a00").count() == 1 and rows.where(F.col("value") == "b0").count() == 0
