@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunklake.functions.fields import DATA_KIND, END_KIND, PAYLOAD_SUFFIX, SIDECAR_SUFFIX
+from chunklake.functions.fields import DATA_KIND, END_KIND, END_MARKER_NAME, PAYLOAD_SUFFIX, SIDECAR_SUFFIX
+from chunklake.sources.files import located
 
 # Fixed values of the generated sets: chunk counts, bytes per chunk, spacing and where the numbering jumps.
 CHUNKS = {"small": 100, "medium": 10_000, "malformed": 500}
@@ -73,35 +75,49 @@ def event_lines(events: DataFrame) -> DataFrame:
     return event_chunks(events).select("session_id", F.col("line_no").alias("line_id"), damaged.alias("line"))
 
 
-def write_sidecars(lines: DataFrame, root: str, torn: Column | None = None, ended: bool = False, payloads: bool = False) -> None:
-    """Lines as files ``{folder}/{session}.meta.jsonl`` under ``root``, in the order of ``line_id``.
+#: Lines of a table that lie in one folder, so that a session with many of them is many files.
+FOLDER_LINES = 20_000
 
-    ``lines`` has ``folder``, ``session_id``, ``line_id`` and ``line``. The last line of a ``torn`` session has no line end;
-    its lines must end in a brace. ``ended`` puts an end mark behind each session, ``payloads`` an empty payload beside it.
-    A session is one file, hence one task writes it; only the names of the files, one per session, come to the driver.
+
+def folder_of(line_id: str = "line_id") -> Column:
+    """The folder of a line: ``r0``, ``r1`` and so on."""
+    return F.concat(F.lit("r"), F.expr(f"{line_id} div {FOLDER_LINES}").cast("string"))
+
+
+def write_sidecars(
+    lines: DataFrame, root: str, torn: Column | None = None, ended: bool = False, payloads: bool = False, append: bool = False
+) -> int:
+    """Lines as files ``{folder}/{session}.meta.jsonl`` under ``root``, in the order of ``line_id``; returns their number.
+
+    ``lines`` has ``folder``, ``session_id``, ``line_id`` and ``line``. The last line of a ``torn`` session has no line end.
+    ``ended`` puts an end mark behind each session, ``payloads`` an empty payload beside it. Files are written by tasks, one for
+    each session of a folder, under the names they keep; ``append`` adds to files that are there.
     """
     keys = ["folder", "session_id"]
-    if ended:
-        mark = lines.groupBy(*keys).agg((F.max("line_id") + 1).alias("line_id"), F.lit(f'{{"kind":"{END_KIND}"}}').alias("line"))
-        lines = lines.select(*keys, "line_id", "line").unionByName(mark)
-    parts = [("whole", lines if torn is None else lines.where(~torn), "\n")]
-    if torn is not None:
-        # each line ends in the brace that is written as its end, and begins with the line end of the one before
-        first = F.expr("line_id = min(line_id) OVER (PARTITION BY folder, session_id)")
-        bare = F.substr("line", F.lit(1), F.length("line") - 1)
-        parts.append(("torn", lines.where(torn).withColumn("line", F.concat(F.when(first, "").otherwise("\n"), bare)), "}"))
-    spark = lines.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path
-    for name, part, end in parts:
-        made = f"{root}/_{name}"
-        placed = part.repartition(*keys).sortWithinPartitions(*keys, "line_id").select(*keys, "line")
-        placed.write.partitionBy(*keys).option("lineSep", end).text(made)
-        fs = path(made).getFileSystem(conf)
-        for status in fs.globStatus(path(f"{made}/folder=*/session_id=*/part-*")):
-            found = status.getPath()
-            folder, session = (p.getName().split("=", 1)[1] for p in (found.getParent().getParent(), found.getParent()))
-            fs.mkdirs(path(f"{root}/{folder}"))
-            fs.rename(found, path(f"{root}/{folder}/{session}{SIDECAR_SUFFIX}"))
-            if payloads:
-                fs.createNewFile(path(f"{root}/{folder}/{session}{PAYLOAD_SUFFIX}"))
+
+    def write(group: pa.Table) -> pa.Table:
+        group = group.sort_by("line_id")
+        folder, session = group["folder"][0].as_py(), group["session_id"][0].as_py()
+        system, top = located(f"{root}/{folder}")
+        system.create_dir(top)
+        text = "".join(f"{line}\n" for line in group["line"].to_pylist())
+        if ended:
+            text += f'{{"kind":"{END_KIND}"}}\n'
+        if group["torn"][0].as_py():
+            text = text.removesuffix("\n")
+        name = f"{top}/{session}{SIDECAR_SUFFIX}"
+        with system.open_append_stream(name) if append else system.open_output_stream(name) as file:
+            file.write(text.encode())
+        if payloads:
+            system.open_output_stream(f"{top}/{session}{PAYLOAD_SUFFIX}").close()
+        return pa.table({"lines": pa.array([group.num_rows], pa.int64())})
+
+    placed = lines.select(*keys, "line_id", "line", (F.lit(False) if torn is None else torn).alias("torn"))
+    return placed.groupBy(*keys).applyInArrow(write, "lines bigint").count()
+
+
+def put_markers(root: str, folders: list[str]) -> None:
+    """An end marker in each folder."""
+    for folder in folders:
+        system, top = located(f"{root}/{folder}")
+        system.open_output_stream(f"{top}/{END_MARKER_NAME}").close()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from chunklake.functions.options import DEFAULT_CLIP_MS
+from chunklake.plans.fixtures import FOLDER_LINES
 from chunklake.plans.queries import CLIP_MS, IDLE_MS, LONG_CLIP_MS, NOW, SRC
 
 _CHUNKS = """
@@ -42,8 +43,8 @@ records AS (
   SELECT session_id, line_no, kind, sequence, "offset", length, ts_ms FROM metas WHERE whole AND kind = 'data')"""
 
 
-def _cut(chunks: str, idle_ms: int | None = None, clip_ms: int = CLIP_MS) -> str:
-    """From a CTE named ``chunks`` to one named ``clips``."""
+def _cut(chunks: str, idle_ms: int | None = None, clip_ms: int = CLIP_MS, name: str = "session_id") -> str:
+    """From a CTE named ``chunks`` to one named ``clips``, with the session's ``name``."""
     pause = f" OR arrival_ms - lag(arrival_ms) OVER w >= {idle_ms}" if idle_ms else ""
     return f"""{chunks},
 flagged AS (
@@ -73,8 +74,8 @@ grouped AS (
          arg_min("offset", line_no) AS "offset", sum(length) AS length
   FROM numbered GROUP BY session_id, clip_no),
 clips AS (
-  SELECT 'clip' AS type, session_id, clip_no, CAST(start_ts_ms // 1000 AS BIGINT) AS ts,
-         '{SRC}/' || session_id || '_' || (start_ts_ms // 1000) || '.bin' AS path,
+  SELECT 'clip' AS type, {name} AS session_id, clip_no, CAST(start_ts_ms // 1000 AS BIGINT) AS ts,
+         '{SRC}/' || {name} || '_' || (start_ts_ms // 1000) || '.bin' AS path,
          CAST("offset" AS BIGINT) AS "offset", CAST(length AS BIGINT) AS length,
          coalesce(lead(island) OVER (PARTITION BY session_id ORDER BY clip_no) = island, true) AS complete
   FROM grouped)"""
@@ -87,6 +88,11 @@ _CLIPS_IDLE = (
 _LINE_CHUNKS = f"""{_LINES.replace("chunks AS", "all_chunks AS").replace("FROM chunks", "FROM all_chunks")},
 chunks AS (SELECT * FROM records)"""
 
+# the same in files: a session of each folder, so many lines, is one of its own
+_FILE_CHUNKS = _LINE_CHUNKS.replace("(SELECT * FROM records)", f"""(
+  SELECT * REPLACE (session_id || '@' || (line_no // {FOLDER_LINES}) AS session_id) FROM records)""")
+_FILE_SESSION = "split_part(session_id, '@', 1)"
+
 _EVENT_JSON = """
 plain AS (
   SELECT event_id, user_id, event_type, props,
@@ -140,7 +146,7 @@ def _csv(column: str) -> str:
     return f"CASE WHEN regexp_matches({column}, '[,\"\\r\\n]') THEN {quoted} ELSE {column} END"
 
 
-_FROM_FILES = f"""WITH RECURSIVE {_cut(_LINE_CHUNKS, clip_ms=DEFAULT_CLIP_MS)}
+_FROM_FILES = f"""WITH RECURSIVE {_cut(_FILE_CHUNKS, clip_ms=DEFAULT_CLIP_MS, name=_FILE_SESSION)}
 SELECT session_id || ':' || ts AS key, arg_max(path, clip_no) AS value, CAST({NOW + 300} AS BIGINT) AS expire_at
 FROM clips GROUP BY ALL"""
 
@@ -281,16 +287,26 @@ SELECT key, coalesce(fresh.value, '/old.mp4') AS value, CAST(CASE WHEN fresh.key
 FROM old FULL JOIN fresh USING (key)""",
     "sidecar_file_scan": f"""WITH {_LINES}
 SELECT session_id, line FROM (
-  SELECT *, session_id LIKE 'cam%3' AS torn, lead(line_no) OVER (PARTITION BY session_id ORDER BY line_no) IS NULL AS last
+  SELECT *, session_id LIKE 'cam%3' AS torn, lead(line_no) OVER (PARTITION BY session_id, line_no // {FOLDER_LINES} ORDER BY line_no) IS NULL AS last
   FROM lines WHERE session_id NOT LIKE 'cam%3' OR line LIKE '%}}')
 WHERE line <> '' AND NOT (torn AND last)""",
     "sidecar_files_two_folders": " UNION ALL ".join(
-        f"""SELECT * FROM (WITH RECURSIVE {_cut(_LINE_CHUNKS.replace("FROM records)", f"FROM records WHERE line_no >= {least})"))}
+        f"""SELECT * FROM (WITH RECURSIVE {_cut(_FILE_CHUNKS.replace("FROM records)", f"FROM records WHERE line_no >= {least})"), name=_FILE_SESSION)}
 SELECT type, session_id, ts, path, "offset", length, complete FROM clips)"""
         for least in (0, 500)
     ),
     "pipeline_from_files": _FROM_FILES,
     "pipeline_stream_from_files": _FROM_FILES,
+    "pipeline_stream_in_segments": f"""SELECT * FROM ({_FROM_FILES}) UNION ALL
+SELECT * FROM (WITH {_LINES}
+SELECT CASE WHEN whole THEN 'not a data record' ELSE 'malformed record' END AS key, lines.line AS value, CAST(-1 AS BIGINT) AS expire_at
+FROM lines JOIN metas USING (line_no) WHERE lines.line <> '' AND NOT coalesce(whole AND metas.kind = 'data', false))""",
+    "stream_growing_lines": f"""WITH {_LINES}
+SELECT 'r' || (line_no // {FOLDER_LINES}) AS folder, session_id, line FROM lines""",
+    "stream_folder_markers": f"""WITH RECURSIVE {_cut(_FILE_CHUNKS, name=_FILE_SESSION)}
+SELECT type, session_id, ts, path, "offset", length, complete FROM clips""",
+    "stream_clip_cut_segments": _CLIPS,
+    "stream_lookup_table": f"WITH {_STORE} SELECT key, value, expire_at FROM latest WHERE expire_at = 0 OR expire_at > {NOW}",
     "log_regex_nested": """
 SELECT page_id, regexp_extract(url, p, 1) AS prefix, regexp_extract(url, p, 2) AS kind, regexp_extract(url, p, 3) AS name,
        regexp_extract(url, p, 4) AS label, regexp_extract(url, p, 5) AS "end"

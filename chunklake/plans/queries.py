@@ -22,20 +22,23 @@ from chunklake.operators.clips import by_number, continuity_breaks, cut_clips
 from chunklake.operators.logs import extract_log, filter_json_lines, format_records
 from chunklake.operators.sidecar import parse_sidecar, tag_sidecar
 from chunklake.operators.store import LINE_PLACE, compact, latest_per_key, lookup, lookup_many, to_store_rows
-from chunklake.plans.fixtures import EPOCH_MICROS, event_chunks, event_lines, write_sidecars
+from chunklake.plans.fixtures import EPOCH_MICROS, FOLDER_LINES, event_chunks, event_lines, folder_of, put_markers, write_sidecars
 from chunklake.plans.pipeline import clips_to_store, run_pipeline, run_stream_pipeline
-from chunklake.schemas import CLIP_FIELDS
+from chunklake.schemas import CLIP_FIELDS, STORE
 from chunklake.session import shared_folder
 from chunklake.sinks.buckets import append_bucketed, bucketed_latest, bucketed_lookup, write_bucketed_keys
 from chunklake.sinks.snapshot import begin_merge, finish_merge, merge_store
 from chunklake.sinks.store import append_store, compact_store, store_lines
 from chunklake.sinks.text import clip_lines, write_clips
+from chunklake.sources.growing import read_growing_lines, read_growing_sidecars
 from chunklake.sources.lines import number_lines, read_log_lines, scan_lines
 from chunklake.sources.runindex import index_runs, read_store_for_keys
 from chunklake.sources.sidecar import ended_sessions, missing_sessions, read_sidecars
 from chunklake.sources.store import parse_clip_lines, read_store, read_store_tsv
-from chunklake.streaming.clips import cut_record_stream
+from chunklake.streaming.clips import cut_record_stream, stream_records
+from chunklake.streaming.segments import append_cut_stream, read_cut_clips, read_stream_rejects
 from chunklake.streaming.store import append_clip_stream
+from chunklake.streaming.table import latest_rows_stream, read_table, write_table_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -443,8 +446,8 @@ def _run(query) -> None:
         raise query.exception()
 
 
-def _stream_cut(spark: SparkSession, folder: str, idle_ms: int | None) -> DataFrame:
-    out, checkpoint = shared_folder(spark, "clips"), shared_folder(spark, "checkpoint")
+def _cut_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The chunks as a stream of records, an end mark behind each session's last one."""
     numbers = ["sequence", "offset", "length", "ts_ms"]
     records = event_chunks(_stream(spark, folder, "events")).select(
         "session_id", F.lit(0).cast("bigint").alias("block"), F.col("line_no").alias("line_id"),
@@ -456,7 +459,12 @@ def _stream_cut(spark: SparkSession, folder: str, idle_ms: int | None) -> DataFr
         "session_id", F.lit(1).cast("bigint").alias("block"), "line_id", F.lit(True).alias("ended"),
         *[F.lit(0).cast("bigint").alias(name) for name in numbers], "arrival",
     )
-    clips = cut_record_stream(records.unionByName(marks), SRC, CLIP_MS, idle_ms, wall_clock=False)
+    return records.unionByName(marks)
+
+
+def _stream_cut(spark: SparkSession, folder: str, idle_ms: int | None) -> DataFrame:
+    out, checkpoint = shared_folder(spark, "clips"), shared_folder(spark, "checkpoint")
+    clips = cut_record_stream(_cut_records(spark, folder), SRC, CLIP_MS, idle_ms, wall_clock=False)
     writer = clips.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True)
     _run(writer.start(out))
     return spark.read.schema(clips.schema).parquet(out).select(*CLIP_FIELDS)
@@ -543,14 +551,14 @@ def store_batch_then_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sidecar_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return event_lines(_table(spark, folder, "events"))
+    return event_lines(_table(spark, folder, "events")).withColumn("folder", folder_of())
 
 
 def sidecar_file_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Sidecar files, some of them torn: their last line, which has no line end, is not read."""
     root, torn = shared_folder(spark, "in"), F.col("session_id").like("cam%3")
     lines = _sidecar_lines(spark, folder).where(~torn | F.col("line").endswith("}"))
-    write_sidecars(lines.withColumn("folder", F.lit("x")), root, torn=torn)
+    write_sidecars(lines, root, torn=torn)
     return read_sidecars(spark, root).select("session_id", "line")
 
 
@@ -558,7 +566,8 @@ def sidecar_files_two_folders(spark: SparkSession, folder: str) -> DataFrame:
     """Equally named sessions in two folders, one of them with every second half of its chunks' lengths: two sessions each."""
     root, lines = shared_folder(spark, "in"), _sidecar_lines(spark, folder)
     late = lines.where(F.col("line_id") >= 500)
-    write_sidecars(lines.withColumn("folder", F.lit("a")).unionByName(late.withColumn("folder", F.lit("b"))), root)
+    parts = [part.withColumn("folder", F.concat(F.lit(f"{name}/"), "folder")) for name, part in (("a", lines), ("b", late))]
+    write_sidecars(parts[0].unionByName(parts[1]), root)
     return cut_clips(parse_sidecar(read_sidecars(spark, root))[0], SRC, CLIP_MS)
 
 
@@ -566,7 +575,7 @@ def pipeline_from_files(spark: SparkSession, folder: str) -> DataFrame:
     """The whole job from sidecar files and payloads to the store, for half of the sessions by name, then for all."""
     root, path = shared_folder(spark, "in"), shared_folder(spark, "store")
     lines = _sidecar_lines(spark, folder)
-    write_sidecars(lines.withColumn("folder", F.lit("in")), root, payloads=True)
+    write_sidecars(lines, root, payloads=True)
     some = [row.session_id for row in lines.select("session_id").distinct().where("session_id LIKE 'cam%'").collect()]
     run_pipeline(spark, root, path, 0, some, NOW, 1, "/old")
     run_pipeline(spark, root, path, 300, None, NOW, 2, SRC, shared_folder(spark, "rejects"))
@@ -576,11 +585,78 @@ def pipeline_from_files(spark: SparkSession, folder: str) -> DataFrame:
 def pipeline_stream_from_files(spark: SparkSession, folder: str) -> DataFrame:
     """The same as a stream over closed files, each session ended by a mark."""
     root, path, checkpoint = (shared_folder(spark, purpose) for purpose in ("in", "store", "checkpoint"))
-    write_sidecars(_sidecar_lines(spark, folder).withColumn("folder", F.lit("in")), root, ended=True, payloads=True)
+    write_sidecars(_sidecar_lines(spark, folder), root, ended=True, payloads=True)
     _run(run_stream_pipeline(spark, root, path, checkpoint, 300, NOW, available_now=True, require_payload=True, clip_src=SRC))
     return latest_per_key(read_store(spark, path)).select("key", "value", "expire_at")
 
 
+def pipeline_stream_in_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """The same job over a stream that is parsed once and cut segment by segment: what it stores, and what it refuses."""
+    root, path, checkpoint, work = (shared_folder(spark, purpose) for purpose in ("in", "store", "checkpoint", "work"))
+    write_sidecars(_sidecar_lines(spark, folder), root, ended=True, payloads=True)
+    _run(run_stream_pipeline(spark, root, path, checkpoint, 300, NOW, available_now=True, require_payload=True, clip_src=SRC, work=work))
+    stored = latest_per_key(read_store(spark, path)).select("key", "value", "expire_at")
+    refused = read_stream_rejects(spark, work).select("reason", "line")
+    return stored.unionByName(refused.select(F.col("reason").alias("key"), F.col("line").alias("value"), F.lit(-1).cast("bigint").alias("expire_at")))
+
+
+def _halves(lines: DataFrame) -> list[DataFrame]:
+    """The lines of each folder in two parts, earlier and later ones."""
+    early = F.col("line_id") % FOLDER_LINES < FOLDER_LINES // 40
+    return [lines.where(early), lines.where(~early)]
+
+
+def stream_growing_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Files that grow between two runs of one query: every line is seen, and seen once."""
+    root, out, checkpoint = (shared_folder(spark, purpose) for purpose in ("in", "out", "checkpoint"))
+    for part in _halves(_sidecar_lines(spark, folder)):
+        write_sidecars(part, root, append=True)
+        lines = read_growing_lines(spark, root, "*.meta.jsonl", 1 << 16)
+        _run(lines.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out))
+    found = spark.read.schema("source string, position bigint, line string, marker boolean").parquet(out)
+    session = F.regexp_extract("source", "([^/]*)[.]meta[.]jsonl$", 1)
+    return found.select(F.regexp_extract("source", "([^/]*)/[^/]*$", 1).alias("folder"), session.alias("session_id"), "line")
+
+
+def stream_folder_markers(spark: SparkSession, folder: str) -> DataFrame:
+    """Growing sessions, all those of a folder ended by its marker: what a batch cuts, folder by folder."""
+    root, out, checkpoint = (shared_folder(spark, purpose) for purpose in ("in", "out", "checkpoint"))
+    lines = _sidecar_lines(spark, folder)
+    folders = [row.folder for row in lines.select("folder").distinct().collect()]
+    for n, part in enumerate(_halves(lines)):
+        write_sidecars(part, root, append=True)
+        if n:
+            put_markers(root, folders)
+        records = stream_records(read_growing_sidecars(spark, root))
+        _run(append_cut_stream(records, out, checkpoint, CLIP_MS, available_now=True, segment_lines=1 << 12))
+    return read_cut_clips(spark, out, SRC).select(*CLIP_FIELDS)
+
+
+def stream_clip_cut_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Clips cut from a stream segment by segment: a session of a micro-batch fills many tasks."""
+    out, checkpoint = shared_folder(spark, "clips"), shared_folder(spark, "checkpoint")
+    _run(append_cut_stream(_cut_records(spark, folder), out, checkpoint, CLIP_MS, available_now=True, segment_lines=1024))
+    return read_cut_clips(spark, out, SRC).select(*CLIP_FIELDS)
+
+
+def stream_lookup_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Store rows streamed into a table that keeps the latest live row of each key, in state with a time to live."""
+    path, out, checkpoint = (shared_folder(spark, purpose) for purpose in ("store", "table", "checkpoint"))
+    rows = _full_store(spark, folder)
+    append_store(rows, path, run=1)
+    stream = spark.readStream.schema(STORE).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", "1").parquet(path)
+    query, wanted = write_table_stream(latest_rows_stream(stream, 3600), out, checkpoint), rows.count()
+    # a query with state that ages by the clock never runs out of batches: it is ended once all rows are in
+    try:
+        while query.isActive and sum(p["numInputRows"] for p in query.recentProgress) < wanted:
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+    return read_table(spark, out, NOW).select("key", "value", "expire_at")
+
+
 def log_regex_nested(spark: SparkSession, folder: str) -> DataFrame:
     """Optional, nested and alternative groups; a line in which a used one takes no part is refused."""
     pattern = "^https?://((m|blog)[.])?([a-z]+)[.](example)[.](com|(net))/([a-z]*)"
@@ -661,6 +737,11 @@ QUERIES: dict[str, Query] = {
     "sidecar_files_two_folders": sidecar_files_two_folders,
     "pipeline_from_files": pipeline_from_files,
     "pipeline_stream_from_files": pipeline_stream_from_files,
+    "pipeline_stream_in_segments": pipeline_stream_in_segments,
+    "stream_growing_lines": stream_growing_lines,
+    "stream_folder_markers": stream_folder_markers,
+    "stream_clip_cut_segments": stream_clip_cut_segments,
+    "stream_lookup_table": stream_lookup_table,
     "log_regex_nested": log_regex_nested,
     "nested_fields": nested_fields,
 }

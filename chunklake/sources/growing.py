@@ -9,7 +9,6 @@ are measured, so that all lines written before a marker are in the marker's batc
 
 from __future__ import annotations
 
-import posixpath
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fnmatch import fnmatch
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from chunklake.functions.fields import END_MARKER_NAME, SIDECAR_SUFFIX
+from chunklake.sources.files import located
 
 _SCHEMA = "source string, position bigint, line string, marker boolean"
 #: Bytes of a range, and bytes read at once to find the last line feed of a file.
@@ -62,7 +62,7 @@ class GrowingReader(DataSourceStreamReader):
         self.path, self.glob, self.range_bytes = path, glob, range_bytes
 
     def _files(self) -> tuple[fs.FileSystem, list[fs.FileInfo]]:
-        system, root = fs.FileSystem.from_uri(self.path)
+        system, root = located(self.path)
         return system, system.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
 
     def initialOffset(self) -> dict:
@@ -105,7 +105,7 @@ class GrowingReader(DataSourceStreamReader):
         """Files are left where they are."""
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        system, _ = fs.FileSystem.from_uri(self.path)
+        system, _ = located(self.path)
         if isinstance(partition, Marker):
             yield _rows(partition.path, [None], [None], True)
             return
@@ -150,7 +150,7 @@ def read_growing_lines(spark: SparkSession, path: str, glob: str = "*", range_by
     """
     spark.dataSource.register(GrowingLines)
     reader = spark.readStream.format("growing_lines").option("glob", glob).option("rangeBytes", str(range_bytes))
-    return reader.option("path", path if "://" in path or path.startswith("file:") else f"file://{posixpath.abspath(path)}").load()
+    return reader.option("path", path).load()
 
 
 def read_growing_sidecars(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:

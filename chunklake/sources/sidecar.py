@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from urllib.parse import urlsplit
 
 import pandas as pd
@@ -11,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunklake.functions.fields import PAYLOAD_SUFFIX, SIDECAR_SUFFIX, is_end_marker
+from chunklake.sources.files import located
 from chunklake.sources.lines import decoded_folder, decoded_name, drop_unterminated, scan_lines, split_lines
 
 # How sidecar files are named. A growing session is a row of closed files, numbered from 0.
@@ -110,13 +110,8 @@ def without_payload(sessions: DataFrame, src: str) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def present(paths: pd.Series) -> pd.Series:
-        found = []
-        for path in paths:
-            # a path may hold any character, so only what stands before it is read as a location
-            parts = re.match(r"(?:([a-z0-9]+)://([^/]*)|file:)?(.*)", path, re.S)
-            system = fs.LocalFileSystem() if (parts[1] or "file") == "file" else fs.FileSystem.from_uri(f"{parts[1]}://{parts[2]}/")[0]
-            found.append(system.get_file_info(parts[3]).type == fs.FileType.File)
-        return pd.Series(found, dtype=bool)
+        places = (located(path) for path in paths)
+        return pd.Series([system.get_file_info(name).type == fs.FileType.File for system, name in places], dtype=bool)
 
     path = F.concat("folder", F.lit("/"), "session_id", F.lit(PAYLOAD_SUFFIX))
     return wanted.withColumn("present", present(path)).where("NOT present").drop("present")
