@@ -14,6 +14,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chunklake.functions.fields import trim_line
+from chunklake.session import shared_folder
+
+#: Rows about files or splits, a path and a few numbers each, that are told to every task: 100 MB at most, with long paths.
+TOLD_ROWS = 400_000
 
 
 def decoded_name(path: Column | str) -> Column:
@@ -52,24 +56,33 @@ def drop_unterminated(lines: DataFrame) -> DataFrame:
     """Without the last line of each file that does not end in a line feed.
 
     Such a file has one byte less than its lines with one line end each. Which files those are is found within the same
-    plan, in a pass over the lengths of lines, when the result is asked for and not before. They are told to every task:
-    one row for each file that is just being written, less than the list of files that every reader keeps anyway.
+    plan, in a pass over the lengths of lines, when the result is asked for and not before. They are at most as many as the
+    files, which the reader has counted: up to a bound they are told to every task, beyond it the join is Spark's to choose.
     """
     size = F.sum(F.octet_length("line") + 1)
     last = F.max(F.struct("block", "line_id"))
     ends = lines.groupBy("source").agg(size.alias("bytes"), F.max("file_size").alias("file_size"), last.alias("last"))
     cut = ends.where("bytes > file_size").select("source", F.col("last.block").alias("block"), F.col("last.line_id").alias("line_id"))
-    return lines.join(F.broadcast(cut), ["source", "block", "line_id"], "left_anti").select(*lines.columns)
+    few = len(lines._jdf.inputFiles()) <= TOLD_ROWS
+    return lines.join(F.broadcast(cut) if few else cut, ["source", "block", "line_id"], "left_anti").select(*lines.columns)
 
 
 def number_lines(lines: DataFrame) -> DataFrame:
-    """Adds ``line_no``, from 1 in each file. Lines are counted per block; only the counts are put in order."""
+    """Adds ``line_no``, from 1 in each file. No line is moved.
+
+    A first pass counts the lines of each block; the sums of what lies before are kept in the shared folder and told to the
+    tasks that read the lines again, one row for each input split. Beyond a bound of rows the lines are joined by a shuffle.
+    """
     blocks = lines.groupBy("source", "block").agg(F.count("*").alias("n"), F.min("line_id").alias("first_id"))
     before = W.partitionBy("source").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     starts = blocks.select(
         "source", "block", "first_id", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("lines_before")
     )
-    numbered = lines.join(starts.hint("shuffle_hash"), ["source", "block"])
+    path = shared_folder(lines.sparkSession, "line-counts")
+    starts.write.parquet(path)
+    starts = lines.sparkSession.read.schema(starts.schema).parquet(path)
+    few = starts.count() <= TOLD_ROWS
+    numbered = lines.join(F.broadcast(starts) if few else starts.hint("shuffle_hash"), ["source", "block"])
     line_no = F.col("lines_before") + F.col("line_id") - F.col("first_id") + 1
     return numbered.select(*lines.columns, line_no.alias("line_no"))
 

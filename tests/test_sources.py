@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from chunklake.sources import lines as line_source
 from chunklake.sources.lines import drop_unterminated, number_lines, read_log_lines, scan_lines
 from chunklake.sources.sidecar import list_files, missing_sessions, read_sidecars
 
@@ -71,3 +72,33 @@ def test_torn_lines_whatever_the_splits(spark, tmp_path, small_splits):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
     found = [row.line for row in frame.collect()]
     assert len(found) == 830 and "torn" not in found
+
+
+@pytest.mark.parametrize("split", ["64", "1000", "128m"])
+@pytest.mark.parametrize("told", [400_000, 0])
+def test_line_numbers_move_no_text(spark, tmp_path, monkeypatch, split, told):
+    monkeypatch.setattr(line_source, "TOLD_ROWS", told)
+    texts = {f"f{n}.txt": "".join(f"{'x' * (k % 37)}\n" for k in range(40 * n)) + "last" * (n % 2) for n in range(5)}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text, newline="")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        frame = number_lines(scan_lines(spark, str(tmp_path)))
+        rows = frame.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    for name, text in texts.items():
+        own = sorted((r.line_no, r.line) for r in rows if r.source.endswith("/" + name))
+        assert own == list(enumerate(text.split("\n") if not text.endswith("\n") else text.split("\n")[:-1], 1)) or (own == [] and not text)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert ("Exchange hashpartitioning" not in plan) == bool(told) and ("BroadcastExchange" in plan) == bool(told)
+
+
+@pytest.mark.parametrize("told", [400_000, 0])
+def test_unterminated_lines_go_however_they_are_told(spark, tmp_path, monkeypatch, told):
+    monkeypatch.setattr(line_source, "TOLD_ROWS", told)
+    for n in range(6):
+        (tmp_path / f"s{n}.meta.jsonl").write_text("a\nb\n" + ("torn" if n % 2 else ""), newline="")
+    frame = read_sidecars(spark, str(tmp_path))
+    assert sorted(r.line for r in frame.collect()) == ["a"] * 6 + ["b"] * 6
