@@ -49,6 +49,21 @@ def test_a_pair_is_learned_that_no_single_feature_tells():
     assert ((model.score(x) > 0.5) == (y > 0.5)).mean() > 0.9
 
 
+def test_scores_equal_brute_force(spark, documents, corpus):
+    """Table by table and row by row: of each feature the value of the bin it falls in, of each pair that of its cell."""
+    rows, labels = corpus
+    docs = documents([*rows, (900, None), (901, "")])
+    model = fit_quality(docs, spark.createDataFrame(labels, LABELS))
+    texts = {i: t or "" for i, t in [*rows, (900, None), (901, "")]}
+    for r in score_quality(docs, model).collect():
+        x = features(texts[r["doc_id"]])
+        bins = [sum(edge <= value for edge in edges) for edges, value in zip(model.edges, x, strict=True)]
+        total = model.base + sum(table[b] for table, b in zip(model.tables, bins, strict=True))
+        for f, g, cells in model.pairs:
+            total += cells[model.coarse[f][bins[f]], model.coarse[g][bins[g]]]
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-9)
+
+
 def test_odd_rows_and_clashing_names(spark, documents, odd_rows, corpus):
     docs = documents(odd_rows, ", Score string, _score int", ("x", 4))
     model = fit_quality(documents(corpus[0]), spark.createDataFrame(corpus[1] + [(1, None, None), (None, 1, 1), (2, 0, 0)], LABELS))
