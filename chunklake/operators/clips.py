@@ -21,7 +21,7 @@ no session has a second block, the middle passes have no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -48,12 +48,14 @@ class Order:
     """How lines of a session are ordered: by block, then by line.
 
     A block is a bounded run of lines, and the next block's number is greater by no less than the lines it holds. Both
-    hold for the byte at which a line's input split begins, and for line numbers rounded down.
+    hold for the byte at which a line's input split begins, and for line numbers rounded down. Where all lines are known to
+    lie in one block (``single``), sessions are cut in one pass, and no plan is made for what crosses blocks.
     """
 
     line: str = "line_id"
     block: str | None = "block"
     block_lines: int = BLOCK_LINES
+    single: bool = False
 
     def block_expr(self) -> str:
         if self.block is not None:
@@ -67,6 +69,17 @@ def by_number(line: str = "line_no", block_lines: int = BLOCK_LINES) -> Order:
     return Order(line=line, block=None, block_lines=block_lines)
 
 
+def order_of(rows: DataFrame, line: str = "line_no", block_lines: int = BLOCK_LINES) -> Order:
+    """The order of sessions numbered in one integer column, after a look at its least and greatest number.
+
+    The look reads that column only, of a table or of lines that are not parsed yet. Where the numbers lie in one block, so
+    does every session.
+    """
+    order = by_number(line, block_lines)
+    ends = rows.selectExpr(f"{order.block_expr()} AS block").agg(F.min("block").alias("first"), F.max("block").alias("last")).first()
+    return replace(order, single=ends["first"] == ends["last"])
+
+
 def _spread(chunks: DataFrame, order: Order, arrival_col: str | None = None) -> DataFrame:
     """The chunks, spread by session and block. A record without one of its numbers is no chunk.
 
@@ -487,6 +500,9 @@ def cut_by_key(
     if idle_ms is not None:
         check_span_ms("idle_ms", idle_ms)
     spread = _spread(chunks, order, arrival_col)
+    if order.single:
+        alone = {"origin": F.lit(_NO_RUN).cast("bigint"), "entry": F.lit(0).cast("bigint"), "block_ending": F.lit(1).cast("bigint")}
+        return _clips_of(spread.withColumns(alone), clip_ms, idle_ms)
     borders = _borders(spread, idle_ms)
     blocks = _blocks(borders, _tails(spread, borders, clip_ms, idle_ms))
     facts = blocks.join(_entries(spread, blocks, clip_ms), _KEYS, "left").selectExpr(
@@ -496,6 +512,11 @@ def cut_by_key(
         "CASE WHEN next_block IS NULL THEN 1L WHEN next_linked THEN -1L ELSE 0L END AS block_ending",
     )
     rows = _at_blocks(spread, facts, "left").na.fill({"origin": _NO_RUN, "entry": 0, "block_ending": 1})
+    return _clips_of(rows, clip_ms, idle_ms)
+
+
+def _clips_of(rows: DataFrame, clip_ms: int, idle_ms: int | None) -> DataFrame:
+    """Clips of chunks that know what enters and ends their block."""
     pieces = _ordered(rows).mapInArrow(_cut(clip_ms, idle_ms), _PIECES_DDL)
     return pieces.groupBy("session_id", "island", "start_ts_ms").agg(
         F.min("offset").alias("offset"), F.sum("length").alias("length"), F.max("complete").alias("complete")

@@ -18,7 +18,7 @@ from chunklake.functions.fields import (
     looks_like_object,
     trim_line,
 )
-from chunklake.operators.clips import by_number, continuity_breaks, cut_clips
+from chunklake.operators.clips import by_number, continuity_breaks, cut_clips, order_of
 from chunklake.operators.logs import extract_log, filter_json_lines, format_records
 from chunklake.operators.sidecar import parse_sidecar, tag_sidecar
 from chunklake.operators.store import LINE_PLACE, compact, latest_per_key, lookup, lookup_many, to_store_rows
@@ -48,7 +48,6 @@ IDLE_MS = 600_000
 NOW = 1000
 URL_PATTERN = r"^(https?)://([^/]+)(/[^?]*)"
 URL_FIELDS = "scheme,host,path"
-BY_LINE = by_number("line_no")
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -119,7 +118,8 @@ def _clip_json(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clip_cut(spark: SparkSession, folder: str) -> DataFrame:
-    return cut_clips(_chunks(spark, folder), SRC, CLIP_MS, order=BY_LINE)
+    chunks = _chunks(spark, folder)
+    return cut_clips(chunks, SRC, CLIP_MS, order=order_of(chunks))
 
 
 def clip_cut_blocks(spark: SparkSession, folder: str) -> DataFrame:
@@ -164,8 +164,9 @@ def sidecar_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 def clip_cut_from_lines(spark: SparkSession, folder: str) -> DataFrame:
     """From text to clips: parse, keep data records, cut."""
-    chunks, _ = parse_sidecar(event_lines(_table(spark, folder, "events")))
-    return cut_clips(chunks, SRC, CLIP_MS, order=by_number("line_id"))
+    lines = event_lines(_table(spark, folder, "events"))
+    chunks, _ = parse_sidecar(lines)
+    return cut_clips(chunks, SRC, CLIP_MS, order=order_of(lines, "line_id"))
 
 
 def log_regex_extract(spark: SparkSession, folder: str) -> DataFrame:
@@ -430,7 +431,8 @@ def clip_file_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pipeline_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
-    rows = clips_to_store(_chunks(spark, folder), SRC, ttl=300, now=NOW, order=BY_LINE)
+    chunks = _chunks(spark, folder)
+    rows = clips_to_store(chunks, SRC, ttl=300, now=NOW, order=order_of(chunks))
     return latest_per_key(rows).select("key", "value", "expire_at")
 
 

@@ -1,4 +1,10 @@
-"""The corpus pipeline: quality, near duplicates, decontamination, mixing, sharding."""
+"""The corpus pipeline: quality, near duplicates, decontamination, mixing, sharding.
+
+Of every stage: a null or empty text is a text without words, and stays unless the stage rejects texts without words; rows
+alike are rows of their own but to the near-duplicate stage, which keeps one of them; an empty table gives an empty one; more
+columns are carried along, whatever their names, up to sharding, whose own columns replace ones named like them. No stage
+changes a text.
+"""
 
 from __future__ import annotations
 
@@ -15,23 +21,26 @@ from chunklake.llm.sharding import shard_documents
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the quality classifier does not reject."""
+    """The documents that the quality classifier does not reject, learned from labels of documents not held out.
+
+    Without labels of both classes every document has the same score, that of the labels there are, and all stay or all go.
+    """
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
     return score_quality(docs, model).filter("predicted = 1").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates."""
+    """One document of each class of near duplicates; documents without words are copies of each other only if their texts are equal."""
     return drop_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that hold no passage of the benchmark."""
+    """The documents that hold no passage of the benchmark; with an empty benchmark all."""
     return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The copies that weighted fair queueing takes of the documents."""
+    """The copies that weighted fair queueing takes of the documents, each whole: none, one or two of each; those without words once."""
     return mix_documents(docs)
 
 
@@ -48,7 +57,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("sharding", sharding),
 ]
 
-#: Fitted models and hashes of whole texts are no SQL; the tests hold the stages against brute force.
+#: Fitted models and hashes of whole texts are no SQL. The tests hold each operator against brute force, and the stages, one
+#: after the other, against what the operators' own results say of their input.
 ORACLE_SQL = None
 
 

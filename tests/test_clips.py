@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from chunklake import continuity_breaks, cut_clips
 from chunklake.operators import clips as clips_module
-from chunklake.operators.clips import by_number
+from chunklake.operators.clips import by_number, order_of
 from chunklake.operators.rejects import count_clips
 from chunklake.plans.fixtures import generate_chunks
 
@@ -185,3 +185,18 @@ def test_adaptive_splits_do_not_tear_blocks(spark, sessions):
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     assert found == {name: fold(rows, 1000) for name, rows in (sessions | {"hot": records}).items()}
+
+
+@pytest.mark.parametrize("idle", [None, 30])
+def test_one_block_is_cut_in_one_pass(spark, idle):
+    rng = random.Random(8)
+    rows = [(name, n, *r) for name in ("a", "b", "c") for n, r in enumerate(random_records(rng, 300), 1000)]
+    frame = spark.createDataFrame(rows, "session_id string, line_no bigint, sequence bigint, offset bigint, length bigint, ts_ms bigint, arrival bigint")
+    arrival = "arrival" if idle else None
+    whole = cut_clips(frame, "/d", 700, idle, arrival, by_number("line_no", 64))
+    order = order_of(frame)
+    assert order.single and not order_of(frame, block_lines=64).single and order_of(frame.limit(0)).single
+    single = cut_clips(frame, "/d", 700, idle, arrival, order)
+    assert sorted(map(tuple, single.collect())) == sorted(map(tuple, whole.collect()))
+    plan = single._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("MapInArrow") == 1

@@ -175,6 +175,28 @@ def test_silence_closes_a_clip(spark, tmp_path):
     assert [tuple(row) for row in rows] == [(0, 8, False), (8, 4, True)]
 
 
+def test_a_slow_batch_is_no_silence(spark, tmp_path):
+    """Batches that take longer than a pause may: what was there in time continues its clip, and silence afterwards ends it."""
+    src, rows = tmp_path / "in", []
+    src.mkdir()
+    _segments(src, {"a": [(n, 4 * n, 4, 100 * n) for n in range(4)]}, 1, mark=False)
+    clips = cut_clips_stream(read_sidecar_stream(spark, str(src), max_files=1), "/in", idle_ms=1500)
+
+    def slow(batch, _):
+        rows.extend(batch.collect())
+        time.sleep(2)
+
+    query = clips.writeStream.foreachBatch(slow).trigger(processingTime="100 milliseconds")
+    query = query.option("checkpointLocation", str(tmp_path / "cp")).start()
+    try:
+        deadline = time.time() + 90
+        while time.time() < deadline and not rows:
+            time.sleep(0.3)
+    finally:
+        query.stop()
+    assert [(r.offset, r.length, r.complete) for r in rows] == [(0, 16, False)]
+
+
 def test_log_stream(spark, tmp_path):
     src = tmp_path / "logs"
     src.mkdir()
