@@ -1,10 +1,12 @@
 import itertools
+import math
 import random
+import re
 
 import numpy as np
 import pytest
 
-from chunklake.llm.toxicity import Field, Reader, fit_logistic, fit_toxicity, marginals, score_toxicity
+from chunklake.llm.toxicity import Field, Reader, fit_logistic, fit_toxicity, marginals, score_toxicity, units
 from tests.llm.conftest import sentence
 
 LABELS = "doc_id bigint, quality int, toxic int"
@@ -73,6 +75,45 @@ def test_without_two_classes_every_score_is_one_number(spark, documents, labels)
     assert len({r["score"] for r in got}) == 1
 
 
+def test_scores_equal_all_ways_of_tagging(spark, documents):
+    """The score from its definition: every sequence of tags of every sentence, weighed, added up word by word."""
+    model = Field(
+        bias=-1.5, own={"bad": 3.0, "idio^": 2.0, "idiot": 1.5, "day": -1.0}, before={"bad": 0.7, "you": 0.4}, after={"idiot": 0.9, "day": -0.3},
+        moves=np.array([[0.2, -0.4], [-0.7, 0.6]]), document=np.array([-3.0, 4.0, 1.0, 0.5]),
+    )
+    texts = ["a bad day. You idiots, BAD idiot!", "", "bad", "you you you", "nice day\nbad you idiot day you bad. x", "...!", None]
+
+    def weight(words, k):
+        part = sum(model.own.get(u, 0) for u in units(words[k])) + model.bias
+        if k:
+            part += sum(model.before.get(u, 0) for u in units(words[k - 1]))
+        if k + 1 < len(words):
+            part += sum(model.after.get(u, 0) for u in units(words[k + 1]))
+        return part
+
+    # features of a word count only where it has a unit of its own evidence
+    model.own |= {u: model.own.get(u, 0.0) for u in [*model.before, *model.after]}
+
+    def score(text):
+        marks = []
+        for sentence in re.split(r"[.!?\n]", (text or "").lower()):
+            words = re.findall(r"\w+", sentence)
+            odds = np.zeros(len(words))
+            total = 0.0
+            for tags in itertools.product((0, 1), repeat=len(words)):
+                exponent = sum(weight(words, k) * t for k, t in enumerate(tags)) + sum(model.moves[a, b] for a, b in itertools.pairwise(tags))
+                total += math.exp(exponent)
+                odds += np.array(tags) * math.exp(exponent)
+            marks += list(odds / total) if words else []
+        most, sums = max(marks, default=0), sum(marks)
+        x = [1, most, math.log1p(sums), math.sqrt(sums / max(len(marks), 1))]
+        return 1 / (1 + math.exp(-float(np.dot(x, model.document))))
+
+    found = score_toxicity(documents(list(enumerate(texts))), model).collect()
+    for r in found:
+        assert r["score"] == pytest.approx(score(texts[r["doc_id"]]), abs=1e-9)
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_the_logistic_model_settles(seed):
     # few positives, features of different size that all but separate them, weights: clipped steps once went round in circles here
