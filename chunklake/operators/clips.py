@@ -39,6 +39,9 @@ BLOCK_LINES = 1 << 22
 #: Blocks of a stretch whose step functions one task follows; longer stretches are followed part by part.
 STRETCH_BLOCKS = 64
 
+#: Sessions of no more blocks have their stretches followed by one task each: so many step functions fit it.
+SHORT_BLOCKS = 256
+
 _KEYS = ["session_id", "block"]
 _NUMBERS = ["sequence", "offset", "length", "ts_ms"]
 
@@ -49,13 +52,13 @@ class Order:
 
     A block is a bounded run of lines, and the next block's number is greater by no less than the lines it holds. Both
     hold for the byte at which a line's input split begins, and for line numbers rounded down. Where all lines are known to
-    lie in one block (``single``), sessions are cut in one pass, and no plan is made for what crosses blocks.
+    lie in one block, or in a few (``most_blocks``), less is planned for what crosses blocks.
     """
 
     line: str = "line_id"
     block: str | None = "block"
     block_lines: int = BLOCK_LINES
-    single: bool = False
+    most_blocks: int | None = None
 
     def block_expr(self) -> str:
         if self.block is not None:
@@ -72,12 +75,12 @@ def by_number(line: str = "line_no", block_lines: int = BLOCK_LINES) -> Order:
 def order_of(rows: DataFrame, line: str = "line_no", block_lines: int = BLOCK_LINES) -> Order:
     """The order of sessions numbered in one integer column, after a look at its least and greatest number.
 
-    The look reads that column only, of a table or of lines that are not parsed yet. Where the numbers lie in one block, so
-    does every session.
+    The look reads that column only, of a table or of lines that are not parsed yet. No session has more blocks than the numbers
+    lie in.
     """
     order = by_number(line, block_lines)
     ends = rows.selectExpr(f"{order.block_expr()} AS block").agg(F.min("block").alias("first"), F.max("block").alias("last")).first()
-    return replace(order, single=ends["first"] == ends["last"])
+    return replace(order, most_blocks=1 if ends["first"] is None else (ends["last"] - ends["first"]) // block_lines + 1)
 
 
 def _spread(chunks: DataFrame, order: Order, arrival_col: str | None = None) -> DataFrame:
@@ -375,15 +378,20 @@ def _follow(clip_ms: int, key: tuple[str, ...], entry: str, passes: bool, schema
     return follow
 
 
-def _entries(spread: DataFrame, blocks: DataFrame, clip_ms: int) -> DataFrame:
+def _entries(spread: DataFrame, blocks: DataFrame, clip_ms: int, short: bool = False) -> DataFrame:
     """``(session_id, block, passed)``: the start that enters a block behind one that a run passes through.
 
     Step functions are composed part by part, the parts of a stretch followed, and then the blocks within each part. Only
-    the parts of a stretch, one row for 64 blocks, come to one task.
+    the parts of a stretch, one row for 64 blocks, come to one task. Where no session has more than a few blocks, the blocks
+    of a stretch are followed at once.
     """
     passing = blocks.where("passing").select(*_KEYS, "next_block", "chain", "part", "entry", "entry_time")
     stretch, part = ("session_id", "chain"), ["session_id", "chain", "part"]
-    steps = _ordered(_at_blocks(spread, passing)).mapInArrow(_steps(clip_ms), _STEPS_DDL).repartition(*part)
+    steps = _ordered(_at_blocks(spread, passing)).mapInArrow(_steps(clip_ms), _STEPS_DDL)
+    if short:
+        steps = steps.repartition(*stretch).sortWithinPartitions(*stretch, "block")
+        return steps.mapInArrow(_follow(clip_ms, stretch, "entry", True, _PASSED), _PASSED_DDL)
+    steps = steps.repartition(*part)
     parts = steps.sortWithinPartitions(*part, "block").mapInArrow(_compose(clip_ms), _STEPS_DDL)
     parts = parts.repartition(*stretch).sortWithinPartitions(*part)
     entered = parts.mapInArrow(_follow(clip_ms, stretch, "entry", False, _ENTERED), _ENTERED_DDL)
@@ -500,12 +508,13 @@ def cut_by_key(
     if idle_ms is not None:
         check_span_ms("idle_ms", idle_ms)
     spread = _spread(chunks, order, arrival_col)
-    if order.single:
+    if order.most_blocks == 1:
         alone = {"origin": F.lit(_NO_RUN).cast("bigint"), "entry": F.lit(0).cast("bigint"), "block_ending": F.lit(1).cast("bigint")}
         return _clips_of(spread.withColumns(alone), clip_ms, idle_ms)
     borders = _borders(spread, idle_ms)
     blocks = _blocks(borders, _tails(spread, borders, clip_ms, idle_ms))
-    facts = blocks.join(_entries(spread, blocks, clip_ms), _KEYS, "left").selectExpr(
+    short = order.most_blocks is not None and order.most_blocks <= SHORT_BLOCKS
+    facts = blocks.join(_entries(spread, blocks, clip_ms, short), _KEYS, "left").selectExpr(
         *_KEYS,
         "origin",
         "coalesce(entry, passed) AS entry",
@@ -525,7 +534,9 @@ def _clips_of(rows: DataFrame, clip_ms: int, idle_ms: int | None) -> DataFrame:
 
 def finish_clips(clips: DataFrame, src: str, keep_order: bool, keep_folder: bool = False) -> DataFrame:
     """The clip record of each cut, with its order and the session's folder if asked for."""
-    clips = clips.withColumns({"folder": session_folder("session_id"), "session_id": session_name("session_id")})
+    if keep_folder:
+        clips = clips.withColumn("folder", session_folder("session_id"))
+    clips = clips.withColumn("session_id", session_name("session_id"))
     ts = clip_ts(F.col("start_ts_ms"))
     made = {"type": F.lit(CLIP_TYPE), "ts": ts, "path": clip_path(src, F.col("session_id"), ts)}
     fields = [made[name].alias(name) if name in made else name for name in CLIP_FIELDS]

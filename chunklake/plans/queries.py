@@ -59,7 +59,7 @@ def _chunks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 #: Blocks so short that sessions of every table fill several.
-SHORT_BLOCKS = by_number("line_no", 1024)
+SHORT_LINES = 1024
 #: A span longer than any of these blocks lasts.
 LONG_CLIP_MS, TINY_BLOCKS = 40 * CLIP_MS, by_number("line_no", 64)
 
@@ -123,7 +123,8 @@ def clip_cut(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clip_cut_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    return cut_clips(_chunks(spark, folder), SRC, CLIP_MS, order=SHORT_BLOCKS)
+    chunks = _chunks(spark, folder)
+    return cut_clips(chunks, SRC, CLIP_MS, order=order_of(chunks, block_lines=SHORT_LINES))
 
 
 def clip_cut_long_span(spark: SparkSession, folder: str) -> DataFrame:
@@ -136,7 +137,8 @@ def clip_cut_long_span(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clip_cut_idle(spark: SparkSession, folder: str) -> DataFrame:
-    return cut_clips(_chunks(spark, folder), SRC, CLIP_MS, idle_ms=IDLE_MS, arrival_col="arrival_ms", order=SHORT_BLOCKS)
+    chunks = _chunks(spark, folder)
+    return cut_clips(chunks, SRC, CLIP_MS, idle_ms=IDLE_MS, arrival_col="arrival_ms", order=order_of(chunks, block_lines=SHORT_LINES))
 
 
 def clip_lines_out(spark: SparkSession, folder: str) -> DataFrame:
@@ -144,7 +146,7 @@ def clip_lines_out(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def break_report(spark: SparkSession, folder: str) -> DataFrame:
-    breaks = continuity_breaks(_chunks(spark, folder), SHORT_BLOCKS)
+    breaks = continuity_breaks(_chunks(spark, folder), by_number("line_no", SHORT_LINES))
     return breaks.select(
         "session_id", F.col("line").alias("line_no"), "sequence", "expected_sequence", "offset", "expected_offset"
     )
@@ -649,9 +651,11 @@ def stream_lookup_table(spark: SparkSession, folder: str) -> DataFrame:
     stream = spark.readStream.schema(STORE).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", "1").parquet(path)
     query, wanted = write_table_stream(latest_rows_stream(stream, 3600), out, checkpoint), rows.count()
     # a query with state that ages by the clock never runs out of batches: it is ended once all rows are in
+    taken: dict[int, int] = {}
     try:
-        while query.isActive and sum(p["numInputRows"] for p in query.recentProgress) < wanted:
+        while query.isActive and sum(taken.values()) < wanted:
             time.sleep(0.2)
+            taken |= {p["batchId"]: p["numInputRows"] for p in query.recentProgress}  # the last ones only
     finally:
         query.stop()
     if query.exception() is not None:

@@ -187,16 +187,30 @@ def test_adaptive_splits_do_not_tear_blocks(spark, sessions):
     assert found == {name: fold(rows, 1000) for name, rows in (sessions | {"hot": records}).items()}
 
 
+def numbered(spark, rng, count=300, steady=False):
+    rows = [(name, n, *r) for name in ("a", "b", "c") for n, r in enumerate(random_records(rng, count), 1000)]
+    if steady:  # one unbroken run through all blocks
+        rows = [("s", n, n, 4 * n, 4, n * 10 + rng.randrange(60), n) for n in range(count)]
+    return spark.createDataFrame(rows, "session_id string, line_no bigint, sequence bigint, offset bigint, length bigint, ts_ms bigint, arrival bigint")
+
+
 @pytest.mark.parametrize("idle", [None, 30])
 def test_one_block_is_cut_in_one_pass(spark, idle):
-    rng = random.Random(8)
-    rows = [(name, n, *r) for name in ("a", "b", "c") for n, r in enumerate(random_records(rng, 300), 1000)]
-    frame = spark.createDataFrame(rows, "session_id string, line_no bigint, sequence bigint, offset bigint, length bigint, ts_ms bigint, arrival bigint")
+    frame = numbered(spark, random.Random(8))
     arrival = "arrival" if idle else None
     whole = cut_clips(frame, "/d", 700, idle, arrival, by_number("line_no", 64))
     order = order_of(frame)
-    assert order.single and not order_of(frame, block_lines=64).single and order_of(frame.limit(0)).single
+    assert order.most_blocks == 1 and order_of(frame, block_lines=64).most_blocks == 6 and order_of(frame.limit(0)).most_blocks == 1
     single = cut_clips(frame, "/d", 700, idle, arrival, order)
     assert sorted(map(tuple, single.collect())) == sorted(map(tuple, whole.collect()))
     plan = single._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("MapInArrow") == 1
+
+
+@pytest.mark.parametrize("steady", [False, True])
+@pytest.mark.parametrize("clip_ms", [35, 700, 100_000])
+def test_few_blocks_are_followed_at_once(spark, steady, clip_ms):
+    frame = numbered(spark, random.Random(9), 2000 if steady else 300, steady)
+    whole = cut_clips(frame, "/d", clip_ms, order=by_number("line_no", 16))
+    few = cut_clips(frame, "/d", clip_ms, order=order_of(frame, block_lines=16))
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, whole.collect()))
