@@ -42,13 +42,17 @@ def _with_slots(rows: DataFrame, manifest: Manifest) -> DataFrame:
 
 @dataclass(frozen=True)
 class Merge:
-    """What a merge is about to write: the version it starts from, the runs it takes in, the ranges it replaces and their rows."""
+    """What a merge is about to write: the version it starts from, the runs it takes in, the ranges it replaces, their rows.
+
+    ``most`` is a bound on the number of these rows.
+    """
 
     path: str
     manifest: Manifest
     runs: list[str]
     touched: list[int]
     rows: DataFrame
+    most: int
 
 
 def begin_merge(spark: SparkSession, path: str, now: int) -> Merge:
@@ -62,16 +66,14 @@ def begin_merge(spark: SparkSession, path: str, now: int) -> Merge:
         touched |= {row.slot for row in fresh.select("slot").distinct().collect()}  # at most one row for each file
     old = read_folders(spark, path, [manifest.files[n].path for n in sorted(touched)])
     rows = _with_slots(compact(old.unionByName(fresh.select(*STORE_FIELDS)), now), manifest)
-    return Merge(path, manifest, runs, sorted(touched), rows)
+    most = read_folders(spark, path, runs).count() + sum(manifest.files[n].rows for n in touched)  # of metadata alone
+    return Merge(path, manifest, runs, sorted(touched), rows, most)
 
 
-def _write_ranges(rows: DataFrame, path: str, folder: str, rows_per_file: int) -> list[SnapshotFile]:
-    """Writes rows sorted by slot and key, no file over two slots, and tells the files."""
+def _write_ranges(rows: DataFrame, path: str, folder: str, parts: int) -> list[SnapshotFile]:
+    """Writes rows sorted by slot and key in so many parts, no file over two slots, and tells the files."""
     spark = rows.sparkSession
-    count = rows.count()
-    if not count:
-        return []
-    ranged = rows.repartitionByRange(-(-count // rows_per_file), "slot", "key").sortWithinPartitions("slot", "key")
+    ranged = rows.repartitionByRange(parts, "slot", "key").sortWithinPartitions("slot", "key")
     ranged.select(*STORE_FIELDS, "slot").write.option(_BLOOM, "true").partitionBy("slot").mode("errorifexists").parquet(f"{path}/{folder}")
     expires = F.coalesce(F.min(F.when(F.col("expire_at") != 0, F.col("expire_at"))), F.lit(0))
     files = read_folders(spark, path, [folder]).groupBy(F.col("_metadata.file_path").alias("file")).agg(
@@ -87,7 +89,8 @@ def finish_merge(merge: Merge, rows_per_file: int = ROWS_PER_FILE) -> Manifest:
     Fails, without effect on readers, where another merge has come first. Runs appended since the merge began are not covered.
     """
     spark, old = merge.rows.sparkSession, merge.manifest
-    written = _write_ranges(merge.rows, merge.path, f"merged={uuid.uuid4().hex}", rows_per_file) if merge.runs or merge.touched else []
+    parts = -(-merge.most // rows_per_file)
+    written = _write_ranges(merge.rows, merge.path, f"merged={uuid.uuid4().hex}", parts) if parts else []
     kept = [f for n, f in enumerate(old.files) if n not in merge.touched]
     files = tuple(sorted([*kept, *written], key=lambda f: f.least))
     merged = Manifest(old.version + 1, files, old.covered | set(merge.runs))
