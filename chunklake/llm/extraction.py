@@ -27,7 +27,7 @@ from chunklake.llm.urls import host_of
 #: Words and marks of a run; streams that must share it; share of a block's words in runs that makes it boilerplate.
 RUN, MIN_STREAMS, COVERED = 8, 3, 0.5
 #: A host whose pages have more bytes is dealt into lots of about so many; and bytes of a shuffle partition.
-LOT_BYTES, PARTITION_BYTES = 16 << 20, 32 << 20
+LOT_BYTES, PARTITION_BYTES = 4 << 20, 32 << 20
 #: Runs of a host of several lots are told by a polynomial in this over the hashes of their words.
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
