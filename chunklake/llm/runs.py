@@ -4,7 +4,7 @@ A run is a stretch of words with smallest period q that no neighbouring word ext
 are a maximal pair: what follows both agrees over length - q words and no further, and what precedes them differs. So runs are
 read off the tree of LCP intervals of a text's suffixes, from the longest common prefixes up, without extending anything: a
 node of depth l holds the places that share l words, each in the class of its left word, and joining two of its children pairs
-places of different classes. Distance d and depth l tell the run: it begins at the first place, has l + d words and period d.
+places of different classes; children of one and the same class are only put together. Distance d and depth l tell the run: it begins at the first place, has l + d words and period d.
 
 A run of at least three periods needs d <= l / 2. Two places of a node that have a third between them then belong to a run of
 a smaller period (two periods of one stretch have a common divisor), so that only neighbours in a node are pairs of smallest
@@ -14,7 +14,7 @@ with another one of the same text are sorted at all.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -122,24 +122,34 @@ def _sorted_suffixes(words: np.ndarray, doc: np.ndarray, places: np.ndarray, sha
     return order, shared
 
 
-def _join(longer: list[int], shorter: list[int], depth: int, left: list[int], least: int, least_periods: int, found: list[tuple[int, int, int]]) -> list[int]:
-    """Two children of a node of that depth in one list of places; neighbours with different left words that are near enough are runs."""
-    if len(longer) < len(shorter):
-        longer, shorter = shorter, longer
+#: The places of a node in the order of the text, and their left word where all have the same, else None.
+Node = tuple[list[int], int | None]
+
+
+def _join(one: Node, other: Node, depth: int, left: dict[int, int], least: int, least_periods: int, found: list[tuple[int, int, int]]) -> Node:
+    """Two children of a node of that depth as one. Neighbours in the text of different left words that are near enough are runs.
+
+    Places of one class pair with none of their own: what follows and precedes them agrees, so a deeper node has paired them.
+    """
+    (longer, word), (shorter, other_word) = (one, other) if len(one[0]) >= len(other[0]) else (other, one)
+    if word is not None and word == other_word:
+        for place in shorter:
+            insort(longer, place)
+        return longer, word
     reach, last, before = depth // (least_periods - 1), len(shorter) - 1, -1
     for n, place in enumerate(shorter):
         k = bisect_left(longer, place)
         if k and longer[k - 1] != before:
-            other = longer[k - 1]
-            if place - other <= reach and depth + place - other >= least and left[other] != left[place]:
-                found.append((other, depth + place - other, place - other))
+            near = longer[k - 1]
+            if place - near <= reach and depth + place - near >= least and left[near] != left[place]:
+                found.append((near, depth + place - near, place - near))
         if k < len(longer) and (n == last or shorter[n + 1] > longer[k]):
-            other = longer[k]
-            if other - place <= reach and depth + other - place >= least and left[other] != left[place]:
-                found.append((place, depth + other - place, other - place))
+            near = longer[k]
+            if near - place <= reach and depth + near - place >= least and left[near] != left[place]:
+                found.append((place, depth + near - place, near - place))
         longer.insert(k, place)
         before = place
-    return longer
+    return longer, None
 
 
 def runs_of(texts: list[np.ndarray], least: int = LEAST_WORDS, least_periods: int = LEAST_PERIODS) -> list[list[tuple[int, int, int]]]:
@@ -173,12 +183,12 @@ def runs_of(texts: list[np.ndarray], least: int = LEAST_WORDS, least_periods: in
     before = np.where(order > 0, words[order - 1], -1 - len(texts))
     left = dict(zip(order.tolist(), before.tolist(), strict=True))
     found: list[tuple[int, int, int]] = []
-    stack: list[tuple[int, list[int]]] = []
+    stack: list[tuple[int, Node]] = []
     for place, depth in zip(order.tolist(), shared.tolist(), strict=True):
-        node = [place]
+        node: Node = ([place], left[place])
         while stack and stack[-1][0] > depth:
-            deeper, places_of = stack.pop()
-            node = _join(places_of, node, deeper, left, least, least_periods, found)
+            deeper, child = stack.pop()
+            node = _join(child, node, deeper, left, least, least_periods, found)
         if stack and stack[-1][0] == depth:
             stack[-1] = (depth, _join(stack[-1][1], node, depth, left, least, least_periods, found))
         elif depth:
