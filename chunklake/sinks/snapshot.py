@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 
 from chunklake.operators.store import compact, latest_per_key
 from chunklake.schemas import STORE_FIELDS
+from chunklake.sinks.store import KEY_BLOOM
 from chunklake.sources.manifest import Manifest, SnapshotFile, commit_manifest, open_runs, read_manifest
 from chunklake.sources.store import read_folders
 
 #: Rows of a snapshot file, about; a file that has grown beyond it is cut where it is written again.
 ROWS_PER_FILE = 4_000_000
-_BLOOM = "parquet.bloom.filter.enabled#key"
 
 
 def _slot_of(least: list[str]):
@@ -74,7 +74,7 @@ def _write_ranges(rows: DataFrame, path: str, folder: str, parts: int) -> list[S
     """Writes rows sorted by slot and key in so many parts, no file over two slots, and tells the files."""
     spark = rows.sparkSession
     ranged = rows.repartitionByRange(parts, "slot", "key").sortWithinPartitions("slot", "key")
-    ranged.select(*STORE_FIELDS, "slot").write.option(_BLOOM, "true").partitionBy("slot").mode("errorifexists").parquet(f"{path}/{folder}")
+    ranged.select(*STORE_FIELDS, "slot").write.options(**KEY_BLOOM).partitionBy("slot").mode("errorifexists").parquet(f"{path}/{folder}")
     expires = F.coalesce(F.min(F.when(F.col("expire_at") != 0, F.col("expire_at"))), F.lit(0))
     files = read_folders(spark, path, [folder]).groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.min("key").alias("least"), F.max("key").alias("most"), F.count("*").alias("rows"), expires.alias("expires")

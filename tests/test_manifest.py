@@ -190,3 +190,14 @@ def test_reading_by_folders(spark, tmp_path):
     path = str(tmp_path / "db")
     append_store(rows(spark, 1, [("a", "1")]), path, 1)
     assert read_folders(spark, path, []).count() == 0 and read_folders(spark, path, ["run=1"]).count() == 1
+
+
+def test_filters_of_small_files_are_small(spark, tmp_path):
+    path = str(tmp_path / "db")
+    append_store(rows(spark, 1, [(f"k{n:04d}", "1") for n in range(1000)]).coalesce(1), path, 1)
+    manifest = merge_store(spark, path, 0, 100)
+    append_store(rows(spark, 2, [("k0005", "2")]).coalesce(1), path, 2)
+    written = [file for pattern in ("run=*", "merged=*/slot=*") for file in (tmp_path / "db").glob(f"{pattern}/*.parquet")]
+    assert len(manifest.files) >= 5 and len(written) == len(manifest.files) + 2
+    assert max(file.stat().st_size for file in written) < 50_000  # a filter of a fixed size took 1 MB
+    assert [r.value for r in lookup(read_store(spark, path), "k0005", 1).collect()] == ["2"]
