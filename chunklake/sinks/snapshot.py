@@ -35,16 +35,20 @@ def _slot_of(least: list[str]):
     return slot
 
 
-def _with_slots(rows: DataFrame, manifest: Manifest) -> DataFrame:
-    least = [f.least for f in manifest.files]
+def _with_slots(rows: DataFrame, least: list[str]) -> DataFrame:
     return rows.withColumn("slot", _slot_of(least)("key") if least else F.lit(0))
 
 
+def _stretches(manifest: Manifest, touched: list[int]) -> list[str]:
+    """The least keys of the stretches of neighbouring files that are touched: within one, files may be cut anew anywhere."""
+    return [manifest.files[n].least for i, n in enumerate(touched) if not i or touched[i - 1] != n - 1]
+
+
 @dataclass(frozen=True)
 class Merge:
     """What a merge is about to write: the version it starts from, the runs it takes in, the ranges it replaces, their rows.
 
-    ``most`` is a bound on the number of these rows.
+    ``most`` is a bound on the number of these rows: the new keys and the rows of the files that are replaced.
     """
 
     path: str
@@ -60,18 +64,20 @@ def begin_merge(spark: SparkSession, path: str, now: int) -> Merge:
     path = path.rstrip("/")
     manifest = read_manifest(spark, path)
     runs = open_runs(spark, path, manifest)
-    fresh = _with_slots(latest_per_key(read_folders(spark, path, runs)), manifest)
-    touched = {n for n, f in enumerate(manifest.files) if 0 < f.expires <= now}
-    if runs and manifest.files:
-        touched |= {row.slot for row in fresh.select("slot").distinct().collect()}  # at most one row for each file
-    old = read_folders(spark, path, [manifest.files[n].path for n in sorted(touched)])
-    rows = _with_slots(compact(old.unionByName(fresh.select(*STORE_FIELDS)), now), manifest)
-    most = read_folders(spark, path, runs).count() + sum(manifest.files[n].rows for n in touched)  # of metadata alone
-    return Merge(path, manifest, runs, sorted(touched), rows, most)
+    fresh = latest_per_key(read_folders(spark, path, runs))
+    placed = _with_slots(fresh, [f.least for f in manifest.files])
+    # at most one row for each file; of the runs the keys alone are read
+    keys = {row.slot: row.n for row in placed.groupBy("slot").agg(F.count("*").alias("n")).collect()} if runs else {}
+    expired = {n for n, f in enumerate(manifest.files) if 0 < f.expires <= now}
+    touched = sorted(expired | keys.keys()) if manifest.files else []
+    old = read_folders(spark, path, [manifest.files[n].path for n in touched])
+    rows = _with_slots(compact(old.unionByName(fresh.select(*STORE_FIELDS)), now), _stretches(manifest, touched))
+    most = sum(keys.values()) + sum(manifest.files[n].rows for n in touched)
+    return Merge(path, manifest, runs, touched, rows, most)
 
 
 def _write_ranges(rows: DataFrame, path: str, folder: str, parts: int) -> list[SnapshotFile]:
-    """Writes rows sorted by slot and key in so many parts, no file over two slots, and tells the files."""
+    """Writes rows sorted by slot and key in so many parts, no file over two stretches, and tells the files."""
     spark = rows.sparkSession
     ranged = rows.repartitionByRange(parts, "slot", "key").sortWithinPartitions("slot", "key")
     ranged.select(*STORE_FIELDS, "slot").write.options(**KEY_BLOOM).partitionBy("slot").mode("errorifexists").parquet(f"{path}/{folder}")

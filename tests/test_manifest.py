@@ -201,3 +201,27 @@ def test_filters_of_small_files_are_small(spark, tmp_path):
     assert len(manifest.files) >= 5 and len(written) == len(manifest.files) + 2
     assert max(file.stat().st_size for file in written) < 50_000  # a filter of a fixed size took 1 MB
     assert [r.value for r in lookup(read_store(spark, path), "k0005", 1).collect()] == ["2"]
+
+
+def test_a_merge_cuts_files_by_keys_and_joins_small_ones(spark, tmp_path):
+    path = str(tmp_path / "db")
+    for run in (1, 2, 3):
+        append_store(rows(spark, run, [(f"k{n % 200:04d}", f"{run}-{n}") for n in range(6000)]), path, run)
+        manifest = merge_store(spark, path, 0, 100)
+        # by rows instead of keys there were 60 files of about three rows, and more with each merge
+        assert sum(f.rows for f in manifest.files) == 200 and len(manifest.files) <= 5
+        assert all(a.most < b.least for a, b in zip(manifest.files, manifest.files[1:], strict=False))
+    stored = read_store(spark, path).select("key", "value").collect()
+    assert sorted(r.key for r in stored) == [f"k{n:04d}" for n in range(200)] and all(r.value.startswith("3-") for r in stored)
+
+
+def test_stretches_between_untouched_files_keep_apart(spark, tmp_path):
+    path = str(tmp_path / "db")
+    append_store(rows(spark, 1, [(f"k{n:04d}", "1") for n in range(1000)]), path, 1)
+    before = merge_store(spark, path, 0, 100).files
+    first, last = before[0].least, before[-1].least
+    append_store(rows(spark, 2, [(first, "2"), (last, "2"), ("a", "2")]), path, 2)
+    after = merge_store(spark, path, 0, 100).files
+    assert set(before[1:-1]) <= set(after) and all(a.most < b.least for a, b in zip(after, after[1:], strict=False))
+    changed = {r.key for r in read_store(spark, path).where("value = '2'").collect()}
+    assert changed == {"a", first, last} and read_store(spark, path).count() == 1001
