@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -18,6 +17,7 @@ from chunklake.schemas import STORE, STORE_FIELDS
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _FLAT = "key string, value string, expire_at bigint, run bigint, source string, major bigint, minor bigint"
+_UPDATE = Row(*[part.split()[0] for part in _FLAT.split(", ")])
 _STATE = "value string, expire_at bigint, run bigint, source string, major bigint, minor bigint"
 
 
@@ -30,19 +30,24 @@ class LatestRow(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.lasting = handle.getValueState("lasting", _STATE)
         self.mortal = handle.getValueState("mortal", _STATE, self.ttl_ms) if self.ttl_ms else self.lasting
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        states = [state for state in {id(s): s for s in (self.lasting, self.mortal)}.values() if state.exists()]
-        held = [tuple(state.get()) for state in states]
-        fresh = pd.concat(list(rows), ignore_index=True)[["value", "expire_at", "run", "source", "major", "minor"]]
-        order = fresh.sort_values(["run", "source", "major", "minor"]).iloc[-1]
-        last = (order["value"], *(int(order["expire_at"]), int(order["run"])), order["source"], int(order["major"]), int(order["minor"]))
-        if held and max(h[2:] for h in held) > last[2:]:
+        self.states = [self.lasting, self.mortal] if self.ttl_ms else [self.lasting]
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        # every call on a state is a message to the JVM and back: one read of each, one write
+        last = None
+        for row in rows:
+            fresh = tuple(row)[1:]
+            if last is None or fresh[2:] >= last[2:]:
+                last = fresh
+        held = [(state, tuple(value)) for state in self.states if (value := state.get()) is not None]
+        if held and max(value[2:] for _, value in held) > last[2:]:
             return
-        for state in states:
-            state.clear()
-        (self.mortal if last[1] else self.lasting).update(last)
-        yield pd.DataFrame([(key[0], *last)], columns=[part.split()[0] for part in _FLAT.split(", ")])
+        kept = self.mortal if last[1] else self.lasting
+        for state, _ in held:
+            if state is not kept:
+                state.clear()
+        kept.update(last)
+        yield _UPDATE(key[0], *last)
 
     def close(self) -> None:
         pass
@@ -55,7 +60,7 @@ def latest_rows_stream(rows: DataFrame, ttl: int | str) -> DataFrame:
     of writing; what has lived ``ttl`` seconds by the clock of the machines is forgotten.
     """
     flat = rows.select("key", "value", "expire_at", "write_seq.*")
-    updates = flat.groupBy("key").transformWithStateInPandas(LatestRow(check_ttl(ttl) * 1000), _FLAT, "Update", "ProcessingTime")
+    updates = flat.groupBy("key").transformWithState(LatestRow(check_ttl(ttl) * 1000), _FLAT, "Update", "ProcessingTime")
     return updates.select("key", "value", "expire_at", F.struct("run", "source", "major", "minor").alias("write_seq"))
 
 

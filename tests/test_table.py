@@ -1,10 +1,11 @@
 import time
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from chunklake import compact
 from chunklake.schemas import STORE
-from chunklake.streaming.table import latest_rows_stream, read_table, write_table_stream
+from chunklake.streaming.table import LatestRow, latest_rows_stream, read_table, write_table_stream
 
 
 def until(done, seconds=90):
@@ -45,3 +46,45 @@ def test_a_streamed_table_keeps_latest_rows_and_forgets(spark, tmp_path):
         query.stop()
     rows = spark.read.schema(STORE).option("recursiveFileLookup", "true").parquet(out)
     assert rows.where(F.col("value") == "a00").count() == 1 and rows.where(F.col("value") == "b0").count() == 0
+
+
+class State:
+    def __init__(self, calls):
+        self.value, self.calls = None, calls
+
+    def exists(self):
+        self.calls.append("exists")
+        return self.value is not None
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    def clear(self):
+        self.calls.append("clear")
+        self.value = None
+
+
+def test_a_key_takes_few_calls_on_its_state():
+    calls, latest = [], LatestRow(1000)
+
+    class Handle:
+        def getValueState(self, name, schema, ttl=None):
+            return State(calls)
+
+    latest.init(Handle())
+
+    def put(*rows):
+        calls.clear()
+        made = [Row(key="k", value=v, expire_at=e, run=r, source="", major=0, minor=n) for n, (v, e, r) in enumerate(rows)]
+        return [tuple(r)[:3] for r in latest.handleInputRows(("k",), iter(made), None)]
+
+    assert put(("v1", 9, 1), ("v2", 9, 2), ("v0", 9, 0)) == [("k", "v2", 9)]
+    assert sorted(calls) == ["get", "get", "update"]  # six calls before, each a message to the JVM and back
+    assert put(("late", 9, 1)) == [] and calls == ["get", "get"]
+    assert put(("v3", 0, 3)) == [("k", "v3", 0)] and sorted(calls) == ["clear", "get", "get", "update"]
+    assert latest.mortal.value is None and latest.lasting.value[0] == "v3"
