@@ -2,7 +2,8 @@
 
 A streaming source of its own: an offset is the number of bytes taken of each file, always up to a line feed, so what is being
 written is taken once it ends in one. A batch's bytes are cut into ranges that tasks read apart, as splits of a large file are:
-a range holds the lines that begin in it. Offsets stand in the query's checkpoint, so no line is lost or seen twice when the
+a range holds the lines that begin in it. Ranges of small files are put together, so that tasks grow in number with the bytes
+and not with the files. Offsets stand in the query's checkpoint, so no line is lost or seen twice when the
 query starts anew. Folders' end markers, which Spark's own readers pass over, come as rows: they are listed before the files
 are measured, so that all lines written before a marker are in the marker's batch or an earlier one.
 """
@@ -10,6 +11,7 @@ are measured, so that all lines written before a marker are in the marker's batc
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from fnmatch import fnmatch
 
@@ -25,10 +27,12 @@ from chunklake.sources.files import located
 _SCHEMA = "source string, position bigint, line string, marker boolean"
 #: Bytes of a range, and bytes read at once to find the last line feed of a file.
 RANGE_BYTES, _LOOK_BACK = 32 << 20, 1 << 16
+#: What opening a file counts for, in bytes, where small ranges are put together to one task's.
+_OPEN_COST = 1 << 16
 
 
 @dataclass
-class ByteRange(InputPartition):
+class ByteRange:
     """The lines of a file that begin from ``begin`` on and before ``end``; ``whole`` if a line begins right there."""
 
     path: str
@@ -39,12 +43,34 @@ class ByteRange(InputPartition):
 
 
 @dataclass
-class Marker(InputPartition):
+class Marker:
     path: str
 
 
+@dataclass
+class Pack(InputPartition):
+    """What one task reads: a range of a large file, or those of many small files, and end markers."""
+
+    parts: list[ByteRange | Marker]
+
+
+def _packed(parts: list[ByteRange | Marker], most: int, tasks: int) -> list[InputPartition]:
+    """Parts in their order, so many together that ``tasks`` have some and none has more than ``most`` bytes of several."""
+    costs = [_OPEN_COST + (part.end - part.begin if isinstance(part, ByteRange) else 0) for part in parts]
+    bound = min(most, max(sum(costs) // max(tasks, 1), _OPEN_COST))
+    packs: list[Pack] = []
+    room = 0
+    for part, cost in zip(parts, costs, strict=True):
+        if cost > room:
+            packs.append(Pack([]))
+            room = bound
+        packs[-1].parts.append(part)
+        room -= cost
+    return packs
+
+
 class GrowingLines(DataSource):
-    """Options: ``path``, ``glob`` of file names, ``rangeBytes``."""
+    """Options: ``path``, ``glob`` of file names, ``rangeBytes``, ``tasks`` that small files are dealt to at least."""
 
     @classmethod
     def name(cls) -> str:
@@ -54,12 +80,14 @@ class GrowingLines(DataSource):
         return _SCHEMA
 
     def streamReader(self, schema) -> GrowingReader:
-        return GrowingReader(self.options["path"], self.options.get("glob", "*"), int(self.options.get("rangebytes", RANGE_BYTES)))
+        range_bytes, tasks = int(self.options.get("rangebytes", RANGE_BYTES)), int(self.options.get("tasks", 1))
+        return GrowingReader(self.options["path"], self.options.get("glob", "*"), range_bytes, tasks)
 
 
 class GrowingReader(DataSourceStreamReader):
-    def __init__(self, path: str, glob: str, range_bytes: int):
-        self.path, self.glob, self.range_bytes = path, glob, range_bytes
+    def __init__(self, path: str, glob: str, range_bytes: int, tasks: int = 1):
+        self.path, self.glob, self.range_bytes, self.tasks = path, glob, range_bytes, tasks
+        self._measured: dict[str, tuple[int, int]] = {}  # of each file its size when it was looked into, and what was found
 
     def _files(self) -> tuple[fs.FileSystem, list[fs.FileInfo]]:
         system, root = located(self.path)
@@ -73,7 +101,13 @@ class GrowingReader(DataSourceStreamReader):
         markers = sorted(f.path for f in found if f.base_name == END_MARKER_NAME)
         # listed anew: what was written before a marker was seen is measured after it
         _, found = self._files()
-        files = {f.path: self._whole_lines(system, f) for f in found if f.is_file and fnmatch(f.base_name, self.glob)}
+        asked = [f for f in found if f.is_file and fnmatch(f.base_name, self.glob)]
+        # files only grow, so those of the size they had end where they did
+        grown = [f for f in asked if self._measured.get(f.path, (-1, 0))[0] != f.size]
+        with ThreadPoolExecutor(16) as pool:
+            ends = pool.map(lambda f: self._whole_lines(system, f), grown)
+            self._measured |= {f.path: (f.size, end) for f, end in zip(grown, ends, strict=True)}
+        files = {f.path: self._measured[f.path][1] for f in asked}
         return {"files": {path: size for path, size in sorted(files.items()) if size}, "markers": markers}
 
     @staticmethod
@@ -91,7 +125,7 @@ class GrowingReader(DataSourceStreamReader):
         return 0
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        ranges: list[InputPartition] = []
+        ranges: list[ByteRange | Marker] = []
         for path, stop in end["files"].items():
             begin = first = start["files"].get(path, 0)
             while begin < stop:
@@ -99,13 +133,19 @@ class GrowingReader(DataSourceStreamReader):
                 ranges.append(ByteRange(path, begin, upto, stop, begin == first))
                 begin = upto
         known = set(start["markers"])
-        return ranges + [Marker(path) for path in end["markers"] if path not in known]
+        markers = [Marker(path) for path in end["markers"] if path not in known]
+        return _packed(ranges + markers, self.range_bytes, self.tasks)
 
     def commit(self, end: dict) -> None:
         """Files are left where they are."""
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         system, _ = located(self.path)
+        for part in partition.parts:
+            yield from self._read(system, part)
+
+    @staticmethod
+    def _read(system: fs.FileSystem, partition: ByteRange | Marker) -> Iterator[pa.RecordBatch]:
         if isinstance(partition, Marker):
             yield _rows(partition.path, [None], [None], True)
             return
@@ -150,7 +190,7 @@ def read_growing_lines(spark: SparkSession, path: str, glob: str = "*", range_by
     """
     spark.dataSource.register(GrowingLines)
     reader = spark.readStream.format("growing_lines").option("glob", glob).option("rangeBytes", str(range_bytes))
-    return reader.option("path", path).load()
+    return reader.option("tasks", str(spark.sparkContext.defaultParallelism)).option("path", path).load()
 
 
 def read_growing_sidecars(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:

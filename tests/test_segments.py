@@ -123,6 +123,23 @@ def test_a_large_file_is_many_ranges(spark, tmp_path):
     assert [s for s in seen if s[1]] == [(-(-(tmp_path / "in" / "big.log").stat().st_size // 5_000), 20_000, 20_000)]
 
 
+def test_small_files_share_tasks(spark, tmp_path):
+    for n in range(300):
+        write(tmp_path / "in" / f"r{n % 20}" / f"{n}.log", f"{n} a\n{n} b\n{n} torn")
+    for n in range(20):
+        write(tmp_path / "in" / f"r{n}" / ".pipeline_end", "")
+    lines = read_growing_lines(spark, str(tmp_path / "in"), "*.log")
+    seen = []
+    drain(
+        lines.writeStream.foreachBatch(lambda batch, _: seen.append((batch.rdd.getNumPartitions(), sorted((r.source, r.line) for r in batch.where("NOT marker").collect()), batch.where("marker").count())))
+        .option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
+    )
+    [(tasks, found, marks)] = [s for s in seen if s[1]]
+    assert tasks <= 2 * spark.sparkContext.defaultParallelism and marks == 20  # a task for each file and marker before
+    assert sorted(line for _, line in found) == sorted(f"{n} {c}" for n in range(300) for c in "ab")
+    assert all(source.endswith(f"/{line.split()[0]}.log") for source, line in found)
+
+
 def chunk(sequence, offset, length, ts):
     return f'{{"kind":"data","sequence":{sequence},"offset":{offset},"length":{length},"ts_ms":{ts}}}\n'
 
