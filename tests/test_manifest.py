@@ -225,3 +225,15 @@ def test_stretches_between_untouched_files_keep_apart(spark, tmp_path):
     assert set(before[1:-1]) <= set(after) and all(a.most < b.least for a, b in zip(after, after[1:], strict=False))
     changed = {r.key for r in read_store(spark, path).where("value = '2'").collect()}
     assert changed == {"a", first, last} and read_store(spark, path).count() == 1001
+
+
+def test_an_indexed_lookup_reads_few_files(spark, tmp_path):
+    path = str(tmp_path / "db")
+    append_store(rows(spark, 1, [(f"k{n % 200:04d}", f"1-{n}") for n in range(6000)]), path, 1)
+    merge_store(spark, path, 0, 100)
+    append_store(rows(spark, 2, [("k0005", "2")]).coalesce(1), path, 2)
+    index_runs(spark, path)
+    keys = spark.createDataFrame([("k0000",), ("k0005",), ("k0199",)], "key string")
+    found = read_store_for_keys(spark, path, keys)
+    assert len(found.inputFiles()) <= 5  # of the snapshot alone there were 60 files
+    assert sorted(map(tuple, lookup_many(found, keys, 1).collect())) == [("k0000", "1-5800"), ("k0005", "2"), ("k0199", "1-5999")]
