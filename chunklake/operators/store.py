@@ -77,9 +77,10 @@ def lookup_many(store: DataFrame, keys: DataFrame, now: int, seq_col: str = "wri
 
 def compact(store: DataFrame, now: int, seq_col: str = "write_seq", in_order: bool = False) -> DataFrame:
     """The live latest rows; ``in_order`` sorts them by the first appearance of their keys."""
-    row = F.struct("value", "expire_at", F.col(seq_col).alias("write_seq"))
+    # the greatest row, its order first: beside a row to keep, `max_by` would carry the order a second time
+    row = F.struct(F.col(seq_col).alias("write_seq"), "value", "expire_at")
     latest = store.groupBy("key").agg(
-        F.max_by(row, F.col(seq_col)).alias("row"), *([F.min(seq_col).alias("first_seq")] if in_order else [])
+        F.max(F.when(F.col(seq_col).isNotNull(), row)).alias("row"), *([F.min(seq_col).alias("first_seq")] if in_order else [])
     )
     latest = latest.where(is_live(F.col("row.expire_at"), now))
     if in_order:

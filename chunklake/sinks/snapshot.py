@@ -1,6 +1,6 @@
 """Snapshots of a store that is being appended to, made from new runs and the ranges of keys they touch.
 
-The snapshot is a row of files sorted by key, no key in two of them. New runs are reduced to one row per key and told their
+The snapshot is a row of files sorted by key, no key in two of them. The keys of new runs are told their
 file; only files that a new key falls into, or that hold a row which has expired, are read again, merged and replaced. What
 covers which run is put into the store's manifest with a single rename.
 """
@@ -15,9 +15,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunklake.operators.store import compact, latest_per_key
+from chunklake.operators.store import compact
 from chunklake.schemas import STORE_FIELDS
-from chunklake.sinks.store import KEY_BLOOM
+from chunklake.sinks.store import FILE_OPTIONS
 from chunklake.sources.manifest import Manifest, SnapshotFile, commit_manifest, open_runs, read_manifest
 from chunklake.sources.store import read_folders
 
@@ -48,7 +48,7 @@ def _stretches(manifest: Manifest, touched: list[int]) -> list[str]:
 class Merge:
     """What a merge is about to write: the version it starts from, the runs it takes in, the ranges it replaces, their rows.
 
-    ``most`` is a bound on the number of these rows: the new keys and the rows of the files that are replaced.
+    ``most`` is about the greatest number of these rows: the new keys, told by a sketch, and the rows of the files that are replaced.
     """
 
     path: str
@@ -64,15 +64,17 @@ def begin_merge(spark: SparkSession, path: str, now: int) -> Merge:
     path = path.rstrip("/")
     manifest = read_manifest(spark, path)
     runs = open_runs(spark, path, manifest)
-    fresh = latest_per_key(read_folders(spark, path, runs))
-    placed = _with_slots(fresh, [f.least for f in manifest.files])
-    # at most one row for each file; of the runs the keys alone are read
-    keys = {row.slot: row.n for row in placed.groupBy("slot").agg(F.count("*").alias("n")).collect()} if runs else {}
+    placed = _with_slots(read_folders(spark, path, runs).select("key"), [f.least for f in manifest.files])
+    # at most one number for each file, and a sketch of the keys: none of them is sent to another task
+    found = placed.agg(F.collect_set("slot"), F.hll_sketch_estimate(F.hll_sketch_agg("key")))
+    slots, keys = found.first() if runs else ([], 0)
     expired = {n for n, f in enumerate(manifest.files) if 0 < f.expires <= now}
-    touched = sorted(expired | keys.keys()) if manifest.files else []
-    old = read_folders(spark, path, [manifest.files[n].path for n in touched])
-    rows = _with_slots(compact(old.unionByName(fresh.select(*STORE_FIELDS)), now), _stretches(manifest, touched))
-    most = sum(keys.values()) + sum(manifest.files[n].rows for n in touched)
+    touched = sorted(expired.union(slots)) if manifest.files else []
+    # old and new rows are reduced together, with one shuffle by key
+    both = read_folders(spark, path, [*(manifest.files[n].path for n in touched), *runs])
+    rows = _with_slots(compact(both, now), _stretches(manifest, touched))
+    # a sketch counts no null: where rows are, there is a part at least
+    most = max(keys, len(slots)) + sum(manifest.files[n].rows for n in touched)
     return Merge(path, manifest, runs, touched, rows, most)
 
 
@@ -80,7 +82,7 @@ def _write_ranges(rows: DataFrame, path: str, folder: str, parts: int) -> list[S
     """Writes rows sorted by slot and key in so many parts, no file over two stretches, and tells the files."""
     spark = rows.sparkSession
     ranged = rows.repartitionByRange(parts, "slot", "key").sortWithinPartitions("slot", "key")
-    ranged.select(*STORE_FIELDS, "slot").write.options(**KEY_BLOOM).partitionBy("slot").mode("errorifexists").parquet(f"{path}/{folder}")
+    ranged.select(*STORE_FIELDS, "slot").write.options(**FILE_OPTIONS).partitionBy("slot").mode("errorifexists").parquet(f"{path}/{folder}")
     expires = F.coalesce(F.min(F.when(F.col("expire_at") != 0, F.col("expire_at"))), F.lit(0))
     files = read_folders(spark, path, [folder]).groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.min("key").alias("least"), F.max("key").alias("most"), F.count("*").alias("rows"), expires.alias("expires")

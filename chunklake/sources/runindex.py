@@ -1,6 +1,6 @@
 """An index of a store's runs, read before the runs are: which of them may hold a key.
 
-A run has a blocked Bloom filter over its keys, eight bits a key: a key sets one bit in each of the four words of its block.
+A run has a blocked Bloom filter over its distinct keys, eight bits a key: a key sets one bit in each of the four words of its block.
 The index is a table of blocks beside the runs, each with the range of its run's keys; it is added to after runs are finished,
 and a run that is not in it yet is read. Built and asked with built-in functions only.
 """
@@ -20,6 +20,8 @@ _WORDS = ("w0", "w1", "w2", "w3")
 _SCHEMA = "name string, least string, most string, blocks bigint, block bigint, w0 bigint, w1 bigint, w2 bigint, w3 bigint"
 #: Keys for each block of 256 bits.
 KEYS_PER_BLOCK = 32
+#: Blocks of an index file, about.
+BLOCKS_PER_FILE = 1 << 20
 
 
 def _block(key: Column, blocks: Column | int) -> Column:
@@ -43,7 +45,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def index_runs(spark: SparkSession, path: str) -> list[str]:
-    """Indexes all finished runs that are neither covered nor indexed yet, in one job, and returns their names."""
+    """Indexes all finished runs that are neither covered nor indexed yet, and returns their names. One row of a run goes to the driver."""
     path = path.rstrip("/")
     known = {row.name for row in read_index(spark, path).select("name").distinct().collect()}  # one row for each run
     names = [name for name in open_runs(spark, path, read_manifest(spark, path)) if name not in known]
@@ -53,12 +55,16 @@ def index_runs(spark: SparkSession, path: str) -> list[str]:
     # the run's folder: what stands between the store and the file
     name = F.regexp_extract(file, r"((?:run|snapshot)=[^/]*|stream=[^/]*/batch=[^/]*)/[^/]*$", 1)
     keys = read_folders(spark, path, names).select(name.alias("name"), "key")
-    runs = keys.groupBy("name").agg(F.count("*").alias("n"), F.min("key").alias("least"), F.max("key").alias("most"))
-    power = F.ceil(F.log2(F.greatest(F.col("n") / KEYS_PER_BLOCK, F.lit(1)))).cast("int")
-    runs = runs.withColumn("blocks", F.call_function("shiftleft", F.lit(1).cast("bigint"), power)).drop("n")
+    # distinct keys are told by a sketch in each task: no key is sorted or sent to another task for it
+    distinct = F.hll_sketch_estimate(F.hll_sketch_agg("key"))
+    power = F.ceil(F.log2(F.greatest(distinct / KEYS_PER_BLOCK, F.lit(1)))).cast("int")
+    blocks = F.call_function("shiftleft", F.lit(1).cast("bigint"), power)
+    facts = keys.groupBy("name").agg(F.min("key").alias("least"), F.max("key").alias("most"), blocks.alias("blocks")).collect()
+    runs = F.broadcast(spark.createDataFrame(facts, "name string, least string, most string, blocks bigint"))  # one row for each run
     placed = keys.join(runs, "name").withColumn("block", _block(F.col("key"), F.col("blocks")))
     bits = [F.bit_or(_bit(F.col("key"), i)).alias(w) for i, w in enumerate(_WORDS)]
-    placed.groupBy("name", "least", "most", "blocks", "block").agg(*bits).coalesce(max(1, len(names) // 100)).write.parquet(
+    parts = 1 + sum(row.blocks for row in facts) // BLOCKS_PER_FILE
+    placed.groupBy("name", "least", "most", "blocks", "block").agg(*bits).coalesce(parts).write.option("compression", "zstd").parquet(
         f"{path}/{_FOLDER}/{uuid.uuid4().hex}"
     )
     return names
@@ -108,8 +114,9 @@ def read_store_for(spark: SparkSession, path: str, key: str) -> DataFrame:
 
 
 def read_store_for_keys(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
-    """The same for many keys, for `lookup_many`. Of the snapshot the files between the least and the greatest key are read."""
+    """All rows between the least and the greatest key in files that may hold one of the keys, for `lookup_many`."""
     manifest, index = read_manifest(spark, path), read_index(spark, path)
     least, most = keys.agg(F.min("key"), F.max("key")).first()
     files = [f.path for f in manifest.files if least is not None and f.least <= most and f.most >= least]
-    return _rows_for(spark, path, index, runs_for(index, keys), files)
+    rows = _rows_for(spark, path, index, runs_for(index, keys), files)
+    return rows.where(F.col("key").between(F.lit(least), F.lit(most)))

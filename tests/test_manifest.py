@@ -237,3 +237,52 @@ def test_an_indexed_lookup_reads_few_files(spark, tmp_path):
     found = read_store_for_keys(spark, path, keys)
     assert len(found.inputFiles()) <= 5  # of the snapshot alone there were 60 files
     assert sorted(map(tuple, lookup_many(found, keys, 1).collect())) == [("k0000", "1-5800"), ("k0005", "2"), ("k0199", "1-5999")]
+
+
+def test_an_index_is_as_large_as_the_keys_need(spark, tmp_path):
+    path = str(tmp_path / "db")
+    append_store(rows(spark, 1, [(f"k{n % 200:04d}", f"1-{n}") for n in range(6000)]), path, 1)
+    append_store(rows(spark, 2, [(f"k{n % 7:04d}", f"2-{n}") for n in range(3000)]), path, 2)
+    assert index_runs(spark, path) == ["run=1", "run=2"]
+    blocks = {r["name"]: (r.blocks, r.least, r.most) for r in read_index(spark, path).collect()}
+    assert blocks == {"run=1": (8, "k0000", "k0199"), "run=2": (1, "k0000", "k0006")}  # by rows there were 256 and 128
+    for key in ("k0000", "k0006", "k0007", "k0199"):
+        found, whole = lookup(read_store_for(spark, path, key), key, 1), lookup(read_store(spark, path), key, 1)
+        assert found.collect() == whole.collect() != []
+
+
+def test_a_bulk_lookup_leaves_out_rows_beyond_the_keys(spark, tmp_path):
+    path = str(tmp_path / "db")
+    append_store(rows(spark, 1, [(f"k{n:04d}", "1") for n in range(1000)]), path, 1)
+    index_runs(spark, path)
+    append_store(rows(spark, 2, [("a", "2"), ("k0011", "2"), ("z", "2")]), path, 2)  # not indexed
+    keys = spark.createDataFrame([("k0010",), ("k0012",), (None,)], "key string")
+    found = read_store_for_keys(spark, path, keys)
+    assert {r.key for r in found.collect()} == {"k0010", "k0011", "k0012"}  # before: all 1003
+    assert sorted(map(tuple, lookup_many(found, keys, 1).collect())) == [("k0010", "1"), ("k0012", "1")]
+    assert lookup_many(read_store_for_keys(spark, path, keys.where("false")), keys, 1).count() == 0
+
+
+def test_a_merge_shuffles_rows_by_key_once(spark, tmp_path):
+    path = str(tmp_path / "db")
+    append_store(rows(spark, 1, [(f"k{n:04d}", "1") for n in range(1000)], [n % 3 for n in range(1000)]), path, 1)
+    for run in (1, 2):
+        merge = begin_merge(spark, path, 1)
+        plan = merge.rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("hashpartitioning(key") == 1  # new rows were reduced first, then all
+        finish_merge(merge, 100)
+        append_store(rows(spark, run + 1, [("k0500", "2"), ("new", "2")]), path, run + 1)
+    merge_store(spark, path, 1)
+    assert content(read_store(spark, path)) == content(compact(read_folders(spark, path, ["run=1", "run=2", "run=3"]), 1))
+
+
+def test_store_files_are_small(spark, tmp_path):
+    path = str(tmp_path / "db")
+    keys = [f"click:{n * 7919 % 60_000}" for n in range(60_000)]
+    append_store(rows(spark, 1, [(key, f"1-{n}") for n, key in enumerate(keys)]).coalesce(1), path, 1)
+    merge_store(spark, path, 0)
+    index_runs(spark, path)
+    append_store(rows(spark, 2, [(key, f"2-{n}") for n, key in enumerate(keys)]).coalesce(1), path, 2)
+    for pattern in ("run=*", "merged=*/slot=*"):
+        files = list((tmp_path / "db").glob(f"{pattern}/*.parquet"))
+        assert files and all(file.name.endswith(".zstd.parquet") for file in files)  # snappy took two to four times the bytes
