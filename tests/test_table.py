@@ -1,11 +1,14 @@
+import pickle
+import random
 import time
 
+import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from chunklake import compact
 from chunklake.schemas import STORE
-from chunklake.streaming.table import LatestRow, latest_rows_stream, read_table, write_table_stream
+from chunklake.streaming.table import LOTS, LatestRow, LatestRows, latest_rows_stream, read_table, write_table_stream
 
 
 def until(done, seconds=90):
@@ -88,3 +91,111 @@ def test_a_key_takes_few_calls_on_its_state():
     assert put(("late", 9, 1)) == [] and calls == ["get", "get"]
     assert put(("v3", 0, 3)) == [("k", "v3", 0)] and sorted(calls) == ["clear", "get", "get", "update"]
     assert latest.mortal.value is None and latest.lasting.value[0] == "v3"
+
+
+class Clock:
+    def __init__(self):
+        self.now = 0
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+class TimedState:
+    """A value or a list that forgets what was put more than its time ago, as Spark's states do."""
+
+    def __init__(self, clock, ttl, calls):
+        self.clock, self.ttl, self.calls, self.entries = clock, ttl, calls, []
+
+    def left(self):
+        return [e for at, e in self.entries if self.ttl is None or self.clock.now < at + self.ttl]
+
+    def clear(self):
+        self.calls.append("clear")
+        self.entries = []
+
+
+class Value(TimedState):
+    def get(self):
+        self.calls.append("get")
+        return (self.left() or [None])[0]
+
+    def update(self, value):
+        self.calls.append("update")
+        self.entries = [(self.clock.now, value)]
+
+
+class Log(TimedState):
+    def get(self):
+        self.calls.append("get")
+        return iter(self.left())
+
+    def appendValue(self, value):
+        self.calls.append("append")
+        self.entries.append((self.clock.now, value))
+
+    def put(self, values):
+        self.calls.append("put")
+        self.entries = [(self.clock.now, value) for value in values]
+
+
+class Handle:
+    def __init__(self, clock):
+        self.clock, self.calls = clock, []
+
+    def getValueState(self, name, schema, ttl=None):
+        return Value(self.clock, ttl, self.calls)
+
+    def getListState(self, name, schema, ttl=None):
+        return Log(self.clock, ttl, self.calls)
+
+
+@pytest.mark.parametrize("ttl", [0, 7])
+def test_a_lot_gives_what_each_key_by_itself_gives(ttl):
+    made, clock = random.Random(ttl), Clock()
+    by_lot, alone, handle = LatestRows(ttl), {}, Handle(clock)
+    by_lot.init(handle)
+    most = 0
+    for _ in range(400):
+        clock.now += made.choice([0, 1, 1, 2, 9])
+        rows = [(f"k{made.randrange(12)}", str(n), made.choice([0, 5]), made.randrange(40), "", 0, n) for n in range(made.randrange(1, 9))]
+        asked = []
+        for key in dict.fromkeys(row[0] for row in rows):
+            if key not in alone:
+                alone[key] = LatestRow(ttl)
+                alone[key].init(Handle(clock))
+            asked += map(tuple, alone[key].handleInputRows((key,), iter([r for r in rows if r[0] == key]), clock))
+        packed = [{key: (tuple(order), value, expire_at)} for key, value, expire_at, *order in rows]
+        handle.calls.clear()
+        found = list(by_lot.handleInputRows((3,), iter([Row(lot=3, rows=pickle.dumps(part)) for part in packed]), clock))
+        assert len(handle.calls) <= 4 and all(row.lot == 3 for row in found)  # three for each key before
+        given = [(key, value, expire_at, *order) for row in found for key, (order, value, expire_at) in pickle.loads(row.rows).items()]
+        assert sorted(given) == sorted(asked)
+        most = max(most, *(len(state.left()) for state in (by_lot.lasting, by_lot.mortal) if state))
+    assert most == 7
+
+
+@pytest.mark.parametrize("lots", [LOTS, 2, 0])
+def test_a_streamed_table_of_many_keys_has_few_states(spark, tmp_path, lots):
+    source, out, names = tmp_path / "in", str(tmp_path / "out"), ("spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled")
+    made = [(f"k{n * 7919 % 600}", f"v{n}", n % 5 and n, (0, "s", n * 7 % 1000, n)) for n in range(1000)] + [(None, "none", 9000, (0, "", 0, 0)), ("e", None, 0, (0, None, 0, 0))]
+    rows = spark.createDataFrame(made, STORE)
+    for part in (rows.where("write_seq.minor < 500"), rows.where("write_seq.minor >= 500")):
+        part.coalesce(1).write.mode("append").parquet(str(source))
+    stream = spark.readStream.schema(STORE).option("maxFilesPerTrigger", "1").parquet(str(source))
+    before = [spark.conf.get(name, None) for name in names]
+    spark.conf.set(names[0], "40")
+    try:
+        query = write_table_stream(latest_rows_stream(stream, 3600, lots), out, str(tmp_path / "check"))
+        assert spark.conf.get(names[0]) == "40" and spark.conf.get(names[1], None) == before[1]
+    finally:
+        spark.conf.set(names[0], before[0])
+    try:
+        until(lambda: sum(p["numInputRows"] for p in query.recentProgress) >= 1002)
+        states = query.recentProgress[0]["stateOperators"][0]
+    finally:
+        query.stop()
+    assert states["numShufflePartitions"] == 32  # 40 before; each is opened and committed in every micro-batch
+    assert not lots or states["numRowsTotal"] <= 2 * lots
+    for now in (0, 800):
+        assert sorted(map(str, read_table(spark, out, now).collect())) == sorted(map(str, compact(rows, now).select("key", "value", "expire_at", "write_seq").collect()))
